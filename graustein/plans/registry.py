@@ -71,3 +71,470 @@ def q_lca_outcomes(spark, sf_dir):
 def q_cost_components(spark, sf_dir):
     """One cost row per element."""
     return cost_components(spark, sf_dir)
+
+
+@query("cost_outcomes", with_views(COST_VIEWS, body="""
+SELECT COALESCE(error_code, 'OK') AS outcome, COUNT(*) AS n_elements FROM cost_components GROUP BY 1"""))
+def q_cost_outcomes(spark, sf_dir):
+    """Elements per cost outcome."""
+    return (cost_components(spark, sf_dir).groupBy(F.coalesce("error_code", F.lit("OK")).alias("outcome"))
+            .agg(F.count(F.lit(1)).alias("n_elements")))
+
+
+@query("cost_run_stats", with_views(COST_VIEWS, body="""
+SELECT project_id, CAST(COUNT(*) AS INTEGER) AS total_elements, CAST(COUNT(*) AS INTEGER) AS processed_elements,
+       CAST(COUNT(*) FILTER (WHERE failed) AS INTEGER) AS failed_elements, 'N/A' AS kbob_version,
+       CASE WHEN COUNT(*) FILTER (WHERE failed) = 0 THEN 'completed' ELSE 'failed' END AS status
+FROM cost_components GROUP BY project_id"""))
+def q_cost_run_stats(spark, sf_dir):
+    """A7/N10 for cost runs, per project."""
+    return cost_ops.cost_run_stats(cost_components(spark, sf_dir))
+
+
+@query("cost_project_totals", with_views(COST_VIEWS, body="""
+SELECT project_id, COUNT(*) AS n_elements, CAST(SUM(CAST(total_cost AS DECIMAL(38,2))) AS DOUBLE) AS total_cost
+FROM cost_components WHERE NOT failed GROUP BY project_id"""))
+def q_cost_project_totals(spark, sf_dir):
+    """Per-project cost totals of the successful elements."""
+    return cost_ops.project_costs(cost_components(spark, sf_dir))
+
+
+@query("cost_errors", with_views(COST_VIEWS, body="""
+SELECT project_id, guid AS element_id, 'Cost Calculation' AS material_name, error_code AS error_type,
+       error AS error_message FROM cost_components WHERE failed"""))
+def q_cost_errors(spark, sf_dir):
+    """K8 rows of the cost run."""
+    return cost_ops.cost_errors(cost_components(spark, sf_dir)).drop("created_at")
+
+
+# ---------------------------------------------------------------- LCA results
+
+@query("lca_errors", with_views(LCA_VIEWS, body="""
+SELECT project_id, element_id, material_name, error_code AS error_type, error_message
+FROM lca_components WHERE failed"""))
+def q_lca_errors(spark, sf_dir):
+    """K8: the error table of the LCA run."""
+    return lca_ops.lca_errors(lca_components(spark, sf_dir)).drop("created_at")
+
+
+@query("lca_run_stats", with_views(LCA_VIEWS, body="""
+, per_el AS (SELECT project_id, element_id, COUNT(*) AS n, COUNT(*) FILTER (WHERE failed) AS n_failed
+            FROM lca_components GROUP BY project_id, element_id)
+SELECT project_id, CAST(COUNT(*) AS INTEGER) AS total_elements, CAST(COUNT(*) AS INTEGER) AS processed_elements,
+       CAST(COUNT(*) FILTER (WHERE n_failed > 0) AS INTEGER) AS failed_elements,
+       CAST(SUM(n_failed) AS BIGINT) AS failed_components, CAST(SUM(n) AS BIGINT) AS total_components,
+       '2024-v1' AS kbob_version, 'completed' AS status
+FROM per_el GROUP BY project_id""".replace("\n, per_el", "per_el", 0)))
+def q_lca_run_stats(spark, sf_dir):
+    """Run statistics per project."""
+    comps, version = jobs.lca(lca_inputs(spark, sf_dir))
+    return lca_ops.lca_run_stats(comps, version)
+
+
+@query("lca_element_summary", with_views(LCA_VIEWS, body="""
+SELECT project_id, element_id, COUNT(*) AS n_components, COUNT(*) FILTER (WHERE failed) AS n_failed,
+       COUNT(*) > 1 AS shared_guid
+FROM lca_components GROUP BY project_id, element_id"""))
+def q_lca_element_summary(spark, sf_dir):
+    """A8 (flat): components per element and shared_guid."""
+    return lca_ops.element_summary(lca_components(spark, sf_dir))
+
+
+_IMPACT_SUMS = ", ".join(
+    f"CAST(SUM(CAST({n}_{k} AS DECIMAL(38,{d}))) AS DOUBLE) AS {n}_{k}"
+    for n, d in (("gwp", 3), ("penr", 3), ("ubp", 0)) for k in ("absolute", "relative"))
+
+
+@query("lca_project_totals", with_views(LCA_VIEWS, body=f"""
+SELECT project_id, COUNT(*) AS n_components, {_IMPACT_SUMS}
+FROM lca_components WHERE NOT failed GROUP BY project_id"""))
+def q_lca_project_totals(spark, sf_dir):
+    """Per-project impact totals (the flagship query)."""
+    return lca_ops.project_impacts(lca_components(spark, sf_dir))
+
+
+@query("lca_rejected_elements", with_views(LCA_VIEWS, body="""
+, per_el AS (SELECT element_id, COUNT(*) AS n, bool_or(volume > 0) AS pos FROM lca_rows GROUP BY element_id)
+SELECT e.project_id, e.id AS element_id,
+       CASE WHEN p.n IS NULL THEN 'NO_MATERIALS' ELSE 'NO_POSITIVE_VOLUME' END AS reason
+FROM fx_elements e LEFT JOIN per_el p ON p.element_id = e.id
+WHERE p.pos IS NULL OR NOT p.pos"""))
+def q_lca_rejected_elements(spark, sf_dir):
+    """Elements dropped by validation, with the reason."""
+    from graustein.operators import elements as el
+    els = fx.elements(spark, sf_dir)
+    rows = el.attach_elements(fx.element_materials(spark, sf_dir), els)
+    return el.rejected_elements(els, rows)
+
+
+@query("element_service_life", with_views(LCA_VIEWS, body="""
+SELECT e.id AS element_id, e.ebkp, CAST(COALESCE(NULLIF(l.life_years, 0), 60) AS INTEGER) AS amortization
+FROM fx_elements e LEFT JOIN lca_life l ON l.code = trim(e.ebkp)"""))
+def q_element_service_life(spark, sf_dir):
+    """A3 + J4/N5: service life per element (MIN over the code's rows, default 60)."""
+    life = lca_ops.service_life(fx.life_expectancy(spark))
+    els = fx.elements(spark, sf_dir)
+    return (els.join(F.broadcast(life), F.trim("ebkp") == F.col("life_code"), "left")
+            .select(F.col("id").alias("element_id"), "ebkp",
+                    F.coalesce(F.when(F.col("life_years") != 0, F.col("life_years")),
+                               F.lit(lca_ops.DEFAULT_LIFE_YEARS)).cast("int").alias("amortization")))
+
+
+# ---------------------------------------------------------------- catalogue
+
+@query("active_catalogue", with_views(body="""
+SELECT m.uuid, m.name, m.version FROM fx_kbob m
+JOIN (SELECT version FROM fx_versions WHERE is_active ORDER BY release_date DESC, version DESC LIMIT 1) a
+  ON m.version = a.version"""))
+def q_active_catalogue(spark, sf_dir):
+    """T1 + J3: catalogue rows of the active version."""
+    from graustein.operators import catalogue as cat
+    return cat.active_materials(fx.kbob_materials(spark, sf_dir), fx.kbob_versions(spark)).select("uuid", "name", "version")
+
+
+@query("catalogue_versions", with_views(body="""
+SELECT m.version, COUNT(*) AS n_materials, v.version IS NOT NULL AS in_versions_table,
+       m.version = (SELECT MAX(version) FROM fx_kbob) AS is_latest
+FROM fx_kbob m LEFT JOIN fx_versions v ON v.version = m.version
+GROUP BY m.version, v.version"""))
+def q_catalogue_versions(spark, sf_dir):
+    """A4 + J14 + U3: versions used by the catalogue, whether registered, which is latest."""
+    from graustein.operators import catalogue as cat
+    mats, vers = fx.kbob_materials(spark, sf_dir), fx.kbob_versions(spark)
+    latest = cat.latest_version(mats)
+    missing = cat.missing_versions(mats, vers).select("version", F.lit(True).alias("_missing"))
+    return (mats.groupBy("version").agg(F.count(F.lit(1)).alias("n_materials"))
+            .join(F.broadcast(missing), "version", "left")
+            .join(F.broadcast(latest), F.col("version") == F.col("latest_version"), "left")
+            .select("version", "n_materials", F.col("_missing").isNull().alias("in_versions_table"),
+                    F.col("latest_version").isNotNull().alias("is_latest")))
+
+
+@query("mapping_resolution", with_views(body="""
+SELECT mp.ifc_material, mp.kbob_id, k.uuid IS NOT NULL AS found_in_active, k.name AS kbob_material_name
+FROM fx_mappings mp LEFT JOIN (SELECT uuid, name FROM fx_kbob WHERE version = '2024-v1') k ON k.uuid = mp.kbob_id"""))
+def q_mapping_resolution(spark, sf_dir):
+    """P18/J2 in bulk: every mapped catalogue id resolved against the active version."""
+    from graustein.operators import catalogue as cat
+    version = cat.active_version(fx.kbob_versions(spark))
+    kb = cat.materials_of_version(fx.kbob_materials(spark, sf_dir), version).select(
+        F.col("uuid").alias("kbob_id"), F.col("name").alias("kbob_material_name"), F.lit(True).alias("_f"))
+    return (lca_ops.usable_mappings(fx.mappings(spark, sf_dir)).join(kb, "kbob_id", "left")
+            .select("ifc_material", "kbob_id", F.coalesce("_f", F.lit(False)).alias("found_in_active"),
+                    "kbob_material_name"))
+
+
+# ---------------------------------------------------------------- projects
+
+_LATEST = """
+latest AS (SELECT project_id, id, processing_time, kbob_version, created_at FROM (
+  SELECT *, row_number() OVER (PARTITION BY project_id ORDER BY created_at DESC, id DESC) AS rn FROM fx_history) WHERE rn = 1)"""
+
+
+@query("latest_run_per_project", with_views(_LATEST, body="SELECT * FROM latest"))
+def q_latest_run_per_project(spark, sf_dir):
+    """The latest processing-history row of every project."""
+    from graustein.operators import projects as pr
+    return pr.latest_per_project(fx.history(spark, sf_dir))
+
+
+@query("project_info", with_views(LCA_VIEWS, _LATEST, body="""
+, el AS (SELECT project_id, COUNT(DISTINCT id) AS total_elements FROM fx_elements GROUP BY project_id),
+er AS (SELECT project_id, COUNT(*) AS total_errors FROM lca_components WHERE failed GROUP BY project_id)
+SELECT p.project_id, p.name, p.life_expectancy, p.kbob_version, p.status,
+       COALESCE(el.total_elements, 0) AS total_elements, COALESCE(er.total_errors, 0) AS total_errors,
+       l.id AS latest_id, l.processing_time AS latest_processing_time, l.kbob_version AS latest_kbob_version,
+       l.created_at AS latest_created_at
+FROM fx_projects p LEFT JOIN el USING (project_id) LEFT JOIN er USING (project_id) LEFT JOIN latest l USING (project_id)
+"""))
+def q_project_info(spark, sf_dir):
+    """Project, element count, error count and latest run for every project."""
+    from graustein.operators import projects as pr
+    errors = lca_ops.lca_errors(lca_components(spark, sf_dir))
+    return pr.project_info(fx.projects(spark, sf_dir), fx.elements(spark, sf_dir), errors, fx.history(spark, sf_dir))
+
+
+@query("project_material_volumes", with_views(body="""
+SELECT e.project_id, m.material_name AS name, COALESCE(CAST(SUM(m.volume) AS DOUBLE), 0.0) AS volume
+FROM fx_element_materials m JOIN fx_elements e ON m.element_id = e.id
+GROUP BY e.project_id, m.material_name"""))
+def q_project_material_volumes(spark, sf_dir):
+    """Total volume per project and material."""
+    from graustein.operators import projects as pr
+    return pr.ordered_material_volumes(pr.material_volumes(fx.element_materials(spark, sf_dir), fx.elements(spark, sf_dir)))
+
+
+@query("project_mappings_in_use", with_views(body="""
+SELECT DISTINCT e.project_id, mp.ifc_material, mp.kbob_id
+FROM fx_element_materials m JOIN fx_elements e ON m.element_id = e.id
+JOIN fx_mappings mp ON mp.ifc_material = m.material_name
+WHERE mp.kbob_id IS NOT NULL AND mp.kbob_id <> '' AND mp.ifc_material <> ''"""))
+def q_project_mappings_in_use(spark, sf_dir):
+    """Mappings of the materials that occur in each project."""
+    from graustein.operators import projects as pr
+    return pr.project_mappings_in_use(fx.mappings(spark, sf_dir), fx.element_materials(spark, sf_dir),
+                                      fx.elements(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- combined results and summary
+
+_COMBINED = """
+combined AS (
+  SELECT project_id, element_id AS guid, material_name AS material, ebkp_h, gwp_absolute, penr_absolute,
+         ubp_absolute, CAST(NULL AS DOUBLE) AS total_cost, failed, error_message AS error FROM lca_components
+  UNION ALL
+  SELECT project_id, guid, 'Cost Calculation', ebkp_h, NULL, NULL, NULL, total_cost, failed, error FROM cost_components),
+summary AS (
+  SELECT project_id,
+         CAST(COALESCE(SUM(CAST(total_cost AS DECIMAL(38,2))), 0) AS DOUBLE) AS total_cost,
+         CAST(COALESCE(SUM(CAST(gwp_absolute AS DECIMAL(38,3))), 0) AS DOUBLE) AS total_co2_emission,
+         CAST(COALESCE(SUM(CAST(penr_absolute AS DECIMAL(38,3))), 0) AS DOUBLE) AS total_primary_energy,
+         CAST(COALESCE(SUM(CAST(ubp_absolute AS DECIMAL(38,0))), 0) AS DOUBLE) AS total_ubp
+  FROM combined WHERE NOT failed GROUP BY project_id)"""
+
+
+def combined(spark, sf_dir):
+    from graustein.operators import combine as cb
+    return cb.combine_results(lca_components(spark, sf_dir), cost_components(spark, sf_dir))
+
+
+@query("combined_per_guid", with_views(LCA_VIEWS, COST_VIEWS, body="""
+, l AS (SELECT project_id, element_id AS guid, COUNT(*) AS n, COUNT(*) FILTER (WHERE failed) AS f
+        FROM lca_components GROUP BY project_id, element_id)
+SELECT COALESCE(l.project_id, c.project_id) AS project_id, COALESCE(l.guid, c.guid) AS guid,
+       COALESCE(l.n, 0) + CASE WHEN c.guid IS NULL THEN 0 ELSE 1 END AS n_components,
+       COALESCE(l.f, 0) + CASE WHEN c.failed THEN 1 ELSE 0 END AS n_failed,
+       COALESCE(l.n > 1, false) AS shared_guid
+FROM l FULL JOIN cost_components c ON l.project_id = c.project_id AND l.guid = c.guid"""))
+def q_combined_per_guid(spark, sf_dir):
+    """LCA and cost merged by guid; shared_guid is the OR of the inputs."""
+    from graustein.operators import combine as cb
+    return cb.combined_per_guid(lca_components(spark, sf_dir), cost_components(spark, sf_dir)) \
+        .withColumn("n_components", F.col("n_components").cast("long")).withColumn("n_failed", F.col("n_failed").cast("long"))
+
+
+@query("portfolio_summary", with_views(LCA_VIEWS, COST_VIEWS, _COMBINED, body="""
+SELECT *, translate(format('{:,.2f}', total_cost), ',.', '`,') AS total_cost_text,
+       translate(format('{:,.2f}', total_co2_emission), ',.', '`,') AS total_co2_emission_text,
+       translate(format('{:,.2f}', total_primary_energy), ',.', '`,') AS total_primary_energy_text,
+       translate(format('{:,.2f}', total_ubp), ',.', '`,') AS total_ubp_text
+FROM summary"""))
+def q_portfolio_summary(spark, sf_dir):
+    """A5 + H9: per-project totals of cost, CO2, primary energy and UBP, with Swiss formatting."""
+    from graustein.operators import combine as cb
+    return cb.formatted_summary(cb.summarize(combined(spark, sf_dir), by=["project_id"]))
+
+
+@query("failed_components", with_views(LCA_VIEWS, COST_VIEWS, _COMBINED, body="""
+SELECT project_id, guid, material, ebkp_h, error FROM combined WHERE failed"""))
+def q_failed_components(spark, sf_dir):
+    """All failed components of the combined run."""
+    from graustein.operators import combine as cb
+    return cb.failed_components(combined(spark, sf_dir))
+
+
+@query("summary_report", with_views(LCA_VIEWS, COST_VIEWS, _COMBINED, body="""
+, total AS (
+  SELECT CAST(COALESCE(SUM(CAST(total_cost AS DECIMAL(38,2))), 0) AS DOUBLE) AS c,
+         CAST(COALESCE(SUM(CAST(gwp_absolute AS DECIMAL(38,3))), 0) AS DOUBLE) AS g,
+         CAST(COALESCE(SUM(CAST(penr_absolute AS DECIMAL(38,3))), 0) AS DOUBLE) AS p,
+         CAST(COALESCE(SUM(CAST(ubp_absolute AS DECIMAL(38,0))), 0) AS DOUBLE) AS u
+  FROM combined WHERE NOT failed)
+SELECT 0 AS section, '' AS sort_key, 'Summary Report:' AS line
+UNION ALL SELECT 1, '', 'Total Cost: ' || translate(format('{:,.2f}', c), ',.', '`,') || ' Chf' FROM total
+UNION ALL SELECT 2, '', 'Total CO₂ Emissions: ' || translate(format('{:,.2f}', g), ',.', '`,') || ' kg CO₂-eq' FROM total
+UNION ALL SELECT 3, '', 'Total Primary Energy (non-renewable): ' || translate(format('{:,.2f}', p), ',.', '`,') || ' kWh oil-eq' FROM total
+UNION ALL SELECT 4, '', 'Total UBP: ' || translate(format('{:,.2f}', u), ',.', '`,') FROM total
+UNION ALL SELECT 5, '', 'Failed Components:' WHERE EXISTS (SELECT 1 FROM combined WHERE failed)
+UNION ALL SELECT 6, COALESCE(guid, '') || chr(0) || COALESCE(material, ''),
+       '- GUID: ' || COALESCE(guid, 'N/A') || ', eBKP-H: ' || COALESCE(ebkp_h, 'N/A') || ', Error: ' || COALESCE(error, 'N/A')
+FROM combined WHERE failed"""))
+def q_summary_report(spark, sf_dir):
+    """K6: the summary report lines over the whole portfolio."""
+    from graustein.operators import combine as cb
+    c = combined(spark, sf_dir)
+    return cb.report_lines(cb.summarize(c), cb.failed_components(c))
+
+
+# ---------------------------------------------------------------- classification
+
+_CATALOGUE = r"""
+cat_parsed AS (
+  SELECT line_no, regexp_extract(trim(value), '^([A-Z])\s+([0-9]+(?:\.[0-9]+)?)\s+(.*)$', 1) AS letter,
+         regexp_extract(trim(value), '^([A-Z])\s+([0-9]+(?:\.[0-9]+)?)\s+(.*)$', 2) AS number,
+         regexp_extract(trim(value), '^([A-Z])\s+([0-9]+(?:\.[0-9]+)?)\s+(.*)$', 3) AS description
+  FROM fx_catalogue_lines WHERE regexp_matches(trim(value), '^([A-Z])\s+([0-9]+(?:\.[0-9]+)?)\s+(.*)$')),
+cat_coded AS (
+  SELECT line_no, description,
+         letter || CASE WHEN ltrim(split_part(number, '.', 1), '0') = '' THEN '0' ELSE ltrim(split_part(number, '.', 1), '0') END
+         || CASE WHEN split_part(number, '.', 2) = '' THEN ''
+                 ELSE '.' || CASE WHEN ltrim(split_part(number, '.', 2), '0') = '' THEN '0' ELSE ltrim(split_part(number, '.', 2), '0') END END AS code
+  FROM cat_parsed),
+catalogue AS (SELECT code, arg_max(description, line_no) AS description FROM cat_coded GROUP BY code)"""
+
+# H1/H2 in SQL: blanks removed, then letter + numbers without leading zeros.
+_NORM = r"""
+norm_input AS (SELECT DISTINCT raw FROM norm_source),
+norm_parts AS (
+  SELECT raw, replace(raw, ' ', '') AS s,
+         regexp_extract(replace(raw, ' ', ''), '^([A-Z])([0-9]+)(?:\.([0-9]+))?(?:\.([0-9]+))?', 1) AS l,
+         regexp_extract(replace(raw, ' ', ''), '^([A-Z])([0-9]+)(?:\.([0-9]+))?(?:\.([0-9]+))?', 2) AS a,
+         regexp_extract(replace(raw, ' ', ''), '^([A-Z])([0-9]+)(?:\.([0-9]+))?(?:\.([0-9]+))?', 3) AS b,
+         regexp_extract(replace(raw, ' ', ''), '^([A-Z])([0-9]+)(?:\.([0-9]+))?(?:\.([0-9]+))?', 4) AS c
+  FROM norm_input),
+norm_z AS (
+  SELECT raw, s, l,
+         CASE WHEN a = '' THEN '' WHEN ltrim(a, '0') = '' THEN '0' ELSE ltrim(a, '0') END AS a,
+         CASE WHEN b = '' THEN '' WHEN ltrim(b, '0') = '' THEN '0' ELSE ltrim(b, '0') END AS b,
+         CASE WHEN c = '' THEN '' WHEN ltrim(c, '0') = '' THEN '0' ELSE ltrim(c, '0') END AS c
+  FROM norm_parts),
+norm AS (
+  SELECT raw,
+         CASE WHEN regexp_matches(s, '^[A-Z][0-9]+') THEN l || a || CASE WHEN b <> '' THEN '.' || b ELSE '' END
+              || CASE WHEN b <> '' AND c <> '' THEN '.' || c ELSE '' END ELSE s END AS code3,
+         CASE WHEN regexp_matches(s, '^[A-Z][0-9]+') THEN l || a || CASE WHEN b <> '' THEN '.' || b ELSE '' END
+              ELSE s END AS code2
+  FROM norm_z)"""
+
+
+def _catalogue(spark, sf_dir, levels=3):
+    from graustein.operators import classification as cl
+    return cl.parse_catalogue(fx.catalogue_lines(spark, sf_dir), levels=levels)
+
+
+@query("catalogue_codes", with_views(_CATALOGUE, body="SELECT code, description FROM catalogue"))
+def q_catalogue_codes(spark, sf_dir):
+    """S12 + H1 + N8: catalogue text lines parsed into (code, description), later line wins."""
+    return _catalogue(spark, sf_dir)
+
+
+@query("ebkp_code_forms", with_views(_CATALOGUE, "norm_source AS (SELECT ebkp AS raw FROM fx_elements)", _NORM, body="""
+SELECT n.raw, n.code3 AS normalized, n.code2 AS normalized_2,
+       CASE WHEN instr(n.code3, '.') > 0 THEN regexp_replace(n.code3, '\\.[^.]*$', '') END AS parent,
+       NULLIF(regexp_extract(n.code3, '^([A-Z][0-9]+)', 1), '') AS main,
+       c.code IS NOT NULL AS in_catalogue
+FROM norm n LEFT JOIN catalogue c ON c.code = n.code3"""))
+def q_ebkp_code_forms(spark, sf_dir):
+    """Each distinct raw code with its 3- and 2-level forms, parent, main,
+    and whether the catalogue has it."""
+    from graustein.functions.ebkp import main_code, normalize_code, parent_code
+    from graustein.operators import classification as cl
+    vals = fx.elements(spark, sf_dir).select(F.lit("x").alias("element_id"), F.col("ebkp").alias("ebkp_value"))
+    diag = cl.code_diagnostics(vals, _catalogue(spark, sf_dir))
+    return diag.select("raw", "normalized", normalize_code("raw", 2).alias("normalized_2"),
+                       parent_code("normalized").alias("parent"), main_code("normalized").alias("main"), "in_catalogue")
+
+
+_MAPPER = """
+m_first AS (
+  SELECT element_id, COALESCE(arg_min(COALESCE(prop_value, ''), pset_pos * 1000000 + prop_pos), '') AS v
+  FROM fx_properties WHERE lower(prop_name) = 'ebkp' GROUP BY element_id),
+norm_source AS (SELECT v AS raw FROM m_first WHERE trim(v) <> '')"""
+
+_CLASSIFIER = """
+c_sets AS (
+  SELECT element_id, pset_pos, arg_min(prop_value, prop_pos) AS v
+  FROM fx_properties WHERE lower(prop_name) = 'ebkp' GROUP BY element_id, pset_pos),
+c_first AS (SELECT element_id, arg_min(v, pset_pos) AS v FROM c_sets WHERE v IS NOT NULL GROUP BY element_id),
+norm_source AS (SELECT v AS raw FROM c_first WHERE trim(v) <> '')"""
+
+_MAPPER_RESULT = """
+, mapped AS (
+  SELECT f.element_id, f.v AS identification, n.code3 AS code,
+         CASE WHEN instr(n.code3, '.') > 0 THEN regexp_replace(n.code3, '\\.[^.]*$', '') END AS parent,
+         NULLIF(regexp_extract(split_part(n.code3, '.', 1), '^([A-Z][0-9]+)', 1), '') AS main
+  FROM m_first f JOIN norm n ON n.raw = f.v WHERE trim(f.v) <> '')
+, classified AS (
+  SELECT m.element_id, m.identification, m.code,
+         COALESCE(ce.description, cp.description, cm.description, m.identification) AS description,
+         CASE WHEN ce.code IS NOT NULL THEN 'exact' WHEN cp.code IS NOT NULL THEN 'parent'
+              WHEN cm.code IS NOT NULL THEN 'main' ELSE 'none' END AS match_level
+  FROM mapped m LEFT JOIN catalogue ce ON ce.code = m.code LEFT JOIN catalogue cp ON cp.code = m.parent
+  LEFT JOIN catalogue cm ON cm.code = m.main)"""
+
+
+def _mapper(spark, sf_dir):
+    from graustein.operators import classification as cl
+    vals = cl.first_ebkp_property(fx.properties(spark, sf_dir), stop_on_empty=True)
+    return cl.classify_hierarchical(vals, _catalogue(spark, sf_dir))
+
+
+def _classifier(spark, sf_dir):
+    from graustein.operators import classification as cl
+    vals = cl.first_ebkp_property(fx.properties(spark, sf_dir), stop_on_empty=False)
+    return cl.classify_exact(vals, _catalogue(spark, sf_dir, levels=2))
+
+
+@query("classification_mapper", with_views(_CATALOGUE, _MAPPER, _NORM, body=_MAPPER_RESULT + """
+SELECT * FROM classified"""))
+def q_classification_mapper(spark, sf_dir):
+    """C7 (mapper): first ebkp property, 3-level code, exact -> parent -> main -> own text."""
+    return _mapper(spark, sf_dir)
+
+
+_CLASSIFIER_RESULT = """
+, classified AS (
+  SELECT f.element_id, n.code2 AS identification, COALESCE(c.description, f.v) AS description,
+         CASE WHEN c.code IS NOT NULL THEN 'exact' ELSE 'none' END AS match_level
+  FROM c_first f JOIN norm n ON n.raw = f.v LEFT JOIN catalogue c ON c.code = n.code2
+  WHERE trim(f.v) <> '')"""
+
+
+@query("classification_classifier", with_views(_CATALOGUE, _CLASSIFIER, _NORM, body=_CLASSIFIER_RESULT + """
+SELECT * FROM classified"""))
+def q_classification_classifier(spark, sf_dir):
+    """C7 (classifier): first valued ebkp property per set, 2-level code, exact lookup."""
+    return _classifier(spark, sf_dir)
+
+
+@query("classification_coverage", with_views(_CATALOGUE, _MAPPER, _NORM, body=_MAPPER_RESULT + """
+SELECT (SELECT COUNT(*) FROM fx_elements) AS elements_processed, COUNT(*) AS elements_with_ebkp,
+       COUNT(*) FILTER (WHERE match_level = 'exact') AS elements_with_match FROM classified"""))
+def q_classification_coverage(spark, sf_dir):
+    """Processed elements, elements with a code, exact matches (mapper flavour)."""
+    from graustein.operators import classification as cl
+    return cl.coverage(fx.elements(spark, sf_dir), _mapper(spark, sf_dir))
+
+
+_REFS = """
+refs AS (
+  SELECT *, CASE WHEN schema_version LIKE '%2X3%' THEN item_reference ELSE identification END AS code,
+         COALESCE(name, '') = '' AS name_missing,
+         COALESCE(CASE WHEN schema_version LIKE '%2X3%' THEN item_reference ELSE identification END, '') = '' AS id_missing
+  FROM fx_classification_refs)"""
+
+
+@query("incomplete_references", with_views(_REFS, body="""
+SELECT element_id, schema_version, system, name, item_reference, identification, name_missing, id_missing
+FROM refs WHERE name_missing OR id_missing"""))
+def q_incomplete_references(spark, sf_dir):
+    """Classification references lacking a name or a code."""
+    from graustein.operators import classification as cl
+    return cl.incomplete_references(fx.classification_refs(spark, sf_dir))
+
+
+@query("classification_completeness", with_views(_REFS, body="""
+, per_el AS (SELECT element_id, bool_or(name_missing OR id_missing) AS incomplete FROM refs GROUP BY element_id)
+SELECT (SELECT COUNT(*) FROM fx_elements) AS total_elements, COUNT(*) AS with_classification,
+       COUNT(*) FILTER (WHERE incomplete) AS with_incomplete,
+       CASE WHEN COUNT(*) > 0 THEN CAST(ROUND(CAST(COUNT(*) FILTER (WHERE incomplete) AS DECIMAL(38,10)) * 100
+            / COUNT(*), 2) AS DOUBLE) END AS pct_incomplete
+FROM per_el"""))
+def q_classification_completeness(spark, sf_dir):
+    """Elements with classifications and with incomplete ones, and the percentage."""
+    from graustein.operators import classification as cl
+    return cl.completeness(fx.elements(spark, sf_dir).select(F.col("id").alias("element_id")),
+                           fx.classification_refs(spark, sf_dir))
+
+
+@query("random_codes", with_views(_CATALOGUE, body="""
+, numbered AS (SELECT code, description, row_number() OVER (ORDER BY code) - 1 AS idx FROM catalogue WHERE code LIKE 'C%'),
+k AS (SELECT COUNT(*) AS k FROM numbered)
+SELECT e.id AS element_id, n.code AS identification, n.description AS name
+FROM fx_elements e, k
+JOIN numbered n ON n.idx = ('0x' || substr(md5(e.id || '|' || '7'), 1, 8))::BIGINT % k.k"""))
+def q_random_codes(spark, sf_dir):
+    """A repeatable pseudo-random C-code from the catalogue for every element."""
+    from graustein.operators import classification as cl
+    return cl.assign_codes(fx.elements(spark, sf_dir).select(F.col("id").alias("element_id")),
+                           _catalogue(spark, sf_dir), seed=7, letter="C")
