@@ -538,3 +538,180 @@ def q_random_codes(spark, sf_dir):
     from graustein.operators import classification as cl
     return cl.assign_codes(fx.elements(spark, sf_dir).select(F.col("id").alias("element_id")),
                            _catalogue(spark, sf_dir), seed=7, letter="C")
+
+
+# ---------------------------------------------------------------- data quality
+
+@query("constraint_report", with_views(body="""
+SELECT 'elements' AS "table", 'primary_key' AS "check", (SELECT COUNT(*) FROM (SELECT id FROM fx_elements GROUP BY id HAVING COUNT(*) > 1)) AS n_violations
+UNION ALL SELECT 'elements', 'not_null:id', COUNT(*) FILTER (WHERE id IS NULL) FROM fx_elements
+UNION ALL SELECT 'elements', 'not_null:project_id', COUNT(*) FILTER (WHERE project_id IS NULL) FROM fx_elements
+UNION ALL SELECT 'element_materials', 'primary_key', (SELECT COUNT(*) FROM (SELECT element_id, material_name FROM fx_element_materials GROUP BY ALL HAVING COUNT(*) > 1))
+UNION ALL SELECT 'element_materials', 'not_null:element_id', COUNT(*) FILTER (WHERE element_id IS NULL) FROM fx_element_materials
+UNION ALL SELECT 'element_materials', 'not_null:material_name', COUNT(*) FILTER (WHERE material_name IS NULL) FROM fx_element_materials
+UNION ALL SELECT 'mappings', 'primary_key', (SELECT COUNT(*) FROM (SELECT ifc_material FROM fx_mappings GROUP BY ALL HAVING COUNT(*) > 1))
+UNION ALL SELECT 'kbob_materials', 'primary_key', (SELECT COUNT(*) FROM (SELECT uuid, version FROM fx_kbob GROUP BY ALL HAVING COUNT(*) > 1))
+UNION ALL SELECT 'kbob_materials', 'not_null:uuid', COUNT(*) FILTER (WHERE uuid IS NULL) FROM fx_kbob
+UNION ALL SELECT 'kbob_materials', 'not_null:version', COUNT(*) FILTER (WHERE version IS NULL) FROM fx_kbob
+UNION ALL SELECT 'life_expectancy', 'primary_key', (SELECT COUNT(*) FROM (SELECT ebkp_code, description FROM fx_life GROUP BY ALL HAVING COUNT(*) > 1))
+UNION ALL SELECT 'cost_reference', 'primary_key', (SELECT COUNT(*) FROM (SELECT ebkp_code, version FROM fx_cost GROUP BY ALL HAVING COUNT(*) > 1))
+UNION ALL SELECT 'element_materials', 'foreign_key:element_id->elements.id',
+       COUNT(*) FILTER (WHERE element_id NOT IN (SELECT id FROM fx_elements)) FROM fx_element_materials
+UNION ALL SELECT 'mappings', 'foreign_key:kbob_id->kbob_materials.uuid',
+       COUNT(*) FILTER (WHERE kbob_id NOT IN (SELECT uuid FROM fx_kbob)) FROM fx_mappings"""))
+def q_constraint_report(spark, sf_dir):
+    """Primary-key, NOT NULL and foreign-key violations of the domain tables."""
+    from graustein.operators import quality as qa
+    tables = {"elements": fx.elements(spark, sf_dir), "element_materials": fx.element_materials(spark, sf_dir),
+              "mappings": fx.mappings(spark, sf_dir), "kbob_materials": fx.kbob_materials(spark, sf_dir),
+              "life_expectancy": fx.life_expectancy(spark), "cost_reference": fx.cost_reference(spark)}
+    keys = {"elements": ["id"], "element_materials": ["element_id", "material_name"], "mappings": ["ifc_material"],
+            "kbob_materials": ["uuid", "version"], "life_expectancy": ["ebkp_code", "description"],
+            "cost_reference": ["ebkp_code", "version"]}
+    not_null = {"elements": ["id", "project_id"], "element_materials": ["element_id", "material_name"],
+                "kbob_materials": ["uuid", "version"]}
+    fks = [("element_materials", "element_id", "elements", "id"), ("mappings", "kbob_id", "kbob_materials", "uuid")]
+    return qa.constraint_report(tables, keys, not_null, fks)
+
+
+@query("value_checks", with_views(body="""
+SELECT id AS element_id,
+       CASE WHEN area_net IS NULL THEN 'Missing area for GUID ' || id || ' (eBKP-H: ' || ebkp || ')'
+            WHEN area_net <= 0 THEN 'Invalid area (' || CAST(area_net AS VARCHAR) || ') for GUID ' || id || ' (eBKP-H: ' || ebkp || ')' END AS area_problem,
+       CASE WHEN length IS NULL THEN 'Missing length for GUID ' || id || ' (eBKP-H: ' || ebkp || ')'
+            WHEN length <= 0 THEN 'Invalid length (' || CAST(length AS VARCHAR) || ') for GUID ' || id || ' (eBKP-H: ' || ebkp || ')' END AS length_problem
+FROM fx_elements WHERE area_net IS NULL OR area_net <= 0 OR length IS NULL OR length <= 0"""))
+def q_value_checks(spark, sf_dir):
+    """Missing or non-positive quantities with the reference's messages."""
+    from graustein.functions.numbers import value_problem
+    e = fx.elements(spark, sf_dir)
+    out = e.select(F.col("id").alias("element_id"),
+                   value_problem("area_net", "area", "id", "ebkp").alias("area_problem"),
+                   value_problem("length", "length", "id", "ebkp").alias("length_problem"))
+    return out.filter(F.col("area_problem").isNotNull() | F.col("length_problem").isNotNull())
+
+
+# ---------------------------------------------------------------- table maintenance
+
+_UPSERT_BATCH = """
+batch AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS id, 'NEW' AS project_id, 'C2.1' AS ebkp,
+         CAST(o_totalprice AS DECIMAL(14,2)) * 0.01 AS area_net, CAST(NULL AS DECIMAL(19,5)) AS length, o_orderdate AS ts
+  FROM orders WHERE o_orderstatus = 'F'
+  UNION ALL
+  SELECT CAST(o_orderkey AS VARCHAR), 'NEW', 'E3', NULL, CAST(o_totalprice AS DECIMAL(14,2)) * 0.001, o_orderdate + INTERVAL 1 DAY
+  FROM orders WHERE o_orderstatus = 'F'
+  UNION ALL
+  SELECT 'N' || CAST(o_orderkey AS VARCHAR), 'NEW', 'Z9', NULL, NULL, o_orderdate FROM orders WHERE o_orderpriority = '1-URGENT'),
+latest AS (SELECT * FROM batch QUALIFY row_number() OVER (PARTITION BY id ORDER BY ts DESC) = 1)"""
+
+
+def _upsert_batch(spark, sf_dir):
+    o = fx.table(spark, sf_dir, "orders")
+    price = F.col("o_totalprice").cast("decimal(14,2)")
+    key = F.col("o_orderkey").cast("string")
+    done = o.filter(F.col("o_orderstatus") == "F")
+    first = done.select(key.alias("id"), F.lit("NEW").alias("project_id"), F.lit("C2.1").alias("ebkp"),
+                        (price * F.lit(0.01).cast("decimal(3,2)")).alias("area_net"),
+                        F.lit(None).cast("decimal(19,5)").alias("length"), F.col("o_orderdate").alias("timestamp"))
+    second = done.select(key.alias("id"), F.lit("NEW").alias("project_id"), F.lit("E3").alias("ebkp"),
+                         F.lit(None).cast("decimal(17,4)").alias("area_net"),
+                         (price * F.lit(0.001).cast("decimal(4,3)")).alias("length"),
+                         (F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")).alias("timestamp"))
+    new = o.filter(F.col("o_orderpriority") == "1-URGENT").select(
+        F.concat(F.lit("N"), key).alias("id"), F.lit("NEW").alias("project_id"), F.lit("Z9").alias("ebkp"),
+        F.lit(None).cast("decimal(17,4)").alias("area_net"), F.lit(None).cast("decimal(19,5)").alias("length"),
+        F.col("o_orderdate").alias("timestamp"))
+    return first.unionByName(second).unionByName(new)
+
+
+@query("upsert_elements", with_views(_UPSERT_BATCH, body="""
+SELECT id, project_id, ebkp, CAST(area_net AS DOUBLE) AS area_net, CAST(length AS DOUBLE) AS length FROM (
+  SELECT e.id, e.project_id, e.ebkp, e.area_net, e.length FROM fx_elements e WHERE e.id NOT IN (SELECT id FROM latest)
+  UNION ALL
+  SELECT l.id, COALESCE(e.project_id, l.project_id), l.ebkp, l.area_net, l.length
+  FROM latest l LEFT JOIN fx_elements e ON e.id = l.id)"""))
+def q_upsert_elements(spark, sf_dir):
+    """M1: upsert a batch of elements: last row per id wins, existing elements keep their project."""
+    from graustein.operators import maintenance as mt
+    out = mt.upsert_elements(fx.elements(spark, sf_dir), _upsert_batch(spark, sf_dir))
+    return out.select("id", "project_id", "ebkp", F.col("area_net").cast("double"), F.col("length").cast("double"))
+
+
+@query("delete_project", with_views(LCA_VIEWS, body="""
+, gone AS (SELECT id FROM fx_elements WHERE project_id = 'P3')
+SELECT 'elements' AS table_name, COUNT(*) AS n_rows FROM fx_elements WHERE id NOT IN (SELECT id FROM gone)
+UNION ALL SELECT 'element_materials', COUNT(*) FROM fx_element_materials WHERE element_id NOT IN (SELECT id FROM gone)
+UNION ALL SELECT 'results', COUNT(*) FROM lca_components WHERE element_id NOT IN (SELECT id FROM gone)
+UNION ALL SELECT 'errors', COUNT(*) FROM lca_components WHERE failed"""))
+def q_delete_project(spark, sf_dir):
+    """M5: delete a project's elements with their materials and results; errors stay."""
+    from graustein.operators import maintenance as mt
+    comps = lca_components(spark, sf_dir)
+    e, m, r = mt.delete_project_elements(fx.elements(spark, sf_dir), fx.element_materials(spark, sf_dir), comps, "P3")
+    errors = lca_ops.lca_errors(comps)
+    def n(df, name):
+        return df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
+    return n(e, "elements").unionByName(n(m, "element_materials")).unionByName(n(r, "results")).unionByName(n(errors, "errors"))
+
+
+_OUTCOME_BODY = """
+SELECT COALESCE(error_code, 'OK') AS outcome, COUNT(*) AS n_components FROM lca_components {where} GROUP BY 1"""
+
+
+@query("lca_outcomes_previous_version", with_views(LCA_VIEWS.replace("'2024-v1'", "'2023-v1'"),
+                                                   body=_OUTCOME_BODY.format(where="")))
+def q_lca_outcomes_previous_version(spark, sf_dir):
+    """M8: activate the previous catalogue version, then rerun the LCA (outcome counts)."""
+    from graustein.operators import catalogue as cat
+    inputs = lca_inputs(spark, sf_dir)
+    inputs.versions = cat.set_active_version(inputs.versions, "2023-v1")
+    comps, _ = jobs.lca(inputs)
+    return (comps.groupBy(F.coalesce("error_code", F.lit("OK")).alias("outcome"))
+            .agg(F.count(F.lit(1)).alias("n_components")))
+
+
+_REMAP = """
+new_map AS (SELECT p_name AS ifc_material, CAST(MAX(p_partkey) AS VARCHAR) AS kbob_id FROM part GROUP BY p_name)"""
+
+
+@query("remap_and_recompute", with_views(_REMAP, LCA_VIEWS.replace("fx_mappings mp", "new_map mp"),
+                                         body=_OUTCOME_BODY.format(where="WHERE project_id = 'P5'")))
+def q_remap_and_recompute(spark, sf_dir):
+    """C5 (M9 + C1): replace project P5's mapping, recompute that project only."""
+    from graustein.operators import projects as pr
+    inputs = lca_inputs(spark, sf_dir)
+    in_use = pr.project_mappings_in_use(inputs.mappings, inputs.materials, inputs.elements)
+    new_map = (fx.table(spark, sf_dir, "part").groupBy(F.col("p_name").alias("ifc_material"))
+               .agg(F.max("p_partkey").cast("string").alias("kbob_id")))
+    _, comps = jobs.remap_and_recompute(inputs, "P5", new_map, in_use)
+    return (comps.groupBy(F.coalesce("error_code", F.lit("OK")).alias("outcome"))
+            .agg(F.count(F.lit(1)).alias("n_components")))
+
+
+@query("repair_versions", with_views(body="""
+SELECT version, version = (SELECT MAX(version) FROM fx_kbob) AS is_active FROM (
+  SELECT version FROM fx_versions WHERE version <> '2024-v1'
+  UNION SELECT MAX(version) FROM fx_kbob)"""))
+def q_repair_versions(spark, sf_dir):
+    """M11 (A4, J14, M8): register the newest catalogue version when missing and activate it."""
+    from graustein.operators import catalogue as cat
+    versions = fx.kbob_versions(spark).filter(F.col("version") != "2024-v1")
+    return cat.repair_versions(fx.kbob_materials(spark, sf_dir), versions).select("version", "is_active")
+
+
+@query("project_status", with_views(COST_VIEWS, body="""
+, st AS (SELECT project_id, CASE WHEN COUNT(*) FILTER (WHERE failed) = 0 THEN 'completed' ELSE 'failed' END AS status
+        FROM cost_components GROUP BY project_id),
+p AS (SELECT project_id, CASE WHEN project_id = 'P3' THEN 'Renamed' ELSE name END AS name, status FROM fx_projects
+      UNION ALL SELECT 'P99', 'Fresh', 'active')
+SELECT p.project_id, p.name, COALESCE(st.status, p.status) AS status FROM p LEFT JOIN st USING (project_id)"""))
+def q_project_status(spark, sf_dir):
+    """M3 + M7: upsert two projects, then set every project's status from its cost run."""
+    from graustein.operators import maintenance as mt
+    projects = (fx.projects(spark, sf_dir).withColumn("created_at", F.lit(None).cast("timestamp"))
+                .withColumn("updated_at", F.lit(None).cast("timestamp")))
+    projects = mt.upsert_project(projects, "P3", "Renamed")
+    projects = mt.upsert_project(projects, "P99", "Fresh")
+    stats = cost_ops.cost_run_stats(cost_components(spark, sf_dir))
+    return mt.set_statuses(projects, stats).select("project_id", "name", "status")
