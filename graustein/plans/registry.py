@@ -6,6 +6,7 @@ over the whole tables. ``ORACLE`` holds the matching DuckDB SQL where one exists
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -715,3 +716,60 @@ def q_project_status(spark, sf_dir):
     projects = mt.upsert_project(projects, "P99", "Fresh")
     stats = cost_ops.cost_run_stats(cost_components(spark, sf_dir))
     return mt.set_statuses(projects, stats).select("project_id", "name", "status")
+
+
+# ---------------------------------------------------------------- streaming (X1-X3) and store
+
+def _event_message():
+    project = F.concat(F.lit("P"), (F.col("user_id") % fx.N_PROJECTS).cast("string"))
+    url = F.concat(F.lit("s3://models/"), project, F.lit("/model_"), F.col("event_id").cast("string"), F.lit(".ifc"))
+    return F.to_json(F.struct(url.alias("fileUrl"), project.alias("projectId")))
+
+
+@query("stream_replies", with_views(LCA_VIEWS, body="""
+, msg AS (
+  SELECT 'P' || CAST(user_id % 20 AS VARCHAR) AS project_id,
+         's3://models/P' || CAST(user_id % 20 AS VARCHAR) || '/model_' || CAST(event_id AS VARCHAR) || '.ifc' AS file_url
+  FROM events),
+st AS (SELECT project_id, COUNT(*) AS total_components, COUNT(*) FILTER (WHERE failed) AS failed_components
+       FROM lca_components GROUP BY project_id),
+rep AS (
+  SELECT CASE WHEN st.project_id IS NOT NULL THEN 'success' ELSE 'error' END AS status, m.project_id,
+         CASE WHEN st.project_id IS NOT NULL THEN 'Processed ' || split_part(m.file_url, '/', -1) || ': '
+              || CAST(st.total_components - st.failed_components AS VARCHAR) || ' components computed, '
+              || CAST(st.failed_components AS VARCHAR) || ' failed'
+              ELSE 'No elements for project ' || m.project_id END AS message,
+         '{"fileUrl":"' || m.file_url || '","projectId":"' || m.project_id || '"}' AS value,
+         m.file_url, split_part(m.file_url, '/', -2) AS bucket, split_part(m.file_url, '/', -1) AS object_name
+  FROM msg m LEFT JOIN st ON st.project_id = m.project_id)
+SELECT *, '{"status":"' || status || '","project_id":"' || project_id || '","message":"' || message || '"}' AS reply
+FROM rep"""))
+def q_stream_replies(spark, sf_dir):
+    """The events table as a message stream (one message per model); each micro-batch
+    runs the LCA for the projects it names and writes one reply per message."""
+    import uuid
+    from graustein.session import scratch_path
+    from graustein.streaming import messages as ms
+    root = scratch_path(spark, "streams", uuid.uuid4().hex)
+    stream = ms.file_messages(spark, sf_dir, fmt="parquet", schema=fx.table(spark, sf_dir, "events").schema,
+                              glob="events.parquet", value=_event_message)
+    ctx = ms.BatchContext(lca_inputs=lambda: lca_inputs(spark, sf_dir), output_root=os.path.join(root, "out"))
+    ms.run_available(stream, ctx, checkpoint=os.path.join(root, "checkpoint"))
+    return spark.read.parquet(os.path.join(root, "out", "replies")).drop("batch_id")
+
+
+@query("stored_latest_results", with_views(LCA_VIEWS, body="""
+SELECT project_id, element_id, material_name, gwp_absolute, failed FROM lca_components"""))
+def q_stored_latest_results(spark, sf_dir):
+    """K1 + S10 + T4: two runs stored per project (an older one with every row failed), the
+    latest run per (project, file) read back by partition pruning."""
+    import uuid
+    from graustein.session import scratch_path
+    from graustein.sinks import writers
+    root = scratch_path(spark, "store", uuid.uuid4().hex)
+    comps = lca_components(spark, sf_dir).select("project_id", "element_id", "material_name", "gwp_absolute", "failed")
+    stale = comps.withColumn("failed", F.lit(True)).withColumn("gwp_absolute", F.lit(None).cast("double"))
+    writers.store_results(stale, root, "lca", "model.ifc", run_ts="20240101T000000000000")
+    writers.store_results(comps, root, "lca", "model.ifc", run_ts="20240102T000000000000")
+    return (writers.read_latest(spark, root, "lca", filename="model.ifc")
+            .select("project_id", "element_id", "material_name", "gwp_absolute", "failed"))
