@@ -99,8 +99,11 @@ def results_table(components: DataFrame, active_version: str, created_at=None) -
         "kbob_version": F.coalesce(F.col("kbob_version"), F.lit(active_version)),
         "error": F.when(failed, F.col("error_message")), "failed": failed, "created_at": ts,
     }
-    return components.select(*[cols.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name)
-                               for f in schemas.PROCESSING_RESULTS.fields])
+    def pick(name):
+        if name in cols:
+            return cols[name]
+        return F.col(name) if name in components.columns else F.lit(None)
+    return components.select(*[pick(f.name).cast(f.dataType).alias(f.name) for f in schemas.PROCESSING_RESULTS.fields])
 
 
 def append_table(df: DataFrame, root: str, table: str, partition_by: tuple[str, ...] = ("project_id",)) -> None:
