@@ -49,17 +49,21 @@ def combined_per_guid(lca: DataFrame, cost: DataFrame) -> DataFrame:
                     F.coalesce(F.col("n_lca") > 1, F.lit(False)).alias("shared_guid")))
 
 
-def summarize(combined: DataFrame, by: list[str] | None = None) -> DataFrame:
+def summarize(combined: DataFrame, by: list[str] | None = None, count_failed: bool = False) -> DataFrame:
     """A5: totals over non-failed components; null or NaN values count as 0.
 
-    Sums are exact decimals of the rounded component values (order-independent)."""
-    ok = combined.filter(~F.col("failed"))
+    Sums are exact decimals of the rounded component values (order-independent).
+    ``count_failed`` adds ``n_failed`` (failed components), computed in the same pass."""
+    ok = ~F.col("failed")
     aggs = []
     for out, src, digits in SUMMARY_MEASURES:
         v = F.col(src) if src in combined.columns else F.lit(None).cast("double")
-        aggs.append(F.coalesce(F.sum(F.when(~is_missing(v), v.cast(f"decimal(38,{digits})"))), F.lit(0))
+        aggs.append(F.coalesce(F.sum(F.when(ok & ~is_missing(v), v.cast(f"decimal(38,{digits})"))), F.lit(0))
                     .cast("double").alias(out))
-    return ok.groupBy(*(by or [])).agg(*aggs)
+    if count_failed:
+        aggs.append(F.count_if(F.col("failed")).alias("n_failed"))
+    source = combined if count_failed else combined.filter(ok)
+    return source.groupBy(*(by or [])).agg(*aggs)
 
 
 def failed_components(combined: DataFrame) -> DataFrame:
@@ -76,23 +80,28 @@ def formatted_summary(summary: DataFrame) -> DataFrame:
 def report_lines(summary: DataFrame, failed: DataFrame) -> DataFrame:
     """K6: the text report as ordered lines (``section``, ``sort_key``, ``line``).
 
-    The header and the four totals come from the one-row summary; one line per failed
-    component follows, ordered by guid and material. Written with ``sinks.write_report``."""
+    The header and the four totals come from the one-row summary in a single pass
+    (one row exploded into five lines); the "Failed Components:" title appears when the
+    summary counted failures (``n_failed`` column, see ``summarize``) or, without it, when
+    ``failed`` has a row; then one line per failed component, keyed by guid and material.
+    Written with ``sinks.write_report``."""
     s = formatted_summary(summary)
-    parts = [s.select(F.lit(0).alias("section"), F.lit("").alias("sort_key"), F.lit(REPORT_TITLE).alias("line"))]
+    header = [F.struct(F.lit(0).alias("section"), F.lit(REPORT_TITLE).alias("line"))]
     for i, (name, text) in enumerate(REPORT_LINES, start=1):
         before, after = text.split("{}")
-        parts.append(s.select(F.lit(i).alias("section"), F.lit("").alias("sort_key"),
-                              F.concat(F.lit(before), F.col(f"{name}_text"), F.lit(after)).alias("line")))
-    has_failed = failed.limit(1)
-    parts.append(has_failed.select(F.lit(5).alias("section"), F.lit("").alias("sort_key"), F.lit(FAILED_TITLE).alias("line")))
+        header.append(F.struct(F.lit(i).alias("section"),
+                               F.concat(F.lit(before), F.col(f"{name}_text"), F.lit(after)).alias("line")))
+    if "n_failed" in s.columns:
+        header.append(F.when(F.col("n_failed") > 0, F.struct(F.lit(5).alias("section"), F.lit(FAILED_TITLE).alias("line"))))
+        head = s.select(F.explode(F.filter(F.array(*header), lambda x: x.isNotNull())).alias("h"))
+    else:
+        head = s.select(F.explode(F.array(*header)).alias("h")).unionByName(
+            failed.limit(1).select(F.struct(F.lit(5).alias("section"), F.lit(FAILED_TITLE).alias("line")).alias("h")))
+    head = head.select(F.col("h.section").alias("section"), F.lit("").alias("sort_key"), F.col("h.line").alias("line"))
     na = F.lit("N/A")
-    parts.append(failed.select(
+    body = failed.select(
         F.lit(6).alias("section"),
         F.concat_ws("\u0000", F.coalesce("guid", F.lit("")), F.coalesce("material", F.lit(""))).alias("sort_key"),
         F.concat(F.lit("- GUID: "), F.coalesce(F.col("guid"), na), F.lit(", eBKP-H: "), F.coalesce(F.col("ebkp_h"), na),
-                 F.lit(", Error: "), F.coalesce(F.col("error"), na)).alias("line")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+                 F.lit(", Error: "), F.coalesce(F.col("error"), na)).alias("line"))
+    return head.unionByName(body)

@@ -353,8 +353,9 @@ FROM combined WHERE failed"""))
 def q_summary_report(spark, sf_dir):
     """K6: the summary report lines over the whole portfolio."""
     from graustein.operators import combine as cb
-    c = combined(spark, sf_dir)
-    return cb.report_lines(cb.summarize(c), cb.failed_components(c))
+    from graustein.session import written_copy
+    c = written_copy(combined(spark, sf_dir), "combined")
+    return cb.report_lines(cb.summarize(c, count_failed=True), cb.failed_components(c))
 
 
 # ---------------------------------------------------------------- classification
@@ -648,7 +649,8 @@ UNION ALL SELECT 'errors', COUNT(*) FROM lca_components WHERE failed"""))
 def q_delete_project(spark, sf_dir):
     """M5: delete a project's elements with their materials and results; errors stay."""
     from graustein.operators import maintenance as mt
-    comps = lca_components(spark, sf_dir)
+    from graustein.session import written_copy
+    comps = written_copy(lca_components(spark, sf_dir), "lca_components")
     e, m, r = mt.delete_project_elements(fx.elements(spark, sf_dir), fx.element_materials(spark, sf_dir), comps, "P3")
     errors = lca_ops.lca_errors(comps)
     def n(df, name):

@@ -65,6 +65,6 @@ def run_combined(spark: SparkSession, inputs: jobs.LcaInputs, cost_reference: Da
     combined = cb.combine_results(lca_run.components, cost_run.components)
     writers.write_json(combined, os.path.join(out_root, "combined_results"))
     combined = spark.read.json(os.path.join(out_root, "combined_results"), schema=combined.schema)
-    summary = cb.summarize(combined)
+    summary = cb.summarize(combined, count_failed=True)
     writers.write_report(cb.report_lines(summary, cb.failed_components(combined)), os.path.join(out_root, "summary_report"))
     return {"lca": lca_run, "cost": cost_run, "summary": summary}

@@ -53,3 +53,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path below the shared checkpoint folder (for written intermediate tables)."""
     return os.path.join(checkpoint_dir(spark), *parts)
+
+
+def written_copy(df, name: str = "table"):
+    """Write ``df`` once as Parquet below the shared checkpoint folder and read it back.
+
+    Used where one intermediate result feeds several outputs: it is computed once, its
+    lineage is cut (a lost executor re-reads files instead of recomputing joins), and
+    nothing goes through the driver."""
+    import uuid
+    path = scratch_path(df.sparkSession, "tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
