@@ -9,7 +9,8 @@ import os
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from graustein.operators import combine as cb
 from graustein.operators import cost as cost_ops
@@ -24,6 +25,7 @@ class RunOutput:
     errors: DataFrame
     stats: DataFrame
     version: str
+    counts: dict | None = None   # A14: rows counted during the write
 
 
 def run_lca(spark: SparkSession, inputs: jobs.LcaInputs, out_root: str, run_id: str | None = None) -> RunOutput:
@@ -32,14 +34,16 @@ def run_lca(spark: SparkSession, inputs: jobs.LcaInputs, out_root: str, run_id:
     run_id = run_id or writers.run_stamp()
     comps, version = jobs.lca(inputs)
     path = os.path.join(out_root, "lca_components", f"run_id={run_id}")
-    comps.write.mode("overwrite").partitionBy("project_id").parquet(path)
+    counts = Observation("lca_counts")  # A14: counted while writing, no second pass
+    (comps.observe(counts, F.count(F.lit(1)).alias("components"), F.count_if(F.col("failed")).alias("failed"))
+     .write.mode("overwrite").partitionBy("project_id").parquet(path))
     written = spark.read.parquet(path)
     errors = lca_ops.lca_errors(written)
     stats = lca_ops.lca_run_stats(written, version)
     writers.append_table(writers.results_table(written, version), out_root, "processing_results")
     writers.append_table(errors, out_root, "processing_errors")
     writers.append_table(writers.history_rows(stats, time.time() - t0), out_root, "processing_history")
-    return RunOutput(written, errors, stats, version)
+    return RunOutput(written, errors, stats, version, counts.get)
 
 
 def run_cost(spark: SparkSession, elements: DataFrame, cost_reference: DataFrame, out_root: str,
@@ -68,3 +72,35 @@ def run_combined(spark: SparkSession, inputs: jobs.LcaInputs, cost_reference: Da
     summary = cb.summarize(combined, count_failed=True)
     writers.write_report(cb.report_lines(summary, cb.failed_components(combined)), os.path.join(out_root, "summary_report"))
     return {"lca": lca_run, "cost": cost_run, "summary": summary}
+
+
+def load_reference_data(spark: SparkSession, out_root: str, version: str, kbob_csv: str,
+                        life_path: str | None = None, cost_csv: str | None = None,
+                        description: str | None = None) -> str:
+    """Load catalogue, versions, service life and cost keys as one unit.
+
+    Everything is read and checked (P19 keys and NOT NULL) before anything is published;
+    then all tables are written as snapshots with the same id. A failed check publishes
+    nothing."""
+    import datetime as _dt
+    from graustein import schemas
+    from graustein.operators import quality as qa
+    from graustein.sources import readers
+    tables = {"kbob_materials": readers.read_kbob_csv(spark, kbob_csv, version)}
+    tables["kbob_versions"] = spark.createDataFrame(
+        [(version, True, _dt.date.today(), description)],
+        "version string, is_active boolean, release_date date, description string")
+    if life_path:
+        tables["life_expectancy"] = readers.read_life_expectancy(spark, life_path)
+    if cost_csv:
+        tables["cost_reference"] = readers.read_cost_csv(spark, cost_csv, version)
+    report = qa.constraint_report(tables, {k: v for k, v in schemas.KEYS.items() if k in tables},
+                                  {k: [c for c in schemas.NOT_NULL.get(k, []) if c in tables[k].columns] for k in tables})
+    bad = report.filter(F.col("n_violations") > 0)
+    if bad.limit(1).count():
+        raise ValueError("reference data violates constraints: " +
+                         "; ".join(f"{r['table']} {r['check']} x{r['n_violations']}" for r in bad.limit(20).collect()))
+    snapshot = writers.run_stamp()
+    for name, df in tables.items():
+        writers.publish_snapshot(df, out_root, name, snapshot)
+    return snapshot

@@ -79,11 +79,20 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
-def write_report(lines: DataFrame, path: str) -> None:
-    """K6: the report lines in order as one text file (lines sorted by section and key;
-    the range-partitioned sort keeps the work distributed until the final single file)."""
-    (lines.orderBy("section", "sort_key").select("line").coalesce(1)
-     .write.mode("overwrite").text(path))
+def write_report(lines: DataFrame, path: str, single_file: bool = False) -> None:
+    """K6: the report lines in order (section, then key). The global sort is a range
+    partitioning, so the part files are written in parallel and read in name order give
+    the report; ``single_file=True`` funnels them into one file for small reports."""
+    ordered = lines.orderBy("section", "sort_key").select("line")
+    if single_file:
+        ordered = ordered.coalesce(1)
+    ordered.write.mode("overwrite").text(path)
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """The report lines back, with the part file and position to keep their order."""
+    return (spark.read.text(path).select(F.col("_metadata.file_name").alias("part"),
+                                         F.monotonically_increasing_id().alias("pos"), F.col("value").alias("line")))
 
 
 # ---------------------------------------------------------------- result table (K4/P14) and logs (K8, K9)

@@ -50,6 +50,7 @@ def test_persisted_combined_run(spark, tmp_dir):
     lazy, _ = jobs.lca(registry.lca_inputs(spark, SF))
     assert result["lca"].components.count() == lazy.count()
     assert result["lca"].errors.count() == lazy.filter("failed").count()
+    assert result["lca"].counts == {"components": lazy.count(), "failed": lazy.filter("failed").count()}
     hist = spark.read.parquet(os.path.join(tmp_dir, "processing_history"))
     assert hist.count() == 2 * lazy.select("project_id").distinct().count()
     results = spark.read.parquet(os.path.join(tmp_dir, "processing_results"))
@@ -57,6 +58,27 @@ def test_persisted_combined_run(spark, tmp_dir):
     s = result["summary"].first()
     want = lca_ops.project_impacts(lazy).agg(F.sum("gwp_absolute")).first()[0]
     assert abs(s["total_co2_emission"] - want) < 1e-6 * max(1.0, want)
-    report = [f for f in os.listdir(os.path.join(tmp_dir, "summary_report")) if f.startswith("part-")]
-    lines = open(os.path.join(tmp_dir, "summary_report", report[0]), encoding="utf-8").read().splitlines()
+    parts = sorted(f for f in os.listdir(os.path.join(tmp_dir, "summary_report")) if f.startswith("part-"))
+    lines = [ln for p in parts for ln in open(os.path.join(tmp_dir, "summary_report", p), encoding="utf-8").read().splitlines()]
     assert lines[0] == "Summary Report:" and lines[5] == "Failed Components:"
+
+
+def test_reference_data_loaded_as_one_unit(spark, tmp_dir):
+    from graustein.sinks import writers
+    from graustein.sources.readers import KBOB_HEADERS
+    kbob = os.path.join(tmp_dir, "kbob.csv")
+    with open(kbob, "w", encoding="ISO-8859-1") as f:
+        f.write(",".join(f'"{h}"' for h in KBOB_HEADERS.values()) + "\nU1,Beton,1,2,3,2300\n")
+    cost = os.path.join(tmp_dir, "cost.csv")
+    with open(cost, "w") as f:
+        f.write("Code,Bezeichnung,reference,Kennwert\nC2.1,Wand,m2,120.5\n")
+    snap = runs.load_reference_data(spark, os.path.join(tmp_dir, "ref"), "v1", kbob, cost_csv=cost)
+    assert writers.read_current(spark, os.path.join(tmp_dir, "ref"), "kbob_materials").count() == 1
+    assert os.path.isdir(os.path.join(tmp_dir, "ref", "cost_reference", f"snapshot={snap}"))
+    dup = os.path.join(tmp_dir, "cost_dup.csv")
+    with open(dup, "w") as f:
+        f.write("Code,Bezeichnung,reference,Kennwert\nC2.1,Wand,m2,120.5\nC2.1,Wand2,m2,99\n")
+    import pytest
+    with pytest.raises(ValueError, match="cost_reference primary_key"):
+        runs.load_reference_data(spark, os.path.join(tmp_dir, "ref2"), "v1", kbob, cost_csv=dup)
+    assert not os.path.exists(os.path.join(tmp_dir, "ref2"))
