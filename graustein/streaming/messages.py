@@ -89,6 +89,7 @@ class BatchContext:
     """What a micro-batch needs: functions giving the current reference and model tables."""
     lca_inputs: Callable[[], object]   # -> plans.jobs.LcaInputs
     output_root: str
+    reply_kafka: dict | None = None    # e.g. {"kafka.bootstrap.servers": ..., "topic": ...}
 
 
 def make_batch_handler(ctx: BatchContext):
@@ -109,8 +110,12 @@ def make_batch_handler(ctx: BatchContext):
             comps.write.mode("overwrite").parquet(os.path.join(ctx.output_root, "components", part))
             written = msgs.sparkSession.read.parquet(os.path.join(ctx.output_root, "components", part))
             stats = lca_ops.lca_run_stats(written, version)
-            (replies(msgs, stats).write.mode("overwrite")
-             .parquet(os.path.join(ctx.output_root, "replies", part)))
+            out = replies(msgs, stats)
+            out.write.mode("overwrite").parquet(os.path.join(ctx.output_root, "replies", part))
+            if ctx.reply_kafka:  # K5 to a topic, when the connector is available
+                (msgs.sparkSession.read.parquet(os.path.join(ctx.output_root, "replies", part))
+                 .select(F.col("project_id").alias("key"), F.col("reply").alias("value"))
+                 .write.format("kafka").options(**ctx.reply_kafka).save())
         finally:
             msgs.unpersist()
 

@@ -101,3 +101,17 @@ def test_report_without_failures_has_no_failed_section(spark):
     combined = cb.combine_results(lca, _cost_rows(spark, [("P", "x", "C", 1.0, False, None)]))
     lines = [r["line"] for r in cb.report_lines(cb.summarize(combined), cb.failed_components(combined)).collect()]
     assert len(lines) == 5 and "Failed Components:" not in lines
+
+
+def test_nested_merge(spark):
+    schema = "guid string, components array<struct<material_name:string,failed:boolean>>, shared_guid boolean"
+    lca_n = spark.createDataFrame([("x", [("m1", False), ("m2", False)], True), ("y", [("m1", False)], False)], schema)
+    cost_n = spark.createDataFrame([("y", [("Cost Calculation", False)], False)], schema)
+    merged = {r["guid"]: ([c["material_name"] for c in r["components"]], r["shared_guid"])
+              for r in cb.merge_nested(lca_n, cost_n).collect()}
+    assert merged == {"x": (["m1", "m2"], True), "y": (["Cost Calculation", "m1"], False)}
+    cst = spark.createDataFrame([("P", "y", "C", 1.0, 2.0, "m2", False, None)],
+                                "project_id string, guid string, ebkp_h string, total_cost double, unit_cost double, "
+                                "unit string, failed boolean, error string")
+    n = cb.nest_cost(cst).first()
+    assert n["components"][0]["material_name"] == "Cost Calculation" and n["shared_guid"] is False

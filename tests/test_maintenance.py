@@ -93,3 +93,23 @@ def test_quality_checks(spark):
         qa.require_columns(df, ["id", "Code"])
     assert qa.check_violations(spark.createDataFrame([("ok",), ("active",)], "status string"), "status",
                                ["active"]).count() == 1
+
+
+def test_project_lookups(spark):
+    from graustein.operators import projects as pr
+    maps = spark.createDataFrame([("P1", "Beton", "a", T1), ("P1", "Beton", "b", T2), ("P2", "Holz", "c", T1)],
+                                 "project_id string, ifc_material string, kbob_id string, created_at timestamp")
+    assert [tuple(r) for r in pr.project_mapping(maps, "P1").collect()] == [("Beton", "b")]
+    hist = spark.createDataFrame([(1, "P1", T1), (2, "P1", T2), (3, "P1", T2), (4, "P2", T1)],
+                                 "id long, project_id string, created_at timestamp")
+    assert pr.latest_of_project(hist, "P1").first()["id"] == 3
+    assert {r["project_id"]: r["id"] for r in pr.latest_per_project(hist).collect()} == {"P1": 3, "P2": 4}
+
+
+def test_positional_csv(spark, tmp_dir):
+    from graustein.sources import readers
+    path = f"{tmp_dir}/cost.csv"
+    with open(path, "w") as f:
+        f.write("a,b,c,d,e\nC2.1,Wand,m2,120.5,2024\n")
+    r = readers.read_positional_csv(spark, path, "cost_reference").first()
+    assert (r["ebkp_code"], r["unit"], r["cost_per_unit"], r["version"], r["created_at"]) == ("C2.1", "m2", 120.5, "2024", None)
