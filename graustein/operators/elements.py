@@ -84,8 +84,8 @@ def document_components(exploded: DataFrame, project_id=None) -> DataFrame:
     entry = F.try_element_at(F.col("mv"), F.col("material_name"))
     return (rows.filter(F.col("element_id").isNotNull())
             .select("project_id", "element_id", "material_name",
-                    F.coalesce(entry["volume"], F.lit(0.0)).alias("volume"),
-                    F.coalesce(entry["density"], F.lit(0.0)).alias("density"), "ebkp"))
+                    F.coalesce(entry["volume"], F.lit(0)).alias("volume"),
+                    F.coalesce(entry["density"], F.lit(0)).alias("density"), "ebkp"))
 
 
 def attach_elements(materials: DataFrame, elements: DataFrame) -> DataFrame:

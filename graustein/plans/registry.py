@@ -55,6 +55,27 @@ def q_lca_components(spark, sf_dir):
     return lca_components(spark, sf_dir)
 
 
+@query("lca_from_documents", with_views(LCA_VIEWS, body="SELECT * FROM lca_components"))
+def q_lca_from_documents(spark, sf_dir):
+    """S7/H15 path: element documents (materials list + material_volumes map) built from the
+    tables, then the same LCA straight from the documents; equals the table path."""
+    from graustein.operators import elements as el
+    mats = fx.element_materials(spark, sf_dir)
+    per_element = mats.groupBy("element_id").agg(  # one element's layers: bounded by the model
+        F.sort_array(F.collect_list("material_name")).alias("materials"),
+        F.map_from_entries(F.collect_list(F.struct("material_name", F.struct("volume", "density")))).alias("material_volumes"))
+    els = fx.elements(spark, sf_dir)
+    docs = (els.join(per_element, els.id == per_element.element_id, "inner")
+            .select("project_id", F.struct(F.col("id"), F.lit(None).cast("string").alias("guid"),
+                                           F.struct(F.col("ebkp"), F.lit(None).cast("string").alias("reference")).alias("properties"),
+                                           "materials", "material_volumes").alias("e")))
+    rows = el.validate_components(el.document_components(docs))
+    inputs = lca_inputs(spark, sf_dir)
+    from graustein.operators import catalogue as cat
+    version = cat.active_version(inputs.versions)
+    return lca_ops.lca_components(rows, inputs.mappings, inputs.catalogue, inputs.life, version)
+
+
 @query("lca_outcomes", with_views(LCA_VIEWS, body="""
 SELECT COALESCE(error_code, 'OK') AS outcome, COUNT(*) AS n_components,
        COUNT(DISTINCT element_id) AS n_elements

@@ -132,3 +132,24 @@ def test_synthetic_elements(spark):
                F.countDistinct("GUID").alias("g")).first()
     assert r["n"] == 1000 and r["dmin"] >= 400 and r["vmax"] <= 100 and r["g"] == 11
     assert sorted(map(tuple, df.collect())) == sorted(map(tuple, readers.synthetic_elements(spark, n=1000, seed=0).collect()))
+
+
+def test_ingest_twice_is_idempotent(spark, tmp_dir):
+    from graustein.plans import ingest
+    d = os.path.join(tmp_dir, "docs")
+    os.makedirs(d)
+    with open(os.path.join(d, "haus.json"), "w") as f:
+        json.dump({"elements": [{"id": "w1", "properties": {"ebkp": "C2.1"}, "materials": ["Beton"],
+                                 "material_volumes": {"Beton": {"volume": 2.0, "density": 2300}}},
+                                {"guid": "g2", "materials": ["Holz"], "material_volumes": {"Holz": {"volume": 1.0}}}]}, f)
+    docs = readers.read_element_documents(spark, d)
+    ts = dt.datetime(2024, 1, 1)
+    projects = spark.createDataFrame([], schemas.PROJECTS)
+    elements = spark.createDataFrame([], schemas.IFC_ELEMENTS)
+    materials = spark.createDataFrame([], schemas.IFC_ELEMENT_MATERIALS)
+    p1, e1, m1 = ingest.ingest(docs, projects, elements, materials, as_of=ts)
+    p2, e2, m2 = ingest.ingest(docs, p1, e1, m1, as_of=ts)
+    assert e1.count() == 2 and m1.count() == 2 and p1.count() == 1
+    for a, b in ((p1, p2), (e1, e2), (m1, m2)):
+        assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+    assert {r["project_id"] for r in e2.collect()} == {"ifc_haus"}
