@@ -75,7 +75,13 @@ def set_status(projects: DataFrame, project_id: str, status: str, as_of=None) ->
 
 
 def set_statuses(projects: DataFrame, statuses: DataFrame, as_of=None) -> DataFrame:
-    """M7 in bulk: ``statuses`` has (project_id, status), e.g. the run statistics."""
+    """M7 in bulk: ``statuses`` has (project_id, status), e.g. the run statistics.
+    Any status outside the domain (P16) is an error before anything changes."""
+    from graustein.schemas import PROJECT_STATUSES
+    bad = statuses.filter(F.col("status").isNull() | ~F.col("status").isin(*PROJECT_STATUSES)).select("status").limit(1)
+    row = bad.first()
+    if row is not None:
+        check_status(row["status"])
     s = statuses.select("project_id", F.col("status").alias("_new"))
     return (projects.join(s, "project_id", "left")
             .withColumn("status", F.coalesce("_new", "status"))

@@ -90,6 +90,7 @@ class BatchContext:
     lca_inputs: Callable[[], object]   # -> plans.jobs.LcaInputs
     output_root: str
     reply_kafka: dict | None = None    # e.g. {"kafka.bootstrap.servers": ..., "topic": ...}
+    cost_reference: Callable[[], DataFrame] | None = None  # when given, the cost job runs too (C2)
 
 
 def make_batch_handler(ctx: BatchContext):
@@ -110,6 +111,9 @@ def make_batch_handler(ctx: BatchContext):
             comps.write.mode("overwrite").parquet(os.path.join(ctx.output_root, "components", part))
             written = msgs.sparkSession.read.parquet(os.path.join(ctx.output_root, "components", part))
             stats = lca_ops.lca_run_stats(written, version)
+            if ctx.cost_reference is not None:
+                (jobs.cost(inputs.elements, ctx.cost_reference()).write.mode("overwrite")
+                 .parquet(os.path.join(ctx.output_root, "cost_results", part)))
             out = replies(msgs, stats)
             out.write.mode("overwrite").parquet(os.path.join(ctx.output_root, "replies", part))
             if ctx.reply_kafka:  # K5 to a topic, when the connector is available

@@ -53,6 +53,8 @@ def test_project_upsert_and_status(spark):
     assert s["P1"]["status"] == "completed"
     with pytest.raises(ValueError, match="Invalid status"):
         mt.set_status(projects, "P1", "weird")
+    with pytest.raises(ValueError, match="Invalid status"):
+        mt.set_statuses(projects, spark.createDataFrame([("P1", "weird")], "project_id string, status string"))
 
 
 def test_versions(spark):

@@ -25,13 +25,17 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark, tmp_dir):
     with open(os.path.join(inbox, "m1.txt"), "w") as f:
         f.write('{"fileUrl": "s3://models/P3/a.ifc", "projectId": "P3"}\n{"fileUrl": "s3://models/P7/b.ifc", "projectId": "P7"}\n')
     out = os.path.join(tmp_dir, "out")
-    ctx = ms.BatchContext(lca_inputs=lambda: registry.lca_inputs(spark, SF), output_root=out)
+    from graustein.sources import fixtures as fx
+    ctx = ms.BatchContext(lca_inputs=lambda: registry.lca_inputs(spark, SF), output_root=out,
+                          cost_reference=lambda: fx.cost_reference(spark))
     ms.run_available(ms.file_messages(spark, inbox, fmt="text"), ctx, os.path.join(tmp_dir, "ckpt"))
     streamed = spark.read.parquet(os.path.join(out, "components"))
     comps, _ = jobs.lca(registry.lca_inputs(spark, SF))
     batch = comps.filter(F.col("project_id").isin("P3", "P7"))
     cols = sorted(batch.columns)
     assert sorted(map(repr, streamed.select(cols).collect())) == sorted(map(repr, batch.select(cols).collect()))
+    costs = spark.read.parquet(os.path.join(out, "cost_results"))
+    assert costs.count() == fx.elements(spark, SF).filter(F.col("project_id").isin("P3", "P7")).count()
     replies = spark.read.parquet(os.path.join(out, "replies")).collect()
     assert sorted(r["project_id"] for r in replies) == ["P3", "P7"] and {r["status"] for r in replies} == {"success"}
     # replaying the same batch id overwrites its own output
