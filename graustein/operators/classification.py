@@ -146,7 +146,10 @@ def assign_codes(element_ids: DataFrame, catalogue: DataFrame, seed: int = 0, le
     ``hash(element_id, seed) mod k``. No driver loop, no shuffle of the elements."""
     cat = catalogue if letter is None else catalogue.filter(F.col("code").startswith(letter))
     from pyspark.sql import Window
-    # the catalogue is a bounded dimension: numbering it in one window and counting it is cheap
+    from graustein.operators.joins import is_small
+    # the catalogue is a bounded dimension (checked): numbering it in one window is cheap
+    if not is_small(cat):
+        raise ValueError("catalogue too large to number in one task")
     numbered = cat.select("code", "description", (F.row_number().over(Window.orderBy("code")) - 1).alias("idx"))
     k = numbered.count()
     if k == 0:

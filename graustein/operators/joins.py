@@ -34,6 +34,20 @@ def lookup_side(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 
+def lookup_sides(*dfs: DataFrame, max_rows: int | None = None) -> list[DataFrame]:
+    """``lookup_side`` for several dimensions with ONE bounded counting job: each side
+    contributes at most ``max_rows + 1`` rows to a union that is counted per side."""
+    if not dfs:
+        return []
+    limit = broadcast_limit(dfs[0]) if max_rows is None else max_rows
+    parts = [df.limit(limit + 1).select(F.lit(i).alias("_side")) for i, df in enumerate(dfs)]
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    counts = {r["_side"]: r["n"] for r in union.groupBy("_side").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [F.broadcast(df) if counts.get(i, 0) <= limit else df for i, df in enumerate(dfs)]
+
+
 def last_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """One row per key: the row with the greatest ``order`` tuple (ties broken by the
     remaining columns, so the result is deterministic)."""

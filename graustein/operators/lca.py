@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graustein.functions.numbers import not_positive
-from graustein.operators.joins import last_wins, lookup_side
+from graustein.operators.joins import last_wins, lookup_sides
 
 # Error codes of the LCA checks, in check order (N1), and the default
 # service life in years when no positive value is found.
@@ -50,12 +50,12 @@ def lca_components(components_in: DataFrame, mappings: DataFrame, catalogue: Dat
                    life: DataFrame, version: str, normalise_life: bool = False) -> DataFrame:
     """C1 core: one result row per input row, good or failed."""
     keys = ["project_id", "ifc_material"] if "project_id" in mappings.columns else ["ifc_material"]
-    mapping = lookup_side(usable_mappings(mappings).withColumnRenamed("ifc_material", "material_name"))
-    kbob = lookup_side(
+    mapping, kbob, years = lookup_sides(
+        usable_mappings(mappings).withColumnRenamed("ifc_material", "material_name"),
         catalogue.filter(F.col("version") == F.lit(version))
         .select(F.col("uuid").alias("kbob_id"), F.col("name").alias("kbob_material_name"),
-                *[F.col(src) for _, src, _ in INDICATORS]))
-    years = lookup_side(service_life(life, normalise_life))
+                *[F.col(src) for _, src, _ in INDICATORS]),
+        service_life(life, normalise_life))
 
     from graustein.functions.ebkp import normalize_code
     life_key = normalize_code(F.trim("ebkp")) if normalise_life else F.trim("ebkp")

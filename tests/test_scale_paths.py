@@ -82,3 +82,33 @@ def test_hot_project_and_material(spark):
     assert got == base
     hot = comps.filter("project_id = 'HOT'").count()
     assert hot >= n // 3 and comps.count() == n
+
+
+def _plan(df, capsys, mode="formatted"):
+    df.explain(mode)
+    return capsys.readouterr().out
+
+
+def test_no_python_in_any_plan_and_one_fact_scan(spark, capsys):
+    import __spark_entry__ as entry
+    skip = {"stream_replies", "stored_latest_results"}  # these run jobs while being built
+    for name, fn in entry.queries().items():
+        if name in skip:
+            continue
+        plan = _plan(fn(spark, SF), capsys, "simple")
+        assert "EvalPython" not in plan and "PythonUDF" not in plan, name
+    plan = _plan(registry.lca_components(spark, SF), capsys)
+    assert plan.count("lineitem.parquet") == 1
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double>" in plan
+
+
+def test_catalogue_version_prunes_partitions(spark, capsys, tmp_dir):
+    from graustein.sources import fixtures as fx
+    path = f"{tmp_dir}/kbob"
+    fx.kbob_materials(spark, SF).write.partitionBy("version").parquet(path)
+    inputs = registry.lca_inputs(spark, SF)
+    inputs.catalogue = spark.read.parquet(path)
+    comps, _ = jobs.lca(inputs)
+    plan = _plan(comps, capsys)
+    assert "PartitionFilters: [isnotnull(version" in plan and "2024-v1" in plan
+    assert _rows(comps) == _rows(registry.lca_components(spark, SF))
