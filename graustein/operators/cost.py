@@ -42,6 +42,14 @@ def cost_keys(cost_reference: DataFrame, version: str | None = None) -> DataFram
                  F.min("cost_per_unit").alias("cost_per_unit")))
 
 
+def cost_key_projection(cost_reference: DataFrame) -> DataFrame:
+    """P10: the key figures under the names the cost file uses (``Code``, ``Kennwert``,
+    ``reference``); not filtered by project (key figures are shared)."""
+    return cost_reference.select(F.col("ebkp_code").alias("Code"), F.col("cost_per_unit").alias("Kennwert"),
+                                 F.col("unit").alias("reference"),
+                                 *([F.col("created_at")] if "created_at" in cost_reference.columns else []))
+
+
 def cost_components(elements: DataFrame, cost_reference: DataFrame, version: str | None = None) -> DataFrame:
     """C2 core: one result row per element, good or failed."""
     keys = lookup_side(cost_keys(cost_reference, version))
