@@ -38,7 +38,7 @@ def materials_of_version(materials: DataFrame, version: str) -> DataFrame:
 
 def active_materials(materials: DataFrame, versions: DataFrame) -> DataFrame:
     """Catalogue rows whose version is the active one."""
-    return materials.join(F.broadcast(active_version_row(versions)), "version", "inner")
+    return materials.join(F.broadcast(active_version_row(versions)), "version", "inner")  # one row (limit 1)
 
 
 def material_by_uuid(materials: DataFrame, versions: DataFrame, uuid: str,

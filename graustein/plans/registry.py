@@ -196,7 +196,8 @@ def q_element_service_life(spark, sf_dir):
     """A3 + J4/N5: service life per element (MIN over the code's rows, default 60)."""
     life = lca_ops.service_life(fx.life_expectancy(spark))
     els = fx.elements(spark, sf_dir)
-    return (els.join(F.broadcast(life), F.trim("ebkp") == F.col("life_code"), "left")
+    from graustein.operators.joins import lookup_side
+    return (els.join(lookup_side(life), F.trim("ebkp") == F.col("life_code"), "left")
             .select(F.col("id").alias("element_id"), "ebkp",
                     F.coalesce(F.when(F.col("life_years") != 0, F.col("life_years")),
                                F.lit(lca_ops.DEFAULT_LIFE_YEARS)).cast("int").alias("amortization")))
@@ -222,12 +223,13 @@ GROUP BY m.version, v.version"""))
 def q_catalogue_versions(spark, sf_dir):
     """A4 + J14 + U3: versions used by the catalogue, whether registered, which is latest."""
     from graustein.operators import catalogue as cat
+    from graustein.operators.joins import lookup_side
     mats, vers = fx.kbob_materials(spark, sf_dir), fx.kbob_versions(spark)
     latest = cat.latest_version(mats)
     missing = cat.missing_versions(mats, vers).select("version", F.lit(True).alias("_missing"))
     return (mats.groupBy("version").agg(F.count(F.lit(1)).alias("n_materials"))
-            .join(F.broadcast(missing), "version", "left")
-            .join(F.broadcast(latest), F.col("version") == F.col("latest_version"), "left")
+            .join(lookup_side(missing), "version", "left")
+            .join(F.broadcast(latest), F.col("version") == F.col("latest_version"), "left")  # one row
             .select("version", "n_materials", F.col("_missing").isNull().alias("in_versions_table"),
                     F.col("latest_version").isNotNull().alias("is_latest")))
 

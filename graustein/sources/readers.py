@@ -168,7 +168,7 @@ def synthetic_elements(spark: SparkSession, n: int = 100_000, seed: int = 0, par
     rows = base.select("id", (F.col("id") % len(TEMPLATE_ROWS)).cast("int").alias("t"))
     drawn = [F.round(F.lit(lo) + F.rand(seed + k) * F.lit(hi - lo), digits).alias(name)
              for k, (name, (lo, hi, digits)) in enumerate(RANGES.items())]
-    return (rows.join(F.broadcast(templates), "t").select(
+    return (rows.join(F.broadcast(templates), "t").select(  # eleven literal rows
         "id", "GUID", F.col("`KBOB UUID-Nummer`"), F.col("`eBKP-H`"), *drawn)
         .select("id", "GUID", F.col("density").alias("Density (kg/m³)"), F.col("volume").alias("Volume"),
                 F.col("length").alias("Length"), F.col("area").alias("Area"), "KBOB UUID-Nummer", "eBKP-H"))
