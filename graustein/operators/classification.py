@@ -96,16 +96,13 @@ def classify_exact(values: DataFrame, catalogue: DataFrame) -> DataFrame:
 
 
 def coverage(element_ids: DataFrame, classified: DataFrame) -> DataFrame:
-    """Elements processed, elements with a code, exact matches."""
-    n = element_ids.agg(F.count(F.lit(1)).alias("elements_processed"))
-    c = classified.agg(F.count(F.lit(1)).alias("elements_with_ebkp"),
-                       F.count_if(F.col("match_level") == EXACT).alias("elements_with_match"))
-    return _one_row(n, c)
-
-
-def _one_row(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Side by side of two one-row aggregates (joined on a constant key)."""
-    return a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    """Elements processed, elements with a code, exact matches. ``classified`` has at
+    most one row per element, so a keyed left join and one aggregate give all three."""
+    c = classified.select("element_id", F.lit(True).alias("_has_code"), "match_level")
+    return (element_ids.select("element_id").join(c, "element_id", "left")
+            .agg(F.count(F.lit(1)).alias("elements_processed"),
+                 F.count_if(F.col("_has_code").isNotNull()).alias("elements_with_ebkp"),
+                 F.count_if(F.col("match_level") == EXACT).alias("elements_with_match")))
 
 
 def code_diagnostics(values: DataFrame, catalogue: DataFrame) -> DataFrame:
@@ -127,16 +124,18 @@ def incomplete_references(refs: DataFrame) -> DataFrame:
 
 
 def completeness(element_ids: DataFrame, refs: DataFrame) -> DataFrame:
-    """Total elements, with classification, with an incomplete one, % incomplete."""
+    """Total elements, with classification, with an incomplete one, % incomplete
+    (references are first reduced to one row per element, then joined by key)."""
     code = F.when(F.col("schema_version").contains("2X3"), F.col("item_reference")).otherwise(F.col("identification"))
     incomplete = (F.coalesce("name", F.lit("")) == "") | (F.coalesce(code, F.lit("")) == "")
     per_el = refs.groupBy("element_id").agg(F.bool_or(incomplete).alias("incomplete"))
-    c = per_el.agg(F.count(F.lit(1)).alias("with_classification"),
-                   F.count_if("incomplete").alias("with_incomplete"))
-    n = element_ids.agg(F.count(F.lit(1)).alias("total_elements"))
+    counts = (element_ids.select("element_id").join(per_el, "element_id", "left")
+              .agg(F.count(F.lit(1)).alias("total_elements"),
+                   F.count_if(F.col("incomplete").isNotNull()).alias("with_classification"),
+                   F.count_if(F.col("incomplete")).alias("with_incomplete")))
     pct = F.when(F.col("with_classification") > 0,
                  F.round(F.col("with_incomplete") * F.lit(100.0) / F.col("with_classification"), 2))
-    return _one_row(n, c).withColumn("pct_incomplete", pct)
+    return counts.withColumn("pct_incomplete", pct)
 
 
 def assign_codes(element_ids: DataFrame, catalogue: DataFrame, seed: int = 0, letter: str | None = "C") -> DataFrame:

@@ -518,7 +518,7 @@ SELECT (SELECT COUNT(*) FROM fx_elements) AS elements_processed, COUNT(*) AS ele
 def q_classification_coverage(spark, sf_dir):
     """Processed elements, elements with a code, exact matches (mapper flavour)."""
     from graustein.operators import classification as cl
-    return cl.coverage(fx.elements(spark, sf_dir), _mapper(spark, sf_dir))
+    return cl.coverage(fx.elements(spark, sf_dir).select(F.col("id").alias("element_id")), _mapper(spark, sf_dir))
 
 
 _REFS = """
