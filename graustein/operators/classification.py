@@ -69,17 +69,19 @@ def classify_hierarchical(values: DataFrame, catalogue: DataFrame) -> DataFrame:
     v = (values.filter(F.trim("ebkp_value") != "")
          .select("element_id", F.col("ebkp_value").alias("identification"),
                  normalize_code("ebkp_value", 3).alias("code")))
-    v = v.select("*", parent_code("code").alias("parent"), main_code(F.split("code", r"\.")[0]).alias("main"))
-    exact = cat.select(F.col("code").alias("c_exact"), F.col("description").alias("d_exact"))
-    parent = cat.select(F.col("code").alias("c_parent"), F.col("description").alias("d_parent"))
-    main = cat.select(F.col("code").alias("c_main"), F.col("description").alias("d_main"))
-    j = (v.join(exact, v.code == exact.c_exact, "left")
-         .join(parent, v.parent == parent.c_parent, "left")
-         .join(main, v.main == main.c_main, "left"))
-    level = (F.when(F.col("d_exact").isNotNull(), F.lit(EXACT)).when(F.col("d_parent").isNotNull(), F.lit(PARENT))
-             .when(F.col("d_main").isNotNull(), F.lit(MAIN)).otherwise(F.lit(NONE)))
-    return j.select("element_id", "identification", "code",
-                    F.coalesce("d_exact", "d_parent", "d_main", "identification").alias("description"),
+    v = v.select("element_id", "identification", F.col("code").alias("norm_code"),
+                 parent_code("code").alias("parent"), main_code(F.split("code", r"\.")[0]).alias("main"))
+    # the same catalogue under three names: one broadcast, reused by the three lookups
+    exact, parent, main = cat.alias("c_exact"), cat.alias("c_parent"), cat.alias("c_main")
+    j = (v.join(exact, F.col("norm_code") == F.col("c_exact.code"), "left")
+         .join(parent, F.col("parent") == F.col("c_parent.code"), "left")
+         .join(main, F.col("main") == F.col("c_main.code"), "left"))
+    d_exact, d_parent, d_main = (F.col("c_exact.description"), F.col("c_parent.description"),
+                                 F.col("c_main.description"))
+    level = (F.when(d_exact.isNotNull(), F.lit(EXACT)).when(d_parent.isNotNull(), F.lit(PARENT))
+             .when(d_main.isNotNull(), F.lit(MAIN)).otherwise(F.lit(NONE)))
+    return j.select("element_id", "identification", F.col("norm_code").alias("code"),
+                    F.coalesce(d_exact, d_parent, d_main, F.col("identification")).alias("description"),
                     level.alias("match_level"))
 
 

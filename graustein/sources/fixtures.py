@@ -40,21 +40,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``ifc_elements``-like rows: id, project_id, ebkp (several spellings), area_net, length."""
-    o = table(spark, sf_dir, "orders")
-    k = F.col("o_orderkey")
-    price = F.col("o_totalprice").cast("decimal(14,2)")
+def _ebkp(k):
+    """The element's eBKP-H code in several spellings (by order key)."""
     variant = k % 5
-    ebkp = (F.when(variant == 0, F.concat(F.lit("C02.0"), (k % 7 + 1).cast("string")))
+    return (F.when(variant == 0, F.concat(F.lit("C02.0"), (k % 7 + 1).cast("string")))
             .when(variant == 1, F.concat(F.lit("C 2."), (k % 7 + 1).cast("string")))
             .when(variant == 2, F.lit("C2.1"))
             .when(variant == 3, F.lit(" E3 "))
             .otherwise(F.lit("Z9")))
+
+
+def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ifc_elements``-like rows: id, project_id, ebkp (several spellings), area_net, length."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    price = F.col("o_totalprice").cast("decimal(14,2)")
     return o.select(
         k.cast("string").alias("id"),
         F.concat(F.lit("P"), (F.col("o_custkey") % N_PROJECTS).cast("string")).alias("project_id"),
-        ebkp.alias("ebkp"),
+        _ebkp(k).alias("ebkp"),
         F.when(F.col("o_orderstatus") != "P", price * F.lit(Decimal("0.01"))).alias("area_net"),
         (price * F.lit(Decimal("0.001")) - F.lit(50)).alias("length"),
     )
@@ -156,12 +160,18 @@ def catalogue_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def _order_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderkey").cast("string").alias("id"), _ebkp(F.col("o_orderkey")).alias("ebkp"),
+                    "o_orderstatus", "o_orderpriority")
+
+
 def properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Property table: a name property, an ``eBKP`` property in the first set (without a
-    value for finished orders) and an ``EBKP`` property in the second set."""
-    el = elements(spark, sf_dir).select("id", "ebkp")
-    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id"), "o_orderstatus", "o_orderpriority")
-    base = o.join(el, "id")
+    value for finished orders) and an ``EBKP`` property in the second set. One orders scan
+    per property row kind (no join)."""
+    base = _order_attributes(spark, sf_dir)
+
     def rows(pset, prop, name, value):
         return base.select(F.col("id").alias("element_id"), F.lit(pset).alias("pset_pos"), F.lit(prop).alias("prop_pos"),
                            F.lit(name).alias("prop_name"), value.alias("prop_value"))
@@ -172,10 +182,8 @@ def properties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def classification_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classification references of the elements (none for low-priority orders)."""
-    el = elements(spark, sf_dir).select("id", "ebkp")
-    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id"), "o_orderstatus", "o_orderpriority")
     prio = F.col("o_orderpriority")
-    return (o.filter(prio != "5-LOW").join(el, "id")
+    return (_order_attributes(spark, sf_dir).filter(prio != "5-LOW")
             .select(F.col("id").alias("element_id"),
                     F.when(prio.startswith("1") | prio.startswith("2"), F.lit("IFC2X3")).otherwise(F.lit("IFC4")).alias("schema_version"),
                     F.lit("eBKP").alias("system"),
