@@ -798,3 +798,35 @@ def q_stored_latest_results(spark, sf_dir):
     writers.store_results(comps, root, "lca", "model.ifc", run_ts="20240102T000000000000")
     return (writers.read_latest(spark, root, "lca", filename="model.ifc")
             .select("project_id", "element_id", "material_name", "gwp_absolute", "failed"))
+
+
+# ---------------------------------------------------------------- file round trips
+
+@query("catalogue_csv_round_trip", with_views(body="""
+SELECT uuid, name, CAST(indicator_co2eq AS DOUBLE) AS indicator_co2eq, CAST(indicator_penre AS DOUBLE) AS indicator_penre,
+       CAST(indicator_ubp AS DOUBLE) AS indicator_ubp, CAST(0 AS DOUBLE) AS density, version
+FROM fx_kbob WHERE version = '2024-v1'"""))
+def q_catalogue_csv_round_trip(spark, sf_dir):
+    """S2 + P6: the active catalogue written as the German-header ISO-8859-1 CSV and imported
+    back (uuid trimmed, unparsable density -> 0)."""
+    import uuid
+    from graustein.session import scratch_path
+    from graustein.sources.readers import KBOB_ENCODING, KBOB_HEADERS, read_kbob_csv
+    path = scratch_path(spark, "csv", uuid.uuid4().hex)
+    kbob = fx.kbob_materials(spark, sf_dir).filter(F.col("version") == fx.ACTIVE_VERSION)
+    (kbob.select(*[F.col(c).cast("string").alias(h) for c, h in KBOB_HEADERS.items()])
+     .write.option("header", True).option("encoding", KBOB_ENCODING).csv(path))
+    return read_kbob_csv(spark, path, fx.ACTIVE_VERSION).drop("created_at")
+
+
+@query("backup_round_trip", with_views(body="""
+SELECT id, project_id, ebkp, CAST(area_net AS DOUBLE) AS area_net, CAST(length AS DOUBLE) AS length FROM fx_elements"""))
+def q_backup_round_trip(spark, sf_dir):
+    """K3 + S9 (C9): the elements exported as JSON split by project and restored."""
+    import uuid
+    from graustein.session import scratch_path
+    from graustein.sinks import writers
+    root = scratch_path(spark, "backup", uuid.uuid4().hex)
+    writers.export_tables({"elements": fx.elements(spark, sf_dir)}, root)
+    back = writers.import_tables(spark, root, ["elements"])["elements"]
+    return back.select("id", "project_id", "ebkp", F.col("area_net").cast("double"), F.col("length").cast("double"))
