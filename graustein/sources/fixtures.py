@@ -36,8 +36,19 @@ COST_ROWS = [("C2.1", "Aussenwand", "m2", Decimal("120.50"), "2024"),
              ("C02.03", "Stuetze", "stk", Decimal("9.00"), "2024")]
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table. Its schema is read from the file footer once per process (the driver
+    tables are read-only), later reads pass it so no footer is read at planning time."""
+    path = f"{sf_dir}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def _ebkp(k):
