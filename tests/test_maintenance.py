@@ -115,3 +115,15 @@ def test_positional_csv(spark, tmp_dir):
         f.write("a,b,c,d,e\nC2.1,Wand,m2,120.5,2024\n")
     r = readers.read_positional_csv(spark, path, "cost_reference").first()
     assert (r["ebkp_code"], r["unit"], r["cost_per_unit"], r["version"], r["created_at"]) == ("C2.1", "m2", 120.5, "2024", None)
+
+
+def test_replace_project_elements(spark):
+    els = spark.createDataFrame([("a", "P1", "C1"), ("b", "P2", "C1")], "id string, project_id string, ebkp string")
+    mats = spark.createDataFrame([("a", "m", 1.0), ("b", "m", 2.0)], "element_id string, material_name string, volume double")
+    res = spark.createDataFrame([("a", "m"), ("b", "m")], "element_id string, material_name string")
+    new_e = spark.createDataFrame([("c", "P1", "E3")], els.schema)
+    new_m = spark.createDataFrame([("c", "n", 3.0)], mats.schema)
+    e, m, r = mt.replace_project_elements(els, mats, res, "P1", new_e, new_m)
+    assert sorted(r2["id"] for r2 in e.collect()) == ["b", "c"]
+    assert sorted((x["element_id"], x["material_name"]) for x in m.collect()) == [("b", "m"), ("c", "n")]
+    assert [x["element_id"] for x in r.collect()] == ["b"]
