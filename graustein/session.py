@@ -33,19 +33,27 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+_LOCAL_CHECKPOINT: dict[int, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the deployment (a shared file system).
-    Only when it is unset (local tests) a private temporary folder is created.
-    """
+    On a cluster this must be set by the deployment (a shared file system). Only when it
+    is unset and the master is local (tests) a private temporary folder is created, once
+    per session."""
     path = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
     if not path:
         master = spark.sparkContext.master
         if not master.startswith("local"):
             raise RuntimeError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster")
-        path = tempfile.mkdtemp(prefix="graustein-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, path)
+        key = id(spark.sparkContext)
+        path = _LOCAL_CHECKPOINT.get(key) or tempfile.mkdtemp(prefix="graustein-ckpt-")
+        _LOCAL_CHECKPOINT[key] = path
+        try:
+            spark.conf.set(CHECKPOINT_CONF, path)
+        except Exception:  # some deployments reject setting core confs at runtime
+            pass
     spark.sparkContext.setCheckpointDir(path)
     return path
 
