@@ -106,6 +106,11 @@ def test_project_lookups(spark):
                                  "id long, project_id string, created_at timestamp")
     assert pr.latest_of_project(hist, "P1").first()["id"] == 3
     assert {r["project_id"]: r["id"] for r in pr.latest_per_project(hist).collect()} == {"P1": 3, "P2": 4}
+    els = spark.createDataFrame([("a", "P1"), ("b", "P2")], "id string, project_id string")
+    mats = spark.createDataFrame([("a", "m"), ("b", "n"), ("c", "o")], "element_id string, material_name string")
+    p1 = pr.elements_of_project(els, "P1")
+    assert [r["id"] for r in p1.collect()] == ["a"]
+    assert [r["material_name"] for r in pr.materials_of_elements(mats, p1).collect()] == ["m"]
 
 
 def test_positional_csv(spark, tmp_dir):
