@@ -35,8 +35,9 @@ def run_lca(spark: SparkSession, inputs: jobs.LcaInputs, out_root: str, run_id:
     comps, version = jobs.lca(inputs)
     path = os.path.join(out_root, "lca_components", f"run_id={run_id}")
     counts = Observation("lca_counts")  # A14: counted while writing, no second pass
-    (comps.observe(counts, F.count(F.lit(1)).alias("components"), F.count_if(F.col("failed")).alias("failed"))
-     .write.mode("overwrite").partitionBy("project_id").parquet(path))
+    writers.write_partitioned(comps, path, ("project_id",), ("element_id",), mode="overwrite",
+                              observe=(counts, F.count(F.lit(1)).alias("components"),
+                                       F.count_if(F.col("failed")).alias("failed")))
     written = spark.read.parquet(path)
     errors = lca_ops.lca_errors(written)
     stats = lca_ops.lca_run_stats(written, version)
@@ -53,7 +54,7 @@ def run_cost(spark: SparkSession, elements: DataFrame, cost_reference: DataFrame
     run_id = run_id or writers.run_stamp()
     comps = jobs.cost(elements, cost_reference, version)
     path = os.path.join(out_root, "cost_results", f"run_id={run_id}")
-    comps.write.mode("overwrite").partitionBy("project_id").parquet(path)
+    writers.write_partitioned(comps, path, ("project_id",), ("guid",), mode="overwrite")
     written = spark.read.parquet(path)
     errors = cost_ops.cost_errors(written)
     stats = cost_ops.cost_run_stats(written)
