@@ -41,9 +41,9 @@ def run_lca(spark: SparkSession, inputs: jobs.LcaInputs, out_root: str, run_id:
     written = spark.read.parquet(path)
     errors = lca_ops.lca_errors(written)
     stats = lca_ops.lca_run_stats(written, version)
-    writers.append_table(writers.results_table(written, version), out_root, "processing_results")
-    writers.append_table(errors, out_root, "processing_errors")
-    writers.append_table(writers.history_rows(stats, time.time() - t0), out_root, "processing_history")
+    writers.append_table(writers.results_table(written, version), out_root, "processing_results", run_id)
+    writers.append_table(errors, out_root, "processing_errors", run_id)
+    writers.append_table(writers.history_rows(stats, time.time() - t0), out_root, "processing_history", run_id)
     return RunOutput(written, errors, stats, version, counts.get)
 
 
@@ -58,8 +58,8 @@ def run_cost(spark: SparkSession, elements: DataFrame, cost_reference: DataFrame
     written = spark.read.parquet(path)
     errors = cost_ops.cost_errors(written)
     stats = cost_ops.cost_run_stats(written)
-    writers.append_table(errors, out_root, "processing_errors")
-    writers.append_table(writers.history_rows(stats, time.time() - t0), out_root, "processing_history")
+    writers.append_table(errors, out_root, "processing_errors", f"cost-{run_id}")
+    writers.append_table(writers.history_rows(stats, time.time() - t0), out_root, "processing_history", f"cost-{run_id}")
     return RunOutput(written, errors, stats, version or "N/A")
 
 

@@ -38,7 +38,10 @@ def write_partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...], s
     out = df.repartitionByRange(*cols) if cols else df
     if observe is not None:
         out = out.observe(*observe)
-    out.write.mode(mode).partitionBy(*partition_by).format(fmt).save(path)
+    w = out.write.mode(mode).partitionBy(*partition_by).format(fmt)
+    if mode == "overwrite":
+        w = w.option("partitionOverwriteMode", "dynamic")  # only the partitions written are replaced
+    w.save(path)
 
 
 # ---------------------------------------------------------------- result store
@@ -135,10 +138,18 @@ def results_table(components: DataFrame, active_version: str, created_at=None) -
     return components.select(*[pick(f.name).cast(f.dataType).alias(f.name) for f in schemas.PROCESSING_RESULTS.fields])
 
 
-def append_table(df: DataFrame, root: str, table: str, partition_by: tuple[str, ...] = ("project_id",)) -> None:
-    """K4/K8/K9: append rows to a table folder partitioned by project."""
+def append_table(df: DataFrame, root: str, table: str, run_id: str | None = None,
+                 partition_by: tuple[str, ...] = ("project_id",)) -> None:
+    """K4/K8/K9: add a run's rows to a table folder partitioned by run and project.
+
+    With a ``run_id`` the write replaces exactly that run's partitions (dynamic partition
+    overwrite), so a retried run does not add its rows twice."""
     spread = tuple(c for c in ("element_id", "guid", "id") if c in df.columns)[:1]
-    write_partitioned(df, os.path.join(root, table), partition_by, spread)
+    if run_id is None:
+        write_partitioned(df, os.path.join(root, table), partition_by, spread)
+    else:
+        write_partitioned(df.withColumn("run_id", F.lit(run_id)), os.path.join(root, table),
+                          ("run_id", *partition_by), spread, mode="overwrite")
 
 
 def history_rows(stats: DataFrame, processing_time: float, created_at=None) -> DataFrame:

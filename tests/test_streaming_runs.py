@@ -86,3 +86,16 @@ def test_reference_data_loaded_as_one_unit(spark, tmp_dir):
     with pytest.raises(ValueError, match="cost_reference primary_key"):
         runs.load_reference_data(spark, os.path.join(tmp_dir, "ref2"), "v1", kbob, cost_csv=dup)
     assert not os.path.exists(os.path.join(tmp_dir, "ref2"))
+
+
+def test_rerun_with_same_run_id_is_idempotent(spark, tmp_dir):
+    inputs = registry.lca_inputs(spark, SF)
+    runs.run_lca(spark, inputs, tmp_dir, run_id="r1")
+    n1 = {t: spark.read.parquet(os.path.join(tmp_dir, t)).count()
+          for t in ("processing_results", "processing_errors", "processing_history")}
+    runs.run_lca(spark, registry.lca_inputs(spark, SF), tmp_dir, run_id="r1")
+    n2 = {t: spark.read.parquet(os.path.join(tmp_dir, t)).count() for t in n1}
+    assert n1 == n2
+    runs.run_lca(spark, registry.lca_inputs(spark, SF), tmp_dir, run_id="r2")
+    n3 = {t: spark.read.parquet(os.path.join(tmp_dir, t)).count() for t in n1}
+    assert n3 == {t: 2 * n for t, n in n1.items()}
