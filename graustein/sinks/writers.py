@@ -59,7 +59,8 @@ def store_results(df: DataFrame, root: str, data_type: str, filename: str, run_t
     out = (df.withColumn("data_type", F.lit(data_type)).withColumn("filename", F.lit(filename))
            .withColumn("run_ts", F.lit(run_ts)))
     spread = tuple(c for c in ("element_id", "guid", "id") if c in df.columns)[:1]
-    write_partitioned(out, root, STORE_PARTITIONS, spread)
+    # only this run's (type, project, file, run) folders are replaced: storing again is idempotent
+    write_partitioned(out, root, STORE_PARTITIONS, spread, mode="overwrite")
     return run_ts
 
 

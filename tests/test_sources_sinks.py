@@ -82,6 +82,8 @@ def test_store_and_read_latest(spark, tmp_dir):
     assert got == {("P1", "a"): 9.0, ("P2", "b"): 2.0}
     one = writers.read_latest(spark, root, "lca", project_id="P1", filename="m.ifc").collect()
     assert [r["gwp"] for r in one] == [9.0]
+    writers.store_results(df2, root, "lca", "m.ifc", run_ts=writers.run_stamp(dt.datetime(2024, 1, 2)))  # replay
+    assert spark.read.parquet(root).count() == 4
 
 
 def test_snapshots(spark, tmp_dir):
