@@ -159,3 +159,13 @@ def assign_codes(element_ids: DataFrame, catalogue: DataFrame, seed: int = 0, le
     return (element_ids.select("element_id", F.pmod(pick, F.lit(k)).alias("idx"))
             .join(lookup_side(numbered), "idx", "inner")
             .select("element_id", F.col("code").alias("identification"), F.col("description").alias("name")))
+
+
+def as_references(assigned: DataFrame, schema_version: str, system: str = "EBKP") -> DataFrame:
+    """H17 output as classification references: the code goes to ``item_reference`` for
+    IFC2X3 schemas and to ``identification`` otherwise, ready for P21/A10 checks."""
+    two_x3 = "2X3" in schema_version
+    return assigned.select(
+        "element_id", F.lit(schema_version).alias("schema_version"), F.lit(system).alias("system"), "name",
+        (F.col("identification") if two_x3 else F.lit(None).cast("string")).alias("item_reference"),
+        (F.lit(None).cast("string") if two_x3 else F.col("identification")).alias("identification"))

@@ -87,3 +87,14 @@ def test_code_diagnostics(spark, tmp_dir):
     got = {r["raw"]: (r["normalized"], r["in_catalogue"]) for r in
            cl.code_diagnostics(_values(spark, [("a", "C 02.01"), ("b", "C 02.01"), ("c", "Z1")]), cat).collect()}
     assert got == {"C 02.01": ("C2.1", True), "Z1": ("Z1", False)}
+
+
+def test_assigned_codes_verify_as_complete_references(spark, tmp_dir):
+    cat = _catalogue(spark, tmp_dir)
+    elements = spark.range(50).selectExpr("cast(id as string) as element_id")
+    assigned = cl.assign_codes(elements, cat, seed=1)
+    for schema in ("IFC2X3", "IFC4"):
+        refs = cl.as_references(assigned, schema)
+        assert cl.incomplete_references(refs).count() == 0
+        r = cl.completeness(elements, refs).first()
+        assert (r["with_classification"], r["with_incomplete"]) == (50, 0)
