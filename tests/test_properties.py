@@ -111,3 +111,50 @@ def test_lca_matches_row_model(spark, raw, mapping, life):
         assert g["error_code"] == w[0], (key, g, w)
         if w[0] is None:
             assert (g["amortization"], g["gwp_absolute"], g["gwp_relative"]) == w[1:], (key, g, w)
+
+
+# ---------------------------------------------------------------- cost against a per-row model
+
+from graustein.operators import cost as cost_ops  # noqa: E402
+
+QTY = st.one_of(st.none(), st.decimals(min_value=-10, max_value=500, places=3, allow_nan=False, allow_infinity=False))
+
+
+def cost_model(rows, keys):
+    by_code: dict[str, list] = {}
+    for code, unit, value in keys:
+        by_code.setdefault(code.strip(), []).append((unit, value))
+    out = {}
+    for guid, code, area, length in rows:
+        c = (code or "").strip() if code is not None else None
+        found = by_code.get(c) if c is not None else None
+        if not found:
+            out[guid] = ("COST_CODE_NOT_FOUND", None)
+        elif len(found) > 1:
+            out[guid] = ("AMBIGUOUS_COST_CODE", None)
+        else:
+            unit, value = found[0]
+            q = area if unit == "m2" else length if unit == "m" else "unknown"
+            if q == "unknown":
+                out[guid] = ("UNKNOWN_UNIT", None)
+            elif q is None or q <= 0:
+                out[guid] = ("INVALID_QUANTITY", None)
+            else:
+                out[guid] = (None, _q(q * value, 2))
+    return out
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck),
+          phases=[Phase.explicit, Phase.reuse, Phase.generate])
+@given(st.lists(st.tuples(st.sampled_from(["C2.1", " E3 ", "D1", "Z9", None]), QTY, QTY), min_size=30, max_size=80),
+       st.lists(st.tuples(st.sampled_from(["C2.1", "E3", "D1"]), st.sampled_from(["m2", "m", "stk"]),
+                          st.decimals(min_value=1, max_value=999, places=2, allow_nan=False, allow_infinity=False)),
+                max_size=5))
+def test_cost_matches_row_model(spark, raw, keys):
+    rows = [(f"g{i}", c, a, l) for i, (c, a, l) in enumerate(raw)]
+    els = spark.createDataFrame([(g, "P", c, a, l) for g, c, a, l in rows],
+                                "id string, project_id string, ebkp string, area_net decimal(12,3), length decimal(12,3)")
+    ref = spark.createDataFrame([(c, u, v, "2024") for c, u, v in keys] or [("none", "m", Decimal("1.00"), "2024")],
+                                "ebkp_code string, unit string, cost_per_unit decimal(10,2), version string")
+    got = {r["guid"]: (r["error_code"], r["total_cost"]) for r in cost_ops.cost_components(els, ref).collect()}
+    assert got == cost_model(rows, keys)
