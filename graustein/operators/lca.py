@@ -46,15 +46,25 @@ def usable_mappings(mappings: DataFrame) -> DataFrame:
     return last_wins(m, keys, order or ["kbob_id"]).select(*keys, "kbob_id")
 
 
+def catalogue_of_version(catalogue: DataFrame, version: str) -> DataFrame:
+    """J2 right side: one row per uuid of the version. A key violation (two rows for one
+    uuid) must not multiply component rows, so the latest ``created_at`` wins (then the
+    greatest values, deterministically)."""
+    cols = [F.col("uuid").alias("kbob_id"), F.col("name").alias("kbob_material_name"),
+            *[F.col(src) for _, src, _ in INDICATORS]]
+    order = ["created_at"] if "created_at" in catalogue.columns else []
+    rows = catalogue.filter(F.col("version") == F.lit(version)).select(*cols, *order)
+    return last_wins(rows, ["kbob_id"], order or ["kbob_material_name"]).select(
+        "kbob_id", "kbob_material_name", *[src for _, src, _ in INDICATORS])
+
+
 def lca_components(components_in: DataFrame, mappings: DataFrame, catalogue: DataFrame,
                    life: DataFrame, version: str, normalise_life: bool = False) -> DataFrame:
     """C1 core: one result row per input row, good or failed."""
     keys = ["project_id", "ifc_material"] if "project_id" in mappings.columns else ["ifc_material"]
     mapping, kbob, years = lookup_sides(
         usable_mappings(mappings).withColumnRenamed("ifc_material", "material_name"),
-        catalogue.filter(F.col("version") == F.lit(version))
-        .select(F.col("uuid").alias("kbob_id"), F.col("name").alias("kbob_material_name"),
-                *[F.col(src) for _, src, _ in INDICATORS]),
+        catalogue_of_version(catalogue, version),
         service_life(life, normalise_life))
 
     from graustein.functions.ebkp import normalize_code

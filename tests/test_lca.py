@@ -158,3 +158,11 @@ def test_components_straight_from_documents(spark, reference):
     comps = lca.lca_components(rows, mappings, catalogue, life, "2024-6.2")
     codes = {(r["element_id"], r["material_name"]): r["error_code"] for r in comps.collect()}
     assert codes == {("test_beam_1", "Beton"): None, ("g2", "Wärmedämmung"): None, ("g2", "Missing"): "INVALID_VOLUME"}
+
+
+def test_duplicate_catalogue_rows_do_not_multiply_components(spark, reference):
+    catalogue, versions, life, mappings = reference
+    dup = catalogue.unionByName(catalogue.filter(F.col("uuid") == BETON).withColumn("indicator_co2eq", F.lit(1.0)))
+    els, mats = _tables(spark, [("b", "P", "C", "Beton", 1.0, 1.0), ("w", "P", "D", "Wärmedämmung", 1.0, 1.0)])
+    comps, _ = jobs.lca(jobs.LcaInputs(els, mats, mappings, dup, versions, life))
+    assert comps.count() == 2
