@@ -138,3 +138,73 @@ def run_available(messages: DataFrame, ctx: BatchContext, checkpoint: str) -> No
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+
+
+# ---------------------------------------------------------------- model documents landing in a folder
+
+def document_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """S7 as a stream: element documents (JSON) arriving in ``landing``, one row per document
+    (or bare element), with the source file and the project id from the file name (H14)."""
+    from graustein import schemas
+    from graustein.functions.ids import project_from_filename
+    reader = spark.readStream.schema(schemas.ELEMENT_DOCUMENT).option("multiLine", True)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    df = reader.json(landing)
+    name = F.col("_metadata.file_name")
+    return df.select("*", name.alias("source_file"), project_from_filename(name).alias("project_id"))
+
+
+@dataclass
+class DocumentContext:
+    """Reference data for document micro-batches (functions, so each batch sees the current tables)."""
+    mappings: Callable[[], DataFrame]
+    catalogue: Callable[[], DataFrame]
+    versions: Callable[[], DataFrame]
+    life: Callable[[], DataFrame]
+    output_root: str
+
+
+def make_document_handler(ctx: DocumentContext):
+    """X1 for documents: ingest (repeatable ids) -> validate -> LCA -> replies per file, all
+    documents of the micro-batch in one set of jobs; outputs keyed by the batch id."""
+    from graustein.operators import catalogue as cat
+    from graustein.operators import elements as el
+    from graustein.operators import lca as lca_ops
+    from graustein.plans.ingest import _with_uids
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        part = f"batch_id={batch_id}"
+        exploded = _with_uids(el.explode_documents(batch))
+        el.flatten_elements(exploded).write.mode("overwrite").parquet(os.path.join(ctx.output_root, "elements", part))
+        rows = el.validate_components(el.document_components(exploded))
+        version = cat.active_version(ctx.versions())
+        comps = lca_ops.lca_components(rows, ctx.mappings(), ctx.catalogue(), ctx.life(), version)
+        comps.write.mode("overwrite").parquet(os.path.join(ctx.output_root, "components", part))
+        written = spark.read.parquet(os.path.join(ctx.output_root, "components", part))
+        files_of = exploded.select(el.element_key().alias("element_id"), "source_file").distinct()
+        per_file = (written.join(files_of, "element_id", "left").groupBy("project_id", "source_file")
+                    .agg(F.count(F.lit(1)).alias("total_components"), F.count_if("failed").alias("failed_components")))
+        files = batch.select("project_id", "source_file").distinct()
+        reply = (files.join(per_file, ["project_id", "source_file"], "left")
+                 .select(F.when(F.col("total_components").isNotNull(), F.lit("success")).otherwise(F.lit("error")).alias("status"),
+                         "project_id", "source_file",
+                         F.when(F.col("total_components").isNotNull(), F.concat(
+                             F.lit("Processed "), F.col("source_file"), F.lit(": "),
+                             (F.col("total_components") - F.col("failed_components")).cast("string"),
+                             F.lit(" components computed, "), F.col("failed_components").cast("string"), F.lit(" failed")))
+                         .otherwise(F.concat(F.lit("No valid elements in "), F.col("source_file"))).alias("message")))
+        (reply.withColumn("reply", F.to_json(F.struct("status", "project_id", "message")))
+         .write.mode("overwrite").parquet(os.path.join(ctx.output_root, "replies", part)))
+
+    return handle
+
+
+def run_documents_available(stream: DataFrame, ctx: DocumentContext, checkpoint: str) -> None:
+    """Process every document that has landed, then stop."""
+    q = (stream.writeStream.foreachBatch(make_document_handler(ctx))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
