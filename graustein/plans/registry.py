@@ -70,10 +70,10 @@ def q_lca_from_documents(spark, sf_dir):
                                            F.struct(F.col("ebkp"), F.lit(None).cast("string").alias("reference")).alias("properties"),
                                            "materials", "material_volumes").alias("e")))
     rows = el.validate_components(el.document_components(docs))
-    inputs = lca_inputs(spark, sf_dir)
     from graustein.operators import catalogue as cat
-    version = cat.active_version(inputs.versions)
-    return lca_ops.lca_components(rows, inputs.mappings, inputs.catalogue, inputs.life, version)
+    version = cat.active_version(fx.kbob_versions(spark))
+    return lca_ops.lca_components(rows, fx.mappings(spark, sf_dir), fx.kbob_materials(spark, sf_dir),
+                                  fx.life_expectancy(spark), version)
 
 
 @query("lca_outcomes", with_views(LCA_VIEWS, body="""
