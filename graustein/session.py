@@ -36,25 +36,35 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 _LOCAL_CHECKPOINT: dict[int, str] = {}
 
 
+def _context_conf(spark: SparkSession, key: str):
+    try:
+        return spark.sparkContext.getConf().get(key, None)
+    except Exception:  # sessions without a local SparkContext (e.g. Spark Connect)
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set by the deployment (a shared file system). Only when it
     is unset and the master is local (tests) a private temporary folder is created, once
     per session."""
-    path = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
+    path = spark.conf.get(CHECKPOINT_CONF, None) or _context_conf(spark, CHECKPOINT_CONF)
     if not path:
-        master = spark.sparkContext.master
+        master = spark.conf.get("spark.master", None) or _context_conf(spark, "spark.master") or ""
         if not master.startswith("local"):
             raise RuntimeError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster")
-        key = id(spark.sparkContext)
+        key = id(spark)
         path = _LOCAL_CHECKPOINT.get(key) or tempfile.mkdtemp(prefix="graustein-ckpt-")
         _LOCAL_CHECKPOINT[key] = path
         try:
             spark.conf.set(CHECKPOINT_CONF, path)
         except Exception:  # some deployments reject setting core confs at runtime
             pass
-    spark.sparkContext.setCheckpointDir(path)
+    try:
+        spark.sparkContext.setCheckpointDir(path)  # for DataFrame.checkpoint()
+    except Exception:
+        pass
     return path
 
 
