@@ -36,13 +36,15 @@ def combine_results(lca: DataFrame, cost: DataFrame) -> DataFrame:
     return lca_rows_for_union(lca).unionByName(cost_rows_for_union(cost), allowMissingColumns=True)
 
 
-def merge_nested(*nested: DataFrame) -> DataFrame:
+def merge_nested(*nested: DataFrame, max_documents: int | None = 1_000) -> DataFrame:
     """A9 nested form: documents ``{guid, components, shared_guid}`` merged by guid; the
     component lists are concatenated (sorted) and ``shared_guid`` is the OR of the inputs
-    (N16). A group is one element's components, bounded by the model."""
+    (N16). One guid has one document per input; the bound on documents per guid is checked."""
+    from graustein.operators.lca import check_group_bound
     out = nested[0].select("guid", "components", "shared_guid")
     for n in nested[1:]:
         out = out.unionByName(n.select("guid", "components", "shared_guid"), allowMissingColumns=True)
+    check_group_bound(out, "guid", max_documents)
     return (out.groupBy("guid")
             .agg(F.sort_array(F.flatten(F.collect_list("components"))).alias("components"),
                  F.bool_or("shared_guid").alias("shared_guid")))

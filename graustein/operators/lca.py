@@ -142,11 +142,26 @@ COMPONENT_FIELDS = ("material_name", "kbob_uuid", "kbob_material_name", "volume"
                     "penr_relative", "ubp_absolute", "ubp_relative", "failed", "error_message")
 
 
-def nest_components(components: DataFrame) -> DataFrame:
+class GroupTooLarge(ValueError):
+    pass
+
+
+def check_group_bound(df: DataFrame, key: str, max_rows: int | None) -> None:
+    """Raise before any group of ``key`` larger than ``max_rows`` would be collected into
+    one array (one aggregate pass; partial counts combine map-side)."""
+    if max_rows is None:
+        return
+    big = df.groupBy(key).count().filter(F.col("count") > max_rows).limit(1).first()
+    if big is not None:
+        raise GroupTooLarge(f"{key}={big[key]} has {big['count']} rows (bound {max_rows}); keep it flat")
+
+
+def nest_components(components: DataFrame, max_components: int | None = 100_000) -> DataFrame:
     """A8 nested result document ``{guid, components:[...], shared_guid}``.
 
-    A group is one element's material layers, bounded by the element document, so
-    collecting it is safe; the list is sorted so the output is deterministic."""
+    A group is one element's material layers; the bound is checked first, so no unbounded
+    group is ever collected into one task. The list is sorted (deterministic output)."""
+    check_group_bound(components, "element_id", max_components)
     comp = F.struct(*[F.col(c) for c in COMPONENT_FIELDS])
     return (components.groupBy("project_id", F.col("element_id").alias("guid"))
             .agg(F.sort_array(F.collect_list(comp)).alias("components"))

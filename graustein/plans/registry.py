@@ -61,7 +61,8 @@ def q_lca_from_documents(spark, sf_dir):
     tables, then the same LCA straight from the documents; equals the table path."""
     from graustein.operators import elements as el
     mats = fx.element_materials(spark, sf_dir)
-    per_element = mats.groupBy("element_id").agg(  # one element's layers: bounded by the model
+    lca_ops.check_group_bound(mats, "element_id", 100_000)  # the layers of one element are collected below
+    per_element = mats.groupBy("element_id").agg(
         F.sort_array(F.collect_list("material_name")).alias("materials"),
         F.map_from_entries(F.collect_list(F.struct("material_name", F.struct("volume", "density")))).alias("material_volumes"))
     els = fx.elements(spark, sf_dir)

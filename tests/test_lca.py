@@ -166,3 +166,11 @@ def test_duplicate_catalogue_rows_do_not_multiply_components(spark, reference):
     els, mats = _tables(spark, [("b", "P", "C", "Beton", 1.0, 1.0), ("w", "P", "D", "Wärmedämmung", 1.0, 1.0)])
     comps, _ = jobs.lca(jobs.LcaInputs(els, mats, mappings, dup, versions, life))
     assert comps.count() == 2
+
+
+def test_nesting_bound_is_checked(spark, reference):
+    els, mats = _tables(spark, [("a", "P", "C", f"m{i}", 1.0, 2300.0) for i in range(5)])
+    comps, _ = jobs.lca(_inputs(spark, reference, els, mats))
+    with pytest.raises(lca.GroupTooLarge):
+        lca.nest_components(comps, max_components=3)
+    assert lca.nest_components(comps, max_components=5).first()["shared_guid"]
