@@ -27,7 +27,8 @@ def upsert(old: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequenc
 
     One shuffle per side on the key; hot keys are reduced map-side by ``last_wins``."""
     keys = list(keys)
-    batch = last_wins(batch, keys, list(order) or keys) if order else batch.dropDuplicates(keys)
+    # one row per key; without an order column the greatest row wins (deterministic, unlike dropDuplicates)
+    batch = last_wins(batch, keys, list(order))
     if keep_from_old:
         kept = old.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in keep_from_old])
         batch = batch.join(kept, keys, "left")
