@@ -71,7 +71,10 @@ def clean_messages(messages: DataFrame) -> DataFrame:
 
 def replies(messages: DataFrame, stats: DataFrame) -> DataFrame:
     """K5: one reply per handled message: ``{status, project_id, message}`` and its JSON."""
-    s = stats.select("project_id", "total_components", "failed_components")
+    from graustein.operators.joins import lookup_side
+    # one stats row per project: broadcast when proven small, so a project named by a third of
+    # the messages is not funnelled into one join task
+    s = lookup_side(stats.select("project_id", "total_components", "failed_components"))
     j = messages.join(s, "project_id", "left")
     ok = F.col("total_components").isNotNull()
     message = F.when(ok, F.concat(
