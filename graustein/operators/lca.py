@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graustein.functions.numbers import not_positive
-from graustein.operators.joins import last_wins, lookup_sides
+from graustein.operators.joins import last_wins, left_lookup, small_flags
 
 # Error codes of the LCA checks, in check order (N1), and the default
 # service life in years when no positive value is found.
@@ -62,18 +62,17 @@ def lca_components(components_in: DataFrame, mappings: DataFrame, catalogue: Dat
                    life: DataFrame, version: str, normalise_life: bool = False) -> DataFrame:
     """C1 core: one result row per input row, good or failed."""
     keys = ["project_id", "ifc_material"] if "project_id" in mappings.columns else ["ifc_material"]
-    mapping, kbob, years = lookup_sides(
-        usable_mappings(mappings).withColumnRenamed("ifc_material", "material_name"),
-        catalogue_of_version(catalogue, version),
-        service_life(life, normalise_life))
+    mapping = usable_mappings(mappings).withColumnRenamed("ifc_material", "material_name")
+    kbob = catalogue_of_version(catalogue, version).withColumn("_kbob_found", F.lit(True))
+    years = service_life(life, normalise_life).withColumnRenamed("life_code", "_life_key")
+    small = small_flags(mapping, kbob, years)
 
     from graustein.functions.ebkp import normalize_code
     life_key = normalize_code(F.trim("ebkp")) if normalise_life else F.trim("ebkp")
     join_keys = ["material_name" if k == "ifc_material" else k for k in keys]
-    df = (components_in
-          .join(mapping, join_keys, "left")
-          .join(kbob.withColumn("_kbob_found", F.lit(True)), "kbob_id", "left")
-          .join(years, life_key == F.col("life_code"), "left"))
+    df = left_lookup(components_in, mapping, join_keys, small[0])
+    df = left_lookup(df, kbob, ["kbob_id"], small[1])
+    df = left_lookup(df.withColumn("_life_key", life_key), years, ["_life_key"], small[2]).drop("_life_key")
 
     volume, density = F.col("volume"), F.col("density")
     error_code = (F.when(not_positive(volume), F.lit(INVALID_VOLUME))

@@ -80,6 +80,13 @@ def test_hot_project_and_material(spark):
         got = _rows(lca.project_impacts(comps2))
         assert comps2.filter("failed").count() == comps.filter("failed").count()
     assert got == base
+    for salted in ({**FALLBACK, "spark.sql.adaptive.skewJoin.enabled": "false"},
+                   {**FALLBACK, "graustein.skew.salts": "8"}):
+        with conf(spark, salted):
+            comps3, _ = jobs.lca(jobs.LcaInputs(elements, materials, mappings, catalogue, versions, life))
+            assert "_salt" in comps3._jdf.queryExecution().optimizedPlan().toString()
+            assert _rows(lca.project_impacts(comps3)) == base
+            assert _rows(comps3) == _rows(comps)
     hot = comps.filter("project_id = 'HOT'").count()
     assert hot >= n // 3 and comps.count() == n
 
