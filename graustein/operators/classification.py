@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graustein.functions.ebkp import CATALOGUE_LINE_PATTERN, main_code, normalize_code, parent_code
-from graustein.operators.joins import last_wins, lookup_side
+from graustein.operators.joins import is_small, last_wins, left_lookup, lookup_side
 
 # Match levels of the hierarchical lookup.
 EXACT, PARENT, MAIN, NONE = "exact", "parent", "main", "none"
@@ -65,22 +65,22 @@ def classify_hierarchical(values: DataFrame, catalogue: DataFrame) -> DataFrame:
     """J9 (mapper): normalise (3 levels) and look up exact -> parent -> main -> own text.
 
     Output: element_id, identification (raw value), code, description, match_level."""
-    cat = lookup_side(catalogue.select("code", "description"))
+    cat = catalogue.select("code", "description")
+    small = is_small(cat)
     v = (values.filter(F.trim("ebkp_value") != "")
          .select("element_id", F.col("ebkp_value").alias("identification"),
                  normalize_code("ebkp_value", 3).alias("code")))
-    v = v.select("element_id", "identification", F.col("code").alias("norm_code"),
+    v = v.select("element_id", "identification", "code",
                  parent_code("code").alias("parent"), main_code(F.split("code", r"\.")[0]).alias("main"))
-    # the same catalogue under three names: one broadcast, reused by the three lookups
-    exact, parent, main = cat.alias("c_exact"), cat.alias("c_parent"), cat.alias("c_main")
-    j = (v.join(exact, F.col("norm_code") == F.col("c_exact.code"), "left")
-         .join(parent, F.col("parent") == F.col("c_parent.code"), "left")
-         .join(main, F.col("main") == F.col("c_main.code"), "left"))
-    d_exact, d_parent, d_main = (F.col("c_exact.description"), F.col("c_parent.description"),
-                                 F.col("c_main.description"))
+    # three lookups of the same small catalogue (hot codes: salted when not broadcast, see left_lookup)
+    for level in ("exact", "parent", "main"):
+        key = "code" if level == "exact" else level
+        side = cat.select(F.col("code").alias(key), F.col("description").alias(f"d_{level}"))
+        v = left_lookup(v, side, [key], small)
+    d_exact, d_parent, d_main = F.col("d_exact"), F.col("d_parent"), F.col("d_main")
     level = (F.when(d_exact.isNotNull(), F.lit(EXACT)).when(d_parent.isNotNull(), F.lit(PARENT))
              .when(d_main.isNotNull(), F.lit(MAIN)).otherwise(F.lit(NONE)))
-    return j.select("element_id", "identification", F.col("norm_code").alias("code"),
+    return v.select("element_id", "identification", "code",
                     F.coalesce(d_exact, d_parent, d_main, F.col("identification")).alias("description"),
                     level.alias("match_level"))
 
@@ -88,10 +88,10 @@ def classify_hierarchical(values: DataFrame, catalogue: DataFrame) -> DataFrame:
 def classify_exact(values: DataFrame, catalogue: DataFrame) -> DataFrame:
     """J10 (classifier): normalise (2 levels), exact lookup, else own text.
     ``identification`` is the normalised code."""
-    cat = lookup_side(catalogue.select(F.col("code").alias("c"), F.col("description").alias("d")))
+    cat = catalogue.select(F.col("code").alias("identification"), F.col("description").alias("d"))
     v = (values.filter(F.trim("ebkp_value") != "")
          .select("element_id", "ebkp_value", normalize_code("ebkp_value", 2).alias("identification")))
-    j = v.join(cat, v.identification == cat.c, "left")
+    j = left_lookup(v, cat, ["identification"], is_small(cat))
     return j.select("element_id", "identification",
                     F.coalesce("d", "ebkp_value").alias("description"),
                     F.when(F.col("d").isNotNull(), F.lit(EXACT)).otherwise(F.lit(NONE)).alias("match_level"))

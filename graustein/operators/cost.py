@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graustein.functions.numbers import is_missing, not_positive
-from graustein.operators.joins import lookup_side
+from graustein.operators.joins import is_small, left_lookup
 
 # Cost error codes in check order (N2), the two units and the component name.
 COST_CODE_NOT_FOUND = "COST_CODE_NOT_FOUND"
@@ -52,10 +52,10 @@ def cost_key_projection(cost_reference: DataFrame) -> DataFrame:
 
 def cost_components(elements: DataFrame, cost_reference: DataFrame, version: str | None = None) -> DataFrame:
     """C2 core: one result row per element, good or failed."""
-    keys = lookup_side(cost_keys(cost_reference, version))
+    keys = cost_keys(cost_reference, version).withColumnRenamed("cost_code", "ebkp_h")
     code = F.trim(F.col("ebkp"))
-    df = elements.select(F.col("project_id"), F.col("id").alias("guid"), code.alias("ebkp_h"),
-                         "area_net", "length").join(keys, F.col("ebkp_h") == F.col("cost_code"), "left")
+    facts = elements.select(F.col("project_id"), F.col("id").alias("guid"), code.alias("ebkp_h"), "area_net", "length")
+    df = left_lookup(facts, keys, ["ebkp_h"], is_small(keys))
     unit = F.col("unit")
     quantity = F.when(unit == UNIT_AREA, F.col("area_net")).when(unit == UNIT_LENGTH, F.col("length"))
     error_code = (F.when(F.col("n_keys").isNull(), F.lit(COST_CODE_NOT_FOUND))

@@ -119,3 +119,12 @@ def test_catalogue_version_prunes_partitions(spark, capsys, tmp_dir):
     plan = _plan(comps, capsys)
     assert "PartitionFilters: [isnotnull(version" in plan and "2024-v1" in plan
     assert _rows(comps) == _rows(registry.lca_components(spark, SF))
+
+
+def test_cost_and_classification_salted_paths(spark):
+    import __spark_entry__ as entry
+    names = ["cost_components", "classification_mapper", "classification_classifier"]
+    base = {n: _rows(entry.queries()[n](spark, SF)) for n in names}
+    with conf(spark, {**FALLBACK, "graustein.skew.salts": "4"}):
+        for n in names:
+            assert _rows(entry.queries()[n](spark, SF)) == base[n], n
