@@ -17,8 +17,9 @@ class NoActiveVersion(ValueError):
 def active_version_row(versions: DataFrame) -> DataFrame:
     """T1 as a one-row DataFrame: the active version with the latest release date
     (ties broken by the greater version string). Versions are a small table."""
+    order = ([F.col("release_date").desc_nulls_last()] if "release_date" in versions.columns else []) + [F.col("version").desc()]
     return (versions.filter(F.col("is_active"))
-            .orderBy(F.col("release_date").desc_nulls_last(), F.col("version").desc())
+            .orderBy(*order)
             .limit(1)
             .select("version"))
 

@@ -61,18 +61,30 @@ def catalogue_of_version(catalogue: DataFrame, version: str) -> DataFrame:
 def lca_components(components_in: DataFrame, mappings: DataFrame, catalogue: DataFrame,
                    life: DataFrame, version: str, normalise_life: bool = False) -> DataFrame:
     """C1 core: one result row per input row, good or failed."""
-    keys = ["project_id", "ifc_material"] if "project_id" in mappings.columns else ["ifc_material"]
-    mapping = usable_mappings(mappings).withColumnRenamed("ifc_material", "material_name")
     kbob = catalogue_of_version(catalogue, version).withColumn("_kbob_found", F.lit(True))
     years = service_life(life, normalise_life).withColumnRenamed("life_code", "_life_key")
-    small = small_flags(mapping, kbob, years)
+    if "project_id" in mappings.columns:
+        # project rows first; rows without a project apply to every project (fallback)
+        per_project = (usable_mappings(mappings.filter(F.col("project_id").isNotNull()))
+                       .withColumnRenamed("ifc_material", "material_name").withColumnRenamed("kbob_id", "_kbob_project"))
+        shared = (usable_mappings(mappings.filter(F.col("project_id").isNull()).drop("project_id"))
+                  .withColumnRenamed("ifc_material", "material_name").withColumnRenamed("kbob_id", "_kbob_shared"))
+        small = small_flags(per_project, shared, kbob, years)
+        df = left_lookup(components_in, per_project, ["project_id", "material_name"], small[0])
+        df = left_lookup(df, shared, ["material_name"], small[1])
+        df = (df.withColumn("kbob_id", F.coalesce("_kbob_project", "_kbob_shared"))
+              .drop("_kbob_project", "_kbob_shared"))
+        small = small[2:]
+    else:
+        mapping = usable_mappings(mappings).withColumnRenamed("ifc_material", "material_name")
+        small = small_flags(mapping, kbob, years)
+        df = left_lookup(components_in, mapping, ["material_name"], small[0])
+        small = small[1:]
 
     from graustein.functions.ebkp import normalize_code
     life_key = normalize_code(F.trim("ebkp")) if normalise_life else F.trim("ebkp")
-    join_keys = ["material_name" if k == "ifc_material" else k for k in keys]
-    df = left_lookup(components_in, mapping, join_keys, small[0])
-    df = left_lookup(df, kbob, ["kbob_id"], small[1])
-    df = left_lookup(df.withColumn("_life_key", life_key), years, ["_life_key"], small[2]).drop("_life_key")
+    df = left_lookup(df, kbob, ["kbob_id"], small[0])
+    df = left_lookup(df.withColumn("_life_key", life_key), years, ["_life_key"], small[1]).drop("_life_key")
 
     volume, density = F.col("volume"), F.col("density")
     error_code = (F.when(not_positive(volume), F.lit(INVALID_VOLUME))

@@ -174,3 +174,12 @@ def test_nesting_bound_is_checked(spark, reference):
     with pytest.raises(lca.GroupTooLarge):
         lca.nest_components(comps, max_components=3)
     assert lca.nest_components(comps, max_components=5).first()["shared_guid"]
+
+
+def test_mapping_rows_without_project_apply_to_every_project(spark, reference):
+    catalogue, versions, life, _ = reference
+    mappings = spark.createDataFrame([(None, "Beton", BETON), ("P2", "Beton", GLASWOLLE)],
+                                     "project_id string, ifc_material string, kbob_id string")
+    els, mats = _tables(spark, [("a", "P1", "C", "Beton", 1.0, 1.0), ("b", "P2", "C", "Beton", 1.0, 1.0)])
+    comps, _ = jobs.lca(jobs.LcaInputs(els, mats, mappings, catalogue, versions, life))
+    assert {r["element_id"]: r["kbob_uuid"] for r in comps.collect()} == {"a": BETON, "b": GLASWOLLE}
