@@ -174,3 +174,28 @@ def shingles(hashes: np.ndarray, text: np.ndarray, n_texts: int, k: int = 5) ->
         new[1:] = (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])
         doc, h = doc[new], h[new]
     return doc, h
+
+
+FILTER_BITS = 1 << 26
+
+
+def bitmap_of(df: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarray:
+    """A one-hash Bloom filter of the column's values: ``bits`` / 8 bytes, whatever the rows.
+    ``filter_position`` gives the position of a value."""
+    from pyspark.sql import functions as F
+    at = df.select(filter_position(column, bits).alias("p"))
+    parts = at.groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("map"))
+    full = np.zeros((bits // 32768 + 1, 4096), np.uint8)
+    for row in parts.collect():  # at most bits / 32768 rows of 4 KB
+        full[row["bucket"] - 1] = np.frombuffer(row["map"], np.uint8)
+    return full.ravel()
+
+
+def filter_position(column: str, bits: int = FILTER_BITS):
+    from pyspark.sql import functions as F
+    return F.pmod(F.xxhash64(column), F.lit(bits)) + 1
+
+
+def in_bitmap(full: np.ndarray, position: np.ndarray) -> np.ndarray:
+    at = position - 1
+    return (full[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from graustein.llm import exact_dedup
+from graustein.llm import exact_dedup, near_dedup
 from graustein.llm.base import table
 
 QUERIES, ORACLE = {}, {}
@@ -27,3 +27,26 @@ def op10_exact_dedup(spark, sf_dir):
     """Every document with its group of equal texts."""
     return exact_dedup.groups(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+@query("op5_minhash_near_dedup", """
+WITH words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words),
+shingles AS (SELECT doc_id, unnest(s) AS g FROM sets),
+sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 85 * (p.n + q.n - c)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  WITH RECURSIVE r(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN both_ways e ON e.a = r.other)
+  SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id)
+SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM sizes JOIN reach USING (doc_id)""")
+def op5_minhash_near_dedup(spark, sf_dir):
+    """Every document with its near-duplicate component."""
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"), 85).select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
