@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from graustein.llm import exact_dedup, near_dedup
+from graustein.llm import chat_format, exact_dedup, near_dedup
 from graustein.llm.base import table
 
 QUERIES, ORACLE = {}, {}
@@ -50,3 +50,33 @@ def op5_minhash_near_dedup(spark, sf_dir):
     """Every document with its near-duplicate component."""
     return near_dedup.near_groups(table(spark, sf_dir, "documents"), 85).select(
         F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
+def _escaped(text):
+    """DuckDB: ``text`` with the control strings escaped."""
+    for opening, rest in (("<", "/?s>"), ("\\[", "/?INST\\]"), ("<<", "/?SYS>>")):
+        text = f"regexp_replace({text}, '({opening})(\\\\*{rest})', '\\1\\\\\\2', 'g')"
+    return text
+
+
+@query("op1_chat_format", f"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+turns AS (
+  SELECT *, length({_escaped("replace(replace(role, '&', '&amp;'), chr(10), '&#10;')")}) + length({_escaped("text")}) + 8
+         + CASE WHEN role = 'assistant' THEN 0 ELSE 15 END AS chars FROM rows)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id""")
+def op1_chat_format(spark, sf_dir):
+    """All conversations and one whose texts hold control strings, formatted and read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                    F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    messages = chat_format.chains(rows.unionByName(control))
+    chunks = chat_format.formatted(messages, chat_format.best_paths(messages, top=1))
+    return chat_format.digests(chunks).withColumnRenamed("tree", "conv_id").drop("path")
