@@ -31,12 +31,17 @@ def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return os.path.join(checkpoint_dir(spark), "llm", f"{name}-{uuid.uuid4().hex}")
+
+
 def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back with its own schema.
 
     Cuts the lineage: what follows rereads files when an executor is lost."""
     spark = df.sparkSession
-    path = os.path.join(checkpoint_dir(spark), "llm", f"{name}-{uuid.uuid4().hex}")
+    path = scratch(spark, name)
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from graustein.llm import chat_format, exact_dedup, near_dedup
-from graustein.llm.base import table
+from graustein.llm import bpe, chat_format, exact_dedup, near_dedup, token_planes
+from graustein.llm.base import scratch, table
 
 QUERIES, ORACLE = {}, {}
 
@@ -80,3 +80,21 @@ def op1_chat_format(spark, sf_dir):
     messages = chat_format.chains(rows.unionByName(control))
     chunks = chat_format.formatted(messages, chat_format.best_paths(messages, top=1))
     return chat_format.digests(chunks).withColumnRenamed("tree", "conv_id").drop("path")
+
+
+@query("op9_byte_bpe")
+def op9_byte_bpe(spark, sf_dir):
+    """Every document encoded by the ranks file and decoded from its ids."""
+    import public_tokenizers
+    coded = bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.digests(coded).withColumnRenamed("id", "doc_id")
+
+
+@query("op2_token_planes")
+def op2_token_planes(spark, sf_dir):
+    """Every document's ids, written in the plane format and read back from the files."""
+    import public_tokenizers
+    out = scratch(spark, "token_planes")
+    token_planes.write(table(spark, sf_dir, "documents"), out, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_planes.read(spark, out, F.crc32("ids").alias("ids_crc32")).select(
+        F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
