@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from graustein.llm import bpe, chat_format, exact_dedup, near_dedup, token_planes
+from graustein.llm import bpe, chat_format, exact_dedup, near_dedup, suffix_dedup, token_planes
 from graustein.llm.base import scratch, table
 
 QUERIES, ORACLE = {}, {}
@@ -98,3 +98,9 @@ def op2_token_planes(spark, sf_dir):
     token_planes.write(table(spark, sf_dir, "documents"), out, public_tokenizers.path("byte_bpe_50k.json"))
     return token_planes.read(spark, out, F.crc32("ids").alias("ids_crc32")).select(
         F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
+@query("op7_suffix_dedup")
+def op7_suffix_dedup(spark, sf_dir):
+    """Every document without the bytes that a repeated 200-byte string covers."""
+    return suffix_dedup.repeats_removed(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
