@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from graustein.session import checkpoint_dir
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+BATCH_ROWS = 2000
 REPO = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -28,6 +29,9 @@ def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     env = getattr(df.sparkSession.sparkContext, "environment", None)
     if env is not None and REPO not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (REPO, env.get("PYTHONPATH", "")) if x)
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))  # rows hold whole texts
     return df.mapInArrow(fn, schema)
 
 

@@ -9,11 +9,17 @@
 2. Rows with equal signatures form a class; one row of each class goes on.
 3. Coordinates are banded by four: two sets of similarity 0.85 share none of the 32 bands with
    probability 6e-11 (0.8: 5e-8).
-4. Links are confirmed on the full sets. In each bucket of classes with a common band, some
-   leaders are compared with the members of other components; links join components, and
-   rounds go on until no bucket holds two members of different components that weren't
-   compared. A component needs its links no more than once, so a bucket of many copies costs
-   about its number of members and no pairs within the group are listed.
+4. Classes with a common band are candidates. Of these, the full sets are built again and
+   pairs are narrowed without loss: ordered from the rarest shingle (counted over all
+   candidates) on, two linked sets share one of their first n - ceil(0.85 n) + 1 shingles,
+   and what follows the first common one must suffice for the similarity. Variants that each
+   changed too much drop out here, however many there are.
+5. Links are confirmed on the full sets. In each bucket of classes with a common rare
+   shingle, some leaders are compared with the members of other components; links join
+   components, and rounds with more leaders go on until no bucket holds two members of
+   different components that weren't compared. A component needs its links no more than
+   once, so a bucket of many copies costs about its number of members and no pairs within
+   the group are listed.
 
 Full sets are built again only for the classes in shared buckets: a filter of fixed size
 (8 MB) on their ids skips the other texts.
@@ -117,7 +123,7 @@ def _candidate_sets(shared):
                 np.cumsum(n, out=cut[1:])
                 sig = signatures(doc, h, n)
                 yield pa.record_batch([pa.array([x.tobytes() for x in sig], pa.binary()),
-                                       pa.array([h[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())], ["cls", "h"])
+                                       pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(h.view(np.int64)))], ["cls", "h"])
     return run
 
 
@@ -126,7 +132,7 @@ def _verify(percent: int):
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                x, y = (v.values.to_numpy().view(np.uint64) for v in (x, y))
                 at = np.minimum(np.searchsorted(y, x), len(y) - 1)
                 both = int((y[at] == x).sum())
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
@@ -134,8 +140,22 @@ def _verify(percent: int):
     return run
 
 
-def _links(reps: DataFrame, buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(node, label) of the classes that have links; ``buckets`` (band, uid), ``sets`` (uid, n, h)."""
+def rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
+    """(token, uid, n, rest) of the shingles at which two linked sets can meet first: ``sets``
+    (uid, n, h); ``rest`` counts the set's shingles from this one on, rarest first."""
+    each = sets.select("uid", "n", F.explode("h").alias("token"))
+    count = each.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    common = each.join(count, "token").groupBy("uid", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("common"))
+    needed = F.ceil(F.col("n") * percent / 100).cast("long")
+    own = F.col("n") - F.size("common")  # shingles of no other set come first
+    first = F.greatest(F.lit(0), F.col("n") - needed + 1 - own).cast("int")
+    return common.select("uid", "n", own.alias("own"), F.posexplode(F.slice("common", F.lit(1), first)).alias("at", "c")).select(
+        F.col("c.token").alias("token"), "uid", "n", (F.col("n") - F.col("own") - F.col("at")).alias("rest"))
+
+
+def _links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """(node, label) of the classes that have links, None without links; ``buckets`` (token, uid,
+    n, rest), ``sets`` (uid, n, h)."""
     labels, links, compared, leaders = None, None, None, 1
     while True:
         here = buckets
@@ -143,26 +163,25 @@ def _links(reps: DataFrame, buckets: DataFrame, sets: DataFrame, percent: int) -
             here = here.withColumn("label", F.col("uid"))
         else:
             here = (here.join(labels.withColumnRenamed("node", "uid"), "uid", "left")
-                    .select("band", "uid", F.coalesce("label", "uid").alias("label")))
-        parts = here.groupBy("band", "label").agg(F.count(F.lit(1)).alias("size"))
-        mixed = parts.groupBy("band").agg(F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("band")
-        here = stored(here.join(mixed, "band"), "mixed")
+                    .select(*buckets.columns, F.coalesce("label", "uid").alias("label")))
+        parts = here.groupBy("token", "label").agg(F.count(F.lit(1)).alias("size"))
+        mixed = parts.groupBy("token").agg(F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("token")
+        here = stored(here.join(mixed, "token"), "mixed")
         if here.isEmpty():
-            break
-        sizes = here.groupBy("band", "label").agg(F.count(F.lit(1)).alias("size"))
-        ranked = here.join(sizes, ["band", "label"]).withColumn(
-            "rank", F.row_number().over(W.partitionBy("band").orderBy("size", "uid"))).filter(F.col("rank") <= leaders)
-        chosen = stored(ranked.select("band", F.col("uid").alias("leader"), F.col("label").alias("of")), "leaders")
-        pairs = (here.join(chosen, "band").filter("label != of")
+            return labels
+        sizes = here.groupBy("token", "label").agg(F.count(F.lit(1)).alias("size"))
+        ranked = here.join(sizes, ["token", "label"]).withColumn(
+            "rank", F.row_number().over(W.partitionBy("token").orderBy("size", "uid"))).filter(F.col("rank") <= leaders)
+        chosen = stored(ranked.select("token", F.col("uid").alias("leader"), F.col("label").alias("of"),
+                                      F.col("n").alias("of_n"), F.col("rest").alias("of_rest")), "leaders")
+        feasible = F.least("rest", "of_rest") * (100 + percent) >= (F.col("n") + F.col("of_n")) * percent
+        pairs = (here.join(chosen, (here["token"] == chosen["token"]) & (F.col("label") != F.col("of")) & feasible)
                  .select(F.least("uid", "leader").alias("a"), F.greatest("uid", "leader").alias("b")).distinct())
         if compared is not None:
             pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
-        x = sets.select(F.col("uid").alias("a"), F.col("n").alias("na"), F.col("h").alias("ha"))
-        y = sets.select(F.col("uid").alias("b"), F.col("n").alias("nb"), F.col("h").alias("hb"))
-        alike = pairs.join(sets.select(F.col("uid").alias("a"), F.col("n").alias("ma")), "a").join(
-            sets.select(F.col("uid").alias("b"), F.col("n").alias("mb")), "b").filter(
-            F.least("ma", "mb") * 100 >= F.greatest("ma", "mb") * percent).select("a", "b")
-        done = stored(map_arrow(alike.join(x, "a").join(y, "b").select("a", "b", "ha", "hb"), _verify(percent),
+        x = sets.select(F.col("uid").alias("a"), F.col("h").alias("ha"))
+        y = sets.select(F.col("uid").alias("b"), F.col("h").alias("hb"))
+        done = stored(map_arrow(pairs.join(x, "a").join(y, "b").select("a", "b", "ha", "hb"), _verify(percent),
                                 "a long, b long, linked boolean"), "verified")
         compared = done if compared is None else compared.unionByName(done)
         found = done.filter("linked").select("a", "b")
@@ -170,11 +189,9 @@ def _links(reps: DataFrame, buckets: DataFrame, sets: DataFrame, percent: int) -
         if not found.isEmpty():
             labels = components(links)
         # a leader has met every other component of its bucket: it leaves the bucket
-        buckets = stored(here.select("band", "uid").join(chosen.select("band", F.col("leader").alias("uid")), ["band", "uid"], "left_anti"), "buckets")
-        leaders = min(leaders * 4, 1 << 20)
-    if labels is None:
-        return reps.select(F.col("uid").alias("node"), F.col("uid").alias("label")).limit(0)
-    return labels
+        gone = chosen.select("token", F.col("leader").alias("uid"))
+        buckets = stored(here.select(*buckets.columns).join(gone, ["token", "uid"], "left_anti"), "buckets")
+        leaders *= 64
 
 
 def near_groups(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -192,14 +209,15 @@ def near_groups(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text
     reps = rows.select("uid", "bands").join(classes.select("uid"), "uid")
     each = reps.select("uid", F.explode("bands").alias("band"))
     shared = each.groupBy("band").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("band")
-    buckets = stored(each.join(shared, "band").select("band", "uid"), "buckets")
-    wanted = stored(classes.join(buckets.select("uid").distinct(), "uid"), "wanted")
+    candidates = each.join(shared, "band").select("uid").distinct()
+    wanted = stored(classes.join(candidates, "uid"), "wanted")
     bitmap = docs.sparkSession.sparkContext.broadcast(base.bitmap_of(wanted, "id"))
-    again = map_arrow(texts.select(base.filter_position("id").alias("p"), "text"), _candidate_sets(bitmap), "cls binary, h binary")
+    again = map_arrow(texts.select(base.filter_position("id").alias("p"), "text"), _candidate_sets(bitmap), "cls binary, h array<long>")
     sets = stored(again.join(wanted.select("cls", "uid", "n"), "cls").groupBy("uid", "n").agg(F.any_value("h").alias("h")), "sets")
-    labels = _links(classes, buckets, sets, percent)
-    labelled = classes.join(labels.withColumnRenamed("node", "uid"), "uid", "left").select(
-        "cls", "id", "uid", F.coalesce("label", "uid").alias("label"))
+    labels = _links(stored(rare_shingles(sets, percent), "rare"), sets, percent)
+    labelled = classes.withColumn("label", F.col("uid"))
+    if labels is not None:
+        labelled = classes.join(labels.withColumnRenamed("node", "uid"), "uid", "left").withColumn("label", F.coalesce("label", "uid"))
     heads = labelled.groupBy("label").agg(F.min(order).alias("head"))
     of_class = stored(labelled.join(heads, "label").select("cls", F.col("head.id").alias("head_id"), F.col("head.uid").alias("head_uid")), "heads")
     return rows.join(of_class, "cls", "left").select(
