@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from graustein.llm import bpe, chat_format, exact_dedup, near_dedup, suffix_dedup, token_planes
+from graustein.llm import bpe, chat_format, exact_dedup, near_dedup, pii, suffix_dedup, token_planes
 from graustein.llm.base import scratch, table
 
 QUERIES, ORACLE = {}, {}
@@ -104,3 +104,11 @@ def op2_token_planes(spark, sf_dir):
 def op7_suffix_dedup(spark, sf_dir):
     """Every document without the bytes that a repeated 200-byte string covers."""
     return suffix_dedup.repeats_removed(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query("op4_pii")
+def op4_pii(spark, sf_dir):
+    """The personal data in every document."""
+    found = pii.spans(table(spark, sf_dir, "documents"))
+    counts = (pii.count(F.col("base"), i).alias(f"n_{k}") for i, k in enumerate(pii.BASE))
+    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("all")).alias("spans"))
