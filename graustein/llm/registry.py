@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from graustein.llm import bpe, chat_format, exact_dedup, near_dedup, pii, suffix_dedup, token_planes
+from graustein.llm import bpe, chat_format, exact_dedup, near_dedup, pii, suffix_dedup, token_planes, toxicity
 from graustein.llm.base import scratch, table
 
 QUERIES, ORACLE = {}, {}
@@ -112,3 +112,11 @@ def op4_pii(spark, sf_dir):
     found = pii.spans(table(spark, sf_dir, "documents"))
     counts = (pii.count(F.col("base"), i).alias(f"n_{k}") for i, k in enumerate(pii.BASE))
     return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("all")).alias("spans"))
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark, sf_dir):
+    """Every document with its expected severity; the model is trained on the labels."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, model).withColumnRenamed("id", "doc_id")
