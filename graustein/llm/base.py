@@ -118,17 +118,21 @@ def powers(n: int) -> np.ndarray:
 def word_spans(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, text number) of the maximal runs of bytes outside ``space``, in order;
     no run crosses a text's end."""
-    if not len(data):
+    return mask_spans(~space[data], offsets)
+
+
+def mask_spans(word: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, text number) of the maximal runs of set places; no run crosses a text's end."""
+    if not len(word):
         z = np.zeros(0, np.int64)
         return z, z, z
-    word = ~space[data]
-    edge = np.zeros(len(data) + 1, bool)
+    edge = np.zeros(len(word) + 1, bool)
     edge[offsets] = True
-    before = np.empty(len(data), bool)
+    before = np.empty(len(word), bool)
     before[0] = False
     before[1:] = word[:-1]
     starts = np.flatnonzero(word & (~before | edge[:-1]))
-    after = np.empty(len(data), bool)
+    after = np.empty(len(word), bool)
     after[-1] = False
     after[:-1] = word[1:]
     ends = np.flatnonzero(word & (~after | edge[1:])) + 1
@@ -191,8 +195,12 @@ FILTER_BITS = 1 << 26
 def bitmap_of(df: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarray:
     """A one-hash Bloom filter of the column's values: ``bits`` / 8 bytes, whatever the rows.
     ``filter_position`` gives the position of a value."""
+    return bitmap_at(df.select(filter_position(column, bits).alias("p")), bits)
+
+
+def bitmap_at(at: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
+    """The bitmap with the places ``p`` (from 1 on) set."""
     from pyspark.sql import functions as F
-    at = df.select(filter_position(column, bits).alias("p"))
     parts = at.groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("map"))
     full = np.zeros((bits // 32768 + 1, 4096), np.uint8)
     for row in parts.collect():  # at most bits / 32768 rows of 4 KB

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from graustein.llm import bpe, chat_format, exact_dedup, near_dedup, pii, suffix_dedup, token_planes, toxicity
+from graustein.llm import bpe, chat_format, decontaminate, exact_dedup, near_dedup, pii, suffix_dedup, token_planes, toxicity
 from graustein.llm.base import scratch, table
 
 QUERIES, ORACLE = {}, {}
@@ -120,3 +120,9 @@ def op6_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.scored(docs, model).withColumnRenamed("id", "doc_id")
+
+
+@query("op8_decontaminate")
+def op8_decontaminate(spark, sf_dir):
+    """Every document with the benchmark items that contaminate it."""
+    return decontaminate.marked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).withColumnRenamed("id", "doc_id")
