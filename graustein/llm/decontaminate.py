@@ -56,6 +56,14 @@ def _hash_words(words: list[str]) -> np.ndarray:
 UNIT_HASHES = _hash_words(UNITS)
 
 
+def folded(data: np.ndarray) -> np.ndarray:
+    """Lower case for A-Z and the accented letters of Latin-1 (two bytes in UTF-8)."""
+    out = base.LOWER[data]
+    accented = (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97) & (data[:-1] == 0xC3)
+    out[1:][accented] += 32
+    return out
+
+
 def template(data: np.ndarray, offsets: np.ndarray):
     """(text number, key, value, literal) of the template tokens: ``key`` is what must agree, the
     hash of a literal or of a placeholder's type; ``value`` the hash of what filled a slot, or 0."""
@@ -69,7 +77,7 @@ def template(data: np.ndarray, offsets: np.ndarray):
     point[inner[inner < len(data)]] = False
     point[inner[inner > 0] - 1] = False
     starts, ends, doc = base.mask_spans(~APART[data] | point, offsets)
-    h = base.span_hashes(base.LOWER[data], starts, ends)
+    h = base.span_hashes(folded(data), starts, ends)
     if not len(h):
         return doc, h, h, np.zeros(0, bool)
     first = np.ones(len(h), bool)
