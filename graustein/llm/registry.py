@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from graustein.llm import bpe, chat_format, decontaminate, exact_dedup, near_dedup, pii, suffix_dedup, token_planes, toxicity
+from graustein.llm import bpe, chat_format, decontaminate, exact_dedup, licenses, near_dedup, pii, suffix_dedup, token_planes, toxicity
 from graustein.llm.base import scratch, table
 
 QUERIES, ORACLE = {}, {}
@@ -126,3 +126,35 @@ def op6_toxicity(spark, sf_dir):
 def op8_decontaminate(spark, sf_dir):
     """Every document with the benchmark items that contaminate it."""
     return decontaminate.marked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).withColumnRenamed("id", "doc_id")
+
+
+def _license_sql() -> str:
+    """DuckDB: the same scan, written with its own tables."""
+    import re
+    quote = lambda s: "'" + s.replace("'", "''") + "'"
+    rows = []
+    for rule, (name, ids) in enumerate(licenses.RULES):
+        parts = [p for i in ids for p in map(licenses.normal, re.split(r"(?<=[.!?;:])[ \t]+", licenses.SENTENCES[i])) if re.search("[a-z]", p)]
+        rows += [f"({quote(p)}, {rule}, {quote(name)}, {step}, {len(parts)})" for step, p in enumerate(parts)]
+    clean = ("list_filter(list_transform({}, lambda p: trim(regexp_replace(translate(p, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+             "'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g'))), lambda p: regexp_matches(p, '[a-z]'))")
+    lines = clean.format("string_split(regexp_replace(text, '([.!?;:])[ \\t]+', '\\1' || chr(10), 'g'), chr(10))")
+    wrapped = clean.format("string_split(regexp_replace(translate(regexp_replace(text, '\\n[ \\t\\r]*\\n', chr(1), 'g'), chr(10), ' '), "
+                           "'([.!?;:])[ \\t]+', '\\1' || chr(1), 'g'), chr(1))")
+    return f"""
+WITH rules(sentence, rule, license, step, size) AS (VALUES {', '.join(rows)}),
+cut AS (SELECT doc_id, 0 AS form, {lines} AS s FROM documents UNION ALL SELECT doc_id, 1, {wrapped} FROM documents),
+units AS (SELECT doc_id, form, unnest(s) AS sentence, generate_subscripts(s, 1) AS place FROM cut),
+runs AS (
+  SELECT doc_id, form, rule, license, count(DISTINCT step)::DOUBLE / size AS score
+  FROM units JOIN rules USING (sentence) GROUP BY doc_id, form, rule, license, size, place - step),
+forms AS (
+  SELECT doc_id, form, license, max(score) AS score, count(*) FILTER (score = 1) AS n_full
+  FROM runs WHERE score >= 0.6 GROUP BY ALL)
+SELECT doc_id, license, max(score) AS score, max(n_full) AS n_full FROM forms GROUP BY doc_id, license"""
+
+
+@query("op3_license_scan", _license_sql())
+def op3_license_scan(spark, sf_dir):
+    """The licences that the sentences of every document name."""
+    return licenses.scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
