@@ -96,6 +96,32 @@ def seed(n: int) -> np.uint64:
     return mix(np.array([(n + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1)], np.uint64))[0]
 
 
+def text_hash(column):
+    """xxhash64 of a text column, null as empty: with the id it tells apart rows of equal ids."""
+    from pyspark.sql import functions as F
+    return F.xxhash64(F.coalesce(column.cast("string"), F.lit("")))
+
+
+def keep_rows(docs: DataFrame, decided: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` without the rows that ``decided`` (id, th, kept: a row for each of them) drops, all
+    columns kept. Of rows that agree in id and text, as many stay as are kept; such rows
+    alone take a distinct pass."""
+    from pyspark.sql import functions as F
+    per_key = stored(decided.groupBy("id", "th").agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("n"))
+                     .filter("NOT stays OR n > 1"), "dropped")
+    key = "_text_hash"
+    while key in docs.columns:
+        key += "_"
+    tagged = docs.withColumn(key, text_hash(docs[text_col]))
+    match = lambda side: tagged[id_col].eqNullSafe(side["id"]) & (tagged[key] == side["th"])
+    once = tagged.join(per_key, match(per_key), "left_anti").drop(key)
+    ties = per_key.filter("stays")
+    if ties.isEmpty():
+        return once
+    again = tagged.join(ties, match(ties), "left_semi").dropDuplicates([id_col, key]).drop(key)
+    return once.unionByName(again)
+
+
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)

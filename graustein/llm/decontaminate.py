@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graustein.llm import base
-from graustein.llm.base import map_arrow, mix, seed, stored
+from graustein.llm.base import map_arrow, mix, seed, stored, text_hash
 from graustein.llm.toxicity import APART
 
 WINDOW = 8
@@ -192,7 +192,7 @@ def marked(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     found = leaks(docs, items, id_col, text_col, **options)
     per = stored(found.groupBy(F.col("id").alias("fid"), F.col("th").alias("fth")).agg(
         F.array_sort(F.collect_set("item")).alias("items"), F.max("coverage").alias("coverage"), F.max("reparameterised").alias("reparameterised")), "leaks")
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("th"))
+    rows = docs.select(F.col(id_col).alias("id"), text_hash(F.col(text_col)).alias("th"))
     return rows.join(per, (rows["th"] == per["fth"]) & rows["id"].eqNullSafe(per["fid"]), "left").select(
         "id", F.col("items").isNotNull().alias("contaminated"), F.coalesce("items", F.array().cast(per.schema["items"].dataType)).alias("items"),
         F.coalesce("coverage", F.lit(0.0)).alias("coverage"), F.coalesce("reparameterised", F.lit(False)).alias("reparameterised"))
@@ -201,5 +201,5 @@ def marked(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that no item contaminates, with all their columns."""
     found = stored(leaks(docs, items, id_col, text_col, **options).select("id", "th").distinct(), "leaks")
-    th = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
+    th = text_hash(docs[text_col])
     return docs.join(found, docs[id_col].eqNullSafe(found["id"]) & (th == found["th"]), "left_anti")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graustein.llm.base import map_arrow, stored, utf8
+from graustein.llm.base import keep_rows, map_arrow, stored, text_hash, utf8
 
 BLOOM_BITS = 1 << 26
 SEGMENTS = 64
@@ -29,9 +29,9 @@ HASHES = 2
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(uid, id, digest) of every row; ``uid`` tells rows apart and is written once."""
+    """(uid, id, th, digest) of every row; ``uid`` tells rows apart and is written once."""
     return stored(docs.select(
-        F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"),
+        F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"), text_hash(F.col(text_col)).alias("th"),
         F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)).alias("digest")), "digests")
 
 
@@ -100,43 +100,27 @@ def _look_up(shared, bits: int):
     def run(batches):
         for b in batches:
             packed = shared.value
-            at = _positions(b.column(2), bits)
+            at = _positions(b.column(3), bits)
             hit = ((packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=1)
-            yield pa.record_batch([*b.columns, pa.array(hit)], ["uid", "id", "digest", "maybe"])
+            yield pa.record_batch([*b.columns, pa.array(hit)], ["uid", "id", "th", "digest", "maybe"])
     return run
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BLOOM_BITS) -> DataFrame:
-    """One row per row of ``docs``: uid, id, keep_id, group_size, kept, digest (binary)."""
+    """One row per row of ``docs``: uid, id, th, keep_id, group_size, kept, digest (binary)."""
     rows = digests(docs, id_col, text_col)
     id_type = rows.schema["id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(repeated_filter(rows, bits))
-    looked = stored(map_arrow(rows, _look_up(shared, bits), f"uid long, id {id_type}, digest binary, maybe boolean"), "looked")
+    looked = stored(map_arrow(rows, _look_up(shared, bits), f"uid long, id {id_type}, th long, digest binary, maybe boolean"), "looked")
     maybe = looked.filter("maybe").drop("maybe")
     of_group = maybe.groupBy("digest").agg(F.max(F.struct("id", "uid")).alias("best"), F.count(F.lit(1)).alias("group_size"))
     shuffled = maybe.join(of_group, "digest").select(
-        "uid", "id", F.col("best.id").alias("keep_id"), "group_size", (F.col("best.uid") == F.col("uid")).alias("kept"), "digest")
+        "uid", "id", "th", F.col("best.id").alias("keep_id"), "group_size", (F.col("best.uid") == F.col("uid")).alias("kept"), "digest")
     straight = looked.filter("NOT maybe").select(
-        "uid", "id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "digest")
+        "uid", "id", "th", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "digest")
     return shuffled.unionByName(straight)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BLOOM_BITS) -> DataFrame:
-    """``docs`` with one row for each distinct text (the one with the largest id), all columns kept.
-
-    Rows are told apart by (id, text digest), so only a row agreeing in both with another
-    needs a distinct pass of its own; that pass takes such rows alone."""
-    gone = groups(docs, id_col, text_col, bits)
-    key = "_dedup_digest"
-    while key in docs.columns:
-        key += "_"
-    tagged = docs.withColumn(key, F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)))
-    per_key = (gone.filter("group_size > 1").groupBy("id", "digest")
-               .agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("n"))
-               .filter("NOT stays OR n > 1"))
-    per_key = stored(per_key, "dropped")
-    match = lambda side: tagged[id_col].eqNullSafe(side["id"]) & (tagged[key] == side["digest"])
-    once = tagged.join(per_key, match(per_key), "left_anti")
-    ties = per_key.filter("stays AND n > 1")
-    again = tagged.join(ties, match(ties), "left_semi").dropDuplicates([id_col, key])
-    return once.unionByName(again).drop(key)
+    """``docs`` with one row for each distinct text (the one with the largest id), all columns kept."""
+    return keep_rows(docs, groups(docs, id_col, text_col, bits).select("id", "th", "kept"), id_col, text_col)

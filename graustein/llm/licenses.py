@@ -78,7 +78,7 @@ RULES = [
     ("BSD-2-Clause", ["bsd.redist", "bsd.source", "bsd.binary"]), ("BSD-3-Clause", ["bsd.redist", "bsd.source", "bsd.binary", "bsd.name"]),
     ("MPL-2.0", ["mpl.notice"]), ("ISC", ["isc.grant"]), ("Unlicense", ["unlicense.free"]), ("Proprietary", ["rights.all"]),
 ]
-WORDS = "licen[sc]e|copyright|permission|software|redistribut|program"
+WORDS = "licen[sc]e|copyright|permission|software|redistribut|program|warranty|rights"
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 

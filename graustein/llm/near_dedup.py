@@ -39,7 +39,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from graustein.llm import base
-from graustein.llm.base import map_arrow, mix, seed, stored
+from graustein.llm.base import keep_rows, map_arrow, mix, seed, stored, text_hash
 from graustein.llm.components import components
 
 SKETCH, ROWS = 128, 4
@@ -96,7 +96,7 @@ def bands(sketches: np.ndarray) -> np.ndarray:
 
 def _sketch_rows(batches):
     for batch in batches:
-        for i, j, data, offsets in base.slices(batch.column(2)):
+        for i, j, data, offsets in base.slices(batch.column(3)):
             doc, h = text_shingles(data, offsets)
             n = np.bincount(doc, minlength=j - i)
             some = np.flatnonzero(n)
@@ -105,10 +105,10 @@ def _sketch_rows(batches):
             lists = np.zeros(j - i + 1, np.int32)
             lists[1:] = np.cumsum((n > 0) * band.shape[1])
             yield pa.record_batch([
-                *(c.slice(i, j - i) for c in batch.columns[:2]), pa.array(n.astype(np.int64)),
+                *(c.slice(i, j - i) for c in batch.columns[:3]), pa.array(n.astype(np.int64)),
                 pa.array([x.tobytes() for x in sig], pa.binary()),
                 pa.ListArray.from_arrays(pa.array(lists), pa.array(band.ravel())),
-            ], ["uid", "id", "n", "cls", "bands"])
+            ], ["uid", "id", "th", "n", "cls", "bands"])
 
 
 def _candidate_sets(shared):
@@ -195,14 +195,14 @@ def _links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame | Non
 
 
 def near_groups(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: uid, id, n_shingles, component_id, kept.
+    """One row per row of ``docs``: uid, id, th, n_shingles, component_id, kept.
 
     Two rows are linked when the intersection of their shingle sets is at least ``percent``
     hundredths of the union; component_id is the smallest id that can be reached."""
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = stored(map_arrow(
-        texts.select(F.monotonically_increasing_id().alias("uid"), "id", "text"), _sketch_rows,
-        f"uid long, id {texts.schema['id'].dataType.simpleString()}, n long, cls binary, bands array<long>"), "sketches")
+        texts.select(F.monotonically_increasing_id().alias("uid"), "id", text_hash(F.col("text")).alias("th"), "text"), _sketch_rows,
+        f"uid long, id {texts.schema['id'].dataType.simpleString()}, th long, n long, cls binary, bands array<long>"), "sketches")
     order = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("uid"))
     classes = stored(rows.filter("n > 0").groupBy("cls", "n").agg(F.min(order).alias("first"))
                      .select("cls", "n", F.col("first.uid").alias("uid"), F.col("first.id").alias("id")), "classes")
@@ -221,6 +221,11 @@ def near_groups(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text
     heads = labelled.groupBy("label").agg(F.min(order).alias("head"))
     of_class = stored(labelled.join(heads, "label").select("cls", F.col("head.id").alias("head_id"), F.col("head.uid").alias("head_uid")), "heads")
     return rows.join(of_class, "cls", "left").select(
-        "uid", "id", F.col("n").alias("n_shingles"),
+        "uid", "id", "th", F.col("n").alias("n_shingles"),
         F.when(F.col("head_uid").isNull(), F.col("id")).otherwise(F.col("head_id")).alias("component_id"),
         (F.coalesce("head_uid", "uid") == F.col("uid")).alias("kept"))
+
+
+def keep_one(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group (the one with the smallest id), all columns kept."""
+    return keep_rows(docs, near_groups(docs, percent, id_col, text_col).select("id", "th", "kept"), id_col, text_col)
