@@ -4,7 +4,7 @@ Each task keeps a DuckDB table of the pairs that merge (left id, right id, merge
 id is the rank) and one of the pieces. Token-position rows of the distinct words join the
 merge table; in every step the leftmost pair of least rank of each word is contracted, until
 no word has a pair left. Decoding joins a text's ids with the pieces and concatenates them
-by an aggregate ordered by position.
+by an aggregate over the rows ordered by position (one DuckDB thread keeps that order).
 
 The recursion keeps the rows of every step, so it costs a word its length squared. Words of
 more than ``LONG`` bytes (runs without a pattern boundary) are therefore contracted by the
@@ -30,6 +30,7 @@ from graustein.llm.chunks import Encoded, text_slices
 
 LONG = 256
 WORDS_AT_ONCE = 40_000
+KNOWN_WORDS = 400_000  # contracted words that a worker remembers
 
 CONTRACT = """
 WITH RECURSIVE state AS (
@@ -51,7 +52,8 @@ SELECT word, id FROM (SELECT word, place, id, step, max(step) OVER (PARTITION BY
 WHERE step = last ORDER BY word, place"""
 
 DECODE = """
-SELECT text, string_agg(piece, '' ORDER BY place) AS bytes FROM tokens JOIN pieces USING (id) GROUP BY text ORDER BY text"""
+SELECT text, string_agg(piece, '') AS bytes
+FROM (SELECT text, place, piece FROM tokens JOIN pieces USING (id) ORDER BY place) GROUP BY text ORDER BY text"""
 
 
 def letters(data: bytes) -> str:
@@ -84,6 +86,7 @@ class Coder:
         self._table("merges", pa.table({"a": pairs[:, 0], "b": pairs[:, 1], "merged": pairs[:, 2]}))
         self._table("pieces", pa.table({"id": pa.array(list(self.ranks.values()), pa.int32()), "piece": [letters(b) for b in self.ranks]}))
         self.byte_id = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
+        self.words: dict[str, bytes] = {}
         self.encoded = Encoded(self.encode_chunks)
 
     def _table(self, name: str, rows: pa.Table) -> None:
@@ -91,8 +94,8 @@ class Coder:
         self.con.execute(f"CREATE TABLE {name} AS SELECT * FROM rows_of_{name}")
         self.con.unregister("rows_of_" + name)
 
-    def contract(self, words: list[bytes]) -> list[np.ndarray]:
-        """The ids of words of up to ``LONG`` bytes, by the recursive query."""
+    def contract(self, words: list[bytes]) -> list[bytes]:
+        """The ids (as bytes) of words of up to ``LONG`` bytes, by the recursive query."""
         lens = np.array([len(w) for w in words], np.int64)
         ids = self.byte_id[np.frombuffer(b"".join(words), np.uint8)]
         word = np.repeat(np.arange(len(words), dtype=np.int32), lens)
@@ -103,11 +106,12 @@ class Coder:
         self.con.register("start", pa.table({"word": word, "place": at, "id": ids, "next_id": next_id, "next_place": next_place}))
         out = self.con.sql(CONTRACT).to_arrow_table()
         self.con.unregister("start")
-        of, ids = out["word"].to_numpy(), out["id"].to_numpy()
-        return np.split(ids, np.searchsorted(of, np.arange(1, len(words))))
+        data = out["id"].to_numpy().astype("<u4").tobytes()
+        cut = (4 * np.searchsorted(out["word"].to_numpy(), np.arange(len(words) + 1))).tolist()
+        return [data[a:b] for a, b in zip(cut, cut[1:])]
 
-    def contract_long(self, word: bytes) -> np.ndarray:
-        """The ids of one word by the same rule, with a heap: n log n."""
+    def contract_long(self, word: bytes) -> bytes:
+        """The ids (as bytes) of one word by the same rule, with a heap: n log n."""
         ids = self.byte_id[np.frombuffer(word, np.uint8)].tolist()
         n = len(ids)
         after, before = [*range(1, n), -1], [*range(-1, n - 1)]
@@ -124,19 +128,29 @@ class Coder:
             for left, right in ((before[i], i), (i, after[i])):
                 if left >= 0 and right >= 0 and (p := (ids[left], ids[right])) in self.pairs:
                     heapq.heappush(heap, (self.pairs[p], left, *p))
-        return np.array([x for x in ids if x >= 0], np.int32)
+        return np.array([x for x in ids if x >= 0], "<u4").tobytes()
 
     def encode_chunks(self, chunks: list[str]) -> list[bytes]:
-        found = [[w.encode() for w in self.pattern.findall(c)] for c in chunks]
-        new = set().union(*found) if found else set()
-        ids = {w: np.array([self.ranks[w]], np.int32) for w in new if w in self.ranks}
-        short = [w for w in new if w not in ids and len(w) <= LONG]
+        found = [self.pattern.findall(c) for c in chunks]
+        words = set().union(*found) if found else set()
+        new = [w for w in words if w not in self.words]
+        if len(self.words) + len(new) > KNOWN_WORDS:
+            self.words.clear()
+            new = list(words)
+        short, spelled = [], []
+        for w in new:
+            raw = w.encode()
+            if raw in self.ranks:
+                self.words[w] = self.ranks[raw].to_bytes(4, "little")
+            elif len(raw) > LONG:
+                self.words[w] = self.contract_long(raw)
+            else:
+                short.append(w)
+                spelled.append(raw)
         for i in range(0, len(short), WORDS_AT_ONCE):
-            part = short[i:i + WORDS_AT_ONCE]
-            ids.update(zip(part, self.contract(part)))
-        ids.update((w, self.contract_long(w)) for w in new if w not in ids)
-        as_bytes = {w: x.astype("<u4").tobytes() for w, x in ids.items()}
-        return [b"".join(as_bytes[w] for w in ws) for ws in found]
+            self.words.update(zip(short[i:i + WORDS_AT_ONCE], self.contract(spelled[i:i + WORDS_AT_ONCE])))
+        get = self.words.__getitem__
+        return [get(ws[0]) if len(ws) == 1 else b"".join(map(get, ws)) for ws in found]
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
         lens = np.array([len(x) // 4 for x in ids], np.int64)
@@ -168,7 +182,7 @@ def _code(path: str, pattern: str):
     def run(batches):
         own = coder(path, pattern)
         for batch in batches:
-            for i, texts in text_slices(batch.column(1), 2 << 20):
+            for i, texts in text_slices(batch.column(1), 6 << 20):
                 ids = own.encoded.texts(texts)
                 decoded = own.decode(ids)
                 yield pa.record_batch([batch.column(0).slice(i, len(texts)), pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())],

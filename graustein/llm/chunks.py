@@ -26,10 +26,10 @@ def cut(text: str) -> tuple[str, list[str]]:
 class Encoded:
     """The ids (little-endian unsigned 32-bit) of texts, from a bounded table of chunks.
 
-    ``encode(list of chunks) -> list of bytes`` does the encoding; the table is emptied when
-    it would hold more than ``limit`` chunks besides those of the texts at hand."""
+    ``encode(list of chunks) -> list of bytes`` does the encoding. When the table would hold more
+    than ``limit`` chunks, those of the texts at hand stay: they are mostly the frequent ones."""
 
-    def __init__(self, encode, limit: int = 300_000):
+    def __init__(self, encode, limit: int = 600_000):
         self.encode, self.limit = encode, limit
         self.first: dict[str, bytes] = {}
         self.rest: dict[str, bytes] = {}
@@ -37,8 +37,9 @@ class Encoded:
     def _learn(self, known: dict[str, bytes], chunks: set[str], space: str) -> None:
         new = chunks - known.keys()
         if len(known) + len(new) > self.limit:
+            stay = {c: known[c] for c in chunks if c in known}
             known.clear()
-            new = chunks
+            known.update(stay)
         new = list(new)
         known.update(zip(new, self.encode([space + c for c in new])))
 
