@@ -11,7 +11,8 @@ least ``CONSISTENT`` of the item's values. A document is contaminated by an item
 windows of consistent alignments cover ``COVERED`` of the item's windows. With other values
 than the item's it is marked as re-parameterised.
 
-An item with fewer than 8 tokens is one window of its own length. Items with equal templates
+Items are asked in two forms, with names as slots and as plain words; the second finds them in
+texts that are all in lower or upper case. An item with fewer than 8 tokens is one window of its own length. Items with equal templates
 are matched as one and reported each.
 
 Defined cases: null texts and items count as empty and match nothing; a null document id stays
@@ -64,7 +65,7 @@ def folded(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def template(data: np.ndarray, offsets: np.ndarray):
+def template(data: np.ndarray, offsets: np.ndarray, names: bool = True):
     """(text number, key, value, literal) of the template tokens: ``key`` is what must agree, the
     hash of a literal or of a placeholder's type; ``value`` the hash of what filled a slot, or 0."""
     if not len(data):
@@ -89,7 +90,8 @@ def template(data: np.ndarray, offsets: np.ndarray):
     second, third = (data[np.minimum(starts + i, ends - 1)] for i in (1, 2))
     capital = UPPER[data[starts]] & LETTER[second] & (ends - starts > 1)
     capital |= (data[starts] == 0xC3) & (second >= 0x80) & (second <= 0x9E) & (LETTER[third] | (ends - starts == 2))
-    kind[capital & ~opens] = NAME
+    if names:
+        kind[capital & ~opens] = NAME
     kind[DIGIT[data[starts]]] = NUMBER
     unit = np.zeros(len(h), bool)
     unit[1:] = (kind[:-1] == NUMBER) & ~first[1:] & (starts[1:] - ends[:-1] <= 1)
@@ -103,10 +105,10 @@ def template(data: np.ndarray, offsets: np.ndarray):
     return doc, np.where(literal, h, types[kind]), np.where(literal, np.uint64(0), h), literal
 
 
-def template_windows(data: np.ndarray, offsets: np.ndarray, length: int):
+def template_windows(data: np.ndarray, offsets: np.ndarray, length: int, names: bool = True):
     """(text number, place, hash, slot values (n, length)) of the windows with enough literals;
     places count the text's windows from 0."""
-    doc, key, value, literal = template(data, offsets)
+    doc, key, value, literal = template(data, offsets, names)
     h, at = base.windows(key, doc, length)
     enough = np.concatenate([[0], np.cumsum(literal)])
     ok = 2 * (enough[at + length] - enough[at]) >= length if len(at) else np.zeros(0, bool)
@@ -116,24 +118,26 @@ def template_windows(data: np.ndarray, offsets: np.ndarray, length: int):
     return of, place, mix(h + np.uint64(length)), lambda which: value[at[which][:, None] + np.arange(length)]
 
 
-ITEM = "item {id}, place int, total int, length int, h long, slots array<long>"
+ITEM = "item {id}, form int, place int, total int, length int, h long, slots array<long>"
 
 
 def _item_windows(batches):
+    """The windows of every item, with names as slots (form 1) and as words (form 0)."""
     for batch in batches:
         for i, j, data, offsets in base.slices(batch.column(1)):
-            tokens = np.bincount(template(data, offsets)[0], minlength=j - i)
-            for length in sorted(set(np.minimum(tokens, WINDOW).tolist()) - {0}):
-                of, place, h, slots = template_windows(data, offsets, length)
-                own = np.minimum(tokens[of], WINDOW) == length
-                of, place, h, values = of[own], place[own], h[own], slots(np.flatnonzero(own))
-                total = np.bincount(of, minlength=j - i)
-                n = len(of)
-                yield pa.record_batch([
-                    batch.column(0).slice(i, j - i).take(pa.array(of)), pa.array(place.astype(np.int32)), pa.array(total[of].astype(np.int32)),
-                    pa.array(np.full(n, length, np.int32)), pa.array(h.view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array((np.arange(n + 1) * length).astype(np.int32)), pa.array(values.ravel().view(np.int64)))],
-                    ["item", "place", "total", "length", "h", "slots"])
+            for form in (1, 0):
+                tokens = np.bincount(template(data, offsets, bool(form))[0], minlength=j - i)
+                for length in sorted(set(np.minimum(tokens, WINDOW).tolist()) - {0}):
+                    of, place, h, slots = template_windows(data, offsets, length, bool(form))
+                    own = np.minimum(tokens[of], WINDOW) == length
+                    of, place, h, values = of[own], place[own], h[own], slots(np.flatnonzero(own))
+                    total = np.bincount(of, minlength=j - i)
+                    n = len(of)
+                    yield pa.record_batch([
+                        batch.column(0).slice(i, j - i).take(pa.array(of)), pa.array(np.full(n, form, np.int32)), pa.array(place.astype(np.int32)),
+                        pa.array(total[of].astype(np.int32)), pa.array(np.full(n, length, np.int32)), pa.array(h.view(np.int64)),
+                        pa.ListArray.from_arrays(pa.array((np.arange(n + 1) * length).astype(np.int32)), pa.array(values.ravel().view(np.int64)))],
+                        ["item", "form", "place", "total", "length", "h", "slots"])
 
 
 def _hits(shared, lengths: list[int]):
@@ -161,30 +165,30 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     spark = docs.sparkSession
     asked = items.select(F.col(item_col).alias("item"), F.coalesce(F.col(item_text).cast("string"), F.lit("")).alias("text"))
     windows = stored(map_arrow(asked, _item_windows, ITEM.format(id=asked.schema["item"].dataType.simpleString())), "item_windows")
-    # items with equal windows and slots in the same order are one class
-    shape = windows.groupBy("item").agg(F.xxhash64(F.array_sort(F.collect_list(F.struct("place", "h", "slots")))).alias("shape"))
-    classes = stored(shape.groupBy("shape").agg(F.min("item").alias("class"), F.collect_list("item").alias("items")), "classes")
-    distinct = stored(windows.join(classes.select(F.col("class").alias("item")), "item"), "class_windows")
+    # items (in either form) with equal windows and slots in the same order are one class
+    shapes = stored(windows.groupBy("item", "form").agg(F.xxhash64(F.array_sort(F.collect_list(F.struct("place", "h", "slots")))).alias("class")), "shapes")
+    first = shapes.groupBy("class").agg(F.min(F.struct("item", "form")).alias("f")).select("class", F.col("f.item").alias("item"), F.col("f.form").alias("form"))
+    distinct = stored(windows.join(first, ["item", "form"]).drop("item", "form"), "class_windows")
     lengths = [r["length"] for r in distinct.select("length").distinct().collect()]  # at most WINDOW numbers
     bitmap = spark.sparkContext.broadcast(base.bitmap_at(distinct.select((F.expr(f"h & {base.FILTER_BITS - 1}L") + 1).alias("p"))))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
     hits = map_arrow(texts, _hits(bitmap, sorted(lengths)), f"id {texts.schema['id'].dataType.simpleString()}, th long, place int, h long, slots array<long>")
-    theirs = distinct.select("h", "item", "total", F.col("place").alias("at"), F.col("slots").alias("asked"))
-    met = stored(hits.join(theirs, "h").select("id", "th", "item", "total", "at", (F.col("place") - F.col("at")).alias("shift"),
+    theirs = distinct.select("h", "class", "total", F.col("place").alias("at"), F.col("slots").alias("asked"))
+    met = stored(hits.join(theirs, "h").select("id", "th", "class", "total", "at", (F.col("place") - F.col("at")).alias("shift"),
                                                F.arrays_zip("asked", "slots").alias("slots")).distinct(), "met")
-    line = ["id", "th", "item", "shift"]
+    line = ["id", "th", "class", "shift"]
     filled = met.select(*line, F.explode("slots").alias("s")).filter("s.asked != 0").select(*line, "s.asked", "s.slots").distinct()
     kept = filled.groupBy(*line, "asked").agg(F.count(F.lit(1)).alias("n"), F.min((F.col("asked") == F.col("slots")).cast("int")).alias("same"))
     slots = kept.groupBy(*line).agg(F.avg((F.col("n") == 1).cast("double")).alias("ok"), F.min("same").alias("same"))
     runs = met.groupBy(*line, "total").agg(F.collect_set("at").alias("places"))
-    same_line = (runs["item"] == slots["item"]) & (runs["th"] == slots["th"]) & (runs["shift"] == slots["shift"]) & runs["id"].eqNullSafe(slots["id"])
+    same_line = (runs["class"] == slots["class"]) & (runs["th"] == slots["th"]) & (runs["shift"] == slots["shift"]) & runs["id"].eqNullSafe(slots["id"])
     good = (runs.join(slots, same_line, "left").filter(F.coalesce("ok", F.lit(1.0)) >= consistent)
-            .select(runs["id"], runs["th"], runs["item"], "total", "places", F.coalesce("same", F.lit(1)).alias("same")))
-    found = good.groupBy("id", "th", "item", "total").agg(
+            .select(runs["id"], runs["th"], runs["class"], "total", "places", F.coalesce("same", F.lit(1)).alias("same")))
+    found = good.groupBy("id", "th", "class", "total").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n"), F.max("same").alias("same")).filter(F.col("n") >= covered * F.col("total"))
-    return found.join(classes.select(F.col("class").alias("item"), "items"), "item").select(
-        "id", "th", F.explode("items").alias("item"), (F.col("n") / F.col("total")).alias("coverage"), (F.col("same") == 0).alias("reparameterised"))
+    return found.join(shapes, "class").groupBy("id", "th", "item").agg(
+        F.max(F.col("n") / F.col("total")).alias("coverage"), (F.max("same") == 0).alias("reparameterised"))
 
 
 def marked(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

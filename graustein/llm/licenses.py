@@ -80,6 +80,8 @@ RULES = [
 ]
 WORDS = "licen[sc]e|copyright|permission|software|redistribut|program|warranty|rights"
 
+GATE = WORDS + "|public domain|CC BY|Mozilla|Creative Commons|GNU"
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -113,7 +115,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known:
     known_rows = F.broadcast(spark.createDataFrame([(s, i) for s, i in names.items()], "sentence string, sid int"))
     rule_rows = F.broadcast(spark.createDataFrame(steps, "sid int, rule int, license string, step int, size int"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text")).filter(F.col("text").rlike(f"(?i){WORDS}|public domain|CC BY|Mozilla|Creative Commons|GNU"))
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text")).filter(F.col("text").rlike(f"(?i){GATE}"))
     cut = [texts.select("id", "th", F.lit(k).alias("form"), F.posexplode(sentences(F.col("text"), bool(k))).alias("place", "sentence")) for k in (0, 1)]
     hits = cut[0].unionByName(cut[1]).join(known_rows, "sentence").select("id", "th", "form", "place", "sid")
     aligned = hits.join(rule_rows, "sid").withColumn("start", F.col("place") - F.col("step"))
