@@ -81,7 +81,7 @@ def missing_versions(materials: DataFrame, versions: DataFrame) -> DataFrame:
 
 def replace_version(materials: DataFrame, new_rows: DataFrame, version: str) -> DataFrame:
     """M4: drop every row of ``version`` and add the new rows (one version per load)."""
-    return materials.filter(F.col("version") != F.lit(version)).unionByName(new_rows)
+    return materials.filter(~F.col("version").eqNullSafe(F.lit(version))).unionByName(new_rows, allowMissingColumns=True)
 
 
 class UnknownVersion(ValueError):

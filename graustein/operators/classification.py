@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graustein.functions.ebkp import CATALOGUE_LINE_PATTERN, main_code, normalize_code, parent_code
-from graustein.operators.joins import is_small, last_wins, left_lookup, lookup_side
+from graustein.operators.joins import last_wins, left_lookup
 
 # Match levels of the hierarchical lookup.
 EXACT, PARENT, MAIN, NONE = "exact", "parent", "main", "none"
@@ -66,17 +66,16 @@ def classify_hierarchical(values: DataFrame, catalogue: DataFrame) -> DataFrame:
 
     Output: element_id, identification (raw value), code, description, match_level."""
     cat = catalogue.select("code", "description")
-    small = is_small(cat)
     v = (values.filter(F.trim("ebkp_value") != "")
          .select("element_id", F.col("ebkp_value").alias("identification"),
                  normalize_code("ebkp_value", 3).alias("code")))
     v = v.select("element_id", "identification", "code",
                  parent_code("code").alias("parent"), main_code(F.split("code", r"\.")[0]).alias("main"))
-    # three lookups of the same small catalogue (hot codes: salted when not broadcast, see left_lookup)
+    # three lookups of the same catalogue
     for level in ("exact", "parent", "main"):
         key = "code" if level == "exact" else level
         side = cat.select(F.col("code").alias(key), F.col("description").alias(f"d_{level}"))
-        v = left_lookup(v, side, [key], small)
+        v = left_lookup(v, side, [key])
     d_exact, d_parent, d_main = F.col("d_exact"), F.col("d_parent"), F.col("d_main")
     level = (F.when(d_exact.isNotNull(), F.lit(EXACT)).when(d_parent.isNotNull(), F.lit(PARENT))
              .when(d_main.isNotNull(), F.lit(MAIN)).otherwise(F.lit(NONE)))
@@ -91,7 +90,7 @@ def classify_exact(values: DataFrame, catalogue: DataFrame) -> DataFrame:
     cat = catalogue.select(F.col("code").alias("identification"), F.col("description").alias("d"))
     v = (values.filter(F.trim("ebkp_value") != "")
          .select("element_id", "ebkp_value", normalize_code("ebkp_value", 2).alias("identification")))
-    j = left_lookup(v, cat, ["identification"], is_small(cat))
+    j = left_lookup(v, cat, ["identification"])
     return j.select("element_id", "identification",
                     F.coalesce("d", "ebkp_value").alias("description"),
                     F.when(F.col("d").isNotNull(), F.lit(EXACT)).otherwise(F.lit(NONE)).alias("match_level"))
@@ -109,7 +108,7 @@ def coverage(element_ids: DataFrame, classified: DataFrame) -> DataFrame:
 
 def code_diagnostics(values: DataFrame, catalogue: DataFrame) -> DataFrame:
     """The distinct raw codes, their normalised form and whether it is in the catalogue."""
-    cat = lookup_side(catalogue.select(F.col("code").alias("c")))
+    cat = catalogue.select(F.col("code").alias("c"))
     d = values.select(F.col("ebkp_value").alias("raw")).filter(F.col("raw").isNotNull()).distinct()
     d = d.select("raw", normalize_code("raw", 3).alias("normalized"))
     return (d.join(cat, d.normalized == cat.c, "left")
@@ -143,21 +142,23 @@ def completeness(element_ids: DataFrame, refs: DataFrame) -> DataFrame:
 def assign_codes(element_ids: DataFrame, catalogue: DataFrame, seed: int = 0, letter: str | None = "C") -> DataFrame:
     """A repeatable pseudo-random catalogue code per element.
 
-    The catalogue (small, bounded) is numbered 0..k-1 by code; each element picks
-    ``hash(element_id, seed) mod k``. No driver loop, no shuffle of the elements."""
+    The catalogue is numbered 0..k-1 by code, in two levels: within each three-character
+    prefix, then by the counts of the smaller prefixes. Each element picks
+    ``hash(element_id, seed) mod k``."""
     cat = catalogue if letter is None else catalogue.filter(F.col("code").startswith(letter))
     from pyspark.sql import Window
-    from graustein.operators.joins import is_small
-    # the catalogue is a bounded dimension (checked): numbering it in one window is cheap
-    if not is_small(cat):
-        raise ValueError("catalogue too large to number in one task")
-    numbered = cat.select("code", "description", (F.row_number().over(Window.orderBy("code")) - 1).alias("idx"))
-    k = numbered.count()
+    keyed = cat.select("code", "description", F.substring("code", 1, 3).alias("prefix"))
+    # one row per prefix: its first number
+    counts = keyed.groupBy("prefix").agg(F.count(F.lit(1)).alias("n"))
+    first = counts.select("prefix", (F.sum("n").over(Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("first"))
+    inside = keyed.withColumn("at", F.row_number().over(Window.partitionBy("prefix").orderBy("code")) - 1)
+    numbered = inside.join(first, "prefix").select("code", "description", (F.col("first") + F.col("at")).alias("idx"))
+    k = cat.count()
     if k == 0:
         raise ValueError(f"No valid EBKP codes found starting with '{letter}'")
     pick = F.conv(F.substring(F.md5(F.concat_ws("|", F.col("element_id"), F.lit(str(seed)))), 1, 8), 16, 10).cast("long")
     return (element_ids.select("element_id", F.pmod(pick, F.lit(k)).alias("idx"))
-            .join(lookup_side(numbered), "idx", "inner")
+            .join(numbered, "idx", "inner")
             .select("element_id", F.col("code").alias("identification"), F.col("description").alias("name")))
 
 

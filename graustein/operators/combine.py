@@ -36,27 +36,6 @@ def combine_results(lca: DataFrame, cost: DataFrame) -> DataFrame:
     return lca_rows_for_union(lca).unionByName(cost_rows_for_union(cost), allowMissingColumns=True)
 
 
-def merge_nested(*nested: DataFrame, max_documents: int | None = 1_000) -> DataFrame:
-    """A9 nested form: documents ``{guid, components, shared_guid}`` merged by guid; the
-    component lists are concatenated (sorted) and ``shared_guid`` is the OR of the inputs
-    (N16). One guid has one document per input; the bound on documents per guid is checked."""
-    from graustein.operators.lca import check_group_bound
-    out = nested[0].select("guid", "components", "shared_guid")
-    for n in nested[1:]:
-        out = out.unionByName(n.select("guid", "components", "shared_guid"), allowMissingColumns=True)
-    check_group_bound(out, "guid", max_documents)
-    return (out.groupBy("guid")
-            .agg(F.sort_array(F.flatten(F.collect_list("components"))).alias("components"),
-                 F.bool_or("shared_guid").alias("shared_guid")))
-
-
-def nest_cost(cost: DataFrame) -> DataFrame:
-    """Cost rows as nested documents: one component per element, never shared."""
-    comp = F.struct(F.lit(COST_COMPONENT).alias("material_name"), "ebkp_h", "total_cost", "unit_cost", "unit",
-                    "failed", F.col("error").alias("error_message"))
-    return cost.select("guid", F.array(comp).alias("components"), F.lit(False).alias("shared_guid"))
-
-
 def combined_per_guid(lca: DataFrame, cost: DataFrame) -> DataFrame:
     """Per guid the merged component count and ``shared_guid`` = OR of the
     inputs' flags (an LCA element is shared when it has > 1 component; cost never is)."""
@@ -70,6 +49,12 @@ def combined_per_guid(lca: DataFrame, cost: DataFrame) -> DataFrame:
                     F.coalesce(F.col("n_lca") > 1, F.lit(False)).alias("shared_guid")))
 
 
+def combined_rows(lca: DataFrame, cost: DataFrame) -> DataFrame:
+    """U1 + A9: the flat component rows with their guid's ``shared_guid``."""
+    shared = combined_per_guid(lca, cost).select("project_id", "guid", "shared_guid")
+    return combine_results(lca, cost).join(shared, ["project_id", "guid"], "left")
+
+
 def summarize(combined: DataFrame, by: list[str] | None = None, count_failed: bool = False) -> DataFrame:
     """A5: totals over non-failed components; null or NaN values count as 0.
 

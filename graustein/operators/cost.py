@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graustein.functions.numbers import is_missing, not_positive
-from graustein.operators.joins import is_small, left_lookup
+from graustein.operators.joins import left_lookup
 
 # Cost error codes in check order (N2), the two units and the component name.
 COST_CODE_NOT_FOUND = "COST_CODE_NOT_FOUND"
@@ -23,6 +23,7 @@ UNIT_LENGTH = "m"
 COST_COMPONENT = "Cost Calculation"
 
 # P5: names of the flat cost-element file (edge only; snake_case inside).
+# The file's column names for the element columns, and those that it must have.
 COST_ALIASES = {"id": "GUID", "volume_net": "Volume", "length": "Length", "area_net": "Area", "ebkp": "eBKP-H"}
 REQUIRED_COST_COLUMNS = ("GUID", "Volume", "Length", "Area", "KBOB UUID-Nummer", "eBKP-H")
 
@@ -55,7 +56,7 @@ def cost_components(elements: DataFrame, cost_reference: DataFrame, version: str
     keys = cost_keys(cost_reference, version).withColumnRenamed("cost_code", "ebkp_h")
     code = F.trim(F.col("ebkp"))
     facts = elements.select(F.col("project_id"), F.col("id").alias("guid"), code.alias("ebkp_h"), "area_net", "length")
-    df = left_lookup(facts, keys, ["ebkp_h"], is_small(keys))
+    df = left_lookup(facts, keys, ["ebkp_h"])
     unit = F.col("unit")
     quantity = F.when(unit == UNIT_AREA, F.col("area_net")).when(unit == UNIT_LENGTH, F.col("length"))
     error_code = (F.when(F.col("n_keys").isNull(), F.lit(COST_CODE_NOT_FOUND))
@@ -109,8 +110,12 @@ def to_cost_file_columns(elements: DataFrame) -> DataFrame:
 
 
 def from_cost_file_columns(flat: DataFrame, project_id: str | None = None) -> DataFrame:
-    """Flat cost-file columns -> snake_case element columns."""
+    """Flat cost-file columns -> snake_case element columns. A column that comes under
+    its snake_case name is given its file name first (the material id: from ``id``)."""
     from graustein.operators.quality import require_columns
+    for own, name in (*COST_ALIASES.items(), ("id", "KBOB UUID-Nummer")):
+        if name not in flat.columns and own in flat.columns:
+            flat = flat.withColumn(name, F.col(own))
     require_columns(flat, REQUIRED_COST_COLUMNS)
     out = flat.select(*[F.col(f"`{v}`").alias(k) for k, v in COST_ALIASES.items()])
     out = out.withColumn("id", F.col("id").cast("string"))

@@ -1,8 +1,6 @@
 """Join and dedup building blocks shared by the jobs.
 
-* ``lookup_side``: a dimension is broadcast only after a bounded row count proves it
-  small; otherwise it is joined by shuffle (sort-merge, with AQE's skew-join split of
-  hot keys on the fact side). The count reads at most ``max_rows + 1`` rows.
+* ``left_lookup``: left join to a dimension; Spark's own size check decides on a broadcast.
 * ``last_wins``: N8 "last writer wins" per key as an aggregate (``max_by``), which
   combines map-side, so a hot key never lands whole in one task.
 """
@@ -14,71 +12,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_MAX_ROWS_CONF = "graustein.broadcast.maxRows"
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    conf = df.sparkSession.conf.get(BROADCAST_MAX_ROWS_CONF, None)
-    return int(conf) if conf else DEFAULT_BROADCAST_MAX_ROWS
-
-
-def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded check)."""
-    limit = broadcast_limit(df) if max_rows is None else max_rows
-    return df.limit(limit + 1).count() <= limit
-
-
-def lookup_side(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` when its size is proven small, else leave it to a shuffle join."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
-def small_flags(*dfs: DataFrame, max_rows: int | None = None) -> list[bool]:
-    """For several dimensions, whether each has at most ``max_rows`` rows, with ONE bounded
-    counting job: each side contributes at most ``max_rows + 1`` rows to a counted union."""
-    if not dfs:
-        return []
-    limit = broadcast_limit(dfs[0]) if max_rows is None else max_rows
-    parts = [df.limit(limit + 1).select(F.lit(i).alias("_side")) for i, df in enumerate(dfs)]
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p)
-    counts = {r["_side"]: r["n"] for r in union.groupBy("_side").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [counts.get(i, 0) <= limit for i in range(len(dfs))]
-
-
-def lookup_sides(*dfs: DataFrame, max_rows: int | None = None) -> list[DataFrame]:
-    """``lookup_side`` for several dimensions with one bounded counting job."""
-    return [F.broadcast(df) if ok else df for df, ok in zip(dfs, small_flags(*dfs, max_rows=max_rows))]
-
-
 SALTS_CONF = "graustein.skew.salts"
 
 
-def _aqe_splits_skew(spark) -> bool:
-    on = lambda k, d: (spark.conf.get(k, d) or d).lower() == "true"
-    return on("spark.sql.adaptive.enabled", "true") and on("spark.sql.adaptive.skewJoin.enabled", "true")
-
-
-def left_lookup(fact: DataFrame, dim: DataFrame, keys: Sequence[str], small: bool,
-                salts: int | None = None) -> DataFrame:
+def left_lookup(fact: DataFrame, dim: DataFrame, keys: Sequence[str], salts: int | None = None) -> DataFrame:
     """Left join of facts to a dimension with one row per key.
 
-    * small (proven): broadcast hash join, the facts are not shuffled;
-    * otherwise, with AQE skew handling on: sort-merge join, AQE splits hot fact partitions;
-    * otherwise (or when ``salts`` / ``graustein.skew.salts`` is set): salted join. Each fact
-      row gets a salt from the hash of its values, and the dimension is replicated once per
-      salt, so a key holding a third of all facts is spread over ``salts`` tasks.
-    Every fact row meets exactly one copy of its dimension row, so the result is the same."""
+    A plain join: Spark broadcasts the dimension when its size in bytes is known to be below
+    ``spark.sql.autoBroadcastJoinThreshold`` (AQE also when it turns out so), else it joins by
+    shuffle and AQE splits hot fact partitions. No job runs before the query does.
+    ``salts`` (or ``graustein.skew.salts``) asks for a salted join, for sessions without AQE:
+    each fact row gets a salt from the hash of its values and the dimension is replicated once
+    per salt, so a key holding a third of all facts is spread over ``salts`` tasks. Every fact
+    row meets exactly one copy of its dimension row, so the result is the same."""
     keys = list(keys)
-    if small:
-        return fact.join(F.broadcast(dim), keys, "left")
     conf_salts = fact.sparkSession.conf.get(SALTS_CONF, None)
     n = salts or (int(conf_salts) if conf_salts else None)
-    if n is None and _aqe_splits_skew(fact.sparkSession):
+    if n is None:
         return fact.join(dim, keys, "left")
-    n = n or 16
     salted = fact.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(n)).cast("int"))
     copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
     return salted.join(copies, [*keys, "_salt"], "left").drop("_salt")

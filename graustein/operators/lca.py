@@ -1,9 +1,8 @@
 """LCA computation (C1): J1, J2, J4, A3, N1, H4-H6, P13, A7, A8.
 
 Input is one row per element x material (``project_id, element_id, material_name,
-volume, density, ebkp``). Every lookup is a left join against a small dimension that
-is broadcast after a bounded size check, so the fact rows are never shuffled for
-them; the checks are one ordered ``when`` chain and all arithmetic stays in codegen.
+volume, density, ebkp``). Every lookup is a left join against a dimension with one row
+per key (Spark broadcasts it if it is small enough); the checks are one ordered ``when`` chain and all arithmetic stays in codegen.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graustein.functions.numbers import not_positive
-from graustein.operators.joins import last_wins, left_lookup, small_flags
+from graustein.operators.joins import last_wins, left_lookup
 
 # Error codes of the LCA checks, in check order (N1), and the default
 # service life in years when no positive value is found.
@@ -37,13 +36,14 @@ def service_life(life: DataFrame, normalise: bool = False) -> DataFrame:
 
 
 def usable_mappings(mappings: DataFrame) -> DataFrame:
-    """P20 + N8: rows with a non-empty kbob id; one row per material (per project when the
-    mapping has a ``project_id``), the latest ``created_at`` winning."""
+    """P20 + N8: one row per material (per project when the mapping has a ``project_id``), the
+    latest ``created_at`` winning; then those with a non-empty kbob id. A blank latest row
+    means that the material has no mapping, whatever older rows say."""
     keys = (["project_id"] if "project_id" in mappings.columns else []) + ["ifc_material"]
     order = [c for c in ("created_at", "kbob_version") if c in mappings.columns]
-    m = (mappings.filter(F.col("kbob_id").isNotNull() & (F.trim("kbob_id") != "") & F.col("ifc_material").isNotNull())
-         .select(*keys, "kbob_id", *order))
-    return last_wins(m, keys, order or ["kbob_id"]).select(*keys, "kbob_id")
+    m = mappings.filter(F.col("ifc_material").isNotNull()).select(*keys, "kbob_id", *order)
+    return (last_wins(m, keys, order or ["kbob_id"])
+            .filter(F.col("kbob_id").isNotNull() & (F.trim("kbob_id") != "")).select(*keys, "kbob_id"))
 
 
 def catalogue_of_version(catalogue: DataFrame, version: str) -> DataFrame:
@@ -69,22 +69,18 @@ def lca_components(components_in: DataFrame, mappings: DataFrame, catalogue: Dat
                        .withColumnRenamed("ifc_material", "material_name").withColumnRenamed("kbob_id", "_kbob_project"))
         shared = (usable_mappings(mappings.filter(F.col("project_id").isNull()).drop("project_id"))
                   .withColumnRenamed("ifc_material", "material_name").withColumnRenamed("kbob_id", "_kbob_shared"))
-        small = small_flags(per_project, shared, kbob, years)
-        df = left_lookup(components_in, per_project, ["project_id", "material_name"], small[0])
-        df = left_lookup(df, shared, ["material_name"], small[1])
+        df = left_lookup(components_in, per_project, ["project_id", "material_name"])
+        df = left_lookup(df, shared, ["material_name"])
         df = (df.withColumn("kbob_id", F.coalesce("_kbob_project", "_kbob_shared"))
               .drop("_kbob_project", "_kbob_shared"))
-        small = small[2:]
     else:
         mapping = usable_mappings(mappings).withColumnRenamed("ifc_material", "material_name")
-        small = small_flags(mapping, kbob, years)
-        df = left_lookup(components_in, mapping, ["material_name"], small[0])
-        small = small[1:]
+        df = left_lookup(components_in, mapping, ["material_name"])
 
     from graustein.functions.ebkp import normalize_code
     life_key = normalize_code(F.trim("ebkp")) if normalise_life else F.trim("ebkp")
-    df = left_lookup(df, kbob, ["kbob_id"], small[0])
-    df = left_lookup(df.withColumn("_life_key", life_key), years, ["_life_key"], small[1]).drop("_life_key")
+    df = left_lookup(df, kbob, ["kbob_id"])
+    df = left_lookup(df.withColumn("_life_key", life_key), years, ["_life_key"]).drop("_life_key")
 
     volume, density = F.col("volume"), F.col("density")
     error_code = (F.when(not_positive(volume), F.lit(INVALID_VOLUME))
@@ -148,37 +144,6 @@ def element_summary(components: DataFrame) -> DataFrame:
             .withColumn("shared_guid", F.col("n_components") > 1))
 
 
-COMPONENT_FIELDS = ("material_name", "kbob_uuid", "kbob_material_name", "volume", "density",
-                    "amortization", "ebkp_h", "gwp_absolute", "gwp_relative", "penr_absolute",
-                    "penr_relative", "ubp_absolute", "ubp_relative", "failed", "error_message")
-
-
-class GroupTooLarge(ValueError):
-    pass
-
-
-def check_group_bound(df: DataFrame, key: str, max_rows: int | None) -> None:
-    """Raise before any group of ``key`` larger than ``max_rows`` would be collected into
-    one array (one aggregate pass; partial counts combine map-side)."""
-    if max_rows is None:
-        return
-    big = df.groupBy(key).count().filter(F.col("count") > max_rows).limit(1).first()
-    if big is not None:
-        raise GroupTooLarge(f"{key}={big[key]} has {big['count']} rows (bound {max_rows}); keep it flat")
-
-
-def nest_components(components: DataFrame, max_components: int | None = 100_000) -> DataFrame:
-    """A8 nested result document ``{guid, components:[...], shared_guid}``.
-
-    A group is one element's material layers; the bound is checked first, so no unbounded
-    group is ever collected into one task. The list is sorted (deterministic output)."""
-    check_group_bound(components, "element_id", max_components)
-    comp = F.struct(*[F.col(c) for c in COMPONENT_FIELDS])
-    return (components.groupBy("project_id", F.col("element_id").alias("guid"))
-            .agg(F.sort_array(F.collect_list(comp)).alias("components"))
-            .withColumn("shared_guid", F.size("components") > 1))
-
-
 def exact_sum(name: str, digits: int) -> Column:
     """Sum of values already rounded to ``digits``: added as DECIMAL, so the total does not
     depend on partitioning or row order, then returned as DOUBLE."""

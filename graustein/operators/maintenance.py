@@ -50,15 +50,30 @@ def upsert_materials(materials: DataFrame, batch: DataFrame) -> DataFrame:
     return upsert(materials, batch, ["element_id", "material_name"])
 
 
-def upsert_project(projects: DataFrame, project_id: str, name: str | None = None, as_of=None) -> DataFrame:
+DEFAULT_PROJECT_YEARS = 60  # fixed value: life expectancy of a project that names none
+
+
+def project_defaults(merged: DataFrame, hit, life_expectancy: int | None, kbob_version: str | None) -> DataFrame:
+    """M3: on insert and update the project gets the given life expectancy and version; without
+    them it keeps what it has, and a new one gets the default years."""
+    if "life_expectancy" in merged.columns:
+        years = F.lit(life_expectancy).cast("int") if life_expectancy is not None else F.coalesce("life_expectancy", F.lit(DEFAULT_PROJECT_YEARS))
+        merged = merged.withColumn("life_expectancy", F.when(hit, years).otherwise(F.col("life_expectancy")))
+    if "kbob_version" in merged.columns and kbob_version is not None:
+        merged = merged.withColumn("kbob_version", F.when(hit, F.lit(kbob_version)).otherwise(F.col("kbob_version")))
+    return merged
+
+
+def upsert_project(projects: DataFrame, project_id: str, name: str | None = None, as_of=None,
+                   life_expectancy: int | None = None, kbob_version: str | None = None) -> DataFrame:
     """M3: insert or update a project: name set, status back to active, updated_at now,
-    created_at kept."""
+    created_at kept, life expectancy and catalogue version set."""
     spark = projects.sparkSession
     row = spark.range(1).select(F.lit(project_id).alias("project_id"),
                                 F.lit(name).cast("string").alias("_name"), F.lit(True).alias("_hit"))
     ts = _stamp(as_of)
     hit = F.coalesce(F.col("_hit"), F.lit(False))
-    merged = projects.join(row, "project_id", "full")
+    merged = project_defaults(projects.join(row, "project_id", "full"), hit, life_expectancy, kbob_version)
     return (merged
             .withColumn("name", F.when(hit & F.col("_name").isNotNull(), F.col("_name")).otherwise(F.col("name")))
             .withColumn("created_at", F.coalesce(F.col("created_at"), ts))
@@ -121,7 +136,7 @@ def replace_project_mappings(mappings: DataFrame, project_id: str, new_mapping:
     new = new_mapping.select(F.lit(project_id).alias("project_id"), "ifc_material", "kbob_id",
                              F.lit(active_version).alias("kbob_version"), F.lit(True).alias("is_modelled"),
                              _stamp(as_of).alias("created_at"))
-    kept = mappings.filter(F.col("project_id") != F.lit(project_id))
+    kept = mappings.filter(~F.col("project_id").eqNullSafe(F.lit(project_id)))  # rows for all projects stay
     return kept.unionByName(new, allowMissingColumns=True)
 
 

@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graustein.operators.joins import last_wins
-
 
 def elements_of_project(elements: DataFrame, project_id: str) -> DataFrame:
     """The elements of one project (filter reaches the scan / partition)."""
@@ -23,11 +21,10 @@ def materials_of_elements(materials: DataFrame, elements: DataFrame) -> DataFram
 
 
 def project_mapping(mappings: DataFrame, project_id: str) -> DataFrame:
-    """One project's mapping, one row per material (last row wins, N8)."""
+    """One project's usable mapping, one row per material (last row wins, N8, P20)."""
+    from graustein.operators.lca import usable_mappings
     m = mappings.filter(F.col("project_id") == F.lit(project_id))
-    order = [c for c in ("created_at",) if c in m.columns] or ["kbob_id"]
-    return last_wins(m.select("ifc_material", "kbob_id", *[c for c in order if c != "kbob_id"]),
-                     ["ifc_material"], order).select("ifc_material", "kbob_id")
+    return usable_mappings(m).select("ifc_material", "kbob_id")
 
 
 def latest_per_project(history: DataFrame) -> DataFrame:

@@ -27,11 +27,11 @@ def documents_to_tables(docs: DataFrame, as_of=None) -> tuple[DataFrame, DataFra
     return el.flatten_elements(exploded, as_of=as_of), el.explode_materials(exploded)
 
 
-def upsert_projects(projects: DataFrame, project_ids: DataFrame, as_of=None) -> DataFrame:
+def upsert_projects(projects: DataFrame, project_ids: DataFrame, as_of=None, kbob_version: str | None = None) -> DataFrame:
     """M3 in bulk: every project named in ``project_ids`` exists afterwards and is active."""
     ts = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
     hit = project_ids.select("project_id").distinct().withColumn("_hit", F.lit(True))
-    merged = projects.join(hit, "project_id", "full")
+    merged = mt.project_defaults(projects.join(hit, "project_id", "full"), F.coalesce("_hit", F.lit(False)), None, kbob_version)
     return (merged
             .withColumn("created_at", F.coalesce(F.col("created_at"), ts))
             .withColumn("updated_at", F.when(F.col("_hit"), ts).otherwise(F.col("updated_at")))
@@ -40,10 +40,10 @@ def upsert_projects(projects: DataFrame, project_ids: DataFrame, as_of=None) ->
 
 
 def ingest(docs: DataFrame, projects: DataFrame, elements: DataFrame, materials: DataFrame,
-           as_of=None) -> tuple[DataFrame, DataFrame, DataFrame]:
+           as_of=None, kbob_version: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Store a batch of model documents: projects (M3), elements (M1), materials (M2)."""
     new_elements, new_materials = documents_to_tables(docs, as_of)
     new_elements = new_elements.select(*elements.columns)
-    return (upsert_projects(projects, new_elements, as_of),
+    return (upsert_projects(projects, new_elements, as_of, kbob_version),
             mt.upsert_elements(elements, new_elements, as_of),
             mt.upsert_materials(materials, new_materials.select(*materials.columns)))

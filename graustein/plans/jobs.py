@@ -55,7 +55,7 @@ def remap_and_recompute(inputs: LcaInputs, project_id: str, new_mapping: DataFra
     version = cat.active_version(inputs.versions)
     mappings = replace_project_mappings(all_mappings, project_id, new_mapping, version)
     scoped = LcaInputs(inputs.elements.filter(F.col("project_id") == F.lit(project_id)), inputs.materials,
-                       mappings.filter(F.col("project_id") == F.lit(project_id)), inputs.catalogue,
+                       mappings.filter((F.col("project_id") == F.lit(project_id)) | F.col("project_id").isNull()), inputs.catalogue,
                        inputs.versions, inputs.life)
     comps, _ = lca(scoped, version=version)
     return mappings, comps

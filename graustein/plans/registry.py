@@ -61,12 +61,11 @@ def q_lca_from_documents(spark, sf_dir):
     tables, then the same LCA straight from the documents; equals the table path."""
     from graustein.operators import elements as el
     mats = fx.element_materials(spark, sf_dir)
-    lca_ops.check_group_bound(mats, "element_id", 100_000)  # the layers of one element are collected below
-    per_element = mats.groupBy("element_id").agg(
-        F.sort_array(F.collect_list("material_name")).alias("materials"),
-        F.map_from_entries(F.collect_list(F.struct("material_name", F.struct("volume", "density")))).alias("material_volumes"))
+    # a document per layer: an element may come in several documents, and none has to be gathered
+    layers = mats.select("element_id", F.array("material_name").alias("materials"),
+                         F.create_map("material_name", F.struct("volume", "density")).alias("material_volumes"))
     els = fx.elements(spark, sf_dir)
-    docs = (els.join(per_element, els.id == per_element.element_id, "inner")
+    docs = (els.join(layers, els.id == layers.element_id, "inner")
             .select("project_id", F.struct(F.col("id"), F.lit(None).cast("string").alias("guid"),
                                            F.struct(F.col("ebkp"), F.lit(None).cast("string").alias("reference")).alias("properties"),
                                            "materials", "material_volumes").alias("e")))
@@ -197,8 +196,7 @@ def q_element_service_life(spark, sf_dir):
     """A3 + J4/N5: service life per element (MIN over the code's rows, default 60)."""
     life = lca_ops.service_life(fx.life_expectancy(spark))
     els = fx.elements(spark, sf_dir)
-    from graustein.operators.joins import lookup_side
-    return (els.join(lookup_side(life), F.trim("ebkp") == F.col("life_code"), "left")
+    return (els.join(life, F.trim("ebkp") == F.col("life_code"), "left")
             .select(F.col("id").alias("element_id"), "ebkp",
                     F.coalesce(F.when(F.col("life_years") != 0, F.col("life_years")),
                                F.lit(lca_ops.DEFAULT_LIFE_YEARS)).cast("int").alias("amortization")))
@@ -224,12 +222,11 @@ GROUP BY m.version, v.version"""))
 def q_catalogue_versions(spark, sf_dir):
     """A4 + J14 + U3: versions used by the catalogue, whether registered, which is latest."""
     from graustein.operators import catalogue as cat
-    from graustein.operators.joins import lookup_side
     mats, vers = fx.kbob_materials(spark, sf_dir), fx.kbob_versions(spark)
     latest = cat.latest_version(mats)
     missing = cat.missing_versions(mats, vers).select("version", F.lit(True).alias("_missing"))
     return (mats.groupBy("version").agg(F.count(F.lit(1)).alias("n_materials"))
-            .join(lookup_side(missing), "version", "left")
+            .join(missing, "version", "left")
             .join(F.broadcast(latest), F.col("version") == F.col("latest_version"), "left")  # one row
             .select("version", "n_materials", F.col("_missing").isNull().alias("in_versions_table"),
                     F.col("latest_version").isNotNull().alias("is_latest")))
@@ -338,6 +335,20 @@ def q_combined_per_guid(spark, sf_dir):
         .withColumn("n_components", F.col("n_components").cast("long")).withColumn("n_failed", F.col("n_failed").cast("long"))
 
 
+@query("combined_rows", with_views(LCA_VIEWS, COST_VIEWS, body="""
+, shared AS (SELECT project_id, element_id AS guid, COUNT(*) > 1 AS shared_guid FROM lca_components GROUP BY 1, 2)
+SELECT l.project_id, l.element_id AS guid, l.material_name AS material, l.ebkp_h, l.failed, l.error_message AS error, 'lca' AS source, s.shared_guid
+FROM lca_components l JOIN shared s ON s.project_id = l.project_id AND s.guid = l.element_id
+UNION ALL
+SELECT c.project_id, c.guid, 'Cost Calculation', c.ebkp_h, c.failed, c.error, 'cost', COALESCE(s.shared_guid, false)
+FROM cost_components c LEFT JOIN shared s ON s.project_id = c.project_id AND s.guid = c.guid"""))
+def q_combined_rows(spark, sf_dir):
+    """Every LCA and cost component with the shared_guid flag of its guid."""
+    from graustein.operators import combine as cb
+    return cb.combined_rows(lca_components(spark, sf_dir), cost_components(spark, sf_dir)).select(
+        "project_id", "guid", "material", "ebkp_h", "failed", "error", "source", "shared_guid")
+
+
 @query("portfolio_summary", with_views(LCA_VIEWS, COST_VIEWS, _COMBINED, body="""
 SELECT *, translate(format('{:,.2f}', total_cost), ',.', '`,') AS total_cost_text,
        translate(format('{:,.2f}', total_co2_emission), ',.', '`,') AS total_co2_emission_text,

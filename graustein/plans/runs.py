@@ -35,10 +35,10 @@ def run_lca(spark: SparkSession, inputs: jobs.LcaInputs, out_root: str, run_id:
     comps, version = jobs.lca(inputs)
     path = os.path.join(out_root, "lca_components", f"run_id={run_id}")
     counts = Observation("lca_counts")  # A14: counted while writing, no second pass
-    writers.write_partitioned(comps, path, ("project_id",), ("element_id",), mode="overwrite",
+    writers.write_partitioned(comps, path, ("project_id",), mode="overwrite",
                               observe=(counts, F.count(F.lit(1)).alias("components"),
                                        F.count_if(F.col("failed")).alias("failed")))
-    written = spark.read.parquet(path)
+    written = writers.read_back(spark, path, comps)
     errors = lca_ops.lca_errors(written)
     stats = lca_ops.lca_run_stats(written, version)
     writers.append_table(writers.results_table(written, version), out_root, "processing_results", run_id)
@@ -54,8 +54,8 @@ def run_cost(spark: SparkSession, elements: DataFrame, cost_reference: DataFrame
     run_id = run_id or writers.run_stamp()
     comps = jobs.cost(elements, cost_reference, version)
     path = os.path.join(out_root, "cost_results", f"run_id={run_id}")
-    writers.write_partitioned(comps, path, ("project_id",), ("guid",), mode="overwrite")
-    written = spark.read.parquet(path)
+    writers.write_partitioned(comps, path, ("project_id",), mode="overwrite")
+    written = writers.read_back(spark, path, comps)
     errors = cost_ops.cost_errors(written)
     stats = cost_ops.cost_run_stats(written)
     writers.append_table(errors, out_root, "processing_errors", f"cost-{run_id}")
@@ -67,7 +67,7 @@ def run_combined(spark: SparkSession, inputs: jobs.LcaInputs, cost_reference: Da
     """LCA + cost, combined results (K7 JSON), portfolio summary (A5) and report (K6)."""
     lca_run = run_lca(spark, inputs, out_root)
     cost_run = run_cost(spark, inputs.elements, cost_reference, out_root)
-    combined = cb.combine_results(lca_run.components, cost_run.components)
+    combined = cb.combined_rows(lca_run.components, cost_run.components)
     writers.write_json(combined, os.path.join(out_root, "combined_results"))
     combined = spark.read.json(os.path.join(out_root, "combined_results"), schema=combined.schema)
     summary = cb.summarize(combined, count_failed=True)
@@ -85,6 +85,7 @@ def load_reference_data(spark: SparkSession, out_root: str, version: str, kbob_c
     nothing."""
     import datetime as _dt
     from graustein import schemas
+    from graustein.operators import catalogue as cat
     from graustein.operators import quality as qa
     from graustein.sources import readers
     tables = {"kbob_materials": readers.read_kbob_csv(spark, kbob_csv, version)}
@@ -98,10 +99,17 @@ def load_reference_data(spark: SparkSession, out_root: str, version: str, kbob_c
     report = qa.constraint_report(tables, {k: v for k, v in schemas.KEYS.items() if k in tables},
                                   {k: [c for c in schemas.NOT_NULL.get(k, []) if c in tables[k].columns] for k in tables})
     bad = report.filter(F.col("n_violations") > 0)
-    if bad.limit(1).count():
-        raise ValueError("reference data violates constraints: " +
-                         "; ".join(f"{r['table']} {r['check']} x{r['n_violations']}" for r in bad.limit(20).collect()))
+    failing = bad.collect()  # one row per check
+    if failing:
+        raise ValueError("reference data violates constraints: " + "; ".join(f"{r['table']} {r['check']} x{r['n_violations']}" for r in failing))
+    # M4, M8: other versions stay, the loaded one becomes the active one
+    current = writers.published(spark, out_root)
+    for name in ("kbob_materials", "cost_reference", "kbob_versions"):
+        if name in tables and name in current and "version" in tables[name].columns:
+            tables[name] = cat.replace_version(writers.read_current(spark, out_root, name), tables[name], version)
+    tables["kbob_versions"] = tables["kbob_versions"].withColumn("is_active", F.col("version") == F.lit(version))
     snapshot = writers.run_stamp()
     for name, df in tables.items():
-        writers.publish_snapshot(df, out_root, name, snapshot)
+        writers.write_snapshot(df, out_root, name, snapshot)
+    writers.publish(spark, out_root, {name: snapshot for name in tables})  # last: readers see all or nothing
     return snapshot

@@ -10,8 +10,10 @@ from __future__ import annotations
 import datetime as _dt
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from graustein import schemas
 
@@ -24,18 +26,14 @@ class NothingComputed(ValueError):
 
 # ---------------------------------------------------------------- partitioned writes
 
-def write_partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...], spread_by: tuple[str, ...] = (),
-                      mode: str = "append", fmt: str = "parquet", observe=None) -> None:
+def write_partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...], mode: str = "append", fmt: str = "parquet", observe=None) -> None:
     """Write ``df`` into one folder per value of ``partition_by``.
 
-    Rows are first range-partitioned by (partition columns, ``spread_by``): each task then
-    holds a few neighbouring projects and writes a file for each, instead of every task
-    writing a small file for every project. A project holding a third of all rows still
-    spans many tasks, because the range bounds also split on ``spread_by``.
-    ``observe`` = (Observation, *metrics) is attached after the repartition, so the range
-    sampling pass is not counted."""
-    cols = [c for c in (*partition_by, *spread_by) if c in df.columns]
-    out = df.repartitionByRange(*cols) if cols else df
+    Rows are first rebalanced by the partition columns: a task holds whole projects and writes
+    a file for each, and AQE splits a project holding a third of all rows over many tasks.
+    Nothing is sampled, so ``df`` is computed once.
+    ``observe`` = (Observation, *metrics) is attached after it."""
+    out = df.hint("rebalance", *partition_by)
     if observe is not None:
         out = out.observe(*observe)
     w = out.write.mode(mode).partitionBy(*partition_by).format(fmt)
@@ -44,6 +42,19 @@ def write_partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...], s
     w.save(path)
 
 
+def read_back(spark: SparkSession, path: str, written: DataFrame) -> DataFrame:
+    """What ``written`` was written to ``path`` as, with the types it had: folder names such as
+    ``project_id=007`` or a date stay the ids they are."""
+    return spark.read.schema(written.schema).parquet(path).select(*written.columns)
+
+
+def read_partitions(spark: SparkSession, path: str, partition_by: tuple[str, ...]) -> DataFrame:
+    """A stored table whose partition columns are strings, whatever their values look like."""
+    found = spark.read.parquet(path).schema
+    fields = [T.StructField(f.name, T.StringType() if f.name in partition_by else f.dataType) for f in found]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
 # ---------------------------------------------------------------- result store
 
 def run_stamp(now: _dt.datetime | None = None) -> str:
@@ -58,9 +69,8 @@ def store_results(df: DataFrame, root: str, data_type: str, filename: str, run_t
     run_ts = run_ts or run_stamp()
     out = (df.withColumn("data_type", F.lit(data_type)).withColumn("filename", F.lit(filename))
            .withColumn("run_ts", F.lit(run_ts)))
-    spread = tuple(c for c in ("element_id", "guid", "id") if c in df.columns)[:1]
     # only this run's (type, project, file, run) folders are replaced: storing again is idempotent
-    write_partitioned(out, root, STORE_PARTITIONS, spread, mode="overwrite")
+    write_partitioned(out, root, STORE_PARTITIONS, mode="overwrite")
     return run_ts
 
 
@@ -68,7 +78,7 @@ def read_latest(spark: SparkSession, root: str, data_type: str, project_id: str
                 filename: str | None = None) -> DataFrame:
     """The latest run per (project, filename) of a data type. Filters on partition
     columns prune folders; the filename is matched exactly (not as a prefix)."""
-    df = spark.read.parquet(root).filter(F.col("data_type") == F.lit(data_type))
+    df = read_partitions(spark, root, STORE_PARTITIONS).filter(F.col("data_type") == F.lit(data_type))
     if project_id is not None:
         df = df.filter(F.col("project_id") == F.lit(project_id))
     if filename is not None:
@@ -80,18 +90,40 @@ def read_latest(spark: SparkSession, root: str, data_type: str, project_id: str
 
 # ---------------------------------------------------------------- snapshots
 
+def write_snapshot(df: DataFrame, root: str, table: str, snapshot: str) -> None:
+    """Write a version of ``table`` to ``{root}/{table}/snapshot={id}``; readers don't see it yet."""
+    df.write.mode("errorifexists").parquet(os.path.join(root, table, f"snapshot={snapshot}"))
+
+
+def publish(spark: SparkSession, root: str, snapshots: dict[str, str]) -> None:
+    """Make the named snapshots the current ones, all of them in one committed write."""
+    rows = spark.createDataFrame(sorted(snapshots.items()), "table_name string, snapshot string")
+    rows.coalesce(1).write.mode("append").parquet(os.path.join(root, "published_snapshots"))
+
+
+def published(spark: SparkSession, root: str) -> dict[str, str]:
+    """The current snapshot of every published table (a few rows)."""
+    path = os.path.join(root, "published_snapshots")
+    try:
+        rows = spark.read.schema("table_name string, snapshot string").parquet(path)
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        return {}
+    return {r["table_name"]: r["s"] for r in rows.groupBy("table_name").agg(F.max("snapshot").alias("s")).collect()}
+
+
 def publish_snapshot(df: DataFrame, root: str, table: str, snapshot: str | None = None) -> str:
-    """Write a new version of ``table`` to ``{root}/{table}/snapshot={id}``; returns the id."""
+    """Write a new version of ``table`` and make it the current one; returns its id."""
     snapshot = snapshot or run_stamp()
-    df.write.mode("errorifexists").parquet(os.path.join(root, table, f"snapshot={snapshot}"))
+    write_snapshot(df, root, table, snapshot)
+    publish(df.sparkSession, root, {table: snapshot})
     return snapshot
 
 
 def read_current(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """The newest complete snapshot of ``table`` (the write of a snapshot commits atomically)."""
-    all_versions = spark.read.option("basePath", os.path.join(root, table)).parquet(os.path.join(root, table))
-    newest = all_versions.agg(F.max("snapshot").alias("snapshot")).first()["snapshot"]
-    return spark.read.parquet(os.path.join(root, table, f"snapshot={newest}"))
+    """The published snapshot of ``table``, also when it has no rows."""
+    return spark.read.parquet(os.path.join(root, table, f"snapshot={published(spark, root)[table]}"))
 
 
 # ---------------------------------------------------------------- JSON / text outputs
@@ -145,12 +177,11 @@ def append_table(df: DataFrame, root: str, table: str, run_id: str | None = None
 
     With a ``run_id`` the write replaces exactly that run's partitions (dynamic partition
     overwrite), so a retried run does not add its rows twice."""
-    spread = tuple(c for c in ("element_id", "guid", "id") if c in df.columns)[:1]
     if run_id is None:
-        write_partitioned(df, os.path.join(root, table), partition_by, spread)
+        write_partitioned(df, os.path.join(root, table), partition_by)
     else:
         write_partitioned(df.withColumn("run_id", F.lit(run_id)), os.path.join(root, table),
-                          ("run_id", *partition_by), spread, mode="overwrite")
+                          ("run_id", *partition_by), mode="overwrite")
 
 
 def history_rows(stats: DataFrame, processing_time: float, created_at=None) -> DataFrame:

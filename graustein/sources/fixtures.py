@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from graustein.operators.joins import lookup_side
 
 # Fixed values of the fixture: 20 projects; the versions, the service-life and cost
 # rows below are the reference data the queries run against.
@@ -78,16 +77,13 @@ def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
 def element_materials(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``ifc_element_materials``-like rows: one per (element, material name).
 
-    The rows are hash-partitioned by ``element_id`` once, before the grouping, so the
-    grouping and the later join with the elements reuse that partitioning (a stored
-    table would be bucketed by ``element_id`` for the same effect)."""
+    The grouping combines map-side, so no element's raw rows are gathered first."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
-    part = lookup_side(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size"))
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
     joined = (li.join(part, F.col("l_partkey") == F.col("p_partkey"), "inner")
               .select(F.col("l_orderkey").cast("string").alias("element_id"),
                       F.col("p_name").alias("material_name"),
-                      F.col("l_quantity").cast("decimal(12,2)").alias("q"), "p_size")
-              .repartition("element_id"))
+                      F.col("l_quantity").cast("decimal(12,2)").alias("q"), "p_size"))
     size = F.max("p_size")
     return (joined.groupBy("element_id", "material_name")
             .agg((F.sum("q") - F.lit(5)).cast("decimal(12,2)").alias("volume"),

@@ -71,10 +71,7 @@ def clean_messages(messages: DataFrame) -> DataFrame:
 
 def replies(messages: DataFrame, stats: DataFrame) -> DataFrame:
     """K5: one reply per handled message: ``{status, project_id, message}`` and its JSON."""
-    from graustein.operators.joins import lookup_side
-    # one stats row per project: broadcast when proven small, so a project named by a third of
-    # the messages is not funnelled into one join task
-    s = lookup_side(stats.select("project_id", "total_components", "failed_components"))
+    s = stats.select("project_id", "total_components", "failed_components")  # one row per project
     j = messages.join(s, "project_id", "left")
     ok = F.col("total_components").isNotNull()
     message = F.when(ok, F.concat(
@@ -107,8 +104,7 @@ def make_batch_handler(ctx: BatchContext):
         try:
             inputs = ctx.lca_inputs()
             wanted = msgs.select("project_id").filter(F.col("project_id").isNotNull()).distinct()
-            inputs.elements = inputs.elements.join(F.broadcast(wanted) if _small(wanted) else wanted,
-                                                   "project_id", "left_semi")
+            inputs.elements = inputs.elements.join(wanted, "project_id", "left_semi")
             comps, version = jobs.lca(inputs)
             part = f"batch_id={batch_id}"
             comps.write.mode("overwrite").parquet(os.path.join(ctx.output_root, "components", part))
@@ -129,11 +125,6 @@ def make_batch_handler(ctx: BatchContext):
     return handle
 
 
-def _small(df: DataFrame) -> bool:
-    from graustein.operators.joins import is_small
-    return is_small(df)
-
-
 def run_available(messages: DataFrame, ctx: BatchContext, checkpoint: str) -> None:
     """Process everything available now, then stop (tests, scheduled runs)."""
     q = (messages.writeStream.foreachBatch(make_batch_handler(ctx))

@@ -103,15 +103,18 @@ def test_report_without_failures_has_no_failed_section(spark):
     assert len(lines) == 5 and "Failed Components:" not in lines
 
 
-def test_nested_merge(spark):
-    schema = "guid string, components array<struct<material_name:string,failed:boolean>>, shared_guid boolean"
-    lca_n = spark.createDataFrame([("x", [("m1", False), ("m2", False)], True), ("y", [("m1", False)], False)], schema)
-    cost_n = spark.createDataFrame([("y", [("Cost Calculation", False)], False)], schema)
-    merged = {r["guid"]: ([c["material_name"] for c in r["components"]], r["shared_guid"])
-              for r in cb.merge_nested(lca_n, cost_n).collect()}
-    assert merged == {"x": (["m1", "m2"], True), "y": (["Cost Calculation", "m1"], False)}
-    cst = spark.createDataFrame([("P", "y", "C", 1.0, 2.0, "m2", False, None)],
-                                "project_id string, guid string, ebkp_h string, total_cost double, unit_cost double, "
-                                "unit string, failed boolean, error string")
-    n = cb.nest_cost(cst).first()
-    assert n["components"][0]["material_name"] == "Cost Calculation" and n["shared_guid"] is False
+def test_combined_rows_carry_shared_guid(spark):
+    lca = _lca_rows(spark, [("P", "x", "m1", "C", 1.0, 2.0, 3.0, False, None), ("P", "x", "m2", "C", 1.0, 2.0, 3.0, False, None),
+                            ("P", "y", "m1", "C", 1.0, 2.0, 3.0, False, None)])
+    rows = cb.combined_rows(lca, _cost_rows(spark, [("P", "x", "C", 1.0, False, None), ("P", "z", "C", 1.0, False, None)])).collect()
+    assert sorted((r["guid"], r["source"], r["shared_guid"]) for r in rows) == [
+        ("x", "cost", True), ("x", "lca", True), ("x", "lca", True), ("y", "lca", False), ("z", "cost", False)]
+
+
+def test_cost_file_with_snake_case_header(spark, tmp_dir):
+    from graustein.sources import readers
+    path = f"{tmp_dir}/cost.csv"
+    spark.createDataFrame([("a", "1.5", "2", "3", "C2.1")], "id string, volume_net string, length string, area_net string, ebkp string").write.option(
+        "header", True).csv(path)
+    r = readers.read_cost_elements_csv(spark, path, "P").first()
+    assert (r["id"], r["volume_net"], r["length"], r["area_net"], r["ebkp"], r["project_id"]) == ("a", 1.5, 2.0, 3.0, "C2.1", "P")

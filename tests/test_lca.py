@@ -135,9 +135,8 @@ def test_rejects_statistics_and_nesting(spark, reference):
     comps, version = jobs.lca(_inputs(spark, reference, els, mats))
     stats = lca.lca_run_stats(comps, version).first()
     assert (stats["total_elements"], stats["failed_elements"], stats["failed_components"], stats["total_components"]) == (2, 1, 1, 3)
-    nested = {r["guid"]: r for r in lca.nest_components(comps).collect()}
-    assert nested["a"]["shared_guid"] and not nested["b"]["shared_guid"]
-    assert [c["material_name"] for c in nested["a"]["components"]] == ["Beton", "Nope"]
+    summary = {r["element_id"]: (r["n_components"], r["shared_guid"]) for r in lca.element_summary(comps).collect()}
+    assert summary == {"a": (2, True), "b": (1, False)}
     # invariant: components = good + failed
     assert comps.count() == comps.filter("failed").count() + comps.filter("not failed").count()
 
@@ -168,12 +167,25 @@ def test_duplicate_catalogue_rows_do_not_multiply_components(spark, reference):
     assert comps.count() == 2
 
 
-def test_nesting_bound_is_checked(spark, reference):
-    els, mats = _tables(spark, [("a", "P", "C", f"m{i}", 1.0, 2300.0) for i in range(5)])
-    comps, _ = jobs.lca(_inputs(spark, reference, els, mats))
-    with pytest.raises(lca.GroupTooLarge):
-        lca.nest_components(comps, max_components=3)
-    assert lca.nest_components(comps, max_components=5).first()["shared_guid"]
+def test_blank_latest_mapping_hides_older_ones(spark):
+    rows = [("P", "Beton", "K1", dt.datetime(2024, 1, 1)), ("P", "Beton", " ", dt.datetime(2024, 2, 1)), ("P", "Holz", "K2", dt.datetime(2024, 1, 1))]
+    m = spark.createDataFrame(rows, "project_id string, ifc_material string, kbob_id string, created_at timestamp")
+    assert [tuple(r) for r in lca.usable_mappings(m).collect()] == [("P", "Holz", "K2")]
+    from graustein.operators import projects
+    assert [tuple(r) for r in projects.project_mapping(m, "P").collect()] == [("Holz", "K2")]
+
+
+def test_remap_keeps_the_mappings_of_all_projects(spark, reference):
+    catalogue, versions, life, _ = reference
+    schema = "project_id string, ifc_material string, kbob_id string, kbob_version string, is_modelled boolean, created_at timestamp"
+    old = spark.createDataFrame([(None, "Beton", BETON, "v", True, dt.datetime(2024, 1, 1)), ("P1", "Holz", BETON, "v", True, dt.datetime(2024, 1, 1)),
+                                 ("P2", "Holz", BETON, "v", True, dt.datetime(2024, 1, 1))], schema)
+    els, mats = _tables(spark, [("a", "P1", "C", "Beton", 1.0, 1.0), ("b", "P1", "C", "Holz", 1.0, 1.0)])
+    new = spark.createDataFrame([("Holz", GLASWOLLE)], "ifc_material string, kbob_id string")
+    mapped, comps = jobs.remap_and_recompute(jobs.LcaInputs(els, mats, old, catalogue, versions, life), "P1", new, old)
+    assert {(r["project_id"], r["ifc_material"], r["kbob_id"]) for r in mapped.collect()} == {
+        (None, "Beton", BETON), ("P1", "Holz", GLASWOLLE), ("P2", "Holz", BETON)}
+    assert {r["element_id"]: r["kbob_uuid"] for r in comps.collect()} == {"a": BETON, "b": GLASWOLLE}
 
 
 def test_mapping_rows_without_project_apply_to_every_project(spark, reference):
