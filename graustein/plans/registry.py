@@ -812,6 +812,24 @@ def q_stored_latest_results(spark, sf_dir):
             .select("project_id", "element_id", "material_name", "gwp_absolute", "failed"))
 
 
+@query("persisted_lca_results", with_views(LCA_VIEWS, body="""
+SELECT CASE WHEN CAST(element_id AS BIGINT) % 2 = 0 THEN lpad(CAST(CAST(element_id AS BIGINT) % 7 AS VARCHAR), 3, '0')
+            ELSE '2024-01-0' || CAST(CAST(element_id AS BIGINT) % 7 + 1 AS VARCHAR) END AS project_id,
+       element_id, material_name, failed FROM lca_components"""))
+def q_persisted_lca_results(spark, sf_dir):
+    """Component rows of projects named like numbers (007) and dates, stored by project
+    and read back; the ids stay what they were."""
+    import uuid
+    from graustein.session import scratch_path
+    from graustein.sinks import writers
+    key = F.col("element_id").cast("long")
+    project = F.when(key % 2 == 0, F.lpad((key % 7).cast("string"), 3, "0")).otherwise(F.concat(F.lit("2024-01-0"), (key % 7 + 1).cast("string")))
+    comps = lca_components(spark, sf_dir).select(project.alias("project_id"), "element_id", "material_name", "failed")
+    path = scratch_path(spark, "store", uuid.uuid4().hex)
+    writers.write_partitioned(comps, path, ("project_id",), mode="overwrite")
+    return writers.read_back(spark, path, comps)
+
+
 # ---------------------------------------------------------------- file round trips
 
 @query("catalogue_csv_round_trip", with_views(body="""

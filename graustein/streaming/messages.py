@@ -97,6 +97,7 @@ def make_batch_handler(ctx: BatchContext):
     """The ``foreachBatch`` function. All messages of the batch in one set of jobs."""
     from graustein.operators import lca as lca_ops
     from graustein.plans import jobs
+    from graustein.sinks import writers
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         msgs = clean_messages(batch)
@@ -107,12 +108,14 @@ def make_batch_handler(ctx: BatchContext):
             inputs.elements = inputs.elements.join(wanted, "project_id", "left_semi")
             comps, version = jobs.lca(inputs)
             part = f"batch_id={batch_id}"
-            comps.write.mode("overwrite").parquet(os.path.join(ctx.output_root, "components", part))
-            written = msgs.sparkSession.read.parquet(os.path.join(ctx.output_root, "components", part))
+            # Outputs are keyed by project, so a second delivery replaces what the first wrote
+            path = os.path.join(ctx.output_root, "components")
+            writers.write_partitioned(comps, path, ("project_id",), mode="overwrite")
+            written = writers.read_back(msgs.sparkSession, path, comps).join(wanted, "project_id", "left_semi")
             stats = lca_ops.lca_run_stats(written, version)
             if ctx.cost_reference is not None:
-                (jobs.cost(inputs.elements, ctx.cost_reference()).write.mode("overwrite")
-                 .parquet(os.path.join(ctx.output_root, "cost_results", part)))
+                writers.write_partitioned(jobs.cost(inputs.elements, ctx.cost_reference()),
+                                          os.path.join(ctx.output_root, "cost_results"), ("project_id",), mode="overwrite")
             out = replies(msgs, stats)
             out.write.mode("overwrite").parquet(os.path.join(ctx.output_root, "replies", part))
             if ctx.reply_kafka:  # K5 to a topic, when the connector is available
@@ -166,17 +169,27 @@ def make_document_handler(ctx: DocumentContext):
     from graustein.operators import elements as el
     from graustein.operators import lca as lca_ops
     from graustein.plans.ingest import _with_uids
+    from graustein.sinks import writers
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()  # parsed once for everything below
+        try:
+            compute(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def compute(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         part = f"batch_id={batch_id}"
         exploded = _with_uids(el.explode_documents(batch))
-        el.flatten_elements(exploded).write.mode("overwrite").parquet(os.path.join(ctx.output_root, "elements", part))
+        # Keyed by project (a file's project comes from its name), so a file that arrives again replaces its rows
+        writers.write_partitioned(el.flatten_elements(exploded), os.path.join(ctx.output_root, "elements"), ("project_id",), mode="overwrite")
         rows = el.validate_components(el.document_components(exploded))
         version = cat.active_version(ctx.versions())
         comps = lca_ops.lca_components(rows, ctx.mappings(), ctx.catalogue(), ctx.life(), version)
-        comps.write.mode("overwrite").parquet(os.path.join(ctx.output_root, "components", part))
-        written = spark.read.parquet(os.path.join(ctx.output_root, "components", part))
+        path = os.path.join(ctx.output_root, "components")
+        writers.write_partitioned(comps, path, ("project_id",), mode="overwrite")
+        written = writers.read_back(spark, path, comps).join(batch.select("project_id").distinct(), "project_id", "left_semi")
         files_of = exploded.select(el.element_key().alias("element_id"), "source_file").distinct()
         per_file = (written.join(files_of, "element_id", "left").groupBy("project_id", "source_file")
                     .agg(F.count(F.lit(1)).alias("total_components"), F.count_if("failed").alias("failed_components")))

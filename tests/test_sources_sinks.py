@@ -155,3 +155,25 @@ def test_ingest_twice_is_idempotent(spark, tmp_dir):
     for a, b in ((p1, p2), (e1, e2), (m1, m2)):
         assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
     assert {r["project_id"] for r in e2.collect()} == {"ifc_haus"}
+
+
+def test_stored_project_ids_keep_their_type(spark, tmp_dir):
+    from graustein.sinks import writers
+    df = spark.createDataFrame([("007", 1), ("042", 2), ("2024-01-01", 3), (None, 4)], "project_id string, n int")
+    writers.write_partitioned(df, f"{tmp_dir}/t", ("project_id",), mode="overwrite")
+    assert sorted(map(tuple, writers.read_back(spark, f"{tmp_dir}/t", df).collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+    writers.store_results(df.filter("project_id is not null"), f"{tmp_dir}/s", "lca", "2024-01-01")
+    got = writers.read_latest(spark, f"{tmp_dir}/s", "lca", project_id="007", filename="2024-01-01").collect()
+    assert [(r["project_id"], r["filename"], r["n"]) for r in got] == [("007", "2024-01-01", 1)]
+
+
+def test_current_snapshot_follows_the_publication(spark, tmp_dir):
+    from graustein.sinks import writers
+    one = spark.createDataFrame([(1,)], "a int")
+    writers.publish_snapshot(one, tmp_dir, "t", "1")
+    writers.write_snapshot(one.union(one), tmp_dir, "t", "2")
+    assert writers.read_current(spark, tmp_dir, "t").count() == 1  # written, not yet published
+    writers.publish(spark, tmp_dir, {"t": "2"})
+    assert writers.read_current(spark, tmp_dir, "t").count() == 2
+    writers.publish_snapshot(one.limit(0), tmp_dir, "t", "3")
+    assert writers.read_current(spark, tmp_dir, "t").count() == 0

@@ -42,9 +42,14 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark, tmp_dir):
     handler = ms.make_batch_handler(ctx)
     handler(spark.read.text(inbox), 0)
     assert spark.read.parquet(os.path.join(out, "replies")).count() == 2
+    # a second delivery in a later batch replaces the projects' rows
+    handler(spark.read.text(inbox), 9)
+    assert spark.read.parquet(os.path.join(out, "components")).count() == batch.count()
+    assert spark.read.parquet(os.path.join(out, "cost_results")).count() == costs.count()
+    assert spark.read.parquet(os.path.join(out, "replies")).filter("batch_id = 9").count() == 2
     # a restart with the same checkpoint reads nothing new
     ms.run_available(ms.file_messages(spark, inbox, fmt="text"), ctx, os.path.join(tmp_dir, "ckpt"))
-    assert spark.read.parquet(os.path.join(out, "replies")).count() == 2
+    assert spark.read.parquet(os.path.join(out, "replies")).count() == 4
 
 
 def test_persisted_combined_run(spark, tmp_dir):
