@@ -34,8 +34,8 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark, tmp_dir):
     batch = comps.filter(F.col("project_id").isin("P3", "P7"))
     cols = sorted(batch.columns)
     assert sorted(map(repr, streamed.select(cols).collect())) == sorted(map(repr, batch.select(cols).collect()))
-    costs = spark.read.parquet(os.path.join(out, "cost_results"))
-    assert costs.count() == fx.elements(spark, SF).filter(F.col("project_id").isin("P3", "P7")).count()
+    n_costs = spark.read.parquet(os.path.join(out, "cost_results")).count()
+    assert n_costs == fx.elements(spark, SF).filter(F.col("project_id").isin("P3", "P7")).count()
     replies = spark.read.parquet(os.path.join(out, "replies")).collect()
     assert sorted(r["project_id"] for r in replies) == ["P3", "P7"] and {r["status"] for r in replies} == {"success"}
     # replaying the same batch id overwrites its own output
@@ -45,7 +45,7 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark, tmp_dir):
     # a second delivery in a later batch replaces the projects' rows
     handler(spark.read.text(inbox), 9)
     assert spark.read.parquet(os.path.join(out, "components")).count() == batch.count()
-    assert spark.read.parquet(os.path.join(out, "cost_results")).count() == costs.count()
+    assert spark.read.parquet(os.path.join(out, "cost_results")).count() == n_costs
     assert spark.read.parquet(os.path.join(out, "replies")).filter("batch_id = 9").count() == 2
     # a restart with the same checkpoint reads nothing new
     ms.run_available(ms.file_messages(spark, inbox, fmt="text"), ctx, os.path.join(tmp_dir, "ckpt"))
