@@ -20,6 +20,7 @@ empty tables. Only the id and the text are read. A text is encoded whole, in mem
 from __future__ import annotations
 
 import os
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,13 @@ BLOCK = 4096
 CHUNK_IDS = 1 << 18
 END_ID = 0
 
+# How byte-level BPE files spell bytes: visible characters stand for themselves, the others for
+# the characters from 256 on. (By rule; a fixed convention of the format.)
+_VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+SPELLED = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_VISIBLE)))}
+SPACE = chr(SPELLED[32])
+MARKS = ".,;:!?"
+
 _encoders: dict[str, Encoded] = {}
 
 
@@ -46,11 +54,35 @@ def encoder(path: str) -> Encoded:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
+        one_word, marks = tokenizer.model.tokenize, {}
+
+        def several(chunks: list[str]) -> list[bytes]:
+            return [array("I", e.ids).tobytes() for i in range(0, len(chunks), 10_000)
+                    for e in tokenizer.encode_batch_fast(chunks[i:i + 10_000], add_special_tokens=False)]
+
         def encode(chunks: list[str]) -> list[bytes]:
-            out = []
-            for i in range(0, len(chunks), 10_000):
-                for e in tokenizer.encode_batch_fast(chunks[i:i + 10_000], add_special_tokens=False):
-                    out.append(np.array(e.ids, "<u4").tobytes())
+            # letters behind at most one space are one word for the model, as are marks after
+            # them: those take the library's model alone, all others its whole tokenizer
+            out, rest = [b""] * len(chunks), []
+            for i, c in enumerate(chunks):
+                word = c.rstrip(MARKS)
+                space, letters = (SPACE, word[1:]) if word[:1] == " " else ("", word)
+                if not letters.isalpha():
+                    rest.append(i)
+                    continue
+                if not letters.isascii():
+                    letters = letters.encode().decode("latin-1").translate(SPELLED)
+                ids = array("I", [t.id for t in one_word(space + letters)]).tobytes()
+                if len(word) < len(c):
+                    end = c[len(word):]
+                    if end not in marks:
+                        marks[end] = several([end])[0]
+                    ids += marks[end]
+                out[i] = ids
+            for i, ids in zip(rest, several([chunks[i] for i in rest])):
+                out[i] = ids
+            if len(marks) > 10_000:
+                marks.clear()
             return out
         _encoders[path] = Encoded(encode)
     return _encoders[path]
