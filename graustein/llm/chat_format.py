@@ -74,7 +74,7 @@ def _up(rows: DataFrame, jumps: DataFrame, key: str, how: str = "inner") -> Data
 def best_paths(messages: DataFrame, top: int = 1) -> DataFrame:
     """(tree, path, place, msg): the ``top`` best root-to-leaf paths of every tree; ``path``
     is the leaf, ``place`` counts from 0 at the root."""
-    nodes = messages.select("tree", "msg", "parent", F.coalesce("score", F.lit(0.0)).alias("score"))
+    nodes = stored(messages.select("tree", "msg", "parent", F.coalesce("score", F.lit(0.0)).alias("score")), "nodes")
     known = nodes.select(F.col("tree").alias("to_tree"), F.col("msg").alias("to_msg"))
     state = stored(_up(nodes, known, "parent", "left").select(
         "tree", "msg", F.when(F.col("to_msg").isNotNull(), F.col("parent")).alias("up"), F.col("score").alias("total"), F.lit(1).cast("long").alias("depth")), "jumps")
@@ -92,9 +92,10 @@ def best_paths(messages: DataFrame, top: int = 1) -> DataFrame:
         step *= 2
     rooted = state.filter("up IS NULL").select(F.col("tree").alias("to_tree"), F.col("msg").alias("to_msg"), "total", "depth")
     ranked = _up(leaves, rooted, "msg").withColumn("rank", F.row_number().over(W.partitionBy("tree").orderBy(F.desc("total"), "msg")))
-    path = ranked.filter(F.col("rank") <= top).select("tree", F.col("msg").alias("path"), "msg", (F.col("depth") - 1).alias("place"))
+    path = stored(ranked.filter(F.col("rank") <= top).select("tree", F.col("msg").alias("path"), "msg", (F.col("depth") - 1).alias("place")), "paths")
     for length, jump in reversed(jumps):
-        path = path.unionByName(_up(path, jump, "msg").select("tree", "path", F.col("up").alias("msg"), (F.col("place") - length).alias("place")))
+        above = _up(path, jump, "msg").select("tree", "path", F.col("up").alias("msg"), (F.col("place") - length).alias("place"))
+        path = stored(path.unionByName(above), "paths")
     return path
 
 
