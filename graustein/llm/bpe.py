@@ -18,6 +18,7 @@ and the text are read.
 from __future__ import annotations
 
 import base64
+import ctypes
 import heapq
 
 import numpy as np
@@ -29,8 +30,8 @@ from graustein.llm.base import map_arrow
 from graustein.llm.chunks import Encoded, text_slices
 
 LONG = 256
-WORDS_AT_ONCE = 40_000
-KNOWN_WORDS = 400_000  # contracted words that a worker remembers
+WORDS_AT_ONCE = 20_000
+KNOWN_WORDS = 250_000  # contracted words that a worker remembers
 
 CONTRACT = """
 WITH RECURSIVE state AS (
@@ -78,7 +79,7 @@ class Coder:
         import regex
         self.ranks = read_ranks(path)
         self.pattern = regex.compile(pattern)
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "temp_directory": ""})
         pairs = [(self.ranks[b[:i]], self.ranks[b[i:]], r) for b, r in self.ranks.items() for i in range(1, len(b))
                  if b[:i] in self.ranks and b[i:] in self.ranks]
         pairs = np.array(pairs, np.int32).reshape(-1, 3)
@@ -87,7 +88,7 @@ class Coder:
         self._table("pieces", pa.table({"id": pa.array(list(self.ranks.values()), pa.int32()), "piece": [letters(b) for b in self.ranks]}))
         self.byte_id = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
         self.words: dict[str, bytes] = {}
-        self.encoded = Encoded(self.encode_chunks)
+        self.encoded = Encoded(self.encode_chunks, 200_000)
 
     def _table(self, name: str, rows: pa.Table) -> None:
         self.con.register("rows_of_" + name, rows)
@@ -152,6 +153,16 @@ class Coder:
         get = self.words.__getitem__
         return [get(ws[0]) if len(ws) == 1 else b"".join(map(get, ws)) for ws in found]
 
+    def forget(self) -> None:
+        """Drops what was learned from texts: a worker that goes on to other work keeps the
+        vocabulary's tables only."""
+        self.words.clear()
+        self.encoded.first.clear()
+        self.encoded.rest.clear()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps freed memory otherwise
+        if trim is not None:
+            trim(0)
+
     def decode(self, ids: list[bytes]) -> list[bytes]:
         lens = np.array([len(x) // 4 for x in ids], np.int64)
         n = int(lens.sum())
@@ -182,11 +193,12 @@ def _code(path: str, pattern: str):
     def run(batches):
         own = coder(path, pattern)
         for batch in batches:
-            for i, texts in text_slices(batch.column(1), 6 << 20):
+            for i, texts in text_slices(batch.column(1), 3 << 20):
                 ids = own.encoded.texts(texts)
                 decoded = own.decode(ids)
                 yield pa.record_batch([batch.column(0).slice(i, len(texts)), pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())],
                                       ["id", "ids", "decoded"])
+        own.forget()
     return run
 
 
