@@ -63,6 +63,18 @@ SENTENCES = {
     "isc.grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "unlicense.free": "This is free and unencumbered software released into the public domain.",
     "rights.all": "All rights reserved; no licence is granted.",
+    "rights.reserved": "All rights reserved.",
+    "lgpl.free21": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "lgpl.free3": "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "lgpl.warranty": "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
+    "lgpl.see": "See the GNU Lesser General Public License for more details.",
+    "lgpl.copy": "You should have received a copy of the GNU Lesser General Public License along with this library.",
+    "agpl.free3": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "agpl.see": "See the GNU Affero General Public License for more details.",
+    "agpl.copy": "You should have received a copy of the GNU Affero General Public License along with this program.",
+    "bsd.style": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+    "cc0.waiver": "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide.",
+    "cc0.waiver2": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
 }
 
 # Ordered rules, (licence, sentence identifiers). Numbers of list items ("1.") are
@@ -77,10 +89,26 @@ RULES = [
     ("CC-BY-NC-4.0", ["ccbync.ref"]), ("CC-BY-NC-4.0", ["ccbync.ref2"]),
     ("BSD-2-Clause", ["bsd.redist", "bsd.source", "bsd.binary"]), ("BSD-3-Clause", ["bsd.redist", "bsd.source", "bsd.binary", "bsd.name"]),
     ("MPL-2.0", ["mpl.notice"]), ("ISC", ["isc.grant"]), ("Unlicense", ["unlicense.free"]), ("Proprietary", ["rights.all"]),
+    ("Proprietary", ["rights.reserved"]), ("BSD", ["bsd.style"]), ("CC0-1.0", ["cc0.waiver"]), ("CC0-1.0", ["cc0.waiver2"]),
+    ("LGPL-2.1-or-later", ["lgpl.free21", "lgpl.warranty", "lgpl.see", "lgpl.copy"]), ("LGPL-3.0-or-later", ["lgpl.free3", "lgpl.warranty", "lgpl.see", "lgpl.copy"]),
+    ("AGPL-3.0-or-later", ["agpl.free3", "gpl.warranty", "agpl.see", "agpl.copy"]),
+]
+
+# How a line names a licence; every lead goes with every name.
+LEADS = ("Licensed under", "Released under", "Distributed under", "This work is licensed under", "This project is licensed under", "This software is licensed under")
+REFERENCES = [
+    ("MIT", "the MIT License"), ("Apache-2.0", "the Apache License, Version 2.0"), ("GPL-2.0", "the GNU General Public License, version 2"),
+    ("GPL-3.0", "the GNU General Public License, version 3"), ("LGPL-2.1", "the GNU Lesser General Public License, version 2.1"),
+    ("LGPL-3.0", "the GNU Lesser General Public License, version 3"), ("AGPL-3.0", "the GNU Affero General Public License, version 3"),
+    ("BSD", "the BSD License"), ("BSD", "a BSD-style license"), ("BSD-2-Clause", "the BSD 2-Clause License"), ("BSD-3-Clause", "the BSD 3-Clause License"),
+    ("ISC", "the ISC License"), ("MPL-2.0", "the Mozilla Public License, version 2.0"), ("Unlicense", "the Unlicense"),
+    ("CC0-1.0", "CC0 1.0"), ("CC0-1.0", "CC0 1.0 Universal"), ("CC-BY-4.0", "CC BY 4.0"), ("CC-BY-SA-4.0", "CC BY-SA 4.0"), ("CC-BY-NC-4.0", "CC BY-NC 4.0"),
+    ("CC-BY-4.0", "a Creative Commons Attribution 4.0 International License"), ("CC-BY-SA-4.0", "a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("CC-BY-NC-4.0", "a Creative Commons Attribution-NonCommercial 4.0 International License"),
 ]
 WORDS = "licen[sc]e|copyright|permission|software|redistribut|program|warranty|rights"
 
-GATE = WORDS + "|public domain|CC BY|Mozilla|Creative Commons|GNU"
+GATE = WORDS + "|public domain|CC0|CC BY|Mozilla|Creative Commons|GNU"
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -90,6 +118,20 @@ def normal(sentence: str) -> str:
     return re.sub("[^a-z0-9]+", " ", "".join(c.lower() if c in UPPER else c for c in sentence)).strip(" ")
 
 
+def _references() -> None:
+    """Sentences and one-step rules of the references, besides those listed above."""
+    taken = {normal(s) for s in SENTENCES.values()}
+    for name, (license_, named) in enumerate(REFERENCES):
+        for lead, words in enumerate(LEADS):
+            sentence = f"{words} {named}."
+            if normal(sentence) not in taken:
+                SENTENCES[f"ref.{name}.{lead}"] = sentence
+                RULES.append((license_, [f"ref.{name}.{lead}"]))
+
+
+_references()
+
+
 def sentences(text: Column, wrapped: bool) -> Column:
     """The normalised sentences of a text, in order; those without a letter are left out."""
     if wrapped:

@@ -348,6 +348,26 @@ def test_license_gate_is_in_every_sentence():
     assert {i for _, ids in licenses.RULES for i in ids} <= set(licenses.SENTENCES)
 
 
+def test_license_lines_of_the_documents_are_found(spark):
+    """Lines found in the texts by words of their own, not by the operator's sentences."""
+    import re
+    line = re.compile(r"(?im)^((licensed|released|this work is licensed) under .{3,90}|all rights reserved)[.]$")
+    docs = documents(spark, "/root/testdata/sf0.01")
+    held = {r["doc_id"] for r in docs.collect() if line.search(r["text"] or "")}
+    found = {(r["id"], r["license"]) for r in licenses.scan(docs).collect()}
+    assert len(held) > 30 and held <= {i for i, _ in found}
+    reserved = {r["doc_id"] for r in docs.filter("text LIKE '%All rights reserved.%'").collect()}
+    assert reserved and reserved <= {i for i, name in found if name == "Proprietary"}
+
+
+def test_license_references(spark):
+    said = [("Proprietary", "Copyright 2020 A. Body. All rights reserved."), ("LGPL-2.1", "Licensed under the GNU Lesser General Public License, version 2.1."),
+            ("AGPL-3.0", "This project is licensed under the GNU Affero General Public License, version 3."), ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
+            ("CC0-1.0", "Released under CC0 1.0."), ("MIT", "Released under the MIT License.")]
+    docs = spark.createDataFrame([(i, f"some text\n{line}\n") for i, (_, line) in enumerate(said)], "doc_id long, text string")
+    assert collected(licenses.scan(docs), "id", "license", "score", "n_full") == [(i, name, 1.0, 1) for i, (name, _) in enumerate(said)]
+
+
 # ------------------------------------------------------------------------- chat
 
 def test_chat_round_trip(spark):
