@@ -2,13 +2,15 @@
 
 Texts become sequences of tokens (runs of letters and digits, lower case) in which numbers,
 names (capitalised words inside a sentence; neighbouring ones count as one) and units (after a
-number) are typed placeholders. Windows of 8 template tokens, at least half of them literal,
-of documents and benchmark items are hash-joined; a filter of fixed size (8 MB) made of the
+number) are typed placeholders. Windows of 8 template tokens of documents and benchmark items
+are hash-joined: with at least half of them literal whatever the slots hold, else (numbers or
+names in a row) only with equal slot values; a filter of fixed size (8 MB) made of the
 benchmark's windows keeps all other windows of the documents from being moved. A match
 stands on an alignment (place in the document less place in the item). Along an alignment the
 slots must be consistent: equal values of the item face equal values of the document, for at
 least ``CONSISTENT`` of the item's values. A document is contaminated by an item when the
-windows of consistent alignments cover ``COVERED`` of the item's windows. With other values
+windows of consistent alignments cover ``COVERED`` of the item's windows, or the template windows
+among them that share of its template windows. With other values
 than the item's it is marked as re-parameterised.
 
 Items are asked in two forms, with names as slots and as plain words; the second finds them in
@@ -16,8 +18,8 @@ texts that are all in lower or upper case. An item with fewer than 8 tokens is o
 are matched as one and reported each.
 
 Defined cases: null texts and items count as empty and match nothing; a null document id stays
-null; rows that agree in id and text get the same result; items without a window (too few
-literal tokens) match nothing; no documents give no rows; no items leave all documents clean.
+null; rows that agree in id and text get the same result; items without a token
+match nothing; no documents give no rows; no items leave all documents clean.
 Only ids and texts are read; texts are processed whole.
 """
 
@@ -66,11 +68,12 @@ def folded(data: np.ndarray) -> np.ndarray:
 
 
 def template(data: np.ndarray, offsets: np.ndarray, names: bool = True):
-    """(text number, key, value, literal) of the template tokens: ``key`` is what must agree, the
-    hash of a literal or of a placeholder's type; ``value`` the hash of what filled a slot, or 0."""
+    """(text number, key, value, literal, whole) of the template tokens: ``key`` is what must agree, the
+    hash of a literal or of a placeholder's type; ``value`` the hash of what filled a slot, or 0;
+    ``whole`` the hash of the token as it stands, with all words of a name."""
     if not len(data):
         z = np.zeros(0, np.uint64)
-        return np.zeros(0, np.int64), z, z, np.zeros(0, bool)
+        return np.zeros(0, np.int64), z, z, np.zeros(0, bool), z
     point = ((data == ord(".")) | (data == ord(",")))
     point[1:-1] &= DIGIT[data[:-2]] & DIGIT[data[2:]]
     point[[0, -1]] = False
@@ -80,7 +83,7 @@ def template(data: np.ndarray, offsets: np.ndarray, names: bool = True):
     starts, ends, doc = base.mask_spans(~APART[data] | point, offsets)
     h = base.span_hashes(folded(data), starts, ends)
     if not len(h):
-        return doc, h, h, np.zeros(0, bool)
+        return doc, h, h, np.zeros(0, bool), h
     first = np.ones(len(h), bool)
     first[1:] = doc[1:] != doc[:-1]
     stops = np.concatenate([[0], np.cumsum(STOP[data])])
@@ -99,26 +102,30 @@ def template(data: np.ndarray, offsets: np.ndarray, names: bool = True):
     kind[unit & (UNIT_HASHES[at] == h)] = UNIT
     more = np.zeros(len(h), bool)  # a further word of the same name
     more[1:] = (kind[1:] == NAME) & (kind[:-1] == NAME) & ~first[1:]
+    at = np.flatnonzero(~more)
+    nth = np.arange(len(h)) - np.repeat(at, np.diff(np.append(at, len(h))))
+    whole = np.add.reduceat(h * base.powers(int(nth.max()) + 1)[nth], at)
     doc, h, kind = doc[~more], h[~more], kind[~more]
     literal = kind == LITERAL
     types = np.array([seed(200 + k) for k in range(4)], np.uint64)
-    return doc, np.where(literal, h, types[kind]), np.where(literal, np.uint64(0), h), literal
+    return doc, np.where(literal, h, types[kind]), np.where(literal, np.uint64(0), h), literal, whole
 
 
-def template_windows(data: np.ndarray, offsets: np.ndarray, length: int, names: bool = True):
-    """(text number, place, hash, slot values (n, length)) of the windows with enough literals;
-    places count the text's windows from 0."""
-    doc, key, value, literal = template(data, offsets, names)
+def template_windows(tokens, length: int):
+    """(text number, place, hash, exact, slot values (n, length)) of the windows of ``length`` of the
+    ``template`` tokens. A window of too few literals is exact: its hash holds its slot values.
+    Places count the text's windows from 0."""
+    doc, key, value, literal, whole = tokens
     h, at = base.windows(key, doc, length)
+    same, _ = base.windows(whole, doc, length)
     enough = np.concatenate([[0], np.cumsum(literal)])
-    ok = 2 * (enough[at + length] - enough[at]) >= length if len(at) else np.zeros(0, bool)
-    h, at = h[ok], at[ok]
+    exact = 2 * (enough[at + length] - enough[at]) < length if len(at) else np.zeros(0, bool)
     of = doc[at]
     place = at - np.searchsorted(doc, of, "left")
-    return of, place, mix(h + np.uint64(length)), lambda which: value[at[which][:, None] + np.arange(length)]
+    return of, place, mix(np.where(exact, same + seed(210), h) + np.uint64(length)), exact, lambda which: value[at[which][:, None] + np.arange(length)]
 
 
-ITEM = "item {id}, form int, place int, total int, length int, h long, slots array<long>"
+ITEM = "item {id}, form int, place int, exact boolean, total int, loose int, length int, h long, slots array<long>"
 
 
 def _item_windows(batches):
@@ -126,18 +133,19 @@ def _item_windows(batches):
     for batch in batches:
         for i, j, data, offsets in base.slices(batch.column(1)):
             for form in (1, 0):
-                tokens = np.bincount(template(data, offsets, bool(form))[0], minlength=j - i)
+                asked = template(data, offsets, bool(form))
+                tokens = np.bincount(asked[0], minlength=j - i)
                 for length in sorted(set(np.minimum(tokens, WINDOW).tolist()) - {0}):
-                    of, place, h, slots = template_windows(data, offsets, length, bool(form))
+                    of, place, h, exact, slots = template_windows(asked, length)
                     own = np.minimum(tokens[of], WINDOW) == length
-                    of, place, h, values = of[own], place[own], h[own], slots(np.flatnonzero(own))
-                    total = np.bincount(of, minlength=j - i)
+                    of, place, h, exact, values = of[own], place[own], h[own], exact[own], slots(np.flatnonzero(own))
+                    total, loose = np.bincount(of, minlength=j - i), np.bincount(of[~exact], minlength=j - i)
                     n = len(of)
                     yield pa.record_batch([
-                        batch.column(0).slice(i, j - i).take(pa.array(of)), pa.array(np.full(n, form, np.int32)), pa.array(place.astype(np.int32)),
-                        pa.array(total[of].astype(np.int32)), pa.array(np.full(n, length, np.int32)), pa.array(h.view(np.int64)),
+                        batch.column(0).slice(i, j - i).take(pa.array(of)), pa.array(np.full(n, form, np.int32)), pa.array(place.astype(np.int32)), pa.array(exact),
+                        pa.array(total[of].astype(np.int32)), pa.array(loose[of].astype(np.int32)), pa.array(np.full(n, length, np.int32)), pa.array(h.view(np.int64)),
                         pa.ListArray.from_arrays(pa.array((np.arange(n + 1) * length).astype(np.int32)), pa.array(values.ravel().view(np.int64)))],
-                        ["item", "form", "place", "total", "length", "h", "slots"])
+                        ["item", "form", "place", "exact", "total", "loose", "length", "h", "slots"])
 
 
 def _hits(shared, lengths: list[int]):
@@ -145,8 +153,9 @@ def _hits(shared, lengths: list[int]):
     def run(batches):
         for batch in batches:
             for i, j, data, offsets in base.slices(batch.column(2)):
+                tokens = template(data, offsets)
                 for length in lengths:
-                    of, place, h, slots = template_windows(data, offsets, length)
+                    of, place, h, _, slots = template_windows(tokens, length)
                     hit = np.flatnonzero(base.in_bitmap(shared.value, (h & np.uint64(base.FILTER_BITS - 1)).astype(np.int64) + 1))
                     if not len(hit):
                         continue
@@ -174,21 +183,24 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
     hits = map_arrow(texts, _hits(bitmap, sorted(lengths)), f"id {texts.schema['id'].dataType.simpleString()}, th long, place int, h long, slots array<long>")
-    theirs = distinct.select("h", "class", "total", F.col("place").alias("at"), F.col("slots").alias("asked"))
-    met = stored(hits.join(theirs, "h").select("id", "th", "class", "total", "at", (F.col("place") - F.col("at")).alias("shift"),
+    theirs = distinct.select("h", "class", "total", "loose", "exact", F.col("place").alias("at"), F.col("slots").alias("asked"))
+    met = stored(hits.join(theirs, "h").select("id", "th", "class", "total", "loose", "exact", "at", (F.col("place") - F.col("at")).alias("shift"),
                                                F.arrays_zip("asked", "slots").alias("slots")).distinct(), "met")
-    line = ["id", "th", "class", "shift"]
+    line = ["id", "th", "class", "shift", "exact"]  # exact windows agree by themselves: what template windows hold is judged without them
     filled = met.select(*line, F.explode("slots").alias("s")).filter("s.asked != 0").select(*line, "s.asked", "s.slots").distinct()
     kept = filled.groupBy(*line, "asked").agg(F.count(F.lit(1)).alias("n"), F.min((F.col("asked") == F.col("slots")).cast("int")).alias("same"))
     slots = kept.groupBy(*line).agg(F.avg((F.col("n") == 1).cast("double")).alias("ok"), F.min("same").alias("same"))
-    runs = met.groupBy(*line, "total").agg(F.collect_set("at").alias("places"))
-    same_line = (runs["class"] == slots["class"]) & (runs["th"] == slots["th"]) & (runs["shift"] == slots["shift"]) & runs["id"].eqNullSafe(slots["id"])
+    runs = met.groupBy(*line, "total", "loose").agg(F.collect_set("at").alias("places"))
+    same_line = (runs["class"] == slots["class"]) & (runs["exact"] == slots["exact"]) & (runs["th"] == slots["th"]) & (runs["shift"] == slots["shift"]) & runs["id"].eqNullSafe(slots["id"])
     good = (runs.join(slots, same_line, "left").filter(F.coalesce("ok", F.lit(1.0)) >= consistent)
-            .select(runs["id"], runs["th"], runs["class"], "total", "places", F.coalesce("same", F.lit(1)).alias("same")))
-    found = good.groupBy("id", "th", "class", "total").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n"), F.max("same").alias("same")).filter(F.col("n") >= covered * F.col("total"))
-    return found.join(shapes, "class").groupBy("id", "th", "item").agg(
-        F.max(F.col("n") / F.col("total")).alias("coverage"), (F.max("same") == 0).alias("reparameterised"))
+            .select(runs["id"], runs["th"], runs["class"], "total", "loose", runs["exact"], "places", F.coalesce("same", F.lit(1)).alias("same")))
+    n_places = lambda which: F.size(F.array_distinct(F.flatten(F.collect_list(F.when(which, F.col("places"))))))
+    # by the template windows alone, as other values change all exact ones, or by all windows
+    found = good.groupBy("id", "th", "class", "total", "loose").agg(
+        n_places(~F.col("exact")).alias("n"), n_places(F.lit(True)).alias("n_all"), F.coalesce(F.max(F.when(~F.col("exact"), F.col("same"))), F.lit(1)).alias("same"))
+    part = F.greatest(F.when(F.col("loose") > 0, F.col("n") / F.col("loose")).otherwise(0.0), F.col("n_all") / F.col("total"))
+    return found.withColumn("part", part).filter(F.col("part") >= covered).join(shapes, "class").groupBy("id", "th", "item").agg(
+        F.max("part").alias("coverage"), (F.max("same") == 0).alias("reparameterised"))
 
 
 def marked(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -325,6 +325,17 @@ def test_decontamination_finds_whole_passages(spark):
     assert all(want[i] <= got[i] for i in want) and not any(got[i] and not want[i] for i in want)
 
 
+def test_decontamination_finds_items_dense_in_values(spark):
+    sums, listed = "Evaluate 3, 5, 7, 9, 11, 13 and 15", "Evaluate the sum of these many numbers now: " + ", ".join(str(i * i) for i in range(40))
+    names = "Who met Anna, 5, Bob, 6, Carl, 7, Dora, 8?"
+    rows = [(1, f"Some words. {sums}. More words."), (2, "Some words. Evaluate 3, 5, 8, 9, 11, 13 and 15. More words."), (3, f"First. {listed}. Last"),
+            (4, "First. Evaluate the sum of these many numbers now: 8, 9"), (5, "Numbers: " + ", ".join(str(i * i) for i in range(15))), (6, f"Yes. {names} No.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, sums), (2, listed), (3, names)], "item_id long, text string")
+    got = collected(decontaminate.marked(docs, items), "id", "items", "reparameterised")
+    assert got == [(1, [1], False), (2, [], False), (3, [2], False), (4, [2], True), (5, [], False), (6, [3], False)]
+
+
 # --------------------------------------------------------------------- licences
 
 def test_licenses(spark, awkward, none):
