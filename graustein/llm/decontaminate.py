@@ -13,8 +13,9 @@ windows of consistent alignments cover ``COVERED`` of the item's windows, or the
 among them that share of its template windows. With other values
 than the item's it is marked as re-parameterised.
 
-Items are asked in two forms, with names as slots and as plain words; the second finds them in
-texts that are all in lower or upper case. An item with fewer than 8 tokens is one window of its own length. Items with equal templates
+Items and documents are compared in two forms, with names as slots and as plain words, each with
+its own kind; the second finds copies whose words are capitalised in another way than the item's
+(inside a sentence, in a title, all in lower or upper case). An item with fewer than 8 tokens is one window of its own length. Items with equal templates
 are matched as one and reported each.
 
 Defined cases: null texts and items count as empty and match nothing; a null document id stays
@@ -111,9 +112,9 @@ def template(data: np.ndarray, offsets: np.ndarray, names: bool = True):
     return doc, np.where(literal, h, types[kind]), np.where(literal, np.uint64(0), h), literal, whole
 
 
-def template_windows(tokens, length: int):
+def template_windows(tokens, length: int, form: int):
     """(text number, place, hash, exact, slot values (n, length)) of the windows of ``length`` of the
-    ``template`` tokens. A window of too few literals is exact: its hash holds its slot values.
+    ``template`` tokens of a form; the hashes of the forms differ. A window of too few literals is exact: its hash holds its slot values.
     Places count the text's windows from 0."""
     doc, key, value, literal, whole = tokens
     h, at = base.windows(key, doc, length)
@@ -122,7 +123,7 @@ def template_windows(tokens, length: int):
     exact = 2 * (enough[at + length] - enough[at]) < length if len(at) else np.zeros(0, bool)
     of = doc[at]
     place = at - np.searchsorted(doc, of, "left")
-    return of, place, mix(np.where(exact, same + seed(210), h) + np.uint64(length)), exact, lambda which: value[at[which][:, None] + np.arange(length)]
+    return of, place, mix(np.where(exact, same + seed(210), h) + seed(220 + form) + np.uint64(length)), exact, lambda which: value[at[which][:, None] + np.arange(length)]
 
 
 ITEM = "item {id}, form int, place int, exact boolean, total int, loose int, length int, h long, slots array<long>"
@@ -136,7 +137,7 @@ def _item_windows(batches):
                 asked = template(data, offsets, bool(form))
                 tokens = np.bincount(asked[0], minlength=j - i)
                 for length in sorted(set(np.minimum(tokens, WINDOW).tolist()) - {0}):
-                    of, place, h, exact, slots = template_windows(asked, length)
+                    of, place, h, exact, slots = template_windows(asked, length, form)
                     own = np.minimum(tokens[of], WINDOW) == length
                     of, place, h, exact, values = of[own], place[own], h[own], exact[own], slots(np.flatnonzero(own))
                     total, loose = np.bincount(of, minlength=j - i), np.bincount(of[~exact], minlength=j - i)
@@ -153,9 +154,10 @@ def _hits(shared, lengths: list[int]):
     def run(batches):
         for batch in batches:
             for i, j, data, offsets in base.slices(batch.column(2)):
-                tokens = template(data, offsets)
-                for length in lengths:
-                    of, place, h, _, slots = template_windows(tokens, length)
+                for form, length in ((form, length) for form in (1, 0) for length in lengths):
+                    if length == lengths[0]:
+                        tokens = template(data, offsets, bool(form))
+                    of, place, h, _, slots = template_windows(tokens, length, form)
                     hit = np.flatnonzero(base.in_bitmap(shared.value, (h & np.uint64(base.FILTER_BITS - 1)).astype(np.int64) + 1))
                     if not len(hit):
                         continue
@@ -199,8 +201,10 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     found = good.groupBy("id", "th", "class", "total", "loose").agg(
         n_places(~F.col("exact")).alias("n"), n_places(F.lit(True)).alias("n_all"), F.coalesce(F.max(F.when(~F.col("exact"), F.col("same"))), F.lit(1)).alias("same"))
     part = F.greatest(F.when(F.col("loose") > 0, F.col("n") / F.col("loose")).otherwise(0.0), F.col("n_all") / F.col("total"))
+    # of the two forms the one that covers more tells of other values: a changed name leaves form 0 fewer windows
+    best = F.max(F.struct("part", "same"))
     return found.withColumn("part", part).filter(F.col("part") >= covered).join(shapes, "class").groupBy("id", "th", "item").agg(
-        F.max("part").alias("coverage"), (F.max("same") == 0).alias("reparameterised"))
+        best["part"].alias("coverage"), (best["same"] == 0).alias("reparameterised"))
 
 
 def marked(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -336,6 +336,19 @@ def test_decontamination_finds_items_dense_in_values(spark):
     assert got == [(1, [1], False), (2, [], False), (3, [2], False), (4, [2], True), (5, [], False), (6, [3], False)]
 
 
+def test_decontamination_finds_copies_in_other_case(spark):
+    short, long = "What is the capital of France?", "The old keeper of the lamp in Bergen told Ida Holm that the ships would not return before spring."
+    texts = [f'He asked, "{short}"', f"1) {short}", f"Q - {short}", long.title(), f"so {long}", long, long.replace("Bergen", "Oslo").replace("Ida Holm", "Ada"),
+             "He asked what the capital of anything might be"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, short), (2, long), (3, long.lower())], "item_id long, text string")
+    got = collected(decontaminate.marked(docs, items), "id", "items", "reparameterised")
+    assert [g[1][:2] for g in got] == [[1], [1], [1], [2, 3], [2, 3], [2, 3], [2], []]
+    assert [g[2] for g in got][:6] == [False] * 6
+    other = decontaminate.marked(docs.filter("doc_id = 6"), items.filter("item_id = 2")).first()
+    assert other["contaminated"] and other["reparameterised"]
+
+
 # --------------------------------------------------------------------- licences
 
 def test_licenses(spark, awkward, none):
