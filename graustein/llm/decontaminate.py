@@ -15,7 +15,9 @@ than the item's it is marked as re-parameterised.
 
 Items and documents are compared in two forms, with names as slots and as plain words, each with
 its own kind; the second finds copies whose words are capitalised in another way than the item's
-(inside a sentence, in a title, all in lower or upper case). An item with fewer than 8 tokens is one window of its own length. Items with equal templates
+(inside a sentence, in a title, all in lower or upper case). An item with fewer than 8 tokens is one window of its own length; with
+fewer than 4 literals it is only found with equal slot values and between ends of sentences, lines,
+brackets or quotations. Items with equal templates
 are matched as one and reported each.
 
 Defined cases: null texts and items count as empty and match nothing; a null document id stays
@@ -44,11 +46,12 @@ UNITS = ("kg g mg t lb lbs oz km m cm mm mi mile miles ft feet foot inch inches
          "usd eur dollar dollars euro euros cent cents pound pounds meter meters metre metres gram grams kilogram kilograms kilometer kilometers").split()
 LITERAL, NUMBER, NAME, UNIT = range(4)
 
-DIGIT, UPPER, LETTER, STOP = (np.zeros(256, bool) for _ in range(4))
+DIGIT, UPPER, LETTER, STOP, EDGE = (np.zeros(256, bool) for _ in range(5))
 DIGIT[ord("0"):ord("9") + 1] = True
 UPPER[ord("A"):ord("Z") + 1] = True
 LETTER[ord("a"):ord("z") + 1] = LETTER[128:] = True
 STOP[[ord(c) for c in ".!?:\n"]] = True
+EDGE[[ord(c) for c in ".!?:\n;\r\t\"()[]{}|<>*#"]] = True
 
 
 def _hash_words(words: list[str]) -> np.ndarray:
@@ -69,12 +72,13 @@ def folded(data: np.ndarray) -> np.ndarray:
 
 
 def template(data: np.ndarray, offsets: np.ndarray, names: bool = True):
-    """(text number, key, value, literal, whole) of the template tokens: ``key`` is what must agree, the
+    """(text number, key, value, literal, whole, opens, closes) of the template tokens: ``key`` is what must agree, the
     hash of a literal or of a placeholder's type; ``value`` the hash of what filled a slot, or 0;
-    ``whole`` the hash of the token as it stands, with all words of a name."""
+    ``whole`` the hash of the token as it stands, with all words of a name; ``opens`` and ``closes``
+    tell whether a sentence, a line, a bracket or a quotation may begin before or end after it."""
     if not len(data):
         z = np.zeros(0, np.uint64)
-        return np.zeros(0, np.int64), z, z, np.zeros(0, bool), z
+        return np.zeros(0, np.int64), z, z, np.zeros(0, bool), z, np.zeros(0, bool), np.zeros(0, bool)
     point = ((data == ord(".")) | (data == ord(",")))
     point[1:-1] &= DIGIT[data[:-2]] & DIGIT[data[2:]]
     point[[0, -1]] = False
@@ -84,7 +88,7 @@ def template(data: np.ndarray, offsets: np.ndarray, names: bool = True):
     starts, ends, doc = base.mask_spans(~APART[data] | point, offsets)
     h = base.span_hashes(folded(data), starts, ends)
     if not len(h):
-        return doc, h, h, np.zeros(0, bool), h
+        return doc, h, h, np.zeros(0, bool), h, np.zeros(0, bool), np.zeros(0, bool)
     first = np.ones(len(h), bool)
     first[1:] = doc[1:] != doc[:-1]
     stops = np.concatenate([[0], np.cumsum(STOP[data])])
@@ -105,22 +109,33 @@ def template(data: np.ndarray, offsets: np.ndarray, names: bool = True):
     more[1:] = (kind[1:] == NAME) & (kind[:-1] == NAME) & ~first[1:]
     at = np.flatnonzero(~more)
     nth = np.arange(len(h)) - np.repeat(at, np.diff(np.append(at, len(h))))
+    edge = EDGE[data]
+    quote = data == ord("'")  # not within a word
+    quote[1:-1] &= APART[data[:-2]] | APART[data[2:]]
+    edges = np.concatenate([[0], np.cumsum(edge | quote)])
+    begins = first.copy()
+    begins[1:] |= edges[starts[1:]] > edges[ends[:-1]]
+    closes = np.append(begins[1:], True)[np.append(at[1:], len(h)) - 1]
     whole = np.add.reduceat(h * base.powers(int(nth.max()) + 1)[nth], at)
     doc, h, kind = doc[~more], h[~more], kind[~more]
     literal = kind == LITERAL
     types = np.array([seed(200 + k) for k in range(4)], np.uint64)
-    return doc, np.where(literal, h, types[kind]), np.where(literal, np.uint64(0), h), literal, whole
+    return doc, np.where(literal, h, types[kind]), np.where(literal, np.uint64(0), h), literal, whole, begins[at], closes
 
 
 def template_windows(tokens, length: int, form: int):
     """(text number, place, hash, exact, slot values (n, length)) of the windows of ``length`` of the
-    ``template`` tokens of a form; the hashes of the forms differ. A window of too few literals is exact: its hash holds its slot values.
+    ``template`` tokens of a form; the hashes of the forms differ. A window of too few literals is exact: its hash holds its slot values,
+    and one shorter than ``WINDOW`` (a whole item) must stand between ends of sentences or lines.
     Places count the text's windows from 0."""
-    doc, key, value, literal, whole = tokens
+    doc, key, value, literal, whole, opens, closes = tokens
     h, at = base.windows(key, doc, length)
     same, _ = base.windows(whole, doc, length)
     enough = np.concatenate([[0], np.cumsum(literal)])
-    exact = 2 * (enough[at + length] - enough[at]) < length if len(at) else np.zeros(0, bool)
+    exact = enough[at + length] - enough[at] < WINDOW // 2 if len(at) else np.zeros(0, bool)
+    if length < WINDOW and len(at):
+        ok = ~exact | (opens[at] & closes[at + length - 1])
+        h, same, at, exact = h[ok], same[ok], at[ok], exact[ok]
     of = doc[at]
     place = at - np.searchsorted(doc, of, "left")
     return of, place, mix(np.where(exact, same + seed(210), h) + seed(220 + form) + np.uint64(length)), exact, lambda which: value[at[which][:, None] + np.arange(length)]

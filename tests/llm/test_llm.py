@@ -349,6 +349,15 @@ def test_decontamination_finds_copies_in_other_case(spark):
     assert other["contaminated"] and other["reparameterised"]
 
 
+def test_decontamination_short_items_stand_alone(spark):
+    texts = ["We know what is 5 and what is 12 of 5 parts", "What is 12 + 6?", "Quiz.\nWhat is 12 + 5?\nThen more", 'He asked "what is 12 + 5" and left', "1) What is 12 + 5?",
+             "I went to the market and saw the sea", "To the sea!", "he said 'to the sea' and 'so on'", "Really: to the sea", "the sea's end, to the sea's end"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "What is 12 + 5?"), (2, "the"), (3, "to the sea")], "item_id long, text string")
+    got = [r[1] for r in collected(decontaminate.marked(docs, items), "id", "items")]
+    assert got == [[], [], [1], [1], [1], [], [3], [3], [3], []]
+
+
 # --------------------------------------------------------------------- licences
 
 def test_licenses(spark, awkward, none):
