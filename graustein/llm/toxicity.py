@@ -1,7 +1,7 @@
 """Toxicity by cumulative-link ordinal regression on sparse word features.
 
 The labels say toxic or not; severity grades order the toxic ones by how much they hold of the
-words that mark toxic texts: 0 not toxic, 1 toxic, 2 toxic with more of these words than the
+words that mark toxic texts (z of ``MARK_Z``, or half the best): 0 not toxic, 1 toxic, 2 toxic with more of these words than the
 median of the toxic texts that have any. All thresholds share one weight vector w:
 P(grade <= k) = sigmoid(theta_k - w.x), theta_0 < theta_1; the expected severity is the sum of
 P(grade >= k) over k = 1, 2, and a document is rejected when P(grade >= 1) reaches ``reject``.
@@ -9,12 +9,17 @@ P(grade >= k) over k = 1, 2, and a document is rejected when P(grade >= 1) reach
 Features are the hashed lower-case words (runs of ASCII letters and digits and bytes over
 127) of whole texts, x = log(1 + count). The model is fitted on a bounded sample: the
 ``TRAIN_ROWS`` labelled documents with the least hashed ids (all of them if there are fewer).
-Words are chosen in the sample by the z-score of their share of toxic documents; at most
-``FEATURES`` words and ``TRAIN_ROWS`` sparse rows reach the driver. Every document is scored.
+The ``FEATURES`` words with the highest z-score of their share of toxic documents are taken, from
+``MIN_Z`` on (a word of all toxic documents alone has the root of the number of the others, so four
+of these suffice at any number of toxic ones). Words
+below ``SURE_Z`` (or the best word's z, where that is less) may be noise and have a penalty that
+grows with the fourth power of what they lack. At most ``FEATURES`` words and ``TRAIN_ROWS`` sparse
+rows reach the driver. Every document is scored.
 
 Defined cases: null text counts as empty; several labels of one document count as toxic if one
-says so; a label without ``toxic`` is ignored; without labels of both classes nothing is
-rejected; a null id stays null; no rows give no rows. Other columns aren't read.
+says so; a label without ``toxic`` is ignored; without labels of both classes, or
+without a word that tells them apart (as with fewer than four labels that aren't toxic), nothing is
+rejected; a handful of labels makes a weak model; a null id stays null; no rows give no rows. Other columns aren't read.
 """
 
 from __future__ import annotations
@@ -29,7 +34,8 @@ from graustein.llm.base import map_arrow, stored
 
 TRAIN_ROWS = 20_000
 FEATURES = 1000
-MIN_Z, MIN_DOCS = 5.0, 4
+MIN_Z, MIN_DOCS = 2.0, 4  # in all toxic documents, where there are fewer
+MARK_Z, SURE_Z = 5.0, 6.0
 GRADES = 3
 
 APART = np.ones(256, bool)
@@ -85,8 +91,9 @@ def sigmoid(z):
 
 
 def fit(grade: np.ndarray, row: np.ndarray, feature: np.ndarray, x: np.ndarray, n_features: int,
-        penalty: float = 1e-3, steps: int = 400) -> tuple[np.ndarray, np.ndarray]:
-    """(weights, thresholds) that maximise the penalised likelihood, by Adam on all rows."""
+        penalty: float = 1e-3, steps: int = 400, weak: np.ndarray | float = 1.0) -> tuple[np.ndarray, np.ndarray]:
+    """(weights, thresholds) that maximise the penalised likelihood, by Adam on all rows; ``weak``
+    multiplies the penalty of a feature."""
     n, eps = len(grade), 1e-9
     share = np.array([(grade <= k).mean() for k in range(GRADES - 1)]).clip(1e-3, 1 - 1e-3)
     theta = np.maximum.accumulate(np.log(share / (1 - share)) + np.arange(GRADES - 1) * 1e-2)
@@ -103,7 +110,7 @@ def fit(grade: np.ndarray, row: np.ndarray, feature: np.ndarray, x: np.ndarray,
         up, down = slope[rows, grade + 1] / likely, slope[rows, grade] / likely
         by_theta = np.array([up[grade == k].sum() - down[grade == k + 1].sum() for k in range(GRADES - 1)]) / n
         by_score = (down - up) / n
-        g = np.concatenate([np.bincount(feature, weights=by_score[row] * x, minlength=n_features) - penalty * w / np.sqrt(n),
+        g = np.concatenate([np.bincount(feature, weights=by_score[row] * x, minlength=n_features) - penalty * weak * w / np.sqrt(n),
                             [by_theta.sum()], [by_theta[k:].sum() * gaps[k - 1] for k in range(1, GRADES - 1)]])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         p = p + 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-12)
@@ -126,19 +133,22 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     seen = map_arrow(sample, _distinct_words, "toxic int, word long").groupBy("word").agg(
         F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("t"))
     z = (F.col("t") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share))
-    chosen = seen.filter(F.col("n") >= MIN_DOCS).withColumn("z", z).filter(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "word").limit(FEATURES)
-    known = np.sort(np.array([r["word"] for r in chosen.select("word").collect()], np.int64))
-    if not len(known):
+    chosen = seen.filter(F.col("n") >= min(MIN_DOCS, toxic)).withColumn("z", z).filter(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "word").limit(FEATURES)
+    words_z = sorted((r["word"], r["z"]) for r in chosen.select("word", "z").collect())
+    if not words_z:
         return none
+    known, z_of = np.array([w for w, _ in words_z], np.int64), np.array([v for _, v in words_z])
+    marks = z_of >= min(MARK_Z, z_of.max() / 2)
+    weak = np.maximum(1, min(SURE_Z, z_of.max()) / z_of) ** 4
     rows = map_arrow(sample, _sparse_rows(known), "toxic int, features array<int>, counts array<int>").collect()
     rows.sort(key=lambda r: (r["toxic"], r["features"], r["counts"]))  # the same sums whatever the order of the tasks
-    toxic, held = np.array([r["toxic"] for r in rows]), np.array([sum(r["counts"]) for r in rows])
+    toxic, held = np.array([r["toxic"] for r in rows]), np.array([sum(c for f, c in zip(r["features"], r["counts"]) if marks[f]) for r in rows])
     some = held[(toxic > 0) & (held > 0)]
     grade = toxic + toxic * (held > (np.median(some) if len(some) else 0))
     row = np.repeat(np.arange(len(rows)), [len(r["features"]) for r in rows])
     feature = np.array([f for r in rows for f in r["features"]], np.int64)
     x = np.log1p(np.array([c for r in rows for c in r["counts"]], float))
-    return known, *fit(grade, row, feature, x, len(known))
+    return known, *fit(grade, row, feature, x, len(known), weak=weak)
 
 
 def _score(known: np.ndarray, weights: np.ndarray, theta: np.ndarray):

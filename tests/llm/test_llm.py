@@ -289,6 +289,19 @@ def test_toxicity_awkward(spark, awkward, none):
                 assert kept.count() == n
 
 
+def test_toxicity_few_labels(spark):
+    """Twelve labels of either class, or four toxic ones, tell a word that all toxic texts hold."""
+    rng = random.Random(3)
+    plain = lambda: " ".join(rng.choice(WORDS.split()) for _ in range(8))
+    rows = [(i, f"{plain()} {'vile' if i % 2 else 'kind'} {plain()}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for ids in (range(24), [1, 3, 5, 7, *range(0, 24, 2)]):
+        labels = spark.createDataFrame([(i, 0, i % 2) for i in ids], "doc_id long, quality int, toxic int")
+        got = toxicity.scored(docs, toxicity.train(docs, labels)).collect()
+        assert sum(r["rejected"] for r in got if r["id"] % 2) >= 28
+        assert sum(r["rejected"] for r in got if r["id"] % 2 == 0) <= 2
+
+
 # --------------------------------------------------------------- decontamination
 
 def test_decontamination(spark, none):
