@@ -104,22 +104,31 @@ def text_hash(column):
 
 def keep_rows(docs: DataFrame, decided: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``docs`` without the rows that ``decided`` (id, th, kept: a row for each of them) drops, all
-    columns kept. Of rows that agree in id and text, as many stay as are kept; such rows
-    alone take a distinct pass."""
+    columns kept. Of rows that agree in id and text, as many stay as are kept; those of which some
+    but not all stay take a pass of their own."""
+    from pyspark.sql import Window as W
     from pyspark.sql import functions as F
-    per_key = stored(decided.groupBy("id", "th").agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("n"))
-                     .filter("NOT stays OR n > 1"), "dropped")
+    per_key = stored(decided.groupBy("id", "th").agg(F.count_if(F.col("kept")).alias("stay"), F.count(F.lit(1)).alias("n"))
+                     .filter("stay < n"), "dropped")
     key = "_text_hash"
     while key in docs.columns:
         key += "_"
     tagged = docs.withColumn(key, text_hash(docs[text_col]))
     match = lambda side: tagged[id_col].eqNullSafe(side["id"]) & (tagged[key] == side["th"])
     once = tagged.join(per_key, match(per_key), "left_anti").drop(key)
-    ties = per_key.filter("stays")
-    if ties.isEmpty():
-        return once
-    again = tagged.join(ties, match(ties), "left_semi").dropDuplicates([id_col, key]).drop(key)
-    return once.unionByName(again)
+    one, some = per_key.filter("stay = 1"), per_key.filter("stay > 1")
+    if not one.isEmpty():
+        once = once.unionByName(tagged.join(one, match(one), "left_semi").dropDuplicates([id_col, key]).drop(key))
+    if not some.isEmpty():
+        nth = key + "_nth"
+        while nth in docs.columns:
+            nth += "_"
+        by_key = W.partitionBy(id_col, key).orderBy(key)
+        few = tagged.withColumn(nth, F.row_number().over(by_key)).alias("t").join(
+            some.select(F.col("id").alias(nth + "_id"), F.col("th").alias(nth + "_th"), F.col("stay").alias(nth + "_stay")),
+            F.col(id_col).eqNullSafe(F.col(nth + "_id")) & (F.col(key) == F.col(nth + "_th")) & (F.col(nth) <= F.col(nth + "_stay")))
+        once = once.unionByName(few.select([F.col(f"t.`{c}`") for c in docs.columns]))
+    return once
 
 
 SPACE = np.zeros(256, bool)

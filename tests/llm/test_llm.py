@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from graustein.llm import bpe, chat_format, decontaminate, exact_dedup, licenses, near_dedup, pii, registry, suffix_dedup, token_planes, toxicity
-from graustein.llm.base import scratch, stored
+from graustein.llm.base import keep_rows, scratch, stored, text_hash
 from graustein.llm.chunks import cut
 from graustein.llm.components import components
 from tests.llm import brute
@@ -109,6 +109,23 @@ def test_near_variants(spark, percent):
     assert got == list(enumerate(brute.near_components(texts, percent)))
 
 
+def test_near_keep_one_keeps_rows_without_words(spark):
+    rows = [(None, None, "a"), (None, None, "b"), (1, "", "c"), (1, "", "d"), (1, " ", "e"), (2, WORDS, "f"), (2, WORDS, "g"), (3, WORDS, "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, more string")
+    left = collected(near_dedup.keep_one(docs, 80), "doc_id", "text", "more")
+    assert sorted(r[2] for r in left if r[0] != 2) == ["a", "b", "c", "d", "e"] and len([r for r in left if r[0] == 2]) == 1
+
+
+def test_keep_rows_counts_the_kept(spark):
+    docs = spark.createDataFrame([(1, "x", i) for i in range(4)] + [(2, "y", 4), (2, "y", 5), (3, "z", 6)], "doc_id long, text string, _text_hash int")
+    kept = {(1, "x"): [True, True, False, True], (2, "y"): [False, True], (3, "z"): [False]}
+    decided = spark.createDataFrame([(i, t, k) for (i, t), ks in kept.items() for k in ks], "id long, text string, kept boolean")
+    decided = decided.select("id", text_hash(F.col("text")).alias("th"), "kept")
+    left = collected(keep_rows(docs, decided, "doc_id", "text"), "doc_id")
+    assert left == [(1,), (1,), (1,), (2,)]
+    assert keep_rows(docs, decided, "doc_id", "text").columns == docs.columns
+
+
 def test_sketches_agree_with_similarity():
     """Every coordinate fills, also for one shingle, and equal coordinates estimate the similarity."""
     random.seed(5)
