@@ -7,6 +7,7 @@ that the working memory of a task does not grow with its partition.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 from collections.abc import Callable, Iterator
@@ -20,19 +21,42 @@ from graustein.session import checkpoint_dir
 
 SLICE_BYTES = 1 << 20
 BATCH_ROWS = 2000
+BATCH_BYTES = 4 << 20
 REPO = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+def release() -> None:
+    """Gives back what a worker's Arrow pool and the C library keep of freed memory: workers are
+    reused, and one that goes on to other work should hold no more than it needs."""
+    global _powers
+    if len(_powers) > 1 << 16:
+        _powers = np.ones(1, np.uint64)
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps freed memory otherwise
+    if trim is not None:
+        trim(0)
+
+
 def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` whose Python workers can import this package also when the driver
-    process was started from another folder."""
+    """``mapInArrow`` whose Python workers can import this package also when the driver process was
+    started from another folder.
+
+    Rows hold whole texts, so batches are bounded by rows and by bytes (a longer text makes a batch
+    of its own). Spark reads both bounds from the session when the query starts: they stay set."""
     env = getattr(df.sparkSession.sparkContext, "environment", None)
     if env is not None and REPO not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (REPO, env.get("PYTHONPATH", "")) if x)
     conf = df.sparkSession.conf
     if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
-        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))  # rows hold whole texts
-    return df.mapInArrow(fn, schema)
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            release()
+    return df.mapInArrow(run, schema)
 
 
 def scratch(spark: SparkSession, name: str) -> str:

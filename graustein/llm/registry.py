@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from graustein.llm import bpe, chat_format, decontaminate, exact_dedup, licenses, near_dedup, pii, suffix_dedup, token_planes, toxicity
+from graustein.llm import (
+    bpe, chat_format, decontaminate, exact_dedup, licenses, near_dedup, periodic_runs, piece_bpe, pii, suffix_dedup, token_planes, toxicity, vector_codes,
+)
 from graustein.llm.base import scratch, table
 
 QUERIES, ORACLE = {}, {}
@@ -158,3 +160,91 @@ SELECT doc_id, license, max(score) AS score, max(n_full) AS n_full FROM forms GR
 def op3_license_scan(spark, sf_dir):
     """The licences that the sentences of every document name."""
     return licenses.scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query("op11_sentencepiece")
+def op11_sentencepiece(spark, sf_dir):
+    """Every document encoded by the SentencePiece model and decoded from its ids."""
+    import public_tokenizers
+    coded = piece_bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def _codes_sql() -> str:
+    """DuckDB: codebooks and codes by comparing every part with every entry."""
+    rounds = ""
+    for i in range(vector_codes.ROUNDS + 1):
+        rounds += f""",
+near{i} AS (
+  SELECT r, p, min(struct_pack(d := list_inner_product(part, part) - 2 * list_inner_product(part, e) + list_inner_product(e, e), entry := entry)) AS best
+  FROM parts JOIN book{i} USING (p) GROUP BY r, p)"""
+        if i < vector_codes.ROUNDS:
+            rounds += f""",
+sums{i} AS (
+  SELECT p, entry, place, sum(x)::BIGINT AS t, count(*) AS n
+  FROM (SELECT p, best.entry AS entry, unnest(part)::BIGINT AS x, generate_subscripts(part, 1) AS place FROM near{i} JOIN parts USING (r, p))
+  GROUP BY p, entry, place),
+moved{i} AS (SELECT p, entry, list(((t - ((t % n) + n) % n) // n)::DOUBLE ORDER BY place) AS e FROM sums{i} GROUP BY p, entry),
+book{i + 1} AS (SELECT p, entry, coalesce(m.e, b.e) AS e FROM book{i} b LEFT JOIN moved{i} m USING (p, entry))"""
+    last, parts = vector_codes.ROUNDS, vector_codes.PARTS
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r,
+         list_transform(embedding, lambda x: floor({vector_codes.SCALE} * x::DOUBLE)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (SELECT r, p, v[p * len(v) // {parts} + 1:(p + 1) * len(v) // {parts}] AS part FROM kept, range({parts}) t(p)),
+book0 AS (SELECT p, r - 1 AS entry, part AS e FROM parts WHERE r <= {vector_codes.ENTRIES}){rounds},
+coded AS (SELECT r, string_agg(format('{{:02x}}', best.entry), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error FROM near{last} GROUP BY r),
+entries AS (SELECT p, entry, unnest(e)::BIGINT AS x, generate_subscripts(e, 1) AS place FROM book{last})
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+       (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY p, entry, place)) FROM entries) AS codebooks_sha256
+FROM kept JOIN coded USING (r)"""
+
+
+@query("op12_vector_codes", _codes_sql())
+def op12_vector_codes(spark, sf_dir):
+    """Every embedding's code, its error and that of its label, and the codebooks' digest."""
+    coded, books = vector_codes.compressed(table(spark, sf_dir, "embeddings"))
+    return coded.select(F.col("id").alias("vec_id"), F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
+
+
+@query("op13_periodic_runs", """
+WITH split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ord(substr(doc_id::VARCHAR, i::BIGINT, 1))::BIGINT) AS digits FROM documents),
+hashed AS (
+  SELECT doc_id, w, xor(list_reduce(list_prepend(4294967295, digits), lambda c, d: list_reduce(list_prepend(xor(c, d), range(8)),
+         lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) AS h FROM split),
+place AS (
+  SELECT doc_id, w, h % 10 = 0 AND len(w) > 0 AS planted, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a, 3 + (h // 10) % 8 AS d, len(w) AS n FROM hashed),
+texts AS (
+  SELECT doc_id, n, CASE WHEN planted THEN list_transform(range(n), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % (1 + (n - a) // d) + 1] END)
+         ELSE w END AS w FROM place),
+words AS (SELECT doc_id, n, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM texts),
+same AS (SELECT x.doc_id, y.i - x.i AS q, x.i FROM words x JOIN words y ON x.doc_id = y.doc_id AND x.word = y.word AND x.i < y.i AND 4 * (y.i - x.i) <= x.n),
+islands AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM same),
+long AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM islands GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT doc_id, start, length, min(q) AS period FROM long GROUP BY doc_id, start, length),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs, arg_max(struct_pack(s := start, l := length, p := period), struct_pack(l := length, s := -start, p := -period)) AS best,
+         string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS text FROM runs GROUP BY doc_id),
+edges AS (SELECT doc_id, start + period AS i, 1 AS e FROM runs UNION ALL SELECT doc_id, start + length, -1 FROM runs),
+marked AS (SELECT doc_id, i, sum(e) AS e FROM edges GROUP BY doc_id, i),
+covered AS (
+  SELECT doc_id, i, word, sum(coalesce(e, 0)) OVER (PARTITION BY doc_id ORDER BY i) AS c
+  FROM words LEFT JOIN marked USING (doc_id, i)),
+stay AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM covered WHERE c = 0 GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.l AS length, best.p AS period, 1000 * best.l // best.p AS exponent_milli,
+       sha256(coalesce(listed.text, '')) AS runs_sha256, sha256(coalesce(stay.text, '')) AS collapsed_sha256
+FROM texts LEFT JOIN listed USING (doc_id) LEFT JOIN stay USING (doc_id)""")
+def op13_periodic_runs(spark, sf_dir):
+    """The periodic runs of words in every document, some of which are made periodic first."""
+    docs = periodic_runs.with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs.collapsed(docs).withColumn("best", periodic_runs.greatest(F.col("runs")))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return found.select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
