@@ -21,8 +21,8 @@ def surrogate_key(*cols) -> Column:
 
 
 def url_bucket(url) -> Column:
-    """Second-last path segment of an object URL."""
-    return F.element_at(F.split(_as_col(url), "/"), -2)
+    """Second-last path segment of an object URL; null without one."""
+    return F.try_element_at(F.split(_as_col(url), "/"), F.lit(-2))
 
 
 def url_object(url) -> Column:

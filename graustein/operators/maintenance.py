@@ -1,8 +1,9 @@
 """Table maintenance as pure functions ``new_table = f(old_table, change)``
 (M1, M2, M3, M5, M6, M7, M9, M10, M12).
 
-Publishing a result is a separate step (``sinks.snapshots``): every new table version
-is written to a new snapshot folder, never over the folder being read.
+Publishing a result is a separate step: ``sinks.writers.publish`` for whole snapshots,
+``sinks.buckets`` for tables of which a batch changes a few buckets. Nothing is written over a
+folder being read.
 """
 
 from __future__ import annotations

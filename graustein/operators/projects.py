@@ -85,13 +85,14 @@ def ordered_material_volumes(volumes: DataFrame) -> DataFrame:
 
 
 def project_mappings_in_use(mappings: DataFrame, materials: DataFrame, elements: DataFrame) -> DataFrame:
-    """Per project, the mappings (both sides non-empty) of materials that occur in it."""
+    """Per project, the mappings of materials that occur in it: of every material the
+    last one (N8), and none where that is blank."""
+    from graustein.operators.lca import usable_mappings
     used = (materials.select("element_id", F.col("material_name").alias("ifc_material"))
             .join(elements.select(F.col("id").alias("element_id"), "project_id"), "element_id", "inner")
             .select("project_id", "ifc_material").distinct())
-    m = mappings.filter(F.col("ifc_material").isNotNull() & (F.col("ifc_material") != "")
-                        & F.col("kbob_id").isNotNull() & (F.col("kbob_id") != ""))
+    m = usable_mappings(mappings.filter(F.col("ifc_material") != ""))
     if "project_id" in m.columns:
         return m.join(used, ["project_id", "ifc_material"], "left_semi").select("project_id", "ifc_material", "kbob_id")
     # a global mapping applies to every project that uses the material
-    return used.join(m.select("ifc_material", "kbob_id"), "ifc_material", "inner").select("project_id", "ifc_material", "kbob_id")
+    return used.join(m, "ifc_material", "inner").select("project_id", "ifc_material", "kbob_id")

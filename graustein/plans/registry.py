@@ -464,7 +464,7 @@ def q_ebkp_code_forms(spark, sf_dir):
 
 _MAPPER = """
 m_first AS (
-  SELECT element_id, COALESCE(arg_min(COALESCE(prop_value, ''), pset_pos * 1000000 + prop_pos), '') AS v
+  SELECT element_id, COALESCE(arg_min(COALESCE(prop_value, ''), (pset_pos, prop_pos)), '') AS v
   FROM fx_properties WHERE lower(prop_name) = 'ebkp' GROUP BY element_id),
 norm_source AS (SELECT v AS raw FROM m_first WHERE trim(v) <> '')"""
 
@@ -693,6 +693,59 @@ def q_delete_project(spark, sf_dir):
     return n(e, "elements").unionByName(n(m, "element_materials")).unionByName(n(r, "results")).unionByName(n(errors, "errors"))
 
 
+@query("bucketed_upsert", with_views("""
+batch AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS id, 'NEW' AS project_id, 'E3' AS ebkp, o_totalprice FROM orders
+  WHERE o_orderdate = (SELECT MAX(o_orderdate) FROM orders)
+  UNION ALL SELECT 'N' || CAST(o_orderkey AS VARCHAR), 'NEW', 'E3', o_totalprice FROM orders
+  WHERE o_orderdate = (SELECT MAX(o_orderdate) FROM orders))""", body="""
+SELECT id, project_id, ebkp, true AS untouched_buckets_kept FROM fx_elements WHERE id NOT IN (SELECT id FROM batch)
+UNION ALL
+SELECT b.id, COALESCE(e.project_id, b.project_id), b.ebkp, true FROM batch b LEFT JOIN fx_elements e ON e.id = b.id"""))
+def q_bucketed_upsert(spark, sf_dir):
+    """M1 on a stored table: the last day's elements delivered again and some new ones; only the
+    buckets of their ids are rewritten, and the files of all others are the ones from before."""
+    import uuid
+    from graustein.session import scratch_path
+    from graustein.sinks import buckets
+    root = scratch_path(spark, "buckets", uuid.uuid4().hex)
+    buckets.create({"elements": (fx.elements(spark, sf_dir), "id")}, root, 64)
+    files = lambda: buckets.read(spark, root, "elements").select(
+        buckets.bucket_of("id", 64).alias("b"), F.col("_metadata.file_path").alias("file")).distinct()
+    before = files()
+    o = fx.table(spark, sf_dir, "orders")
+    last = o.agg(F.max("o_orderdate").alias("o_orderdate"))
+    key = F.col("o_orderkey").cast("string")
+    again = o.join(last, "o_orderdate").select(F.explode(F.array(key, F.concat(F.lit("N"), key))).alias("id"), "o_orderkey")
+    schema = fx.elements(spark, sf_dir).schema
+    batch = again.select("id", F.lit("NEW").alias("project_id"), F.lit("E3").alias("ebkp"),
+                         *(F.lit(None).cast(schema[c].dataType).alias(c) for c in ("area_net", "length")))
+    buckets.upsert(spark, root, "elements", batch, ["id"], keep_from_old=["project_id"])
+    touched = batch.select(buckets.bucket_of("id", 64).alias("b"), F.lit(True).alias("touched")).distinct()
+    # of every bucket: touched ones have new files only, the others the same files
+    both = before.withColumn("old", F.lit(True)).join(files().withColumn("new", F.lit(True)), ["b", "file"], "full").join(touched, "b", "left")
+    kept = both.agg(F.bool_and(F.when(F.col("touched"), F.col("old").isNull() | F.col("new").isNull())
+                               .otherwise(F.col("old") & F.col("new") & True)).alias("kept"))
+    return buckets.read(spark, root, "elements").select("id", "project_id", "ebkp", F.lit(bool(kept.first()["kept"])).alias("untouched_buckets_kept"))
+
+
+@query("bucketed_delete", with_views(body="""
+SELECT 'elements' AS table_name, COUNT(*) AS n_rows FROM fx_elements WHERE NOT (project_id = 'P3' AND ebkp = 'C2.1')
+UNION ALL SELECT 'element_materials', COUNT(*) FROM fx_element_materials
+WHERE element_id NOT IN (SELECT id FROM fx_elements WHERE project_id = 'P3' AND ebkp = 'C2.1')"""))
+def q_bucketed_delete(spark, sf_dir):
+    """M5 on stored tables: some elements of a project deleted with their materials in one commit."""
+    import uuid
+    from graustein.session import scratch_path
+    from graustein.sinks import buckets
+    root = scratch_path(spark, "buckets", uuid.uuid4().hex)
+    buckets.create({"elements": (fx.elements(spark, sf_dir), "id"), "element_materials": (fx.element_materials(spark, sf_dir), "element_id")}, root, 16)
+    doomed = buckets.read(spark, root, "elements").filter("project_id = 'P3' AND ebkp = 'C2.1'").select("id")
+    buckets.delete(spark, root, doomed, ["elements", "element_materials"])
+    count = lambda t: buckets.read(spark, root, t).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows")
+    return count("elements").unionByName(count("element_materials"))
+
+
 _OUTCOME_BODY = """
 SELECT COALESCE(error_code, 'OK') AS outcome, COUNT(*) AS n_components FROM lca_components {where} GROUP BY 1"""
 
@@ -713,6 +766,38 @@ _REMAP = """
 new_map AS (SELECT p_name AS ifc_material, CAST(MAX(p_partkey) AS VARCHAR) AS kbob_id FROM part GROUP BY p_name)"""
 
 
+@query("mappings_last_wins", with_views("""
+rows AS (
+  SELECT 'P' || CAST(p_partkey % 20 AS VARCHAR) AS project_id, p_name AS ifc_material,
+         CASE WHEN p_size % 5 = 0 THEN ' ' ELSE CAST(p_partkey AS VARCHAR) END AS kbob_id, p_partkey AS v FROM part),
+last AS (SELECT project_id, ifc_material, arg_max(kbob_id, v) AS kbob_id FROM rows GROUP BY 1, 2)""", body="""
+SELECT DISTINCT l.* FROM last l JOIN fx_element_materials m ON m.material_name = l.ifc_material
+JOIN fx_elements e ON e.id = m.element_id AND e.project_id = l.project_id WHERE trim(l.kbob_id) <> ''"""))
+def q_mappings_last_wins(spark, sf_dir):
+    """Several mappings of one material per project; the last one counts, and a blank
+    last one leaves the material without."""
+    from graustein.operators import projects as pr
+    p = fx.table(spark, sf_dir, "part")
+    rows = p.select(F.concat(F.lit("P"), (F.col("p_partkey") % fx.N_PROJECTS).cast("string")).alias("project_id"), F.col("p_name").alias("ifc_material"),
+                    F.when(F.col("p_size") % 5 == 0, " ").otherwise(F.col("p_partkey").cast("string")).alias("kbob_id"),
+                    F.timestamp_seconds(F.col("p_partkey")).alias("created_at"))
+    return pr.project_mappings_in_use(rows, fx.element_materials(spark, sf_dir), fx.elements(spark, sf_dir))
+
+
+@query("published_in_order", with_views(body="SELECT uuid, version, 2 AS commits FROM fx_kbob WHERE version = '2024-v1'"))
+def q_published_in_order(spark, sf_dir):
+    """Two snapshots published one after the other (v9, then v10): the one published last is
+    current, whatever their names sort like."""
+    import uuid
+    from graustein.session import scratch_path
+    from graustein.sinks import commits, writers
+    root = scratch_path(spark, "published", uuid.uuid4().hex)
+    kbob = fx.kbob_materials(spark, sf_dir).select("uuid", "version")
+    writers.publish_snapshot(kbob.filter("version = '2023-v1'"), root, "kbob_materials", "v9")
+    writers.publish_snapshot(kbob.filter("version = '2024-v1'"), root, "kbob_materials", "v10")
+    return writers.read_current(spark, root, "kbob_materials").withColumn("commits", F.lit(commits.state(spark, root)[0]))
+
+
 @query("remap_and_recompute", with_views(_REMAP, LCA_VIEWS.replace("fx_mappings mp", "new_map mp"),
                                          body=_OUTCOME_BODY.format(where="WHERE project_id = 'P5'")))
 def q_remap_and_recompute(spark, sf_dir):
@@ -792,7 +877,41 @@ def q_stream_replies(spark, sf_dir):
                               glob="events.parquet", value=_event_message)
     ctx = ms.BatchContext(lca_inputs=lambda: lca_inputs(spark, sf_dir), output_root=os.path.join(root, "out"))
     ms.run_available(stream, ctx, checkpoint=os.path.join(root, "checkpoint"))
-    return spark.read.parquet(os.path.join(root, "out", "replies")).drop("batch_id")
+    from graustein.streaming import deliveries as dl
+    return dl.read_all(spark, os.path.join(root, "out"), "replies").drop(dl.BATCH)
+
+
+@query("stream_redelivery", with_views(LCA_VIEWS, body="""
+, msg AS (SELECT DISTINCT 'P' || CAST(user_id % 20 AS VARCHAR) AS project_id FROM events),
+again AS (SELECT project_id FROM msg WHERE project_id IN ('P1', 'P2', 'P3')),
+st AS (SELECT project_id, COUNT(*) AS n FROM lca_components GROUP BY project_id)
+SELECT m.project_id, CASE WHEN m.project_id IN ('P1', 'P3') THEN 0 ELSE COALESCE(st.n, 0) END AS n_components,
+       CASE WHEN m.project_id IN ('P1', 'P3') OR st.n IS NULL THEN 'failed' ELSE 'completed' END AS status,
+       CASE WHEN m.project_id IN ('P1', 'P3') OR st.n IS NULL THEN 'error' ELSE 'success' END AS last_reply
+FROM msg m LEFT JOIN st USING (project_id)"""))
+def q_stream_redelivery(spark, sf_dir):
+    """All projects delivered, then P1, P2 and P3 again after the elements of P1 and P3 were
+    deleted: those show no rows, are failed and answered with an error; all tables change in one commit."""
+    import uuid
+    from graustein.session import scratch_path
+    from graustein.streaming import deliveries as dl
+    from graustein.streaming import messages as ms
+    root = scratch_path(spark, "streams", uuid.uuid4().hex)
+    messages = fx.table(spark, sf_dir, "events").select(_event_message().alias("value"))
+    # one message per project
+    url = F.concat(F.lit("s3://models/"), F.col("project_id"), F.lit("/model.ifc"))
+    named = ms.clean_messages(messages).select("project_id").distinct().select(F.to_json(F.struct(url.alias("fileUrl"), F.col("project_id").alias("projectId"))).alias("value"), "project_id")
+    ms.make_batch_handler(ms.BatchContext(lambda: lca_inputs(spark, sf_dir), root))(named.select("value"), 0)
+
+    def later():
+        inputs = lca_inputs(spark, sf_dir)
+        inputs.elements = inputs.elements.filter(~F.col("project_id").isin("P1", "P3"))
+        return inputs
+    ms.make_batch_handler(ms.BatchContext(later, root))(named.filter(F.col("project_id").isin("P1", "P2", "P3")).select("value"), 1)
+    comps = dl.read_current(spark, root, "components").groupBy("project_id").agg(F.count(F.lit(1)).alias("n"))
+    last = dl.read_current(spark, root, "replies").select("project_id", F.col("status").alias("last_reply"))
+    return (dl.read_current(spark, root, "projects").select("project_id", "status").join(comps, "project_id", "left").join(last, "project_id")
+            .select("project_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_components"), "status", "last_reply"))
 
 
 @query("stored_latest_results", with_views(LCA_VIEWS, body="""
@@ -850,13 +969,15 @@ def q_catalogue_csv_round_trip(spark, sf_dir):
 
 
 @query("backup_round_trip", with_views(body="""
-SELECT id, project_id, ebkp, CAST(area_net AS DOUBLE) AS area_net, CAST(length AS DOUBLE) AS length FROM fx_elements"""))
+SELECT id, '00' || substr(project_id, 2) AS project_id, ebkp, CAST(area_net AS DOUBLE) AS area_net, CAST(length AS DOUBLE) AS length, '007' AS code FROM fx_elements"""))
 def q_backup_round_trip(spark, sf_dir):
-    """K3 + S9 (C9): the elements exported as JSON split by project and restored."""
+    """K3 + S9 (C9): the elements, with projects named like numbers, exported as JSON split by project
+    and restored with the types they had."""
     import uuid
     from graustein.session import scratch_path
     from graustein.sinks import writers
     root = scratch_path(spark, "backup", uuid.uuid4().hex)
-    writers.export_tables({"elements": fx.elements(spark, sf_dir)}, root)
-    back = writers.import_tables(spark, root, ["elements"])["elements"]
-    return back.select("id", "project_id", "ebkp", F.col("area_net").cast("double"), F.col("length").cast("double"))
+    numbered = fx.elements(spark, sf_dir).withColumn("project_id", F.concat(F.lit("00"), F.substring("project_id", 2, 9))).withColumn("code", F.lit("007"))
+    writers.export_tables({"elements": numbered, "kbob_versions": fx.kbob_versions(spark)}, root)
+    back = writers.import_tables(spark, root, ["elements", "kbob_versions"])["elements"]
+    return back.select("id", "project_id", "ebkp", F.col("area_net").cast("double"), F.col("length").cast("double"), "code")

@@ -16,7 +16,7 @@ from graustein.operators import combine as cb
 from graustein.operators import cost as cost_ops
 from graustein.operators import lca as lca_ops
 from graustein.plans import jobs
-from graustein.sinks import writers
+from graustein.sinks import commits, writers
 
 
 @dataclass
@@ -103,7 +103,8 @@ def load_reference_data(spark: SparkSession, out_root: str, version: str, kbob_c
     if failing:
         raise ValueError("reference data violates constraints: " + "; ".join(f"{r['table']} {r['check']} x{r['n_violations']}" for r in failing))
     # M4, M8: other versions stay, the loaded one becomes the active one
-    current = writers.published(spark, out_root)
+    base = commits.state(spark, out_root)
+    current = {t: e["snapshot"] for t, e in base[1].items()}
     for name in ("kbob_materials", "cost_reference", "kbob_versions"):
         if name in tables and name in current and "version" in tables[name].columns:
             tables[name] = cat.replace_version(writers.read_current(spark, out_root, name), tables[name], version)
@@ -111,5 +112,6 @@ def load_reference_data(spark: SparkSession, out_root: str, version: str, kbob_c
     snapshot = writers.run_stamp()
     for name, df in tables.items():
         writers.write_snapshot(df, out_root, name, snapshot)
-    writers.publish(spark, out_root, {name: snapshot for name in tables})  # last: readers see all or nothing
+    # last: readers see all or nothing, and a loader that was overtaken gets a Conflict
+    writers.publish(spark, out_root, {name: snapshot for name in tables}, base)
     return snapshot

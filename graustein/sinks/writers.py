@@ -8,14 +8,16 @@ current one are never disturbed and a failed write leaves no half table behind.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import os
+import uuid
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from graustein import schemas
+from graustein.sinks import commits
 
 STORE_PARTITIONS = ("data_type", "project_id", "filename", "run_ts")
 
@@ -95,22 +97,16 @@ def write_snapshot(df: DataFrame, root: str, table: str, snapshot: str) -> None:
     df.write.mode("errorifexists").parquet(os.path.join(root, table, f"snapshot={snapshot}"))
 
 
-def publish(spark: SparkSession, root: str, snapshots: dict[str, str]) -> None:
-    """Make the named snapshots the current ones, all of them in one committed write."""
-    rows = spark.createDataFrame(sorted(snapshots.items()), "table_name string, snapshot string")
-    rows.coalesce(1).write.mode("append").parquet(os.path.join(root, "published_snapshots"))
+def publish(spark: SparkSession, root: str, snapshots: dict[str, str], base: tuple[int, dict] | None = None) -> int:
+    """Make the named snapshots the current ones, all of them in one numbered commit; what was
+    published last is current, whatever the snapshots are called. With ``base`` (``commits.state``
+    before the snapshots were made) a table that another loader published since is a ``Conflict``."""
+    return commits.commit(spark, root, {t: {"snapshot": s} for t, s in snapshots.items()}, base)
 
 
 def published(spark: SparkSession, root: str) -> dict[str, str]:
-    """The current snapshot of every published table (a few rows)."""
-    path = os.path.join(root, "published_snapshots")
-    try:
-        rows = spark.read.schema("table_name string, snapshot string").parquet(path)
-    except AnalysisException as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        return {}
-    return {r["table_name"]: r["s"] for r in rows.groupBy("table_name").agg(F.max("snapshot").alias("s")).collect()}
+    """The current snapshot of every published table."""
+    return {t: e["snapshot"] for t, e in commits.state(spark, root)[1].items() if "snapshot" in e}
 
 
 def publish_snapshot(df: DataFrame, root: str, table: str, snapshot: str | None = None) -> str:
@@ -129,10 +125,25 @@ def read_current(spark: SparkSession, root: str, table: str) -> DataFrame:
 # ---------------------------------------------------------------- JSON / text outputs
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K2/K7: JSON lines with null fields kept; an empty result is an error."""
-    if df.limit(1).count() == 0:
+    """K2/K7: JSON lines with null fields kept; an empty result is an error.
+
+    Rows are counted while they are written, so the plan runs once. An empty result leaves nothing
+    behind: it is written beside ``path`` and moved there when it has rows."""
+    spark = df.sparkSession
+    counted = Observation("json_rows")
+    staged = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    df.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").option("ignoreNullFields", False).json(staged)
+    fs, source = commits.file_system(spark, staged)
+    _, target = commits.file_system(spark, path)
+    if not counted.get.get("n"):
+        fs.delete(source, True)
         raise NothingComputed("No results to save")
-    df.write.mode(mode).option("ignoreNullFields", False).json(path)
+    if fs.exists(target):
+        if mode != "overwrite":
+            fs.delete(source, True)
+            raise FileExistsError(path)
+        fs.delete(target, True)
+    fs.rename(source, target)
 
 
 def write_report(lines: DataFrame, path: str, single_file: bool = False) -> None:
@@ -195,27 +206,31 @@ def history_rows(stats: DataFrame, processing_time: float, created_at=None) -> D
 # ---------------------------------------------------------------- backup / restore
 
 def export_tables(tables: dict[str, DataFrame], root: str) -> None:
-    """K3: every table as JSON, split by project where the table has a project column."""
+    """K3: every table as JSON, split by project where the table has a project column; the schemas
+    are written beside the data, last."""
+    spark = None
     for name, df in tables.items():
+        spark = df.sparkSession
         path = os.path.join(root, name)
-        if "project_id" in df.columns:
-            spread = tuple(c for c in ("element_id", "id") if c in df.columns)[:1]
-            cols = ("project_id", *spread)
-            (df.repartitionByRange(*cols).write.mode("overwrite").option("ignoreNullFields", False)
-             .partitionBy("project_id").json(path))
-        else:
-            df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+        writer = df if "project_id" not in df.columns else df.hint("rebalance", "project_id")
+        writer = writer.write.mode("overwrite").option("ignoreNullFields", False)
+        (writer.partitionBy("project_id") if "project_id" in df.columns else writer).json(path)
+    if spark is not None:
+        known = {t: e for t, e in commits.state(spark, root)[1].items() if t not in tables}
+        commits.commit(spark, root, {**known, **{n: {"schema": df.schema.json()} for n, df in tables.items()}})
 
 
 def import_tables(spark: SparkSession, root: str, names: list[str]) -> dict[str, DataFrame]:
-    """Read an export back with the declared schemas (project folders are discovered)."""
+    """An export read back with the schemas it was written with (declared ones for exports
+    without): a project called ``007`` stays ``007``."""
+    saved = commits.state(spark, root)[1]
     out = {}
     for name in names:
-        path = os.path.join(root, name)
-        schema = schemas.TABLES.get(name)
-        reader = spark.read.schema(schema) if schema is not None else spark.read
-        df = reader.json(path)
-        if schema is not None:
-            df = df.select(*[F.col(f.name) for f in schema.fields])
-        out[name] = df
+        if name in saved:
+            schema = T.StructType.fromJson(json.loads(saved[name]["schema"]))
+        elif name in schemas.TABLES:
+            schema = schemas.TABLES[name]
+        else:
+            raise KeyError(f"{name}: no schema was saved with the export, and none is declared")
+        out[name] = spark.read.schema(schema).json(os.path.join(root, name)).select(*[F.col(f.name) for f in schema.fields])
     return out

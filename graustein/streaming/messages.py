@@ -5,15 +5,19 @@ is handled as ONE set of DataFrame jobs: the projects named by all its messages
 computed together with the batch LCA and cost functions (no per-message loop), and
 one reply row per message is written.
 
-Fault tolerance: the stream's checkpoint records offsets (X2); each micro-batch writes
-its outputs to folders keyed by the batch id with overwrite, so a replayed batch
-replaces its own earlier output instead of adding to it (X3, at-least-once made
-idempotent).
+Every message runs the whole chain: elements and materials stored, LCA and cost computed,
+errors, history and project status kept, and a reply written. All tables of a micro-batch
+are published by one commit (``streaming.deliveries``).
+
+Fault tolerance: the stream's checkpoint records offsets (X2). A batch that is replayed
+before its commit writes its folders again; one that was committed is left as it is (X3,
+at-least-once made idempotent). A project that is delivered again shows the new delivery's
+rows only, also when that has none.
 """
 
 from __future__ import annotations
 
-import os
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -21,7 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from graustein.functions.ids import url_bucket, url_object
+from graustein.functions.ids import project_from_filename, url_bucket, url_object
+from graustein.sinks import commits
 
 MESSAGE_JSON = T.StructType([T.StructField("fileUrl", T.StringType()), T.StructField("projectId", T.StringType())])
 
@@ -56,7 +61,7 @@ def file_messages(spark: SparkSession, path: str, fmt: str = "text", schema: T.S
 
 def clean_messages(messages: DataFrame) -> DataFrame:
     """P17 + H16 + H13: trimmed text, empty dropped; JSON or bare URL; bucket and object."""
-    text = F.trim(F.col("value").cast("string"))
+    text = F.regexp_replace(F.col("value").cast("string"), "^\\s+|\\s+$", "")  # all white space, tabs too
     parsed = F.from_json(text, MESSAGE_JSON)
     is_json = text.startswith("{")
     url = F.when(is_json, parsed["fileUrl"]).otherwise(text)
@@ -93,34 +98,72 @@ class BatchContext:
     cost_reference: Callable[[], DataFrame] | None = None  # when given, the cost job runs too (C2)
 
 
-def make_batch_handler(ctx: BatchContext):
-    """The ``foreachBatch`` function. All messages of the batch in one set of jobs."""
+def run_chain(spark: SparkSession, root: str, batch_id: int, delivered: DataFrame, elements: DataFrame, materials: DataFrame | None,
+              components: DataFrame, version: str, cost_reference: DataFrame | None = None) -> DataFrame:
+    """Writes all tables of a batch for the projects in ``delivered`` (project_id, ...) and returns
+    their run statistics: elements, materials, components (C1), cost rows (C2), errors (K8), history
+    (K9) and the projects with their new status (M3, M7). The caller adds replies and commits."""
+    from graustein.operators import cost as cost_ops
     from graustein.operators import lca as lca_ops
     from graustein.plans import jobs
+    from graustein.session import written_copy
     from graustein.sinks import writers
+    from graustein.streaming import deliveries as dl
+    started = time.time()
+    write = lambda df, table: dl.write_rows(df, root, table, batch_id)
+    projects = dl.write_rows(delivered, root, dl.DELIVERIES, batch_id).select("project_id").distinct()
+    elements = write(elements, "elements")
+    if materials is not None:
+        write(materials, "materials")
+    components = write(components, "components")
+    stats = written_copy(lca_ops.lca_run_stats(components, version), "run_stats")  # a row per project, used four times
+    errors, history = lca_ops.lca_errors(components), stats
+    # M7: a project is completed once its LCA has run; with costs, their run has the last word
+    status = stats.select("project_id", "status")
+    if cost_reference is not None:
+        costs = write(jobs.cost(elements, cost_reference), "cost_results")
+        cost_stats = cost_ops.cost_run_stats(costs)
+        errors = errors.unionByName(cost_ops.cost_errors(costs), allowMissingColumns=True)
+        history = stats.select(*cost_stats.columns).unionByName(cost_stats)
+        status = stats.select("project_id").join(cost_stats.select("project_id", "status"), "project_id")
+    write(errors, "processing_errors")
+    write(writers.history_rows(history, time.time() - started), "processing_history")
+    # M3: created once; a delivery without a component that could be computed is a failed one
+    now = F.current_timestamp()
+    rows = projects.join(status, "project_id", "left").select(
+        "project_id", F.coalesce("status", F.lit("failed")).alias("status"), F.lit(version).alias("kbob_version"), now.alias("updated_at"))
+    if any(commits.names(spark, dl.folder(root, "projects", b)) for b in dl.committed(spark, root)):
+        since = dl.read_current(spark, root, "projects").select("project_id", "created_at")
+        rows = rows.join(since, "project_id", "left").withColumn("created_at", F.coalesce("created_at", now))
+    else:
+        rows = rows.withColumn("created_at", now)
+    write(rows, "projects")
+    return stats
+
+
+def make_batch_handler(ctx: BatchContext):
+    """The ``foreachBatch`` function. All messages of the batch in one set of jobs."""
+    from graustein.plans import jobs
+    from graustein.streaming import deliveries as dl
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        msgs = clean_messages(batch)
+        spark = batch.sparkSession
+        if batch_id in dl.committed(spark, ctx.output_root):
+            return  # X3: replayed after its commit
+        # A message that names no project is the project its object is named after
+        msgs = clean_messages(batch).withColumn("project_id", F.coalesce("project_id", project_from_filename(F.col("object_name"))))
         msgs.persist()
         try:
             inputs = ctx.lca_inputs()
-            wanted = msgs.select("project_id").filter(F.col("project_id").isNotNull()).distinct()
-            inputs.elements = inputs.elements.join(wanted, "project_id", "left_semi")
+            delivered = msgs.select("project_id").filter(F.col("project_id").isNotNull()).distinct()
+            inputs.elements = inputs.elements.join(delivered, "project_id", "left_semi")
             comps, version = jobs.lca(inputs)
-            part = f"batch_id={batch_id}"
-            # Outputs are keyed by project, so a second delivery replaces what the first wrote
-            path = os.path.join(ctx.output_root, "components")
-            writers.write_partitioned(comps, path, ("project_id",), mode="overwrite")
-            written = writers.read_back(msgs.sparkSession, path, comps).join(wanted, "project_id", "left_semi")
-            stats = lca_ops.lca_run_stats(written, version)
-            if ctx.cost_reference is not None:
-                writers.write_partitioned(jobs.cost(inputs.elements, ctx.cost_reference()),
-                                          os.path.join(ctx.output_root, "cost_results"), ("project_id",), mode="overwrite")
-            out = replies(msgs, stats)
-            out.write.mode("overwrite").parquet(os.path.join(ctx.output_root, "replies", part))
+            stats = run_chain(spark, ctx.output_root, batch_id, delivered, inputs.elements, None, comps, version,
+                              ctx.cost_reference() if ctx.cost_reference is not None else None)
+            out = dl.write_rows(replies(msgs, stats), ctx.output_root, "replies", batch_id)
+            dl.commit(spark, ctx.output_root, batch_id)
             if ctx.reply_kafka:  # K5 to a topic, when the connector is available
-                (msgs.sparkSession.read.parquet(os.path.join(ctx.output_root, "replies", part))
-                 .select(F.col("project_id").alias("key"), F.col("reply").alias("value"))
+                (out.select(F.col("project_id").alias("key"), F.col("reply").alias("value"))
                  .write.format("kafka").options(**ctx.reply_kafka).save())
         finally:
             msgs.unpersist()
@@ -143,7 +186,6 @@ def document_stream(spark: SparkSession, landing: str, max_files_per_trigger: in
     """S7 as a stream: element documents (JSON) arriving in ``landing``, one row per document
     (or bare element), with the source file and the project id from the file name (H14)."""
     from graustein import schemas
-    from graustein.functions.ids import project_from_filename
     reader = spark.readStream.schema(schemas.ELEMENT_DOCUMENT).option("multiLine", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -160,18 +202,32 @@ class DocumentContext:
     versions: Callable[[], DataFrame]
     life: Callable[[], DataFrame]
     output_root: str
+    cost_reference: Callable[[], DataFrame] | None = None
+
+
+def file_replies(files: DataFrame, per_file: DataFrame) -> DataFrame:
+    """K5 for documents: one reply per file; a file without a component is answered with an error."""
+    n, failed = F.col("total_components"), F.col("failed_components")
+    done = F.concat(F.lit("Processed "), F.col("source_file"), F.lit(": "), (n - failed).cast("string"), F.lit(" components computed, "),
+                    failed.cast("string"), F.lit(" failed"))
+    out = files.join(per_file, ["project_id", "source_file"], "left").select(
+        F.when(n.isNotNull(), F.lit("success")).otherwise(F.lit("error")).alias("status"), "project_id", "source_file",
+        F.when(n.isNotNull(), done).otherwise(F.concat(F.lit("No valid elements in "), F.col("source_file"))).alias("message"))
+    return out.withColumn("reply", F.to_json(F.struct("status", "project_id", "message")))
 
 
 def make_document_handler(ctx: DocumentContext):
-    """X1 for documents: ingest (repeatable ids) -> validate -> LCA -> replies per file, all
-    documents of the micro-batch in one set of jobs; outputs keyed by the batch id."""
+    """X1 for documents: ingest (repeatable ids) -> validate -> LCA and cost -> replies per file, all
+    documents of the micro-batch in one set of jobs and one commit."""
     from graustein.operators import catalogue as cat
     from graustein.operators import elements as el
     from graustein.operators import lca as lca_ops
     from graustein.plans.ingest import _with_uids
-    from graustein.sinks import writers
+    from graustein.streaming import deliveries as dl
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        if batch_id in dl.committed(batch.sparkSession, ctx.output_root):
+            return  # X3: replayed after its commit
         batch.persist()  # parsed once for everything below
         try:
             compute(batch, batch_id)
@@ -179,31 +235,22 @@ def make_document_handler(ctx: DocumentContext):
             batch.unpersist()
 
     def compute(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        part = f"batch_id={batch_id}"
+        spark, root = batch.sparkSession, ctx.output_root
         exploded = _with_uids(el.explode_documents(batch))
-        # Keyed by project (a file's project comes from its name), so a file that arrives again replaces its rows
-        writers.write_partitioned(el.flatten_elements(exploded), os.path.join(ctx.output_root, "elements"), ("project_id",), mode="overwrite")
-        rows = el.validate_components(el.document_components(exploded))
+        # a file's project comes from its name: a file that arrives again is a new delivery of its project
+        files = batch.select("project_id", "source_file").distinct()
         version = cat.active_version(ctx.versions())
+        rows = el.validate_components(el.document_components(exploded))
         comps = lca_ops.lca_components(rows, ctx.mappings(), ctx.catalogue(), ctx.life(), version)
-        path = os.path.join(ctx.output_root, "components")
-        writers.write_partitioned(comps, path, ("project_id",), mode="overwrite")
-        written = writers.read_back(spark, path, comps).join(batch.select("project_id").distinct(), "project_id", "left_semi")
-        files_of = exploded.select(el.element_key().alias("element_id"), "source_file").distinct()
-        per_file = (written.join(files_of, "element_id", "left").groupBy("project_id", "source_file")
+        projects_of = exploded.select("project_id", el.element_key().alias("element_id"), "source_file").distinct()
+        materials = el.explode_materials(exploded).join(projects_of.select("project_id", "element_id").distinct(), "element_id")
+        run_chain(spark, root, batch_id, files, el.flatten_elements(exploded), materials, comps, version,
+                  ctx.cost_reference() if ctx.cost_reference is not None else None)
+        written = spark.read.schema(comps.schema).parquet(dl.folder(root, "components", batch_id))  # this batch's rows only
+        per_file = (written.join(projects_of, ["project_id", "element_id"]).groupBy("project_id", "source_file")
                     .agg(F.count(F.lit(1)).alias("total_components"), F.count_if("failed").alias("failed_components")))
-        files = batch.select("project_id", "source_file").distinct()
-        reply = (files.join(per_file, ["project_id", "source_file"], "left")
-                 .select(F.when(F.col("total_components").isNotNull(), F.lit("success")).otherwise(F.lit("error")).alias("status"),
-                         "project_id", "source_file",
-                         F.when(F.col("total_components").isNotNull(), F.concat(
-                             F.lit("Processed "), F.col("source_file"), F.lit(": "),
-                             (F.col("total_components") - F.col("failed_components")).cast("string"),
-                             F.lit(" components computed, "), F.col("failed_components").cast("string"), F.lit(" failed")))
-                         .otherwise(F.concat(F.lit("No valid elements in "), F.col("source_file"))).alias("message")))
-        (reply.withColumn("reply", F.to_json(F.struct("status", "project_id", "message")))
-         .write.mode("overwrite").parquet(os.path.join(ctx.output_root, "replies", part)))
+        dl.write_rows(file_replies(files, per_file), root, "replies", batch_id)
+        dl.commit(spark, root, batch_id)
 
     return handle
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from graustein.operators import lca as lca_ops
 from graustein.plans import jobs, registry, runs
+from graustein.streaming import deliveries as dl
 from graustein.streaming import messages as ms
 
 SF = "/root/testdata/sf0.001"
@@ -29,27 +30,27 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark, tmp_dir):
     ctx = ms.BatchContext(lca_inputs=lambda: registry.lca_inputs(spark, SF), output_root=out,
                           cost_reference=lambda: fx.cost_reference(spark))
     ms.run_available(ms.file_messages(spark, inbox, fmt="text"), ctx, os.path.join(tmp_dir, "ckpt"))
-    streamed = spark.read.parquet(os.path.join(out, "components"))
+    streamed = dl.read_current(spark, out, "components")
     comps, _ = jobs.lca(registry.lca_inputs(spark, SF))
     batch = comps.filter(F.col("project_id").isin("P3", "P7"))
     cols = sorted(batch.columns)
     assert sorted(map(repr, streamed.select(cols).collect())) == sorted(map(repr, batch.select(cols).collect()))
-    n_costs = spark.read.parquet(os.path.join(out, "cost_results")).count()
+    n_costs = dl.read_current(spark, out, "cost_results").count()
     assert n_costs == fx.elements(spark, SF).filter(F.col("project_id").isin("P3", "P7")).count()
-    replies = spark.read.parquet(os.path.join(out, "replies")).collect()
+    replies = dl.read_all(spark, out, "replies").collect()
     assert sorted(r["project_id"] for r in replies) == ["P3", "P7"] and {r["status"] for r in replies} == {"success"}
     # replaying the same batch id overwrites its own output
     handler = ms.make_batch_handler(ctx)
     handler(spark.read.text(inbox), 0)
-    assert spark.read.parquet(os.path.join(out, "replies")).count() == 2
+    assert dl.read_all(spark, out, "replies").count() == 2
     # a second delivery in a later batch replaces the projects' rows
     handler(spark.read.text(inbox), 9)
-    assert spark.read.parquet(os.path.join(out, "components")).count() == batch.count()
-    assert spark.read.parquet(os.path.join(out, "cost_results")).count() == n_costs
-    assert spark.read.parquet(os.path.join(out, "replies")).filter("batch_id = 9").count() == 2
+    assert dl.read_current(spark, out, "components").count() == batch.count()
+    assert dl.read_current(spark, out, "cost_results").count() == n_costs
+    assert dl.read_all(spark, out, "replies").filter("batch = 9").count() == 2
     # a restart with the same checkpoint reads nothing new
     ms.run_available(ms.file_messages(spark, inbox, fmt="text"), ctx, os.path.join(tmp_dir, "ckpt"))
-    assert spark.read.parquet(os.path.join(out, "replies")).count() == 4
+    assert dl.read_all(spark, out, "replies").count() == 4
 
 
 def test_persisted_combined_run(spark, tmp_dir):
@@ -129,13 +130,113 @@ def test_document_stream_ingests_and_computes(spark, tmp_dir):
     out = os.path.join(tmp_dir, "out")
     ctx = ms.DocumentContext(lambda: mappings, lambda: catalogue, lambda: versions, lambda: life, out)
     ms.run_documents_available(ms.document_stream(spark, landing), ctx, os.path.join(tmp_dir, "ckpt"))
-    comps = {r["material_name"]: r for r in spark.read.parquet(os.path.join(out, "components")).collect()}
+    comps = {r["material_name"]: r for r in dl.read_current(spark, out, "components").collect()}
     assert set(comps) == {"Beton", "Wolle", "Nope"}  # the invalid element is dropped by P11
     assert comps["Beton"]["gwp_absolute"] == 1968324.36 and comps["Beton"]["amortization"] == 50
     assert comps["Nope"]["error_code"] == "INVALID_VOLUME"
-    reply = spark.read.parquet(os.path.join(out, "replies")).first()
+    reply = dl.read_all(spark, out, "replies").first()
     assert reply["status"] == "success" and reply["project_id"] == "ifc_haus" and "2 components computed, 1 failed" in reply["message"]
     # the same ids as the batch ingestion (repeatable ids): replays upsert the same rows
     batch_els, _ = ingest.documents_to_tables(readers.read_element_documents(spark, landing))
-    streamed_ids = {r["id"] for r in spark.read.parquet(os.path.join(out, "elements")).collect()}
+    streamed_ids = {r["id"] for r in dl.read_current(spark, out, "elements").collect()}
     assert streamed_ids == {r["id"] for r in batch_els.collect()}
+
+
+def reference(spark):
+    import datetime as dt
+    mappings = spark.createDataFrame([("Beton", "U1"), ("Wolle", "U2")], "ifc_material string, kbob_id string")
+    catalogue = spark.createDataFrame([("U1", "Beton", 1.0, 2.0, 3.0, "v"), ("U2", "Wolle", 4.0, 5.0, 6.0, "v")],
+                                      "uuid string, name string, indicator_co2eq double, indicator_penre double, indicator_ubp double, version string")
+    versions = spark.createDataFrame([("v", True, dt.date(2024, 1, 1))], "version string, is_active boolean, release_date date")
+    life = spark.createDataFrame([("C", "c", 50)], "ebkp_code string, description string, years int")
+    cost = spark.createDataFrame([("C", "Wand", "m2", 10.0, "2024")], "ebkp_code string, description string, unit string, cost_per_unit double, version string")
+    return mappings, catalogue, versions, life, cost
+
+
+def element(name, volume=1.0, area=2.0, materials=("Beton",)):
+    return {"id": name, "properties": {"ebkp": "C"}, "quantities": {"area": {"net": area}}, "materials": list(materials),
+            "material_volumes": {m: {"volume": volume, "density": 100.0} for m in materials}}
+
+
+def deliver(landing, name, elements):
+    import json
+    with open(os.path.join(landing, name), "w") as f:
+        json.dump({"elements": elements}, f)
+
+
+def document_context(spark, out):
+    mappings, catalogue, versions, life, cost = reference(spark)
+    return ms.DocumentContext(lambda: mappings, lambda: catalogue, lambda: versions, lambda: life, out, lambda: cost)
+
+
+def test_an_emptied_delivery_removes_the_projects_rows(spark, tmp_dir):
+    from graustein.sources import readers
+    landing, out = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    os.makedirs(landing)
+    handler = ms.make_document_handler(document_context(spark, out))
+    read = lambda: readers.read_element_documents(spark, landing)
+    deliver(landing, "a.json", [element("x"), element("y", materials=("Beton", "Wolle", "Unknown"))])
+    deliver(landing, "b.json", [element("z")])
+    handler(read(), 0)
+    tables = ["elements", "materials", "components", "cost_results", "projects"]
+    rows = lambda t, p: dl.read_current(spark, out, t).filter(F.col("project_id") == p).count()
+    assert [rows(t, "ifc_a") for t in tables] == [2, 4, 4, 2, 1] and [rows(t, "ifc_b") for t in tables] == [1, 1, 1, 1, 1]
+    first = {r["project_id"]: r for r in dl.read_current(spark, out, "projects").collect()}
+    assert {p: r["status"] for p, r in first.items()} == {"ifc_a": "completed", "ifc_b": "completed"}
+    assert dl.read_all(spark, out, "processing_errors").select("element_id", "error_type").distinct().count() == 1
+    # a.json again, with nothing that could be computed
+    os.remove(os.path.join(landing, "b.json"))
+    deliver(landing, "a.json", [element("x", volume=-1.0)])
+    handler(read(), 1)
+    assert [rows(t, "ifc_a") for t in tables] == [1, 1, 0, 1, 1] and [rows(t, "ifc_b") for t in tables] == [1, 1, 1, 1, 1]
+    second = {r["project_id"]: r for r in dl.read_current(spark, out, "projects").collect()}
+    assert second["ifc_a"]["status"] == "failed" and second["ifc_a"]["created_at"] == first["ifc_a"]["created_at"]
+    reply = dl.read_all(spark, out, "replies").filter("batch = 1").first()
+    assert reply["status"] == "error" and reply["message"] == "No valid elements in a.json"
+    # and with no elements at all
+    deliver(landing, "a.json", [])
+    handler(read(), 2)
+    assert [rows(t, "ifc_a") for t in tables] == [0, 0, 0, 0, 1]
+    assert dl.read_all(spark, out, "processing_history").count() == 5  # LCA and cost of both, then the costs of one
+    assert {r["batch"] for r in dl.read_all(spark, out, "replies").collect()} == {0, 1, 2}  # the log keeps all
+
+
+def test_a_batch_shows_as_a_whole_or_not_at_all(spark, tmp_dir):
+    from graustein.sources import readers
+    import pytest
+    landing, out = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    os.makedirs(landing)
+    deliver(landing, "a.json", [element("x")])
+    ctx = document_context(spark, out)
+    ms.make_document_handler(ctx)(readers.read_element_documents(spark, landing), 0)
+    deliver(landing, "a.json", [element("x"), element("y")])
+    broken = document_context(spark, out)
+    broken.cost_reference = lambda: spark.createDataFrame([(1,)], "no_such_table int")
+    with pytest.raises(Exception, match="ebkp_code|version"):
+        ms.make_document_handler(broken)(readers.read_element_documents(spark, landing), 1)
+    assert dl.committed(spark, out) == [0]  # elements and components of batch 1 are written, and seen by no reader
+    assert dl.read_current(spark, out, "elements").count() == 1 and dl.read_current(spark, out, "components").count() == 1
+    ms.make_document_handler(ctx)(readers.read_element_documents(spark, landing), 1)  # replayed
+    assert dl.read_current(spark, out, "elements").count() == 2
+    ms.make_document_handler(broken)(readers.read_element_documents(spark, landing), 1)  # committed: left as it is
+    assert dl.read_current(spark, out, "components").count() == 2
+
+
+def test_messages_for_projects_without_elements_and_bare_urls(spark, tmp_dir):
+    mappings, catalogue, versions, life, cost = reference(spark)
+    els = spark.createDataFrame([("e1", "ifc_haus", "C", 2.0, None)], "id string, project_id string, ebkp string, area_net double, length double")
+    mats = spark.createDataFrame([("e1", "Beton", 1.0, 100.0)], "element_id string, material_name string, volume double, density double")
+    held = {"elements": els}
+    ctx = ms.BatchContext(lambda: jobs.LcaInputs(held["elements"], mats, mappings, catalogue, versions, life), tmp_dir, cost_reference=lambda: cost)
+    handler = ms.make_batch_handler(ctx)
+    handler(spark.createDataFrame([("http://host/bucket/haus.ifc",), (" \t",)], "value string"), 0)
+    reply = dl.read_all(spark, tmp_dir, "replies").collect()
+    assert [(r["status"], r["project_id"]) for r in reply] == [("success", "ifc_haus")]
+    assert dl.read_current(spark, tmp_dir, "components").count() == 1
+    # the project's elements are deleted, then its model is announced again
+    held["elements"] = els.filter("false")
+    handler(spark.createDataFrame([("http://host/bucket/haus.ifc",)], "value string"), 1)
+    reply = dl.read_all(spark, tmp_dir, "replies").filter("batch = 1").first()
+    assert reply["status"] == "error" and reply["message"] == "No elements for project ifc_haus"
+    assert [dl.read_current(spark, tmp_dir, t).count() for t in ("elements", "components", "cost_results")] == [0, 0, 0]
+    assert dl.read_current(spark, tmp_dir, "projects").first()["status"] == "failed"
