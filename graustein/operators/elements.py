@@ -114,6 +114,18 @@ def validate_components(components_in: DataFrame) -> DataFrame:
     return components_in.join(positive_volume_elements(components_in), "element_id", "left_semi").select(*components_in.columns)
 
 
+def valid_component_rows(materials: DataFrame, elements: DataFrame) -> DataFrame:
+    """J6 + P11: material rows of valid elements, with their element's project and classification.
+
+    Which elements are valid follows from the materials alone (their ids and volumes), so it is
+    settled before J6 and narrows the element side; the material rows themselves are joined once.
+    The aggregate combines map-side and AQE can split the join: an element with a third of all rows
+    never lands in one task. On tables bucketed by element (``sinks.writers.save_bucketed``) neither
+    the aggregate nor the joins shuffle."""
+    valid = positive_volume_elements(materials)
+    return attach_elements(materials, elements.join(valid, F.col("id") == F.col("element_id"), "left_semi"))
+
+
 def rejected_elements(elements: DataFrame, components_in: DataFrame) -> DataFrame:
     """P11 rejects with a reason: NO_MATERIALS or NO_POSITIVE_VOLUME."""
     per_element = (components_in.groupBy("element_id")

@@ -28,8 +28,7 @@ class LcaInputs:
 
 def lca_input_rows(elements: DataFrame, materials: DataFrame, validate: bool = True) -> DataFrame:
     """J6 + P11: element x material rows of valid elements."""
-    rows = el.attach_elements(materials, elements)
-    return el.validate_components(rows) if validate else rows
+    return el.valid_component_rows(materials, elements) if validate else el.attach_elements(materials, elements)
 
 
 def lca(inputs: LcaInputs, validate: bool = True, normalise_life: bool = False,

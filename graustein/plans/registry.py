@@ -55,6 +55,25 @@ def q_lca_components(spark, sf_dir):
     return lca_components(spark, sf_dir)
 
 
+def bucketed_inputs(spark: SparkSession, sf_dir: str, buckets: int = 8) -> jobs.LcaInputs:
+    """The LCA's tables with elements and materials stored bucketed by element."""
+    import uuid
+    from graustein.session import scratch_path
+    from graustein.sinks import writers
+    inputs, tag = lca_inputs(spark, sf_dir), uuid.uuid4().hex
+    path = scratch_path(spark, "bucketed", tag)
+    inputs.elements = writers.save_bucketed(inputs.elements, f"{path}/elements", f"elements_{tag}", "id", buckets)
+    inputs.materials = writers.save_bucketed(inputs.materials, f"{path}/materials", f"materials_{tag}", "element_id", buckets)
+    return inputs
+
+
+@query("lca_bucketed", with_views(LCA_VIEWS, body="SELECT * FROM lca_components"))
+def q_lca_bucketed(spark, sf_dir):
+    """C1 on tables stored bucketed by element (J6/J13, P11): no shuffle of the facts."""
+    comps, _ = jobs.lca(bucketed_inputs(spark, sf_dir))
+    return comps
+
+
 @query("lca_from_documents", with_views(LCA_VIEWS, body="SELECT * FROM lca_components"))
 def q_lca_from_documents(spark, sf_dir):
     """S7/H15 path: element documents (materials list + material_volumes map) built from the

@@ -111,20 +111,24 @@ def kbob_materials(spark: SparkSession, sf_dir: str) -> DataFrame:
     return old.unionByName(new)
 
 
+def _few_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few literal rows. Spark knows their size, as that of a stored table, and can broadcast them;
+    of rows that come from the Python process it doesn't, and would shuffle the facts to join them."""
+    fields = [f.split() for f in schema.split(", ")]
+    row = lambda r: F.struct(*(F.lit(v).cast(t).alias(n) for v, (n, t) in zip(r, fields)))
+    return spark.range(1).select(F.inline(F.array(*map(row, rows))))
+
+
 def kbob_versions(spark: SparkSession) -> DataFrame:
-    schema = "version string, is_active boolean, release_date date, description string"
-    return spark.createDataFrame(VERSIONS, schema)
+    return _few_rows(spark, VERSIONS, "version string, is_active boolean, release_date date, description string")
 
 
 def life_expectancy(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(LIFE_ROWS, "ebkp_code string, description string, years int")
+    return _few_rows(spark, LIFE_ROWS, "ebkp_code string, description string, years int")
 
 
 def cost_reference(spark: SparkSession) -> DataFrame:
-    schema = T.StructType([T.StructField("ebkp_code", T.StringType()), T.StructField("description", T.StringType()),
-                           T.StructField("unit", T.StringType()), T.StructField("cost_per_unit", T.DecimalType(10, 2)),
-                           T.StructField("version", T.StringType())])
-    return spark.createDataFrame(COST_ROWS, schema)
+    return _few_rows(spark, COST_ROWS, "ebkp_code string, description string, unit string, cost_per_unit decimal(10,2), version string")
 
 
 def projects(spark: SparkSession, sf_dir: str) -> DataFrame:
