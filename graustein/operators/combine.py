@@ -11,13 +11,13 @@ from graustein.operators.cost import COST_COMPONENT
 SUMMARY_MEASURES = (("total_cost", "total_cost", 2), ("total_co2_emission", "gwp_absolute", 3),
                     ("total_primary_energy", "penr_absolute", 3), ("total_ubp", "ubp_absolute", 0))
 
-# The report's line texts (labels and units).
-REPORT_TITLE = "Summary Report:"
+# The report's line texts (labels and units; a blank line before both titles).
+REPORT_TITLE = "\nSummary Report:"
 REPORT_LINES = (("total_cost", "Total Cost: {} Chf"),
                 ("total_co2_emission", "Total CO₂ Emissions: {} kg CO₂-eq"),
                 ("total_primary_energy", "Total Primary Energy (non-renewable): {} kWh oil-eq"),
                 ("total_ubp", "Total UBP: {}"))
-FAILED_TITLE = "Failed Components:"
+FAILED_TITLE = "\nFailed Components:"
 
 
 def lca_rows_for_union(lca: DataFrame) -> DataFrame:
@@ -55,6 +55,53 @@ def combined_rows(lca: DataFrame, cost: DataFrame) -> DataFrame:
     return combine_results(lca, cost).join(shared, ["project_id", "guid"], "left")
 
 
+NEST = 1000  # components in a chunk, about
+
+
+def nested(rows: DataFrame, shared: DataFrame | None = None, order: str = "material", chunk: int = NEST) -> DataFrame:
+    """One record per (project_id, guid) with its components in a list; a guid with more than
+    ``chunk`` components becomes several numbered records. (project_id, guid, shared_guid, n_components,
+    chunk, n_chunks, components); a chunk's components are sorted by ``order``.
+
+    Two levels: how many components a guid has is a map-side aggregate, which decides the number of
+    its chunks; a component's hash decides on its chunk. So a guid with a third of all rows is nested by
+    many tasks, and each list has about ``chunk`` entries. Equal components are counted first and
+    numbered, so that they don't meet in one chunk. ``shared`` (project_id, guid, shared_guid) gives
+    the flag; without it a guid with more than one component is shared."""
+    key = ["project_id", "guid"]
+    values = [c for c in rows.columns if c not in (*key, "shared_guid")]
+    each = rows.groupBy(*key, *values).agg(F.count(F.lit(1)).alias("_copies"))
+    each = each.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    sizes = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n_components"))
+    if shared is None:
+        sizes = sizes.withColumn("shared_guid", F.col("n_components") > 1)
+    else:
+        flags = shared.select(*(F.col(k).alias(f"_{k}") for k in key), "shared_guid")
+        sizes = sizes.join(flags, F.col("project_id").eqNullSafe(F.col("_project_id")) & F.col("guid").eqNullSafe(F.col("_guid")), "left").select(
+            *key, "n_components", F.coalesce("shared_guid", F.lit(False)).alias("shared_guid"))
+    sizes = sizes.select(*(F.col(k).alias(f"_{k}") for k in key), "n_components", "shared_guid", F.ceil(F.col("n_components") / chunk).alias("n_chunks"))
+    sized = each.join(sizes, F.col("project_id").eqNullSafe(F.col("_project_id")) & F.col("guid").eqNullSafe(F.col("_guid")))
+    slot = F.pmod(F.xxhash64(*values, "_copy"), F.col("n_chunks"))
+    listed = F.array_sort(F.collect_list(F.struct(order, *(c for c in values if c != order))))
+    return (sized.groupBy(*key, "shared_guid", "n_components", "n_chunks", slot.alias("chunk")).agg(listed.alias("components"))
+            .select(*key, "shared_guid", "n_components", "chunk", "n_chunks", "components"))
+
+
+def lca_nested(lca: DataFrame, chunk: int = NEST) -> DataFrame:
+    """The LCA results as one record per element; a failed component carries its error only."""
+    rows = lca.select("project_id", F.col("element_id").alias("guid"), F.col("material_name").alias("material"), F.col("kbob_uuid").alias("mat_kbob"),
+                      "kbob_material_name", "volume", "density", "amortization", F.when(~F.col("failed"), F.col("ebkp_h")).alias("ebkp_h"),
+                      "gwp_absolute", "gwp_relative", "penr_absolute", "penr_relative", "ubp_absolute", "ubp_relative",
+                      "failed", F.col("error_message").alias("error"))
+    return nested(rows, chunk=chunk)
+
+
+def combined_nested(lca: DataFrame, cost: DataFrame, chunk: int = NEST) -> DataFrame:
+    """LCA and cost components of each guid in one record; ``shared_guid`` is the OR of both."""
+    shared = combined_per_guid(lca, cost).select("project_id", "guid", "shared_guid")
+    return nested(combine_results(lca, cost), shared, chunk=chunk)
+
+
 def summarize(combined: DataFrame, by: list[str] | None = None, count_failed: bool = False) -> DataFrame:
     """A5: totals over non-failed components; null or NaN values count as 0.
 

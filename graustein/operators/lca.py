@@ -46,6 +46,15 @@ def usable_mappings(mappings: DataFrame) -> DataFrame:
             .filter(F.col("kbob_id").isNotNull() & (F.trim("kbob_id") != "")).select(*keys, "kbob_id"))
 
 
+def resolved_mapping(mappings: DataFrame, project_id: str) -> DataFrame:
+    """(material_name, kbob_id): what a project's materials map to; its own rows come before those
+    without a project."""
+    rows = mappings if "project_id" in mappings.columns else mappings.withColumn("project_id", F.lit(None).cast("string"))
+    own = usable_mappings(rows.filter(F.col("project_id") == F.lit(project_id)).drop("project_id")).select("ifc_material", F.col("kbob_id").alias("own"))
+    shared = usable_mappings(rows.filter(F.col("project_id").isNull()).drop("project_id")).select("ifc_material", F.col("kbob_id").alias("shared"))
+    return own.join(shared, "ifc_material", "full").select(F.col("ifc_material").alias("material_name"), F.coalesce("own", "shared").alias("kbob_id"))
+
+
 def catalogue_of_version(catalogue: DataFrame, version: str) -> DataFrame:
     """J2 right side: one row per uuid of the version. A key violation (two rows for one
     uuid) must not multiply component rows, so the latest ``created_at`` wins (then the
@@ -144,6 +153,18 @@ def element_summary(components: DataFrame) -> DataFrame:
             .withColumn("shared_guid", F.col("n_components") > 1))
 
 
+def impact_difference(totals: DataFrame, gone: DataFrame, new: DataFrame) -> DataFrame:
+    """``project_impacts`` after some components changed: the totals before, less those of the rows that
+    are ``gone``, plus those of the ``new`` ones. Exact: decimals are added, no other row is read."""
+    names = [f"{n}_{kind}" for n, _, _ in INDICATORS for kind in ("absolute", "relative")]
+    digits = {f"{n}_{kind}": d for n, _, d in INDICATORS for kind in ("absolute", "relative")}
+    signed = lambda df, sign: df.select("project_id", (F.col("n_components") * sign).alias("n_components"),
+                                        *((F.col(c).cast(f"decimal(38,{digits[c]})") * sign).cast(f"decimal(38,{digits[c]})").alias(c) for c in names))
+    parts = signed(totals, 1).unionByName(signed(project_impacts(gone), -1)).unionByName(signed(project_impacts(new), 1))
+    return (parts.groupBy("project_id").agg(F.sum("n_components").alias("n_components"), *(F.sum(c).cast("double").alias(c) for c in names))
+            .filter(F.col("n_components") > 0))
+
+
 def exact_sum(name: str, digits: int) -> Column:
     """Sum of values already rounded to ``digits``: added as DECIMAL, so the total does not
     depend on partitioning or row order, then returned as DOUBLE."""

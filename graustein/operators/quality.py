@@ -56,28 +56,85 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
     return child.join(parent.select(F.col(parent_key).alias(child_key)).distinct(), child_key, "left_anti")
 
 
-def constraint_report(tables: dict[str, DataFrame], keys: dict[str, list[str]],
-                      not_null: dict[str, list[str]], fks: Sequence[tuple[str, str, str, str]] = ()) -> DataFrame:
-    """P19 summary: (table, check, n_violations) for every declared constraint.
-
-    Per table, all NOT NULL checks share one scan (one aggregate, stacked into rows);
-    each key check is one grouping and each foreign key one anti join."""
-    parts = []
-    for name, df in tables.items():
-        if name in keys:
-            parts.append(duplicate_keys(df, keys[name]).agg(F.count(F.lit(1)).alias("n"))
-                         .select(F.lit(name).alias("table"), F.lit("primary_key").alias("check"), F.col("n").alias("n_violations")))
-        cols = [c for c in not_null.get(name, []) if c in df.columns]
-        if cols:
-            counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-            parts.append(counts.select(F.explode(F.array(*[
-                F.struct(F.lit(name).alias("table"), F.lit(f"not_null:{c}").alias("check"), F.col(c).alias("n_violations"))
-                for c in cols])).alias("s")).select("s.*"))
+def _tags(name: str, df: DataFrame, keys: dict, not_null: dict, fks: Sequence, checks: dict) -> list:
+    """What a row of table ``name`` says to the checks: (table, check, key, parent) structs. Rows of a key
+    are counted under it; NOT NULL and CHECK say something only when they are violated."""
+    def tag(table, check, key, parent=False, when=None):
+        s = F.struct(F.lit(table).alias("table"), F.lit(check).alias("check"), key.alias("key"), F.lit(parent).alias("parent"))
+        return s if when is None else F.when(when, s)
+    out = []
+    if name in keys:
+        out.append(tag(name, "primary_key", F.to_json(F.struct(*keys[name]))))
+    out += [tag(name, f"not_null:{c}", F.lit(""), when=F.col(c).isNull()) for c in not_null.get(name, []) if c in df.columns]
+    out += [tag(name, f"check:{label}", F.lit(""), when=~F.coalesce(ok, F.lit(True))) for label, ok in checks.get(name, [])]
     for child, ckey, parent, pkey in fks:
-        parts.append(orphans(tables[child], tables[parent], ckey, pkey).agg(F.count(F.lit(1)).alias("n"))
-                     .select(F.lit(child).alias("table"), F.lit(f"foreign_key:{ckey}->{parent}.{pkey}").alias("check"),
-                             F.col("n").alias("n_violations")))
+        check = f"foreign_key:{ckey}->{parent}.{pkey}"
+        if name == child:
+            out.append(tag(child, check, F.col(ckey).cast("string"), when=F.col(ckey).isNotNull()))
+        if name == parent:
+            out.append(tag(child, check, F.col(pkey).cast("string"), parent=True, when=F.col(pkey).isNotNull()))
+    return out
+
+
+def _declared(tables: dict, keys: dict, not_null: dict, fks: Sequence, checks: dict) -> list[tuple[str, str]]:
+    return ([(t, "primary_key") for t in keys if t in tables]
+            + [(t, f"not_null:{c}") for t, df in tables.items() for c in not_null.get(t, []) if c in df.columns]
+            + [(t, f"check:{label}") for t in tables for label, _ in checks.get(t, [])]
+            + [(child, f"foreign_key:{ckey}->{parent}.{pkey}") for child, ckey, parent, pkey in fks])
+
+
+def _union(parts: Sequence[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def violations(tables: dict[str, DataFrame], keys: dict[str, list[str]], not_null: dict[str, list[str]],
+               fks: Sequence[tuple[str, str, str, str]] = (), checks: dict[str, list] | None = None) -> DataFrame:
+    """(table, check, key, n) of everything that is violated: duplicated keys, child keys without a
+    parent, and numbers of nulls and failed CHECKs. ``checks``: table -> [(label, condition that holds)].
+
+    One pass: every table is read once, all checks of all tables meet in one shuffle by (table, check,
+    key), and whatever can be counted is counted before it. A key with a third of all rows is one row
+    per task there."""
+    parts = []
+    for name, df in tables.items():
+        tags = _tags(name, df, keys, not_null, fks, checks or {})
+        if tags:
+            parts.append(df.select(F.explode(F.filter(F.array(*tags), lambda x: x.isNotNull())).alias("t")).select("t.*"))
+    met = _union(parts).groupBy("table", "check", "key").agg(F.count_if(~F.col("parent")).alias("n"), F.bool_or("parent").alias("has_parent"))
+    bad = (F.when(F.col("check") == "primary_key", F.col("n") > 1).when(F.col("check").startswith("foreign_key:"), ~F.col("has_parent"))
+           .otherwise(F.lit(True)))
+    return met.filter(bad & (F.col("n") > 0)).select("table", "check", "key", "n")
+
+
+def constraint_report(tables: dict[str, DataFrame], keys: dict[str, list[str]],
+                      not_null: dict[str, list[str]], fks: Sequence[tuple[str, str, str, str]] = (),
+                      checks: dict[str, list] | None = None) -> DataFrame:
+    """P19 summary: (table, check, n_violations) for every declared constraint, also those that hold:
+    duplicated keys, and rows that violate the others."""
+    found = violations(tables, keys, not_null, fks, checks)
+    counted = found.select("table", "check", F.when(F.col("check") == "primary_key", 1).otherwise(F.col("n")).cast("long").alias("n"))
+    spark = found.sparkSession
+    zero = F.array(*(F.struct(F.lit(t).alias("table"), F.lit(c).alias("check"), F.lit(0).cast("long").alias("n"))
+                     for t, c in _declared(tables, keys, not_null, fks, checks or {})))
+    declared = spark.range(1).select(F.inline(zero))
+    return counted.unionByName(declared).groupBy("table", "check").agg(F.sum("n").alias("n_violations"))
+
+
+def quarantine(tables: dict[str, DataFrame], keys: dict[str, list[str]], not_null: dict[str, list[str]],
+               fks: Sequence[tuple[str, str, str, str]] = (), checks: dict[str, list] | None = None,
+               found: DataFrame | None = None) -> DataFrame:
+    """(table, check, key, record) of every row that violates something, once per reason, the row as
+    JSON; of a duplicated key all rows. ``found``: ``violations``, if they are stored already."""
+    found = violations(tables, keys, not_null, fks, checks) if found is None else found
+    reasons = found.select(F.col("table").alias("_table"), F.col("check").alias("_check"), F.col("key").alias("_key"))
+    parts = []
+    for name, df in tables.items():
+        tags = _tags(name, df, keys, not_null, [f for f in fks if f[0] == name], checks or {})
+        if tags:
+            own = F.filter(F.array(*tags), lambda x: x.isNotNull() & ~x["parent"])
+            parts.append(df.select(F.to_json(F.struct(*df.columns)).alias("record"), F.explode(own).alias("t")).select("t.table", "t.check", "t.key", "record"))
+    rows = _union(parts)
+    return rows.join(reasons, (F.col("table") == F.col("_table")) & (F.col("check") == F.col("_check")) & (F.col("key") == F.col("_key")), "left_semi")

@@ -368,6 +368,99 @@ def q_combined_rows(spark, sf_dir):
         "project_id", "guid", "material", "ebkp_h", "failed", "error", "source", "shared_guid")
 
 
+@query("lca_nested", with_views(LCA_VIEWS, body="""
+SELECT project_id, element_id AS guid, COUNT(*) > 1 AS shared_guid, COUNT(*) AS n_components, COUNT(*) FILTER (WHERE failed) AS n_failed,
+       string_agg(material_name || '=' || COALESCE(kbob_uuid, error_message), ';' ORDER BY material_name) AS materials,
+       SUM(CAST(gwp_absolute AS DECIMAL(38,3)))::DOUBLE AS gwp_absolute
+FROM lca_components GROUP BY project_id, element_id"""))
+def q_lca_nested(spark, sf_dir):
+    """The LCA results as JSON, one record with its components per element, read back."""
+    import uuid
+    from graustein.operators import combine as cb
+    from graustein.session import scratch_path
+    from graustein.sinks import writers
+    path = scratch_path(spark, "nested", uuid.uuid4().hex)
+    records = cb.lca_nested(lca_components(spark, sf_dir))
+    writers.write_json(records, path)
+    c = F.col("components")
+    return spark.read.schema(records.schema).json(path).select(
+        "project_id", "guid", "shared_guid", "n_components", F.size(F.filter(c, lambda x: x["failed"])).cast("long").alias("n_failed"),
+        F.array_join(F.transform(c, lambda x: F.concat(x["material"], F.lit("="), F.coalesce(x["mat_kbob"], x["error"]))), ";").alias("materials"),
+        F.aggregate(c, F.lit(None).cast("decimal(38,3)"), lambda s, x: F.coalesce((F.coalesce(s, F.lit(0)) + x["gwp_absolute"].cast("decimal(38,3)")).cast("decimal(38,3)"), s))
+        .cast("double").alias("gwp_absolute"))
+
+
+@query("combined_nested", with_views(LCA_VIEWS, COST_VIEWS, _COMBINED, body="""
+, per_guid AS (
+  SELECT project_id, guid, COUNT(*) AS n_components, COUNT(*) FILTER (WHERE material <> 'Cost Calculation') > 1 AS shared_guid,
+         string_agg(material || '=' || CASE WHEN failed THEN error ELSE 'ok' END, ';' ORDER BY material) AS materials,
+         COALESCE(SUM(CAST(total_cost AS DECIMAL(38,2))), 0)::DOUBLE AS total_cost
+  FROM combined GROUP BY project_id, guid)
+SELECT *, CAST((n_components + 2) // 3 AS BIGINT) AS n_chunks, true AS chunks_numbered FROM per_guid"""))
+def q_combined_nested(spark, sf_dir):
+    """LCA and cost components of every guid in numbered chunks of about three, written as JSON,
+    read back and put together again."""
+    import uuid
+    from graustein.operators import combine as cb
+    from graustein.session import scratch_path
+    from graustein.sinks import writers
+    path = scratch_path(spark, "nested", uuid.uuid4().hex)
+    records = cb.combined_nested(lca_components(spark, sf_dir), cost_components(spark, sf_dir), chunk=3)
+    writers.write_json(records, path)
+    back = spark.read.schema(records.schema).json(path)
+    whole = back.groupBy("project_id", "guid", "shared_guid", "n_components", "n_chunks").agg(
+        F.array_sort(F.flatten(F.collect_list(F.transform("components", lambda x: F.struct(
+            x["material"].alias("m"), F.when(x["failed"], x["error"]).otherwise("ok").alias("o"), x["total_cost"].cast("decimal(38,2)").alias("t")))))).alias("c"),
+        F.count_distinct("chunk").alias("n"), F.count(F.lit(1)).alias("rows"), F.min("chunk").alias("low"), F.max("chunk").alias("high"))
+    numbered = (F.col("n") == F.col("rows")) & (F.col("low") >= 0) & (F.col("high") < F.col("n_chunks")) & (F.size("c") == F.col("n_components"))
+    return whole.select("project_id", "guid", "shared_guid", "n_components", "n_chunks", numbered.alias("chunks_numbered"),
+                        F.array_join(F.transform("c", lambda x: F.concat(x["m"], F.lit("="), x["o"])), ";").alias("materials"),
+                        F.aggregate("c", F.lit(0).cast("decimal(38,2)"), lambda s, x: (s + F.coalesce(x["t"], F.lit(0))).cast("decimal(38,2)")).cast("double").alias("total_cost"))
+
+
+def json_documents(spark: SparkSession, sf_dir: str, files: int = 8) -> str:
+    """Element documents of the fixture as JSON files, each one object with a list of elements (an
+    element per line, a text row each; Spark writes a file per id of ``repartitionById``)."""
+    import uuid
+    from graustein.session import scratch_path
+    path = scratch_path(spark, "documents", uuid.uuid4().hex)
+    mats = fx.element_materials(spark, sf_dir).select(
+        "element_id", F.struct(F.col("material_name").alias("name"), F.col("volume").cast("double").alias("volume"), F.col("density").cast("double").alias("density")).alias("m"))
+    els = fx.elements(spark, sf_dir)
+    # a document per layer, as in lca_from_documents: no element is gathered
+    layer = F.struct(F.col("id"), F.struct(F.col("ebkp")).alias("properties"), F.struct(F.struct(F.col("area_net").cast("double").alias("net")).alias("area")).alias("quantities"),
+                     F.array("m.name").alias("materials"), F.create_map(F.col("m.name"), F.struct("m.volume", "m.density")).alias("material_volumes"))
+    rows = els.join(mats, els.id == mats.element_id).select(
+        F.pmod(F.xxhash64("id"), F.lit(files)).cast("int").alias("file"), F.concat(F.lit(","), F.to_json(layer)).alias("value"))
+    first = spark.range(files).select(F.col("id").cast("int").alias("file"), F.lit('{"metadata":{"units":{"length":"{m}"}},"elements":[{}').alias("value"))
+    last = spark.range(files).select(F.col("id").cast("int").alias("file"), F.lit("~").alias("value"))
+    (first.unionByName(rows).unionByName(last).repartitionById(files, "file").sortWithinPartitions(F.expr("CASE substring(value, 1, 1) WHEN '{' THEN 0 WHEN ',' THEN 1 ELSE 2 END"))
+     .select(F.when(F.col("value") == "~", "]}").otherwise(F.col("value")).alias("value")).write.text(path))
+    return path
+
+
+@query("elements_from_json", with_views(body="""
+SELECT DISTINCT e.id, 'Unknown' AS ifc_class, e.ebkp, CAST(e.area_net AS DOUBLE) AS area_net
+FROM fx_elements e JOIN fx_element_materials m ON m.element_id = e.id"""))
+def q_elements_from_json(spark, sf_dir):
+    """S7 + P1-P3: JSON documents framed over byte ranges and flattened to element rows."""
+    from graustein.operators import elements as el
+    from graustein.sources import json_arrays
+    rows = el.flatten_elements(json_arrays.read_elements(spark, json_documents(spark, sf_dir)))
+    return rows.select("id", "ifc_class", "ebkp", "area_net").distinct()
+
+
+@query("materials_from_json", with_views(body="""
+SELECT m.element_id, m.material_name, CAST(m.volume AS DOUBLE) AS volume, CAST(m.density AS DOUBLE) AS density
+FROM fx_element_materials m JOIN fx_elements e ON m.element_id = e.id"""))
+def q_materials_from_json(spark, sf_dir):
+    """S7 + P4: JSON documents read whole by the JSON reader, material rows of the volume maps."""
+    from graustein.operators import elements as el
+    from graustein.sources.readers import read_element_documents
+    docs = read_element_documents(spark, json_documents(spark, sf_dir))
+    return el.explode_materials(el.explode_documents(docs)).select("element_id", "material_name", "volume", "density")
+
+
 @query("portfolio_summary", with_views(LCA_VIEWS, COST_VIEWS, _COMBINED, body="""
 SELECT *, translate(format('{:,.2f}', total_cost), ',.', '`,') AS total_cost_text,
        translate(format('{:,.2f}', total_co2_emission), ',.', '`,') AS total_co2_emission_text,
@@ -395,12 +488,12 @@ def q_failed_components(spark, sf_dir):
          CAST(COALESCE(SUM(CAST(penr_absolute AS DECIMAL(38,3))), 0) AS DOUBLE) AS p,
          CAST(COALESCE(SUM(CAST(ubp_absolute AS DECIMAL(38,0))), 0) AS DOUBLE) AS u
   FROM combined WHERE NOT failed)
-SELECT 0 AS section, '' AS sort_key, 'Summary Report:' AS line
+SELECT 0 AS section, '' AS sort_key, chr(10) || 'Summary Report:' AS line
 UNION ALL SELECT 1, '', 'Total Cost: ' || translate(format('{:,.2f}', c), ',.', '`,') || ' Chf' FROM total
 UNION ALL SELECT 2, '', 'Total CO₂ Emissions: ' || translate(format('{:,.2f}', g), ',.', '`,') || ' kg CO₂-eq' FROM total
 UNION ALL SELECT 3, '', 'Total Primary Energy (non-renewable): ' || translate(format('{:,.2f}', p), ',.', '`,') || ' kWh oil-eq' FROM total
 UNION ALL SELECT 4, '', 'Total UBP: ' || translate(format('{:,.2f}', u), ',.', '`,') FROM total
-UNION ALL SELECT 5, '', 'Failed Components:' WHERE EXISTS (SELECT 1 FROM combined WHERE failed)
+UNION ALL SELECT 5, '', chr(10) || 'Failed Components:' WHERE EXISTS (SELECT 1 FROM combined WHERE failed)
 UNION ALL SELECT 6, COALESCE(guid, '') || chr(0) || COALESCE(material, ''),
        '- GUID: ' || COALESCE(guid, 'N/A') || ', eBKP-H: ' || COALESCE(ebkp_h, 'N/A') || ', Error: ' || COALESCE(error, 'N/A')
 FROM combined WHERE failed"""))
@@ -630,6 +723,68 @@ def q_constraint_report(spark, sf_dir):
     return qa.constraint_report(tables, keys, not_null, fks)
 
 
+_DIRTY = """
+d_elements AS (
+  SELECT id, project_id, ebkp, length FROM fx_elements
+  UNION ALL SELECT id, NULL, ebkp, length FROM fx_elements WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'),
+d_materials AS (
+  SELECT element_id, material_name, volume FROM fx_element_materials
+  UNION ALL SELECT 'X' || element_id, material_name, volume FROM fx_element_materials WHERE volume < 0
+  UNION ALL SELECT element_id, material_name, volume FROM fx_element_materials WHERE volume = 0),
+d_projects AS (SELECT project_id, CASE WHEN project_id = 'P7' THEN 'weird' ELSE status END AS status FROM fx_projects),
+d_found AS (
+  SELECT 'elements' AS "table", 'primary_key' AS "check", '{"id":"' || id || '"}' AS key, id AS record FROM d_elements QUALIFY COUNT(*) OVER (PARTITION BY id) > 1
+  UNION ALL SELECT 'elements', 'not_null:project_id', '', id FROM d_elements WHERE project_id IS NULL
+  UNION ALL SELECT 'elements', 'check:length', '', id FROM d_elements WHERE length <= 0
+  UNION ALL SELECT 'materials', 'primary_key', '{"element_id":"' || element_id || '","material_name":"' || material_name || '"}', element_id FROM d_materials
+            QUALIFY COUNT(*) OVER (PARTITION BY element_id, material_name) > 1
+  UNION ALL SELECT 'materials', 'foreign_key:element_id->elements.id', element_id, element_id FROM d_materials WHERE element_id NOT IN (SELECT id FROM fx_elements)
+  UNION ALL SELECT 'projects', 'check:status', '', project_id FROM d_projects WHERE status NOT IN ('active', 'processing', 'completed', 'failed'))"""
+
+
+def dirty_tables(spark, sf_dir):
+    """Tables with duplicated keys, nulls, orphans and values outside their domain, and their constraints."""
+    from graustein.schemas import PROJECT_STATUSES
+    o = fx.table(spark, sf_dir, "orders")
+    urgent = o.filter("o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'").select(F.col("o_orderkey").cast("string").alias("id"))
+    els = fx.elements(spark, sf_dir).select("id", "project_id", "ebkp", "length")
+    twice = els.join(urgent, "id", "left_semi").withColumn("project_id", F.lit(None).cast("string"))
+    mats = fx.element_materials(spark, sf_dir).select("element_id", "material_name", "volume")
+    more = mats.filter("volume <= 0").withColumn("element_id", F.when(F.col("volume") < 0, F.concat(F.lit("X"), "element_id")).otherwise(F.col("element_id")))
+    projects = fx.projects(spark, sf_dir).select("project_id", F.when(F.col("project_id") == "P7", "weird").otherwise(F.col("status")).alias("status"))
+    tables = {"elements": els.unionByName(twice), "materials": mats.unionByName(more), "projects": projects}
+    return dict(tables=tables, keys={"elements": ["id"], "materials": ["element_id", "material_name"], "projects": ["project_id"]},
+                not_null={"elements": ["id", "project_id"]}, fks=[("materials", "element_id", "elements", "id")],
+                checks={"projects": [("status", F.col("status").isin(*PROJECT_STATUSES))], "elements": [("length", F.col("length") > 0)]})
+
+
+@query("constraint_violations", with_views(_DIRTY, body="""
+, declared AS (SELECT * FROM (VALUES ('elements', 'primary_key'), ('materials', 'primary_key'), ('projects', 'primary_key'), ('elements', 'not_null:id'),
+  ('elements', 'not_null:project_id'), ('elements', 'check:length'), ('projects', 'check:status'), ('materials', 'foreign_key:element_id->elements.id')) t("table", "check"))
+SELECT d."table", d."check", COUNT(DISTINCT CASE WHEN d."check" = 'primary_key' THEN f.key ELSE f.key || f.record || f.rn END) AS n_violations
+FROM declared d LEFT JOIN (SELECT *, '#' || row_number() OVER () AS rn FROM d_found) f ON f."table" = d."table" AND f."check" = d."check" GROUP BY ALL"""))
+def q_constraint_violations(spark, sf_dir):
+    """P19 on tables that violate their constraints: primary keys, NOT NULL, CHECK and foreign keys
+    of all tables in one shuffle."""
+    from graustein.operators import quality as qa
+    return qa.constraint_report(**dirty_tables(spark, sf_dir))
+
+
+@query("quarantined_rows", with_views(_DIRTY, body='SELECT * FROM d_found'))
+def q_quarantined_rows(spark, sf_dir):
+    """Every row that violates a constraint, with its reason, written and read back by table."""
+    import uuid
+    from graustein.operators import quality as qa
+    from graustein.session import scratch_path
+    from graustein.sinks import writers
+    rows = qa.quarantine(**dirty_tables(spark, sf_dir))
+    path = scratch_path(spark, "quarantine", uuid.uuid4().hex)
+    writers.write_partitioned(rows, path, ("table",), mode="overwrite")
+    back = writers.read_back(spark, path, rows)
+    first = F.coalesce(F.get_json_object("record", "$.element_id"), F.get_json_object("record", "$.id"), F.get_json_object("record", "$.project_id"))
+    return back.select("table", "check", "key", first.alias("record"))
+
+
 @query("value_checks", with_views(body="""
 SELECT id AS element_id,
        CASE WHEN area_net IS NULL THEN 'Missing area for GUID ' || id || ' (eBKP-H: ' || ebkp || ')'
@@ -831,6 +986,29 @@ def q_remap_and_recompute(spark, sf_dir):
             .agg(F.count(F.lit(1)).alias("n_components")))
 
 
+@query("remap_difference", with_views("""
+new_map AS (SELECT p_name AS ifc_material, CAST(CASE WHEN MAX(p_size) % 2 = 0 THEN MIN(p_partkey) ELSE MAX(p_partkey) END AS VARCHAR) AS kbob_id FROM part
+            WHERE p_name NOT LIKE 'red %' OR p_size % 3 = 0 GROUP BY p_name)""", LCA_VIEWS.replace("fx_mappings mp", "new_map mp"), body=f"""
+, changed AS (SELECT COALESCE(n.ifc_material, o.ifc_material) AS m FROM new_map n FULL JOIN fx_mappings o ON o.ifc_material = n.ifc_material
+              WHERE n.kbob_id IS DISTINCT FROM o.kbob_id)
+SELECT project_id, COUNT(*) AS n_components, {_IMPACT_SUMS},
+       (SELECT COUNT(*) FROM lca_components WHERE project_id = 'P5' AND material_name IN (SELECT m FROM changed)) AS n_recomputed
+FROM lca_components WHERE NOT failed AND project_id = 'P5' GROUP BY project_id"""))
+def q_remap_difference(spark, sf_dir):
+    """C5 by difference: some of P5's materials are mapped to something else; only their components are
+    computed again, and P5's totals corrected by them."""
+    from graustein.session import written_copy
+    inputs = lca_inputs(spark, sf_dir)
+    old = inputs.mappings.select(F.lit("P5").alias("project_id"), "ifc_material", "kbob_id")
+    stored = written_copy(lca_components(spark, sf_dir).filter("project_id = 'P5'"), "components")
+    p = fx.table(spark, sf_dir, "part").filter(~F.col("p_name").startswith("red ") | (F.col("p_size") % 3 == 0))
+    new_map = p.groupBy(F.col("p_name").alias("ifc_material")).agg(
+        F.when(F.max("p_size") % 2 == 0, F.min("p_partkey")).otherwise(F.max("p_partkey")).cast("string").alias("kbob_id"))
+    d = jobs.remap_difference(inputs, "P5", new_map, old, stored, lca_ops.project_impacts(stored))
+    again = d.components.groupBy("project_id").agg(F.count(F.lit(1)).alias("n_recomputed"))
+    return d.totals.join(again, "project_id", "left").withColumn("n_recomputed", F.coalesce("n_recomputed", F.lit(0)).cast("long"))
+
+
 @query("repair_versions", with_views(body="""
 SELECT version, version = (SELECT MAX(version) FROM fx_kbob) AS is_active FROM (
   SELECT version FROM fx_versions WHERE version <> '2024-v1'

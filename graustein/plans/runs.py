@@ -67,9 +67,9 @@ def run_combined(spark: SparkSession, inputs: jobs.LcaInputs, cost_reference: Da
     """LCA + cost, combined results (K7 JSON), portfolio summary (A5) and report (K6)."""
     lca_run = run_lca(spark, inputs, out_root)
     cost_run = run_cost(spark, inputs.elements, cost_reference, out_root)
-    combined = cb.combined_rows(lca_run.components, cost_run.components)
-    writers.write_json(combined, os.path.join(out_root, "combined_results"))
-    combined = spark.read.json(os.path.join(out_root, "combined_results"), schema=combined.schema)
+    # K7: one record per guid (a large one in numbered chunks); the totals come from the flat written rows
+    writers.write_json(cb.combined_nested(lca_run.components, cost_run.components), os.path.join(out_root, "combined_results"))
+    combined = cb.combine_results(lca_run.components, cost_run.components)
     summary = cb.summarize(combined, count_failed=True)
     writers.write_report(cb.report_lines(summary, cb.failed_components(combined)), os.path.join(out_root, "summary_report"))
     return {"lca": lca_run, "cost": cost_run, "summary": summary}

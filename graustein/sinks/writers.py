@@ -8,6 +8,7 @@ current one are never disturbed and a failed write leaves no half table behind.
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 import json
 import os
 import uuid
@@ -20,6 +21,7 @@ from graustein import schemas
 from graustein.sinks import commits
 
 STORE_PARTITIONS = ("data_type", "project_id", "filename", "run_ts")
+RUN_LOG = "_runs"
 
 
 class NothingComputed(ValueError):
@@ -75,27 +77,40 @@ def run_stamp(now: _dt.datetime | None = None) -> str:
 
 def store_results(df: DataFrame, root: str, data_type: str, filename: str, run_ts: str | None = None) -> str:
     """K1: append a result set under ``{root}/data_type=/project_id=/filename=/run_ts=``.
-    ``df`` carries ``project_id``; returns the run stamp."""
-    run_ts = run_ts or run_stamp()
+    ``df`` carries ``project_id``; returns the run stamp.
+
+    When all rows are written, the run is entered in the run log: a row per project, in a folder of its
+    own. Readers go by the log, so a run that is being written, or was lost half way, isn't seen."""
+    run_ts, spark = run_ts or run_stamp(), df.sparkSession
     out = (df.withColumn("data_type", F.lit(data_type)).withColumn("filename", F.lit(filename))
            .withColumn("run_ts", F.lit(run_ts)))
     # only this run's (type, project, file, run) folders are replaced: storing again is idempotent
     write_partitioned(out, root, STORE_PARTITIONS, mode="overwrite")
+    here = (F.col("data_type") == data_type) & (F.col("filename") == filename) & (F.col("run_ts") == run_ts)
+    projects = read_partitions(spark, root, STORE_PARTITIONS).filter(here).select(*STORE_PARTITIONS).distinct()  # folder names, no columns
+    entry = hashlib.sha256(f"{data_type}/{filename}/{run_ts}".encode()).hexdigest()
+    projects.coalesce(1).write.mode("overwrite").parquet(os.path.join(root, RUN_LOG, entry))
     return run_ts
 
 
+def run_log(spark: SparkSession, root: str) -> DataFrame:
+    """(data_type, project_id, filename, run_ts) of every complete run."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in STORE_PARTITIONS])
+    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(os.path.join(root, RUN_LOG))
+
+
 def read_latest(spark: SparkSession, root: str, data_type: str, project_id: str | None = None,
                 filename: str | None = None) -> DataFrame:
-    """The latest run per (project, filename) of a data type. Filters on partition
-    columns prune folders; the filename is matched exactly (not as a prefix)."""
-    df = read_partitions(spark, root, STORE_PARTITIONS).filter(F.col("data_type") == F.lit(data_type))
-    if project_id is not None:
-        df = df.filter(F.col("project_id") == F.lit(project_id))
-    if filename is not None:
-        df = df.filter(F.col("filename") == F.lit(filename))
-    latest = (df.select("project_id", "filename", "run_ts").distinct()
-              .groupBy("project_id", "filename").agg(F.max("run_ts").alias("run_ts")))
-    return df.join(latest, ["project_id", "filename", "run_ts"], "left_semi")
+    """The latest run per (project, filename) of a data type, found in the run log. The stored
+    rows are joined on their folder columns, so other runs' folders are pruned; the filename is matched
+    exactly (not as a prefix)."""
+    def wanted(df):
+        df = df.filter(F.col("data_type") == F.lit(data_type))
+        if project_id is not None:
+            df = df.filter(F.col("project_id") == F.lit(project_id))
+        return df if filename is None else df.filter(F.col("filename") == F.lit(filename))
+    latest = wanted(run_log(spark, root)).groupBy("project_id", "filename").agg(F.max("run_ts").alias("run_ts"))
+    return wanted(read_partitions(spark, root, STORE_PARTITIONS)).join(latest, ["project_id", "filename", "run_ts"], "left_semi")
 
 
 # ---------------------------------------------------------------- snapshots

@@ -79,11 +79,20 @@ def read_positional_csv(spark: SparkSession, path: str, table: str) -> DataFrame
     return raw.select(*out)
 
 
-def read_life_expectancy(spark: SparkSession, path: str) -> DataFrame:
-    """Service life from a JSON list or a CSV (``eBKP-H Code, Description, Years, model-based?``)."""
+def _json_list(spark: SparkSession, path: str, schema: T.StructType, framed: bool) -> DataFrame:
+    """The objects of JSON lists: each file whole in one task, or (``framed``) over byte ranges."""
+    if framed:
+        from graustein.sources import json_arrays
+        return json_arrays.read_items(spark, path, schema, None).select("e.*")
+    return spark.read.schema(schema).option("multiLine", True).json(path)
+
+
+def read_life_expectancy(spark: SparkSession, path: str, framed: bool = False) -> DataFrame:
+    """Service life from a JSON list or a CSV (``eBKP-H Code, Description, Years, model-based?``);
+    ``framed`` for lists too large for one task."""
     if path.endswith(".json"):
         schema = T.StructType([f for f in schemas.LIFE_EXPECTANCY.fields if f.name != "created_at"])
-        df = spark.read.schema(schema).option("multiLine", True).json(path)
+        df = _json_list(spark, path, schema, framed)
     else:
         raw = spark.read.option("header", True).csv(path)
         df = raw.select(*[F.col(_q(h)).alias(c) for c, h in LIFE_HEADERS.items()])
@@ -110,10 +119,10 @@ MAPPING_FILE = T.StructType([
     T.StructField("quantity", T.DoubleType()), T.StructField("created_at", T.TimestampType())])
 
 
-def read_material_mappings(spark: SparkSession, path: str, project_id: str | None = None) -> DataFrame:
+def read_material_mappings(spark: SparkSession, path: str, project_id: str | None = None, framed: bool = False) -> DataFrame:
     """Mapping list (JSON); ``is_modelled`` defaults to true; ``project_id`` given by the caller
-    when the file has none."""
-    df = spark.read.schema(MAPPING_FILE).option("multiLine", True).json(path)
+    when the file has none; ``framed`` for lists too large for one task."""
+    df = _json_list(spark, path, MAPPING_FILE, framed)
     if project_id is not None:
         df = df.withColumn("project_id", F.coalesce("project_id", F.lit(project_id)))
     return df.withColumn("is_modelled", F.coalesce("is_modelled", F.lit(True)))
@@ -121,7 +130,7 @@ def read_material_mappings(spark: SparkSession, path: str, project_id: str | Non
 
 def read_element_documents(spark: SparkSession, path: str) -> DataFrame:
     """Element documents (dict with ``elements`` or a bare list), one row per document or
-    bare element, plus ``source_file`` and the project id derived from the file name (H14)."""
+    bare element (``sources.json_arrays.read_elements`` for files too large for one task), plus ``source_file`` and the project id derived from the file name (H14)."""
     df = spark.read.schema(schemas.ELEMENT_DOCUMENT).option("multiLine", True).json(path)
     name = F.col("_metadata.file_name")
     return df.select("*", name.alias("source_file"), project_from_filename(name).alias("project_id"))

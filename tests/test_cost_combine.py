@@ -91,8 +91,8 @@ def test_summary_totals_and_report(spark):
     assert s["total_co2_emission_text"] == "1`234`567,89" and s["total_cost_text"] == "10,50"
     lines = [r["line"] for r in cb.report_lines(cb.summarize(combined), cb.failed_components(combined))
              .orderBy("section", "sort_key").collect()]
-    assert lines[:6] == ["Summary Report:", "Total Cost: 10,50 Chf", "Total CO₂ Emissions: 1`234`567,89 kg CO₂-eq",
-                         "Total Primary Energy (non-renewable): 2,00 kWh oil-eq", "Total UBP: 4,00", "Failed Components:"]
+    assert lines[:6] == ["\nSummary Report:", "Total Cost: 10,50 Chf", "Total CO₂ Emissions: 1`234`567,89 kg CO₂-eq",
+                         "Total Primary Energy (non-renewable): 2,00 kWh oil-eq", "Total UBP: 4,00", "\nFailed Components:"]
     assert lines[6:] == ["- GUID: y, eBKP-H: C, Error: Invalid volume: 0", "- GUID: z, eBKP-H: N/A, Error: 'Z'"]
 
 
@@ -100,7 +100,7 @@ def test_report_without_failures_has_no_failed_section(spark):
     lca = _lca_rows(spark, [("P", "x", "m1", "C", 1.0, 2.0, 3.0, False, None)])
     combined = cb.combine_results(lca, _cost_rows(spark, [("P", "x", "C", 1.0, False, None)]))
     lines = [r["line"] for r in cb.report_lines(cb.summarize(combined), cb.failed_components(combined)).collect()]
-    assert len(lines) == 5 and "Failed Components:" not in lines
+    assert len(lines) == 5 and "\nFailed Components:" not in lines
 
 
 def test_combined_rows_carry_shared_guid(spark):

@@ -70,7 +70,11 @@ def test_persisted_combined_run(spark, tmp_dir):
     assert abs(s["total_co2_emission"] - want) < 1e-6 * max(1.0, want)
     parts = sorted(f for f in os.listdir(os.path.join(tmp_dir, "summary_report")) if f.startswith("part-"))
     lines = [ln for p in parts for ln in open(os.path.join(tmp_dir, "summary_report", p), encoding="utf-8").read().splitlines()]
-    assert lines[0] == "Summary Report:" and lines[5] == "Failed Components:"
+    assert lines[:2] == ["", "Summary Report:"] and lines[6:8] == ["", "Failed Components:"]
+    records = [r for r in spark.read.json(os.path.join(tmp_dir, "combined_results")).select("project_id", "guid", "n_components", F.size("components").alias("n")).collect()]
+    assert len(records) == len({(r["project_id"], r["guid"]) for r in records})
+    assert all(r["n"] == r["n_components"] for r in records)
+    assert sum(r["n"] for r in records) == lazy.count() + fx.elements(spark, SF).count()
 
 
 def test_reference_data_loaded_as_one_unit(spark, tmp_dir):
