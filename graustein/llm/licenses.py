@@ -2,12 +2,13 @@
 
 Texts are cut into sentences twice, once with line ends as sentence ends (notices on lines of
 their own) and once with only blank lines as such (wrapped paragraphs). Normalised sentences
-are hash-joined with the table of known licence sentences, which gives a sequence of sentence
-identifiers per text. A rule is an ordered list of identifiers: its steps are joined with the
-hits, and hits whose place less their step is the same lie on one alignment of the rule. A rule
-matches where at least ``SHARE`` of its steps lie on one alignment, in full where all do.
+are looked up among the known licence sentences, which gives a sequence of sentence identifiers per
+text; unknown sentences have no place in it. A rule is an ordered list of identifiers: its steps are
+joined with the sequence, and hits whose place less their step is the same lie on one alignment of the
+rule. A rule matches where at least ``SHARE`` of its steps lie on one alignment, in full where all do.
 
-Only texts with one of the words that every known sentence has are cut at all.
+Only texts with one of a few words are cut at all; they are chosen from the known sentences so that
+each has at least one of them.
 
 Defined cases: null text counts as empty; a null id stays null; rows that agree in id and
 text count once; texts without a known sentence give no row; no rows give no rows. Only the
@@ -17,6 +18,8 @@ id and the text are read; texts are processed whole.
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -106,10 +109,6 @@ REFERENCES = [
     ("CC-BY-4.0", "a Creative Commons Attribution 4.0 International License"), ("CC-BY-SA-4.0", "a Creative Commons Attribution-ShareAlike 4.0 International License"),
     ("CC-BY-NC-4.0", "a Creative Commons Attribution-NonCommercial 4.0 International License"),
 ]
-WORDS = "licen[sc]e|copyright|permission|software|redistribut|program|warranty|rights"
-
-GATE = WORDS + "|public domain|CC0|CC BY|Mozilla|Creative Commons|GNU"
-
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -143,10 +142,26 @@ def sentences(text: Column, wrapped: bool) -> Column:
     return F.filter(clean, lambda p: p.rlike("[a-z]"))
 
 
+def gate(parts: Iterable[str]) -> str:
+    """A pattern that every text with one of the normalised sentences matches: words, at least one of
+    each sentence, few in number."""
+    left = [set(p.split(" ")) for p in dict.fromkeys(parts)]
+    words = []
+    while left:
+        count = Counter(w for p in left for w in p)
+        words.append(max(count, key=lambda w: (count[w] * (len(w) > 3), len(w), w)))
+        left = [p for p in left if words[-1] not in p]
+    return "|".join(words)
+
+
+GATE = gate(p for s in SENTENCES.values() for p in map(normal, re.split(r"(?<=[.!?;:])[ \t]+", s)) if re.search("[a-z]", p))
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: dict[str, str] = SENTENCES,
          rules: list[tuple[str, list[str]]] = RULES, share: float = SHARE) -> DataFrame:
     """(id, license, score, n_full): for every document and licence, the largest share of a rule's
-    steps on one alignment, and how many alignments of its rules are complete."""
+    steps on one alignment, and how many alignments of its rules are complete. Alignments are of the
+    sequence of known sentences: what stands between them doesn't count."""
     spark = docs.sparkSession
     # sentences may hold ends in their middle ("v. 2.0"): each part is a step of its own
     steps, names = [], {}
@@ -154,16 +169,16 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known:
         parts = [p for i in ids for p in map(normal, re.split(r"(?<=[.!?;:])[ \t]+", known[i])) if re.search("[a-z]", p)]
         for step, part in enumerate(parts):
             steps.append((names.setdefault(part, len(names)), rule, license_, step, len(parts)))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
+    texts = texts.filter(F.col("text").rlike(f"(?i){gate(names)}") if names else F.lit(False))
     known_rows = F.broadcast(spark.createDataFrame([(s, i) for s, i in names.items()], "sentence string, sid int"))
     rule_rows = F.broadcast(spark.createDataFrame(steps, "sid int, rule int, license string, step int, size int"))
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text")).filter(F.col("text").rlike(f"(?i){GATE}"))
-    cut = [texts.select("id", "th", F.lit(k).alias("form"), F.posexplode(sentences(F.col("text"), bool(k))).alias("place", "sentence")) for k in (0, 1)]
+    sequence = lambda wrapped: F.filter(sentences(F.col("text"), wrapped), lambda p: p.isin(*names))
+    cut = [texts.select("id", "th", F.lit(k).alias("form"), F.posexplode(sequence(bool(k))).alias("place", "sentence")) for k in (0, 1)]
     hits = cut[0].unionByName(cut[1]).join(known_rows, "sentence").select("id", "th", "form", "place", "sid")
     aligned = hits.join(rule_rows, "sid").withColumn("start", F.col("place") - F.col("step"))
     runs = aligned.groupBy("id", "th", "form", "rule", "license", "size", "start").agg((F.count_distinct("step") / F.col("size")).alias("score"))
     per_form = runs.filter(F.col("score") >= share).groupBy("id", "th", "form", "license").agg(
         F.max("score").alias("score"), F.sum((F.col("score") == 1).cast("long")).alias("n_full"))
     return per_form.groupBy("id", "th", "license").agg(F.max("score").alias("score"), F.max("n_full").alias("n_full")).drop("th")
-
-

@@ -1,9 +1,10 @@
 """Personal data by weak supervision, with DataFrame and SQL functions only.
 
 1. One pass over the texts finds candidates: the base kinds (email, ip, card, phone) by their
-   patterns, and four further kinds (national phone numbers, identity numbers, IBANs, masked
-   mail addresses). Splitting at a pattern gives the pieces between the matches, whose lengths
-   give the places; nothing leaves the JVM.
+   patterns, and five further kinds (national phone numbers, identity numbers, IBANs, masked
+   mail addresses, secrets such as keys and tokens). Splitting at a pattern gives the pieces between the
+   matches, whose lengths give the places and whose ends the context (up to the neighbouring matches of
+   the kind, which count in full); nothing leaves the JVM.
 2. Six labelers vote on every candidate or abstain: two by form (regex, checksum), one by
    gazetteers, three by context.
 3. Expectation-maximisation (Dawid-Skene, two classes) estimates from the counts of vote
@@ -13,6 +14,9 @@
    the span that no labeler saw; it decides on the further kinds. Base spans that pass their
    checks always stay; a further span that overlaps one of them is dropped.
 
+Whatever runs over the spans of one text (places, overlaps) is a running sum, maximum or minimum taken
+in blocks, so a text with very many spans costs little more than their number.
+
 Defined cases: null text counts as empty; a null id stays null; equal rows each get their
 result; with no candidates at all nothing is trained; no rows give no rows. Places are code
 points, ends exclusive. Only the id and the text are read; texts are processed whole.
@@ -46,10 +50,16 @@ MORE = {
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
     "masked": rf"(?<![{MAIL}])[{MAIL}]{{1,64}} ?(?:\(at\)|\[at\]|\{{at\}}) ?[A-Za-z0-9-]{{1,63}}{DOT}{{1,5}}",
 }
+# Names that secrets are assigned to, and beginnings of keys that services issue.
+NAMED = "api[_-]?key|access[_-]?key|secret[_-]?key|client[_-]?secret|secret|token|passwo?r?d|pwd"
+ISSUED = r"AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,255}|sk_(?:live|test)_[A-Za-z0-9]{10,99}|xox[abprs]-[A-Za-z0-9-]{10,99}|eyJ[A-Za-z0-9_-]{10,999}\.[A-Za-z0-9_-]{10,999}\.[A-Za-z0-9_-]{10,999}"
+MORE["secret"] = (rf"(?<![0-9A-Za-z])(?:(?i:{NAMED})[\x20]{{0,2}}[:=][\x20]{{0,2}}[\"']?[A-Za-z0-9_+/=.~-]{{8,999}}|{ISSUED}|"
+                  r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----)")
 KINDS = [*BASE, *MORE]
 # what a text must hold for a pattern to match at all
 GATE = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){13}", "phone": r"\+[0-9]",
-        "local": r"[0-9]{3}[ .-][0-9]{4}", "ident": r"[0-9]{3}-[0-9]{2}-[0-9]{4}", "iban": r"[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}", "masked": r"[(\[{]at[)\]}]"}
+        "local": r"[0-9]{3}[ .-][0-9]{4}", "ident": r"[0-9]{3}-[0-9]{2}-[0-9]{4}", "iban": r"[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}", "masked": r"[(\[{]at[)\]}]",
+        "secret": rf"(?i:{NAMED})[\x20]{{0,2}}[:=]|AKIA|gh[pousr]_|sk_(?:live|test)_|xox[abprs]-|eyJ|PRIVATE KEY"}
 # Words near personal data and words near other numbers, domain ends, IBAN countries.
 NEAR = ("mail|contact|kontakt|contacto|write to|reach|tel|phone|call|fon|appel|llam|mobile|handy|fax|sms|whatsapp|ip|host|addr|adress|server|login|from|"
         "card|karte|carte|tarjeta|visa|master|amex|credit|kredit|iban|konto|account|compte|cuenta|ssn|social|passport|pass|name|nombre|nom")
@@ -59,28 +69,55 @@ COUNTRIES = ["AT", "BE", "CH", "CZ", "DE", "DK", "ES", "FI", "FR", "GB", "IE", "
 
 LABELERS = 6
 STEPS = 30
-BLOCK = 256
+BLOCK = 64
+BEFORE, AFTER = 30, 10  # code points of context that labelers see
 
-SPAN = "array<struct<start:int,end:int,match:string>>"
+SPAN = "array<struct<start:int,end:int,match:string,before:string,after:string>>"
 
 
-def places(pieces: Column, matches: Column) -> Column:
-    """(start, end, match) of every match, from the lengths of the pieces between them; running
-    sums are taken in blocks, so that many matches cost little more than their number."""
-    n = F.size(matches)
-    both = F.zip_with(F.slice(pieces, F.lit(1), n), matches, lambda p, m: F.struct(
-        F.length(p).alias("gap"), F.length(m).alias("size"), m.alias("match")))
+def running(values: Column, zero: Column, step) -> Column:
+    """For every entry of the array ``values``: ``step`` folded over it and all entries before it, from
+    ``zero`` on (``step`` must be associative). In blocks: appending to one array would cost the square."""
+    # the array of one list stands for a name: its lambda sees it computed once
+    named = lambda x, body: F.element_at(F.transform(F.array(x), body), 1)
+    cut = lambda v: F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / BLOCK).cast("int")), lambda b: F.slice(v, b * BLOCK + 1, F.lit(BLOCK)))
+    grown = lambda block, start: F.aggregate(block, F.array(start), lambda s, x: F.concat(s, F.array(step(F.element_at(s, -1), x))))
+
+    def whole(blocks):
+        starts = grown(F.transform(blocks, lambda b: F.aggregate(b, zero, lambda s, x: step(s, x))), zero)
+        return F.flatten(F.zip_with(F.slice(starts, F.lit(1), F.size(blocks)), blocks, lambda at, b: F.slice(grown(b, at), F.lit(2), F.size(b))))
 
-    def walk(block, start):
-        return F.aggregate(block, F.struct(start.alias("at"), F.array().cast(SPAN).alias("out")), lambda s, x: F.struct(
-            (s["at"] + x["gap"] + x["size"]).alias("at"),
-            F.concat(s["out"], F.array(F.struct((s["at"] + x["gap"]).alias("start"), (s["at"] + x["gap"] + x["size"]).alias("end"), x["match"].alias("match")))).alias("out")),
-            lambda s: s["out"])
+    return F.when(F.size(values) > 0, named(values, lambda v: named(cut(v), whole)))
 
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / BLOCK).cast("int")), lambda b: F.slice(both, b * BLOCK + 1, F.lit(BLOCK)))
-    length = lambda block: F.aggregate(block, F.lit(0), lambda s, x: s + x["gap"] + x["size"])
-    starts = F.aggregate(F.transform(blocks, length), F.array(F.lit(0)), lambda s, x: F.concat(s, F.array(F.element_at(s, -1) + x)))
-    return F.when(n > 0, F.flatten(F.zip_with(F.slice(starts, F.lit(1), F.size(blocks)), blocks, lambda at, b: walk(b, at)))).otherwise(F.array().cast(SPAN))
+
+def places(pieces: Column, matches: Column) -> Column:
+    """(start, end, match, before, after) of every match, from the pieces between them."""
+    n = F.size(matches)
+    last = F.concat(F.array(F.lit("")), matches)  # the match before
+    both = F.arrays_zip(F.slice(pieces, F.lit(1), n).alias("gap"), matches.alias("match"), F.slice(last, F.lit(1), n).alias("last"),
+                        F.slice(pieces, F.lit(2), n).alias("next"), F.slice(F.concat(matches, F.array(F.lit(""))), F.lit(2), n).alias("then"))
+    seen = F.transform(both, lambda x: F.struct(
+        (F.length(x["gap"]) + F.length(x["match"])).alias("step"), F.length(x["match"]).alias("size"), x["match"].alias("match"),
+        F.right(F.concat(F.right(x["last"], F.lit(BEFORE)), F.right(x["gap"], F.lit(BEFORE))), F.lit(BEFORE)).alias("before"),
+        F.left(F.concat(F.left(x["next"], F.lit(AFTER)), F.left(x["then"], F.lit(AFTER))), F.lit(AFTER)).alias("after")))
+    # the array of one list stands for a name: its lambda sees it computed once
+    spans = F.flatten(F.transform(F.array(seen), lambda list_: F.zip_with(
+        list_, running(F.transform(list_, lambda x: x["step"]), F.lit(0), lambda s, x: s + x),
+        lambda x, end: F.struct((end - x["size"]).alias("start"), end.alias("end"), x["match"].alias("match"), x["before"].alias("before"), x["after"].alias("after")))))
+    return F.when(n > 0, spans).otherwise(F.array().cast(SPAN))
+
+
+def without_overlaps(base: Column, more: Column) -> Column:
+    """All spans (start, kind, end), ordered: those of ``base``, and of ``more`` what overlaps none of them."""
+    own = lambda s: s["kind"] < len(BASE)
+    reach = lambda list_: running(F.transform(list_, lambda s: F.when(own(s), s["end"]).otherwise(0)), F.lit(0), lambda s, x: F.greatest(s, x))
+    far = 2**31 - 1
+    ahead = lambda list_: F.reverse(running(F.reverse(F.transform(list_, lambda s: F.when(own(s), s["start"]).otherwise(far))), F.lit(far), lambda s, x: F.least(s, x)))
+    # of a span: how far base spans up to it reach, and where the next one from it on begins
+    free = F.flatten(F.transform(F.array(F.array_sort(F.concat(base, more))), lambda list_: F.transform(F.filter(
+        F.arrays_zip(list_.alias("s"), reach(list_).alias("reach"), ahead(list_).alias("ahead")),
+        lambda x: own(x["s"]) | ((x["reach"] <= x["s"]["start"]) & (x["ahead"] >= x["s"]["end"]))), lambda x: x["s"])))
+    return F.when(F.size(more) > 0, free).otherwise(base)
 
 
 def digits(text: Column) -> Column:
@@ -117,15 +154,18 @@ def votes(kind: Column, m: Column, before: Column, after: Column) -> Column:
             .when(kind == 3, F.when(n.between(10, 13), yes).when(n < 8, no).otherwise(none))
             .when(kind == 4, F.when(m.rlike(r"^\([0-9]{3}\) |^[2-9][0-9]{2}-[2-9][0-9]{2}-"), yes).otherwise(none))
             .when(kind == 5, F.when(m.rlike("^(?:000|666|9)|-00-|0000$"), no).otherwise(yes))
+            .when(kind == 8, F.when(m.rlike("(?i)example|change_?me|your|xxxx|\\.\\.\\.|placeholder"), no).when(m.rlike("[0-9]") & m.rlike("[A-Za-z]"), yes).otherwise(none))
             .when(kind == 7, yes).otherwise(none))
     check = (F.when(kind == 1, F.when(octets(m), yes).otherwise(no))
              .when(kind == 2, F.when(n.between(14, 19) & luhn(number), yes).otherwise(no))
              .when(kind == 3, F.when(n.between(10, 15), yes).otherwise(no))
+             .when(kind == 8, F.when(F.size(F.array_distinct(F.split(F.regexp_replace(m, "^[^:=]*[:=]", ""), ""))) >= 10, yes).otherwise(no))
              .when(kind == 6, F.when(F.length(F.replace(m, F.lit(" "), F.lit(""))).between(15, 34), yes).otherwise(no)).otherwise(none))
     known = (F.when(kind.isin(0, 7), F.when(F.lower(F.regexp_extract(m, "([A-Za-z]+)$", 1)).isin(DOMAINS), yes).otherwise(no))
              .when(kind == 1, F.when(m.rlike(r"^(?:0|127|255|1\.2\.3|1\.1\.1\.1|2\.5|3\.)"), no).otherwise(yes))
              .when(kind == 2, F.when(number.rlike("^(?:4|5[1-5]|2[2-7]|3[47]|6(?:011|5))"), yes).otherwise(no))
              .when(kind == 3, F.when(m.rlike(r"^\+(?:1|3[0-469]|4[0-9]|5[1-8]|6[0-6]|7|8[1246]|9[0-58])"), yes).otherwise(no))
+             .when(kind == 8, F.when(m.rlike(ISSUED + "|PRIVATE KEY|[0-9a-f]{32}"), yes).otherwise(none))
              .when(kind == 6, F.when(F.substr(m, F.lit(1), F.lit(2)).isin(COUNTRIES), yes).otherwise(no)).otherwise(none))
     near = F.lower(before)
     word = F.when(near.rlike(rf"(?:^|[^a-z])(?:{FAR})\W*\w{{0,3}}\W*$"), no).when(near.rlike(rf"(?:{NEAR})"), yes).otherwise(none)
@@ -143,22 +183,15 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         cut = cut.withColumn(f"m_{k}", F.when(has, F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>")))
     for k, pattern in {**BASE, **MORE}.items():
         cut = cut.withColumn(f"p_{k}", F.when(F.size(f"m_{k}") > 0, F.split("text", pattern, -1)).otherwise(F.array().cast("array<string>")))
-    spans = cut.select("id", "text", *(places(F.col(f"p_{k}"), F.col(f"m_{k}")).alias(k) for k in KINDS))
-
-    def named(i, k):
-        return F.transform(k, lambda s: F.struct(F.lit(i).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["match"].alias("match"),
-                                                 F.least(F.size(k), F.lit(3)).alias("many")))
+    spans = cut.select("id", *(places(F.col(f"p_{k}"), F.col(f"m_{k}")).alias(k) for k in KINDS))
 
-    listed = spans.select("id", "text", F.concat(*(named(i, k) for i, k in enumerate(KINDS))).alias("all"))
-    seen = F.transform("all", lambda c: F.struct(
-        c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"), c["match"].alias("match"), c["many"].alias("many"),
-        F.substring(F.col("text"), F.greatest(c["start"] - 29, F.lit(1)), F.least(c["start"], F.lit(30))).alias("before"),
-        F.substring(F.col("text"), c["end"] + 1, F.lit(10)).alias("after")))
-    found = F.transform("near", lambda c: F.struct(
-        c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"), passes(c["kind"], c["match"]).alias("passes"),
-        votes(c["kind"], c["match"], c["before"], c["after"]).alias("votes"),
-        F.least(F.floor(F.length(c["match"]) / 8), F.lit(3)).cast("int").alias("size"), c["many"].alias("many")))
-    return listed.select("id", seen.alias("near")).select("id", found.alias("found"))
+    def judged(i, k):
+        kind = F.lit(i)
+        return F.transform(k, lambda c: F.struct(
+            kind.alias("kind"), c["start"].alias("start"), c["end"].alias("end"), passes(kind, c["match"]).alias("passes"),
+            votes(kind, c["match"], c["before"], c["after"]).alias("votes"),
+            F.least(F.floor(F.length(c["match"]) / 8), F.lit(3)).cast("int").alias("size"), F.least(F.size(k), F.lit(3)).alias("many")))
+    return spans.select("id", F.concat(*(judged(i, k) for i, k in enumerate(KINDS))).alias("found"))
 
 
 def patterns(found: DataFrame) -> DataFrame:
@@ -224,7 +257,7 @@ def train(found: DataFrame) -> tuple[list[float], float]:
         "weight", F.col("n") * F.when(F.col("y") == 1, F.col("p")).otherwise(1 - F.col("p")) + 1e-6)
     data = VectorAssembler(inputCols=list(named), outputCol="x").transform(both).coalesce(1)
     model = LogisticRegression(featuresCol="x", labelCol="y", weightCol="weight", regParam=1e-3, maxIter=50, standardization=False).fit(data)
-    return model.coefficients.tolist(), float(model.intercept)
+    return model.coefficients.toArray().tolist(), float(model.intercept)
 
 
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
@@ -240,8 +273,7 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
     base = F.array_sort(F.transform(F.filter("found", lambda c: c["passes"]), span))
     more = F.transform(F.filter("found", lambda c: (c["kind"] >= len(BASE)) & personal(c)), span)
     picked = found.select("id", base.alias("base"), more.alias("more"))
-    free = F.filter("more", lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
-    return picked.select("id", "base", F.array_sort(F.concat("base", free)).alias("all"))
+    return picked.select("id", "base", without_overlaps(F.col("base"), F.col("more")).alias("all"))
 
 
 def count(spans: Column, kind: int) -> Column:

@@ -113,7 +113,8 @@ def op4_pii(spark, sf_dir):
     """The personal data in every document."""
     found = pii.spans(table(spark, sf_dir, "documents"))
     counts = (pii.count(F.col("base"), i).alias(f"n_{k}") for i, k in enumerate(pii.BASE))
-    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("all")).alias("spans"))
+    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("all")).alias("spans"),
+                        F.size("all").cast("long").alias("n_spans"))
 
 
 @query("op6_toxicity")
@@ -146,7 +147,10 @@ def _license_sql() -> str:
     return f"""
 WITH rules(sentence, rule, license, step, size) AS (VALUES {', '.join(rows)}),
 cut AS (SELECT doc_id, 0 AS form, {lines} AS s FROM documents UNION ALL SELECT doc_id, 1, {wrapped} FROM documents),
-units AS (SELECT doc_id, form, unnest(s) AS sentence, generate_subscripts(s, 1) AS place FROM cut),
+lines AS (SELECT doc_id, form, unnest(s) AS sentence, generate_subscripts(s, 1) AS line FROM cut),
+units AS (  -- the sequence of the known sentences of a document
+  SELECT doc_id, form, sentence, row_number() OVER (PARTITION BY doc_id, form ORDER BY line) AS place
+  FROM lines WHERE sentence IN (SELECT sentence FROM rules)),
 runs AS (
   SELECT doc_id, form, rule, license, count(DISTINCT step)::DOUBLE / size AS score
   FROM units JOIN rules USING (sentence) GROUP BY doc_id, form, rule, license, size, place - step),
