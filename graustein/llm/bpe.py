@@ -18,7 +18,6 @@ and the text are read.
 from __future__ import annotations
 
 import base64
-import ctypes
 import heapq
 
 import numpy as np
@@ -26,12 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graustein.llm.base import map_arrow
-from graustein.llm.chunks import Encoded, text_slices
+from graustein.llm.base import map_arrow, slices
+from graustein.llm.chunks import Encoded
 
 LONG = 256
 WORDS_AT_ONCE = 20_000
-KNOWN_WORDS = 250_000  # contracted words that a worker remembers
+# contracted chunks that a worker remembers from task to task: at most so many, and so many bytes
+KNOWN, KNOWN_BYTES = 600_000, 32 << 20
 
 CONTRACT = """
 WITH RECURSIVE state AS (
@@ -87,8 +87,7 @@ class Coder:
         self._table("merges", pa.table({"a": pairs[:, 0], "b": pairs[:, 1], "merged": pairs[:, 2]}))
         self._table("pieces", pa.table({"id": pa.array(list(self.ranks.values()), pa.int32()), "piece": [letters(b) for b in self.ranks]}))
         self.byte_id = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
-        self.words: dict[str, bytes] = {}
-        self.encoded = Encoded(self.encode_chunks, 200_000)
+        self.encoded = Encoded(self.encode_chunks, KNOWN, KNOWN_BYTES)
 
     def _table(self, name: str, rows: pa.Table) -> None:
         self.con.register("rows_of_" + name, rows)
@@ -133,36 +132,21 @@ class Coder:
 
     def encode_chunks(self, chunks: list[str]) -> list[bytes]:
         found = [self.pattern.findall(c) for c in chunks]
-        words = set().union(*found) if found else set()
-        new = [w for w in words if w not in self.words]
-        if len(self.words) + len(new) > KNOWN_WORDS:
-            self.words.clear()
-            new = list(words)
-        short, spelled = [], []
-        for w in new:
+        ids, short, spelled = {}, [], []
+        for w in set().union(*found) if found else ():
             raw = w.encode()
             if raw in self.ranks:
-                self.words[w] = self.ranks[raw].to_bytes(4, "little")
+                ids[w] = self.ranks[raw].to_bytes(4, "little")
             elif len(raw) > LONG:
-                self.words[w] = self.contract_long(raw)
+                ids[w] = self.contract_long(raw)
             else:
                 short.append(w)
                 spelled.append(raw)
         for i in range(0, len(short), WORDS_AT_ONCE):
-            self.words.update(zip(short[i:i + WORDS_AT_ONCE], self.contract(spelled[i:i + WORDS_AT_ONCE])))
-        get = self.words.__getitem__
+            ids.update(zip(short[i:i + WORDS_AT_ONCE], self.contract(spelled[i:i + WORDS_AT_ONCE])))
+        get = ids.__getitem__
         return [get(ws[0]) if len(ws) == 1 else b"".join(map(get, ws)) for ws in found]
 
-    def forget(self) -> None:
-        """Drops what was learned from texts: a worker that goes on to other work keeps the
-        vocabulary's tables only."""
-        self.words.clear()
-        self.encoded.first.clear()
-        self.encoded.rest.clear()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps freed memory otherwise
-        if trim is not None:
-            trim(0)
-
     def decode(self, ids: list[bytes]) -> list[bytes]:
         lens = np.array([len(x) // 4 for x in ids], np.int64)
         n = int(lens.sum())
@@ -193,12 +177,13 @@ def _code(path: str, pattern: str):
     def run(batches):
         own = coder(path, pattern)
         for batch in batches:
-            for i, texts in text_slices(batch.column(1), 3 << 20):
-                ids = own.encoded.texts(texts)
+            for i, j, text, offsets in slices(batch.column(1), 3 << 20):
+                flat, at = own.encoded.slice(text, offsets)
+                data = flat.tobytes()
+                ids = [data[4 * a:4 * b] for a, b in zip(at, at[1:])]
                 decoded = own.decode(ids)
-                yield pa.record_batch([batch.column(0).slice(i, len(texts)), pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())],
+                yield pa.record_batch([batch.column(0).slice(i, j - i), pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())],
                                       ["id", "ids", "decoded"])
-        own.forget()
     return run
 
 

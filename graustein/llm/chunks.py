@@ -9,6 +9,9 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
+import pyarrow as pa
+
 # a space that isn't followed by a visible character: such texts are cut by the slower rule
 ODD_SPACE = re.compile(r" (?=[\s\x00-\x20\x7f-\xa0]|\Z)")
 BOUNDARY = re.compile(r"(?= [^\s\x00-\x20\x7f-\xa0])")
@@ -23,32 +26,76 @@ def cut(text: str) -> tuple[str, list[str]]:
     return parts[0], [p[1:] for p in parts[1:]]
 
 
+# bytes that begin a visible character; of other characters (first bytes of U+0080 to U+00BF, U+1000 to
+# U+3FFF among them) some are white space, and no text is cut in front of them
+VISIBLE = np.zeros(256, bool)
+VISIBLE[0x21:0x7F] = True
+VISIBLE[0xC3:0xF5] = True
+VISIBLE[0xE1:0xE4] = False
+
+
+def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the chunks of texts (UTF-8 bytes, offsets) begin; they follow each other without gaps, and
+    a chunk holds the space in front of it."""
+    start = np.zeros(len(data), bool)
+    start[:-1] = (data[:-1] == 0x20) & VISIBLE[data[1:]]
+    some = np.diff(offsets) > 0
+    start[offsets[1:][some] - 1] = False  # a text's last space stays with what is before it
+    start[offsets[:-1][some]] = True
+    return np.flatnonzero(start)
+
+
 class Encoded:
-    """The ids (little-endian unsigned 32-bit) of texts, from a bounded table of chunks.
+    """The ids (unsigned 32-bit) of texts, from a bounded table of chunks.
+
+    Chunks are numbered by dictionary encoding, so Python handles each distinct one of a slice once, and
+    numpy puts the ids of all texts together. ``encode(list of chunks) -> list of bytes`` does the
+    encoding. The table has two halves: when the younger one would hold more than half of ``limit`` chunks
+    or of ``limit_bytes`` bytes of chunks and ids, the older one goes and the younger takes its place.
+    Chunks that are met again move to the younger half, so the frequent ones stay."""
 
-    ``encode(list of chunks) -> list of bytes`` does the encoding. When the table would hold more
-    than ``limit`` chunks, those of the texts at hand stay: they are mostly the frequent ones."""
+    def __init__(self, encode, limit: int = 600_000, limit_bytes: int = 32 << 20):
+        self.encode, self.limit, self.limit_bytes = encode, limit // 2, limit_bytes // 2
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.held = 0
 
-    def __init__(self, encode, limit: int = 600_000):
-        self.encode, self.limit = encode, limit
-        self.first: dict[str, bytes] = {}
-        self.rest: dict[str, bytes] = {}
+    def _of(self, chunks: list[bytes]) -> list[bytes]:
+        missing = [c for c in chunks if c not in self.known]
+        if self.known and (len(self.known) + len(missing) > self.limit or self.held > self.limit_bytes):
+            self.older, self.known, self.held, missing = self.known, {}, 0, chunks
+        again = {c: self.older[c] for c in missing if c in self.older}
+        new = [c for c in missing if c not in again] if again else missing
+        ids = self.encode([c.decode() for c in new])
+        self.known.update(again)
+        self.known.update(zip(new, ids))
+        self.held += sum(map(len, missing)) + sum(map(len, ids)) + sum(map(len, again.values()))
+        known = self.known
+        return [known[c] for c in chunks]
 
-    def _learn(self, known: dict[str, bytes], chunks: set[str], space: str) -> None:
-        new = chunks - known.keys()
-        if len(known) + len(new) > self.limit:
-            stay = {c: known[c] for c in chunks if c in known}
-            known.clear()
-            known.update(stay)
-        new = list(new)
-        known.update(zip(new, self.encode([space + c for c in new])))
+    def slice(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, offsets of each text's ids) of texts as UTF-8 bytes and offsets."""
+        if not len(data):
+            return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
+        starts = chunk_starts(data, offsets)
+        ends = np.append(starts, len(data))
+        chunks = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
+        ids = self._of(chunks.dictionary.to_pylist())
+        size = np.array([len(x) // 4 for x in ids], np.int64)
+        first = np.cumsum(size) - size
+        of = chunks.indices.to_numpy()
+        lens = size[of]
+        total = np.concatenate([[0], np.cumsum(lens)])
+        flat = np.frombuffer(b"".join(ids), "<u4")[np.arange(int(total[-1])) + np.repeat(first[of] - total[:-1], lens)]
+        return flat, total[np.searchsorted(starts, offsets)]
 
     def texts(self, texts: list[str]) -> list[bytes]:
-        parts = [cut(t) for t in texts]
-        self._learn(self.first, {p[0] for p in parts}, "")
-        self._learn(self.rest, set().union(*(p[1] for p in parts)), " ")
-        get = self.rest.__getitem__
-        return [self.first[a] + b"".join(map(get, b)) for a, b in parts]
+        """The ids of each text, as little-endian bytes."""
+        raw = [t.encode() for t in texts]
+        offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+        flat, at = self.slice(np.frombuffer(b"".join(raw), np.uint8), offsets)
+        data = flat.tobytes()
+        return [data[4 * i:4 * j] for i, j in zip(at, at[1:])]
 
 
 def text_slices(column, limit: int = 4 << 20):

@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from graustein.llm.base import map_arrow
-from graustein.llm.chunks import Encoded, text_slices
+from graustein.llm.base import map_arrow, slices
+from graustein.llm.chunks import Encoded
 
 BLOCK = 4096
 CHUNK_IDS = 1 << 18
@@ -132,11 +132,13 @@ def _write(path: str, kind: str):
         for batch in batches:
             if batch.num_rows:
                 shard = batch.column(0)[0].as_py()
-            for i, texts in text_slices(batch.column(2), 2 << 20):
-                for k, ids in enumerate(own.texts(texts)):
-                    held.append(ids + end)
+            for i, _, text, offsets in slices(batch.column(2), 2 << 20):
+                flat, at = own.slice(text, offsets)
+                data = flat.tobytes()
+                for k, (a, b) in enumerate(zip(at.tolist(), at[1:].tolist())):
+                    held.append(data[4 * a:4 * b] + end)
                     held_ids.append(batch.column(1).slice(i + k, 1))
-                    size += len(ids) // 4 + 1
+                    size += b - a + 1
                     if size >= CHUNK_IDS:
                         yield row()
                         chunk, held_ids, held, size = chunk + 1, [], [], 0

@@ -110,5 +110,5 @@ def test_the_table_of_chunks_stays_bounded():
     for k in range(40):
         texts = [f"common w{k} w{k}{i}" for i in range(10)]
         assert own.texts(texts) == [b"".join(len(c).to_bytes(4, "little") for c in ("common", f" w{k}", f" w{k}{i}")) for i in range(10)]
-        assert len(own.known) <= 50 + 12
+        assert len(own.known) <= 25 + 12 and len(own.older) <= 25 + 12
     assert seen.count("common") == 1  # frequent ones stay
