@@ -51,19 +51,6 @@ def material_by_uuid(materials: DataFrame, versions: DataFrame, uuid: str,
     return rows.filter(F.col("version") == F.lit(version))
 
 
-def clean_catalogue(raw: DataFrame, version: str, created_at=None) -> DataFrame:
-    """Trim uuid, density text -> number (unparsable or missing -> 0), stamp the version."""
-    ts = F.current_timestamp() if created_at is None else F.lit(created_at).cast("timestamp")
-    return raw.select(
-        F.trim("uuid").alias("uuid"), F.col("name"),
-        F.col("indicator_co2eq").cast("double").alias("indicator_co2eq"),
-        F.col("indicator_penre").cast("double").alias("indicator_penre"),
-        F.col("indicator_ubp").cast("double").alias("indicator_ubp"),
-        F.coalesce(to_number(F.col("density").cast("string")), F.lit(0.0)).alias("density"),
-        F.lit(version).alias("version"), ts.alias("created_at"),
-    )
-
-
 def versions_in_materials(materials: DataFrame) -> DataFrame:
     """Distinct catalogue versions."""
     return materials.select("version").distinct()

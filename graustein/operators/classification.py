@@ -3,8 +3,8 @@
 The model's property sets arrive as a flat property table
 (``element_id, pset_pos, prop_pos, prop_name, prop_value``); classification references
 as (``element_id, schema_version, system, name, item_reference, identification``).
-The catalogue is a small dimension (a few hundred codes) and is broadcast after a
-bounded size check.
+The catalogue is a small dimension (a few hundred codes), which Spark broadcasts if its
+size allows.
 """
 
 from __future__ import annotations

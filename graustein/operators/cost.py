@@ -1,7 +1,7 @@
 """Cost computation (C2): J5, H7, N2, N6, P5, P10, P12, A7.
 
 One row per element: its eBKP-H code is looked up in the cost key figures of one
-version (a small dimension, broadcast after a size check); the unit decides whether
+version (a small dimension, which Spark broadcasts if its size allows); the unit decides whether
 area (m2) or length (m) is the quantity; quantity x key figure is the cost.
 """
 
@@ -43,14 +43,6 @@ def cost_keys(cost_reference: DataFrame, version: str | None = None) -> DataFram
                  F.min("cost_per_unit").alias("cost_per_unit")))
 
 
-def cost_key_projection(cost_reference: DataFrame) -> DataFrame:
-    """P10: the key figures under the names the cost file uses (``Code``, ``Kennwert``,
-    ``reference``); not filtered by project (key figures are shared)."""
-    return cost_reference.select(F.col("ebkp_code").alias("Code"), F.col("cost_per_unit").alias("Kennwert"),
-                                 F.col("unit").alias("reference"),
-                                 *([F.col("created_at")] if "created_at" in cost_reference.columns else []))
-
-
 def cost_components(elements: DataFrame, cost_reference: DataFrame, version: str | None = None) -> DataFrame:
     """C2 core: one result row per element, good or failed."""
     keys = cost_keys(cost_reference, version).withColumnRenamed("cost_code", "ebkp_h")
