@@ -92,9 +92,12 @@ def set_status(projects: DataFrame, project_id: str, status: str, as_of=None) ->
 
 
 def set_statuses(projects: DataFrame, statuses: DataFrame, as_of=None) -> DataFrame:
-    """M7 in bulk: ``statuses`` has (project_id, status), e.g. the run statistics.
-    Any status outside the domain (P16) is an error before anything changes."""
+    """M7 in bulk: ``statuses`` has (project_id, status), e.g. the run statistics (a row per project,
+    written once, so they are computed once). Any status outside the domain (P16) is an error before
+    anything changes."""
     from graustein.schemas import PROJECT_STATUSES
+    from graustein.session import written_copy
+    statuses = written_copy(statuses.select("project_id", "status"), "statuses")
     bad = statuses.filter(F.col("status").isNull() | ~F.col("status").isin(*PROJECT_STATUSES)).select("status").limit(1)
     row = bad.first()
     if row is not None:

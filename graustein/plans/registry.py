@@ -1178,3 +1178,6 @@ def q_backup_round_trip(spark, sf_dir):
     writers.export_tables({"elements": numbered, "kbob_versions": fx.kbob_versions(spark)}, root)
     back = writers.import_tables(spark, root, ["elements", "kbob_versions"])["elements"]
     return back.select("id", "project_id", "ebkp", F.col("area_net").cast("double"), F.col("length").cast("double"), "code")
+
+
+from graustein.plans import file_queries  # noqa: E402, F401  registers its queries here

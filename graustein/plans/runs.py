@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from graustein.operators import combine as cb
 from graustein.operators import cost as cost_ops
 from graustein.operators import lca as lca_ops
+from graustein.operators import maintenance as mt
 from graustein.plans import jobs
 from graustein.sinks import commits, writers
 
@@ -26,10 +27,13 @@ class RunOutput:
     stats: DataFrame
     version: str
     counts: dict | None = None   # A14: rows counted during the write
+    projects: DataFrame | None = None  # M7: the projects given, with the run's status
 
 
-def run_lca(spark: SparkSession, inputs: jobs.LcaInputs, out_root: str, run_id: str | None = None) -> RunOutput:
-    """C1 with persistence: K4 results, K8 errors, K9 history, all partitioned by project."""
+def run_lca(spark: SparkSession, inputs: jobs.LcaInputs, out_root: str, run_id: str | None = None,
+            projects: DataFrame | None = None) -> RunOutput:
+    """C1 with persistence: K4 results, K8 errors, K9 history, all partitioned by project. Of
+    ``projects``, those that the run computed are completed afterwards (M7)."""
     t0 = time.time()
     run_id = run_id or writers.run_stamp()
     comps, version = jobs.lca(inputs)
@@ -44,12 +48,13 @@ def run_lca(spark: SparkSession, inputs: jobs.LcaInputs, out_root: str, run_id:
     writers.append_table(writers.results_table(written, version), out_root, "processing_results", run_id)
     writers.append_table(errors, out_root, "processing_errors", run_id)
     writers.append_table(writers.history_rows(stats, time.time() - t0), out_root, "processing_history", run_id)
-    return RunOutput(written, errors, stats, version, counts.get)
+    return RunOutput(written, errors, stats, version, counts.get, mt.set_statuses(projects, stats) if projects is not None else None)
 
 
 def run_cost(spark: SparkSession, elements: DataFrame, cost_reference: DataFrame, out_root: str,
-             version: str | None = None, run_id: str | None = None) -> RunOutput:
-    """C2 with persistence: ``cost_results`` table, errors and history."""
+             version: str | None = None, run_id: str | None = None, projects: DataFrame | None = None) -> RunOutput:
+    """C2 with persistence: ``cost_results`` table, errors and history; ``projects`` get the run's
+    status (M7)."""
     t0 = time.time()
     run_id = run_id or writers.run_stamp()
     comps = jobs.cost(elements, cost_reference, version)
@@ -60,19 +65,20 @@ def run_cost(spark: SparkSession, elements: DataFrame, cost_reference: DataFrame
     stats = cost_ops.cost_run_stats(written)
     writers.append_table(errors, out_root, "processing_errors", f"cost-{run_id}")
     writers.append_table(writers.history_rows(stats, time.time() - t0), out_root, "processing_history", f"cost-{run_id}")
-    return RunOutput(written, errors, stats, version or "N/A")
+    return RunOutput(written, errors, stats, version or "N/A", projects=mt.set_statuses(projects, stats) if projects is not None else None)
 
 
-def run_combined(spark: SparkSession, inputs: jobs.LcaInputs, cost_reference: DataFrame, out_root: str) -> dict:
+def run_combined(spark: SparkSession, inputs: jobs.LcaInputs, cost_reference: DataFrame, out_root: str,
+                 projects: DataFrame | None = None) -> dict:
     """LCA + cost, combined results (K7 JSON), portfolio summary (A5) and report (K6)."""
-    lca_run = run_lca(spark, inputs, out_root)
-    cost_run = run_cost(spark, inputs.elements, cost_reference, out_root)
+    lca_run = run_lca(spark, inputs, out_root, projects=projects)
+    cost_run = run_cost(spark, inputs.elements, cost_reference, out_root, projects=lca_run.projects)
     # K7: one record per guid (a large one in numbered chunks); the totals come from the flat written rows
     writers.write_json(cb.combined_nested(lca_run.components, cost_run.components), os.path.join(out_root, "combined_results"))
     combined = cb.combine_results(lca_run.components, cost_run.components)
     summary = cb.summarize(combined, count_failed=True)
     writers.write_report(cb.report_lines(summary, cb.failed_components(combined)), os.path.join(out_root, "summary_report"))
-    return {"lca": lca_run, "cost": cost_run, "summary": summary}
+    return {"lca": lca_run, "cost": cost_run, "summary": summary, "projects": cost_run.projects}
 
 
 def load_reference_data(spark: SparkSession, out_root: str, version: str, kbob_csv: str,

@@ -168,3 +168,17 @@ def test_json_output_of_a_run_is_nested(spark, tmp_dir):
     writers.write_json(records, path)
     back = spark.read.schema(records.schema).json(path)
     assert back.count() == registry.lca_components(spark, SF).select("project_id", "element_id").distinct().count()
+
+
+def test_runs_set_the_status_of_their_projects(spark, tmp_dir):
+    from graustein.plans import runs
+    from graustein.sources import fixtures as fx
+    projects = (fx.projects(spark, SF).withColumn("updated_at", F.lit(None).cast("timestamp"))
+                .unionByName(spark.createDataFrame([("empty", "x", 60, "v", "active", None)], "project_id string, name string, life_expectancy int, kbob_version string, status string, updated_at timestamp")))
+    inputs = registry.lca_inputs(spark, SF)
+    lca_run = runs.run_lca(spark, inputs, tmp_dir, run_id="r", projects=projects)
+    assert {r["project_id"]: r["status"] for r in lca_run.projects.collect()}["empty"] == "active"
+    assert {r["status"] for r in lca_run.projects.filter("project_id <> 'empty'").collect()} == {"completed"}
+    cost_run = runs.run_cost(spark, inputs.elements, fx.cost_reference(spark), tmp_dir, run_id="r", projects=lca_run.projects)
+    want = {r["project_id"]: r["status"] for r in cost_run.stats.collect()}
+    assert {r["project_id"]: r["status"] for r in cost_run.projects.collect()} == {**want, "empty": "active"} and "failed" in want.values()
