@@ -35,6 +35,7 @@ from graustein.llm.chunks import Encoded
 BLOCK = 4096
 CHUNK_IDS = 1 << 18
 END_ID = 0
+KNOWN, KNOWN_BYTES = 1_200_000, 64 << 20  # chunks whose ids a worker remembers: at most so many, and so many bytes
 
 # How byte-level BPE files spell bytes: visible characters stand for themselves, the others for
 # the characters from 256 on. (By rule; a fixed convention of the format.)
@@ -84,7 +85,7 @@ def encoder(path: str) -> Encoded:
             if len(marks) > 10_000:
                 marks.clear()
             return out
-        _encoders[path] = Encoded(encode)
+        _encoders[path] = Encoded(encode, KNOWN, KNOWN_BYTES)
     return _encoders[path]
 
 
@@ -132,7 +133,7 @@ def _write(path: str, kind: str):
         for batch in batches:
             if batch.num_rows:
                 shard = batch.column(0)[0].as_py()
-            for i, _, text, offsets in slices(batch.column(2), 2 << 20):
+            for i, _, text, offsets in slices(batch.column(2), 4 << 20):
                 flat, at = own.slice(text, offsets)
                 data = flat.tobytes()
                 for k, (a, b) in enumerate(zip(at.tolist(), at[1:].tolist())):
