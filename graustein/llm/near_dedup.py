@@ -14,12 +14,16 @@
    candidates) on, two linked sets share one of their first n - ceil(0.85 n) + 1 shingles,
    and what follows the first common one must suffice for the similarity. Variants that each
    changed too much drop out here, however many there are.
-5. Links are confirmed on the full sets. In each bucket of classes with a common rare
-   shingle, some leaders are compared with the members of other components; links join
-   components, and rounds with more leaders go on until no bucket holds two members of
-   different components that weren't compared. A component needs its links no more than
-   once, so a bucket of many copies costs about its number of members and no pairs within
-   the group are listed.
+5. Links are confirmed on the full sets. Every bucket of classes with a common rare shingle has
+   a centre, the member with the fewest rarer shingles; the others are compared with it, and
+   links join components. What is left in buckets of up to ``SMALL`` members is compared.
+6. In larger buckets a set is replaced by its deviations, the shingles that it or its centre has
+   and the other has not. Two sets x and y of a centre differ in |x|' + |y|' shingles less twice
+   the deviations they share, so two linked ones either are both linked with the centre or
+   share a known least number of deviations. They are met by the rarest of them (counted in the
+   group of the centre), again without loss. Variants of a text that differ from it in
+   places of their own share nearly all shingles but hardly a deviation, so pairs of them aren't
+   listed however large their group is.
 
 Full sets are built again only for the classes in shared buckets: a filter of fixed size
 (8 MB) on their ids skips the other texts.
@@ -35,7 +39,6 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from graustein.llm import base
@@ -44,6 +47,7 @@ from graustein.llm.components import components
 
 SKETCH, ROWS = 128, 4
 WORDS = 5
+SMALL = 16
 SEEDS = np.array([seed(1000 + i) for i in range(2 * SKETCH)], np.uint64)
 
 
@@ -153,45 +157,93 @@ def rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
         F.col("c.token").alias("token"), "uid", "n", (F.col("n") - F.col("own") - F.col("at")).alias("rest"))
 
 
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The linked ones of ``pairs`` (a, b), by their full sets."""
+    x = sets.select(F.col("uid").alias("a"), F.col("h").alias("ha"))
+    y = sets.select(F.col("uid").alias("b"), F.col("h").alias("hb"))
+    each = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    done = map_arrow(each.join(x, "a").join(y, "b").select("a", "b", "ha", "hb"), _verify(percent), "a long, b long, linked boolean")
+    return stored(done.filter("linked").select("a", "b"), "verified")
+
+
+def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``rows`` (uid, ..) with the label of the uid's component, the uid itself without links."""
+    if labels is None:
+        return rows.withColumn("label", F.col("uid"))
+    return rows.join(labels.withColumnRenamed("node", "uid"), "uid", "left").select(*rows.columns, F.coalesce("label", "uid").alias("label"))
+
+
+def _deviations(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``members`` (center, uid, n, label) with size, the number of deviations d from the centre, and
+    excess: x and y are linked when excess(x) + excess(y) <= 2 * (100 + percent) * shared deviations.
+    far: not linked with the centre, whose own excess is the least there can be."""
+    x = sets.select("uid", "h")
+    c = sets.select(F.col("uid").alias("center"), F.col("n").alias("center_n"), F.col("h").alias("center_h"))
+    d = F.concat(F.array_except("h", "center_h"), F.array_except("center_h", "h"))
+    both = members.join(x, "uid").join(c, "center").select("center", "uid", "n", "label", "center_n", d.alias("d"))
+    excess = (100 + percent) * F.size("d").cast("long") - (100 - percent) * F.col("n")
+    return both.select("center", "uid", "label", "d", F.size("d").cast("long").alias("size"), excess.alias("excess"),
+                       (excess > (100 - percent) * F.col("center_n")).alias("far"))
+
+
+def _deviating_pairs(deviations: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of the members of a centre that can be linked though one of them is far from it.
+
+    Of a pair the member with the larger excess is far. The other needs a shared deviation among those
+    that it shares first with any far member, the far one among those first shared with any member."""
+    unit = 2 * (100 + percent)
+    bounds = deviations.groupBy("center").agg(F.min("excess").alias("least"), F.min(F.when(F.col("far"), F.col("excess"))).alias("least_far"))
+    each = deviations.join(bounds.filter("least_far is not null"), "center")
+    feature = each.select("center", "uid", F.explode("d").alias("f"))
+    count = feature.groupBy("center", "f").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    common = feature.join(count, ["center", "f"]).groupBy("center", "uid").agg(F.array_sort(F.collect_list(F.struct("df", "f"))).alias("common"))
+
+    def first(least):
+        """How many common deviations a partner of this excess or more can be met at first; the uncommon ones come before them."""
+        needed = F.greatest(F.lit(1), F.ceil((F.col("excess") + least) / unit).cast("long"))
+        return F.greatest(F.lit(0), F.size("common") - needed + 1).cast("int")
+    placed = (each.drop("d").join(common, ["center", "uid"])
+              .withColumn("as_near", first(F.greatest("excess", "least_far")))
+              .withColumn("as_far", F.when(F.col("far"), first(F.col("least"))).otherwise(0)))
+    met = stored(placed.select("center", "uid", "label", "excess", "as_near", "as_far", F.size("common").alias("all"),
+                               F.posexplode(F.slice("common", F.lit(1), F.greatest("as_near", "as_far"))).alias("at", "c"))
+                 .select("center", F.col("c.f").alias("f"), "uid", "label", "excess", (F.col("all") - F.col("at")).alias("rest"),
+                         (F.col("at") < F.col("as_near")).alias("near"), (F.col("at") < F.col("as_far")).alias("far")), "deviating")
+    x, y = met.filter("near").alias("x"), met.filter("far").alias("y")
+    return x.join(y, (F.col("x.center") == F.col("y.center")) & (F.col("x.f") == F.col("y.f")) & (F.col("x.label") != F.col("y.label"))
+                  & (F.struct("x.excess", "x.uid") < F.struct("y.excess", "y.uid"))
+                  & (F.least("x.rest", "y.rest") * unit >= F.col("x.excess") + F.col("y.excess"))
+                  ).select(F.col("x.uid").alias("a"), F.col("y.uid").alias("b"))
+
+
 def _links(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
     """(node, label) of the classes that have links, None without links; ``buckets`` (token, uid,
     n, rest), ``sets`` (uid, n, h)."""
-    labels, links, compared, leaders = None, None, None, 1
-    while True:
-        here = buckets
-        if labels is None:
-            here = here.withColumn("label", F.col("uid"))
-        else:
-            here = (here.join(labels.withColumnRenamed("node", "uid"), "uid", "left")
-                    .select(*buckets.columns, F.coalesce("label", "uid").alias("label")))
-        parts = here.groupBy("token", "label").agg(F.count(F.lit(1)).alias("size"))
-        mixed = parts.groupBy("token").agg(F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("token")
-        here = stored(here.join(mixed, "token"), "mixed")
-        if here.isEmpty():
-            return labels
-        sizes = here.groupBy("token", "label").agg(F.count(F.lit(1)).alias("size"))
-        ranked = here.join(sizes, ["token", "label"]).withColumn(
-            "rank", F.row_number().over(W.partitionBy("token").orderBy("size", "uid"))).filter(F.col("rank") <= leaders)
-        chosen = stored(ranked.select("token", F.col("uid").alias("leader"), F.col("label").alias("of"),
-                                      F.col("n").alias("of_n"), F.col("rest").alias("of_rest")), "leaders")
-        feasible = F.least("rest", "of_rest") * (100 + percent) >= (F.col("n") + F.col("of_n")) * percent
-        pairs = (here.join(chosen, (here["token"] == chosen["token"]) & (F.col("label") != F.col("of")) & feasible)
-                 .select(F.least("uid", "leader").alias("a"), F.greatest("uid", "leader").alias("b")).distinct())
-        if compared is not None:
-            pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
-        x = sets.select(F.col("uid").alias("a"), F.col("h").alias("ha"))
-        y = sets.select(F.col("uid").alias("b"), F.col("h").alias("hb"))
-        done = stored(map_arrow(pairs.join(x, "a").join(y, "b").select("a", "b", "ha", "hb"), _verify(percent),
-                                "a long, b long, linked boolean"), "verified")
-        compared = done if compared is None else compared.unionByName(done)
-        found = done.filter("linked").select("a", "b")
-        links = found if links is None else links.unionByName(found)
-        if not found.isEmpty():
-            labels = components(links)
-        # a leader has met every other component of its bucket: it leaves the bucket
-        gone = chosen.select("token", F.col("leader").alias("uid"))
-        buckets = stored(here.select(*buckets.columns).join(gone, ["token", "uid"], "left_anti"), "buckets")
-        leaders *= 64
+    def feasible(n, rest):
+        return F.least("rest", rest) * (100 + percent) >= (F.col("n") + F.col(n)) * percent
+    centers = stored(buckets.groupBy("token").agg(F.min(F.struct((F.col("n") - F.col("rest")).alias("before"), "uid", "n", "rest")).alias("c"),
+                                                  F.count(F.lit(1)).alias("members")).filter("members > 1")
+                     .select("token", F.col("c.uid").alias("center"), F.col("c.n").alias("center_n"), F.col("c.rest").alias("center_rest")), "centers")
+    others = stored(buckets.join(centers, "token").filter("uid != center"), "others")
+    links = _verified(others.filter(feasible("center_n", "center_rest")).select(F.col("uid").alias("a"), F.col("center").alias("b")), sets, percent)
+    labels = None if links.isEmpty() else components(links)
+    # a centre has met every member of its bucket; what is left may hold links between the others
+    here = _labelled(others.select("token", "center", "uid", "n", "rest"), labels)
+    mixed = (here.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("members"))
+             .filter("lo < hi").select("token", "members"))
+    here = stored(here.join(mixed, "token"), "mixed")
+    if here.isEmpty():
+        return labels
+    x = here.filter(F.col("members") <= SMALL)
+    y = x.select("token", F.col("uid").alias("other"), F.col("label").alias("other_label"), F.col("n").alias("other_n"), F.col("rest").alias("other_rest"))
+    small = x.join(y, (x["token"] == y["token"]) & (F.col("uid") < F.col("other")) & (F.col("label") != F.col("other_label"))
+                   & feasible("other_n", "other_rest")).select(F.col("uid").alias("a"), F.col("other").alias("b"))
+    members = here.filter(F.col("members") > SMALL).select("center", "uid", "n", "label").distinct()
+    deviations = stored(_deviations(members, sets, percent), "deviations")
+    pairs = small.unionByName(_deviating_pairs(deviations, percent))
+    links = (links.unionByName(deviations.filter("not far").select(F.col("uid").alias("a"), F.col("center").alias("b")))
+             .unionByName(_verified(pairs, sets, percent)))
+    return labels if links.isEmpty() else components(links)
 
 
 def near_groups(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -109,6 +109,54 @@ def test_near_variants(spark, percent):
     assert got == list(enumerate(brute.near_components(texts, percent)))
 
 
+def set_components(sets: list[set], percent: int) -> list[int]:
+    """The least number that can be reached from every set, by comparing all of them."""
+    label = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if label[i] != label[j] and 100 * both >= percent * (len(a) + len(sets[j]) - both):
+                lo, hi = sorted((label[i], label[j]))
+                label = [lo if x == hi else x for x in label]
+    return label
+
+
+@pytest.mark.parametrize("percent, small", [(85, 16), (85, 2), (80, 3)])
+def test_links_of_sets_that_lack_parts_of_one(spark, monkeypatch, percent, small):
+    """Sets made of one by leaving out shingles (families leave out much the same ones) and putting in
+    some: nearly all shingles are shared by all, so links show in the deviations alone."""
+    monkeypatch.setattr(near_dedup, "SMALL", small)
+    random.seed(percent + small)
+    base, sets = list(range(200)), []
+    for family in range(30):
+        out = random.sample(base, random.choice([4, 20, 30, 45]))
+        for n in range(random.choice([1, 4, 12])):
+            gone = set(random.sample(out, len(out) - random.choice([0, 1, 3]))) | set(random.sample(base, random.choice([0, 2, 8, 14])))
+            sets.append(set(base) - gone | {1000 + random.randrange(40) for _ in range(random.choice([0, 0, 1, 3]))}
+                        | {10**6 + 100 * len(sets) + i for i in range(random.choice([0, 3, 9]))})
+    df = spark.createDataFrame([(i, len(x), sorted(x)) for i, x in enumerate(sets)], "uid long, n long, h array<long>").repartition(4)
+    labels = near_dedup._links(near_dedup.rare_shingles(df, percent), df, percent)
+    got = list(range(len(sets)))
+    for node, label in labels.collect():
+        got[node] = label
+    want = set_components(sets, percent)
+    assert got == want and 1 < len(set(want)) < len(sets)
+
+
+@pytest.mark.parametrize("changed, per_member", [(23, 2), (40, 1)])
+def test_variants_below_the_limit_list_no_pairs(spark, changed, per_member):
+    """2,000 variants that each changed places of their own (similarity about 0.79 and 0.67): candidates
+    stay in proportion to the group, though nearly all of them share nearly all shingles."""
+    random.seed(changed)
+    base, members = list(range(400)), 2000
+    sets = [set(base) - set(random.sample(base, changed)) | {1000 * (i + 1) + j for j in range(changed)} for i in range(members)]
+    df = spark.createDataFrame([(i, len(x), sorted(x)) for i, x in enumerate(sets)] + [(members, 400, base)], "uid long, n long, h array<long>").repartition(8)
+    each = df.filter(F.col("uid") != members).select(F.lit(members).cast("long").alias("center"), "uid", "n", F.col("uid").alias("label"))
+    deviations = near_dedup._deviations(each, df, 85)
+    assert deviations.filter("not far").count() == (members if changed <= 32 else 0)
+    assert near_dedup._deviating_pairs(deviations, 85).count() <= per_member * members
+
+
 def test_near_keep_one_keeps_rows_without_words(spark):
     rows = [(None, None, "a"), (None, None, "b"), (1, "", "c"), (1, "", "d"), (1, " ", "e"), (2, WORDS, "f"), (2, WORDS, "g"), (3, WORDS, "h")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, more string")
