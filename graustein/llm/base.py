@@ -19,9 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from graustein.session import checkpoint_dir
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 BATCH_ROWS = 2000
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 REPO = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 

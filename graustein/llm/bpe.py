@@ -29,9 +29,11 @@ from graustein.llm.base import map_arrow, slices
 from graustein.llm.chunks import Encoded
 
 LONG = 256
-WORDS_AT_ONCE = 20_000
-# contracted chunks that a worker remembers from task to task: at most so many, and so many bytes
-KNOWN, KNOWN_BYTES = 600_000, 32 << 20
+WORDS_AT_ONCE = 10_000
+# contracted chunks that a worker remembers from task to task: at most so many (about 200 bytes of
+# Python objects each), and so many bytes of chunks and ids
+KNOWN, KNOWN_BYTES = 240_000, 16 << 20
+SLICE = 2 << 20
 
 CONTRACT = """
 WITH RECURSIVE state AS (
@@ -83,7 +85,7 @@ class Coder:
         pairs = [(self.ranks[b[:i]], self.ranks[b[i:]], r) for b, r in self.ranks.items() for i in range(1, len(b))
                  if b[:i] in self.ranks and b[i:] in self.ranks]
         pairs = np.array(pairs, np.int32).reshape(-1, 3)
-        self.pairs = {(a, b): r for a, b, r in pairs.tolist()}
+        self.pairs: dict[tuple[int, int], int] = {}  # of the merge table, when the first long word comes
         self._table("merges", pa.table({"a": pairs[:, 0], "b": pairs[:, 1], "merged": pairs[:, 2]}))
         self._table("pieces", pa.table({"id": pa.array(list(self.ranks.values()), pa.int32()), "piece": [letters(b) for b in self.ranks]}))
         self.byte_id = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
@@ -112,6 +114,8 @@ class Coder:
 
     def contract_long(self, word: bytes) -> bytes:
         """The ids (as bytes) of one word by the same rule, with a heap: n log n."""
+        if not self.pairs:
+            self.pairs = {(a, b): r for a, b, r in self.con.execute("SELECT a, b, merged FROM merges").fetchall()}
         ids = self.byte_id[np.frombuffer(word, np.uint8)].tolist()
         n = len(ids)
         after, before = [*range(1, n), -1], [*range(-1, n - 1)]
@@ -177,7 +181,7 @@ def _code(path: str, pattern: str):
     def run(batches):
         own = coder(path, pattern)
         for batch in batches:
-            for i, j, text, offsets in slices(batch.column(1), 3 << 20):
+            for i, j, text, offsets in slices(batch.column(1), SLICE):
                 flat, at = own.encoded.slice(text, offsets)
                 data = flat.tobytes()
                 ids = [data[4 * a:4 * b] for a, b in zip(at, at[1:])]
