@@ -418,11 +418,33 @@ def q_combined_nested(spark, sf_dir):
                         F.aggregate("c", F.lit(0).cast("decimal(38,2)"), lambda s, x: (s + F.coalesce(x["t"], F.lit(0))).cast("decimal(38,2)")).cast("double").alias("total_cost"))
 
 
-def json_documents(spark: SparkSession, sf_dir: str, files: int = 8) -> str:
+def _as_documents(rows: int | None):
+    """An Arrow stage: JSON texts of elements as the lines of documents, a document per ``rows`` elements or
+    (None) per task."""
+    def lines(batches):
+        import pyarrow as pa
+        n = 0
+        first = '{"metadata":{"units":{"length":"{m}"}},"elements":[{}'
+        out = [first]
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                if n == rows:
+                    out += ["]}", first]
+                    n = 0
+                out.append("," + text)
+                n += 1
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
+            out = []
+        yield pa.RecordBatch.from_arrays([pa.array([*out, "]}"], pa.string())], names=["value"])
+    return lines
+
+
+def json_documents(spark: SparkSession, sf_dir: str, rows: int | None = None) -> str:
     """Element documents of the fixture as JSON files, each one object with a list of elements (an
-    element per line, a text row each; Spark writes a file per id of ``repartitionById``)."""
+    element per line, a text row each). Every task writes its own files, one or (``rows``) one per so many
+    elements: nothing is sorted or shuffled for them, and their number grows with the tables."""
     import uuid
-    from graustein.session import scratch_path
+    from graustein.session import arrow_stage, scratch_path
     path = scratch_path(spark, "documents", uuid.uuid4().hex)
     mats = fx.element_materials(spark, sf_dir).select(
         "element_id", F.struct(F.col("material_name").alias("name"), F.col("volume").cast("double").alias("volume"), F.col("density").cast("double").alias("density")).alias("m"))
@@ -430,12 +452,9 @@ def json_documents(spark: SparkSession, sf_dir: str, files: int = 8) -> str:
     # a document per layer, as in lca_from_documents: no element is gathered
     layer = F.struct(F.col("id"), F.struct(F.col("ebkp")).alias("properties"), F.struct(F.struct(F.col("area_net").cast("double").alias("net")).alias("area")).alias("quantities"),
                      F.array("m.name").alias("materials"), F.create_map(F.col("m.name"), F.struct("m.volume", "m.density")).alias("material_volumes"))
-    rows = els.join(mats, els.id == mats.element_id).select(
-        F.pmod(F.xxhash64("id"), F.lit(files)).cast("int").alias("file"), F.concat(F.lit(","), F.to_json(layer)).alias("value"))
-    first = spark.range(files).select(F.col("id").cast("int").alias("file"), F.lit('{"metadata":{"units":{"length":"{m}"}},"elements":[{}').alias("value"))
-    last = spark.range(files).select(F.col("id").cast("int").alias("file"), F.lit("~").alias("value"))
-    (first.unionByName(rows).unionByName(last).repartitionById(files, "file").sortWithinPartitions(F.expr("CASE substring(value, 1, 1) WHEN '{' THEN 0 WHEN ',' THEN 1 ELSE 2 END"))
-     .select(F.when(F.col("value") == "~", "]}").otherwise(F.col("value")).alias("value")).write.text(path))
+    texts = els.join(mats, els.id == mats.element_id).select(F.to_json(layer).alias("value"))
+    # the writer begins a new file behind a document's last line
+    arrow_stage(texts, _as_documents(rows), "value string").write.option("maxRecordsPerFile", rows + 2 if rows else 0).text(path)
     return path
 
 
@@ -457,7 +476,7 @@ def q_materials_from_json(spark, sf_dir):
     """S7 + P4: JSON documents read whole by the JSON reader, material rows of the volume maps."""
     from graustein.operators import elements as el
     from graustein.sources.readers import read_element_documents
-    docs = read_element_documents(spark, json_documents(spark, sf_dir))
+    docs = read_element_documents(spark, json_documents(spark, sf_dir, rows=100_000))
     return el.explode_materials(el.explode_documents(docs)).select("element_id", "material_name", "volume", "density")
 
 

@@ -4,44 +4,145 @@ A file that is one JSON list, or one object with a list, is one record for the J
 holds all of it. Here the file is cut at every ``}``, which Spark's text source does on byte ranges, and
 the state between the pieces is carried by two levels of running sums:
 
-1. Of every piece it is known, whether it begins inside a string or not, if it ends inside one and by how
-   much brackets outside strings change the depth. Within a block (a byte range of the file, read by one
-   task) running sums give this relative to the block's start.
-2. A row per block (file size / ``spark.sql.files.maxPartitionBytes``) is summed up over the file: the
-   string state and the depth at which each block starts. Joined back, every piece knows its depth.
-
-A piece that closes an object at the list's depth ends an item. Pieces are numbered by the ends before
-them, again within blocks and over blocks, and the pieces of one item, in order, are its text, which
-``from_json`` parses. Nothing larger than a block's pieces or an item is held by one task.
+1. The task that reads a block (a byte range of the file) counts quotes and brackets from piece to piece.
+   It doesn't know how its block begins, so it keeps the sums for both cases, inside a string or not, and
+   gives one row: what the block changes, and how many objects it closes at each relative depth.
+2. These rows (file size / ``spark.sql.files.maxPartitionBytes``) are summed up over the file: the
+   string state, the depth and the number of the item with which each block starts. Joined back, every
+   piece knows its depth.
+
+A piece that closes an object at the list's depth ends an item. The pieces of an item, in order, are its
+text, which ``from_json`` parses. The texts are not shuffled: a block's task puts its items together, and
+only those that lie in several blocks meet by their number. Nothing larger than a block's pieces or an
+item is held by one task.
 
 Files are UTF-8. What the JSON reader would drop as malformed gives null fields here.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from graustein.session import written_copy
-
-
-def _pieces(spark: SparkSession, path: str) -> DataFrame:
-    """(file, block, at, text, flips, d0, d1): the text before each ``}`` (which is not part of it);
-    whether the piece leaves the string state changed; the change of depth, with the ``}`` behind it,
-    if the piece begins outside (d0) or inside (d1) a string."""
-    raw = spark.read.option("lineSep", "}").text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("at"), F.col("value").alias("text"))
-    parts = F.split(F.regexp_replace("text", r"\\.", ""), '"', -1)  # every second part is inside a string
-    outside = lambda parity: F.array_join(F.filter(parts, lambda _, i: i % 2 == parity), "")
-    length = lambda s, chars: F.length(s) - F.length(F.translate(s, chars, ""))
-    net = lambda s: length(s, "{[") - length(s, "]")
-    flips = (F.size(parts) - 1) % 2
-    return raw.select("file", "block", "at", "text", flips.alias("flips"),
-                      (net(outside(0)) - F.when(flips == 0, 1).otherwise(0)).alias("d0"),
-                      (net(outside(1)) - F.when(flips == 1, 1).otherwise(0)).alias("d1"))
+from graustein.session import arrow_stage, written_copy
+
+BLOCK_SUMS = "file string, block long, flips int, t0 long, t1 long, head string, closes array<struct<begins: int, depth: long, n: long>>"
+BLOCK_ITEMS = "file string, n long, block long, level int, raw string, ended boolean, whole boolean"
+
+
+def _pieces(spark: SparkSession, path: str, larger_than: int = -1) -> DataFrame:
+    """(file, block, text): the text before each ``}`` (which is not part of it), in the order of the block."""
+    raw = spark.read.option("lineSep", "}").text(path).filter(F.col("_metadata.file_size") > larger_than)
+    return raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("text"))
+
+
+def _blocks(batches) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """The batches cut where a block ends: ((file, block), its next rows)."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        file, block = batch.column("file"), batch.column("block")
+        changes = pc.or_(pc.not_equal(file[1:], file[:-1]), pc.not_equal(block[1:], block[:-1]))
+        at = [0, *(np.flatnonzero(changes.to_numpy(zero_copy_only=False)) + 1).tolist(), batch.num_rows]
+        for low, high in zip(at, at[1:]):
+            yield (file[low].as_py(), block[low].as_py()), batch.slice(low, high - low)
+
+
+def _escaped(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The bytes behind an odd number of backslashes of the same piece."""
+    back = data == 92
+    at = np.arange(len(data))
+    before = np.where(back, -1, at)  # the last byte that is no backslash, or lies before the piece
+    starts = starts[starts < len(data)]
+    before[starts] = np.where(back[starts], starts - 1, starts)
+    odd = back & ((at - np.maximum.accumulate(before)) % 2 == 1)
+    out = np.zeros(len(data), bool)
+    out[1:] = odd[:-1]
+    out[starts] = False
+    return out
+
+
+def _sums(texts: pa.Array, state: tuple[int, int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple[int, int, int]]:
+    """Running sums behind the ``}`` of every piece, from the block's start: the quotes' parity, and the
+    change of depth if the block begins outside or inside a string; and the state for the next pieces."""
+    texts = texts.cast(pa.large_string())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+    ends = offsets - offsets[0]
+    quotes = data == 34
+    if (data == 92).any():
+        quotes &= ~_escaped(data, ends[:-1])
+    parity = np.concatenate(([state[0]], (np.cumsum(quotes) + state[0]) % 2))  # before the first byte, behind each byte
+    value = ((data == 123) | (data == 91)).astype(np.int64) - (data == 93)
+    behind = parity[ends[1:]]
+    sums = []
+    for begins in (0, 1):
+        depth = np.concatenate(([0], np.cumsum(np.where(parity[1:] == begins, value, 0))))
+        sums.append(state[1 + begins] + depth[ends[1:]] - np.cumsum(behind == begins))
+    return behind, sums[0], sums[1], (int(behind[-1]), int(sums[0][-1]), int(sums[1][-1]))
+
+
+def _block_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per block (``BLOCK_SUMS``)."""
+    names = ["file", "block", "flips", "t0", "t1", "head", "closes"]
+    types = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(),
+             pa.list_(pa.struct([("begins", pa.int32()), ("depth", pa.int64()), ("n", pa.int64())]))]
+    row = lambda: pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((
+        *now, *state, head, [{"begins": b, "depth": d, "n": n} for (b, d), n in closes.items()]), types)], names=names)
+    now = None
+    for key, rows in _blocks(batches):
+        texts = rows.column("text")
+        if key != now:
+            if now is not None:
+                yield row()
+            now, state, closes, head = key, (0, 0, 0), {}, texts[0].as_py().lstrip(" \t\n\x0b\f\r\ufeff")[:1]
+        behind, *sums, state = _sums(texts, state)
+        for begins in (0, 1):
+            for depth, n in zip(*(x.tolist() for x in np.unique(sums[begins][behind == begins], return_counts=True))):
+                closes[begins, depth] = closes.get((begins, depth), 0) + n
+    if now is not None:
+        yield row()
+
+
+def _block_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The items of each block (``BLOCK_ITEMS``); ``whole`` if nothing of an item can lie in another block. The
+    texts of the others are without the ``}`` that ends them."""
+    schema = pa.schema([("file", pa.string()), ("n", pa.int64()), ("block", pa.int64()), ("level", pa.int32()), ("raw", pa.string()),
+                        ("ended", pa.bool_()), ("whole", pa.bool_())])
+    now, out, pending = None, [], []
+
+    def rest():
+        if pending:
+            out.append((now[0], n, now[1], level, "}".join(pending), False, False))
+
+    def batch():
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
+    for key, rows in _blocks(batches):
+        if key != now:
+            rest()
+            begins, depth, level, n = (rows.column(c)[0].as_py() for c in ("begins", "depth", "level", "earlier"))
+            now, state, pending, whole = key, (0, 0, 0), [], key[1] == 0
+        texts = rows.column("text")
+        behind, *sums, state = _sums(texts, state)
+        pieces, low = texts.to_pylist(), 0
+        for end in np.flatnonzero((behind == begins) & (sums[begins] + depth == level)).tolist():
+            raw = "}".join([*pending, *pieces[low:end + 1]])
+            out.append((key[0], n, key[1], level, raw + "}" if whole else raw, True, whole))
+            pending, low, n, whole = [], end + 1, n + 1, True
+        pending += pieces[low:]
+        if len(out) > 5000:
+            yield batch()
+            out = []
+    rest()
+    if out:
+        yield batch()
 
 
 def _before(value, by, order) -> F.Column:
@@ -49,55 +150,48 @@ def _before(value, by, order) -> F.Column:
     return F.coalesce(F.sum(value).over(W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
 
 
-def item_texts(spark: SparkSession, path: str, container: str | None = "elements") -> DataFrame:
+def item_texts(spark: SparkSession, path: str, container: str | None = "elements", larger_than: int = -1) -> DataFrame:
     """(file, n, text) of every object in the list that a file is, or in the list ``container`` of the
-    object that a file is; ``n`` ascends in the file's order."""
-    in_block = ["file", "block"]
-    inside = _before(F.col("flips"), in_block, ["at"]) % 2
-    pieces = _pieces(spark, path).withColumn("inside", inside)
-    # relative to the block's start: change of depth so far if the block begins outside / inside a string
-    so_far = W.partitionBy(*in_block).orderBy("at").rowsBetween(W.unboundedPreceding, 0)
-    pick = lambda flipped: F.when(F.col("inside") == flipped, F.col("d0")).otherwise(F.col("d1"))
-    pieces = written_copy(pieces.withColumn("r0", F.sum(pick(0)).over(so_far)).withColumn("r1", F.sum(pick(1)).over(so_far)), "pieces")
-    first = F.substring(F.regexp_replace("text", "^[\\s\\uFEFF]+", ""), 1, 1)
-    blocks = pieces.groupBy(*in_block).agg((F.sum("flips") % 2).alias("flips"), F.max_by("r0", "at").alias("t0"), F.max_by("r1", "at").alias("t1"),
-                                           F.min_by(F.struct(first.alias("c")), "at").alias("head"))
+    object that a file is; ``n`` ascends in the file's order. Only of files with more than ``larger_than`` bytes."""
+    pieces = _pieces(spark, path, larger_than)
     by_file = W.partitionBy("file").orderBy("block")
-    blocks = blocks.withColumn("begins", _before(F.col("flips"), ["file"], ["block"]) % 2)
+    blocks = arrow_stage(pieces, _block_sums, BLOCK_SUMS).withColumn("begins", _before(F.col("flips"), ["file"], ["block"]) % 2)
     blocks = blocks.withColumn("depth", _before(F.when(F.col("begins") == 0, F.col("t0")).otherwise(F.col("t1")), ["file"], ["block"]))
     # a list's items close to depth 1, those of a list in an object to depth 2
-    level = F.when(F.first("head.c").over(by_file) == "[", 1).otherwise(2)
-    blocks = blocks.select(*in_block, "begins", "depth", level.alias("level"))
-    known = pieces.join(blocks, in_block)
-    outside = F.col("begins") == F.col("inside")
-    depth = F.col("depth") + F.when(F.col("begins") == 0, F.col("r0")).otherwise(F.col("r1"))
-    closes = outside == (F.col("flips") == 0)  # the ``}`` is outside a string
-    ends = known.select("file", "block", "at", "text", "level", (closes & (depth == F.col("level"))).cast("int").alias("ends"))
-    per_block = ends.groupBy(*in_block).agg(F.sum("ends").alias("ends"))
-    per_block = per_block.select(*in_block, _before(F.col("ends"), ["file"], ["block"]).alias("earlier"))
-    numbered = ends.withColumn("n", _before(F.col("ends"), in_block, ["at"])).join(per_block, in_block).withColumn("n", F.col("n") + F.col("earlier"))
-    pieces_of = F.array_sort(F.collect_list(F.struct("block", "at", "text")))
-    items = numbered.groupBy("file", "n", "level").agg(pieces_of.alias("p"), F.max("ends").alias("ended")).filter("ended = 1").select(
-        "file", "n", "level", F.concat(F.array_join(F.transform("p", lambda x: x["text"]), "}"), F.lit("}")).alias("raw"))
+    blocks = blocks.withColumn("level", F.when(F.first("head").over(by_file) == "[", 1).otherwise(2))
+    ends = F.aggregate("closes", F.lit(0).cast("long"), lambda n, c: n + F.when(
+        (c["begins"] == F.col("begins")) & (c["depth"] + F.col("depth") == F.col("level")), c["n"]).otherwise(0))
+    blocks = blocks.withColumn("ends", ends).select("file", "block", F.col("begins").cast("int").alias("begins"), "depth", "level",
+                                                    _before(F.col("ends"), ["file"], ["block"]).alias("earlier"))
+    # a row per block; the join must leave the pieces in their order
+    known = pieces.join(F.broadcast(blocks), ["file", "block"])
+    opening = f"^[^\\x00]*?\"{container}\"\\s*:\\s*\\[\\s*(?=\\{{)"
+    opens = F.col("raw").contains(f'"{container}"') & F.col("raw").rlike(opening)
+    marked = lambda df: df.select("*", opens.alias("opens"), F.col("raw").rlike("^\\s*\\]").alias("shuts"))
+    cut = written_copy(marked(arrow_stage(known, _block_items, BLOCK_ITEMS)), "items", compression="zstd")
+    parts = F.array_sort(F.collect_list(F.struct("block", "raw")))
+    across = cut.filter("NOT whole").groupBy("file", "n", "level").agg(parts.alias("p"), F.max("ended").alias("ended")).filter("ended").select(
+        "file", "n", "level", F.concat(F.array_join(F.transform("p", lambda x: x["raw"]), "}"), F.lit("}")).alias("raw"))
+    columns = ["file", "n", "level", "raw", "opens", "shuts"]
+    items = cut.filter("whole").select(columns).unionByName(written_copy(marked(across), "across"))
     behind = "^\\s*,\\s*(?=\\{)"
     listed = items.filter("level = 1").select("file", "n", F.regexp_replace("raw", "^[\\s\\uFEFF]*\\[\\s*|" + behind, "").alias("text"))
     if container is None:
         return listed.filter(F.col("text").startswith("{"))
     # of an object's lists only ``container`` counts: from the item behind its name to the one before its end
-    opening = f"^[^\\x00]*?\"{container}\"\\s*:\\s*\\[\\s*(?=\\{{)"
-    nested = items.filter("level = 2").withColumn("opens", F.col("raw").rlike(opening))
-    bounds = nested.groupBy("file").agg(F.min(F.when(F.col("opens"), F.col("n"))).alias("from"))
-    closed = nested.join(bounds, "file").filter((F.col("n") > F.col("from")) & F.col("raw").rlike("^\\s*\\]")).groupBy("file").agg(F.min("n").alias("to"))
-    inner = (nested.join(bounds, "file").join(closed, "file", "left")
+    nested = items.filter("level = 2")
+    bounds = nested.filter("opens OR shuts").groupBy("file").agg(F.min(F.when(F.col("opens"), F.col("n"))).alias("from"), F.collect_list(F.when(F.col("shuts"), F.col("n"))).alias("shut"))
+    bounds = bounds.select("file", "from", F.array_min(F.filter("shut", lambda n: n > F.col("from"))).alias("to"))
+    inner = (nested.join(bounds, "file")
              .filter((F.col("n") >= F.col("from")) & (F.col("to").isNull() | (F.col("n") < F.col("to"))))
              .select("file", "n", F.regexp_replace("raw", F.when(F.col("opens"), opening).otherwise(behind), F.lit("")).alias("text")))
     return listed.unionByName(inner).filter(F.col("text").startswith("{"))
 
 
-def read_items(spark: SparkSession, path: str, schema: T.StructType, container: str | None = "elements") -> DataFrame:
-    """(source_file, n, e): every item parsed with ``schema``; ``source_file`` is the file's name."""
-    return item_texts(spark, path, container).select(F.element_at(F.split("file", "/"), -1).alias("source_file"), "n",
-                                                     F.from_json("text", schema).alias("e"))
+def read_items(spark: SparkSession, path: str, schema: T.StructType, container: str | None = "elements", larger_than: int = -1) -> DataFrame:
+    """(file, source_file, n, e): every item parsed with ``schema``; ``source_file`` is the file's name."""
+    return item_texts(spark, path, container, larger_than).select("file", F.element_at(F.split("file", "/"), -1).alias("source_file"), "n",
+                                                                  F.from_json("text", schema).alias("e"))
 
 
 def read_elements(spark: SparkSession, path: str) -> DataFrame:

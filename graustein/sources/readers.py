@@ -128,12 +128,34 @@ def read_material_mappings(spark: SparkSession, path: str, project_id: str | Non
     return df.withColumn("is_modelled", F.coalesce("is_modelled", F.lit(True)))
 
 
-def read_element_documents(spark: SparkSession, path: str) -> DataFrame:
+WHOLE_BYTES = 64 << 20  # a JSON file of up to so many bytes is read by one task
+
+
+def read_element_documents(spark: SparkSession, path: str, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
     """Element documents (dict with ``elements`` or a bare list), one row per document or
-    bare element (``sources.json_arrays.read_elements`` for files too large for one task), plus ``source_file`` and the project id derived from the file name (H14)."""
+    bare element, plus ``source_file`` and the project id derived from the file name (H14).
+
+    The JSON reader holds a file in one task. Files of more than ``whole_bytes`` are framed over byte
+    ranges (``sources.json_arrays``) and give a row per element, as a bare list does; the JSON reader
+    takes those that hold no list."""
     df = spark.read.schema(schemas.ELEMENT_DOCUMENT).option("multiLine", True).json(path)
+    large = F.col("_metadata.file_size") > whole_bytes
     name = F.col("_metadata.file_name")
-    return df.select("*", name.alias("source_file"), project_from_filename(name).alias("project_id"))
+
+    def rows(docs):
+        return docs.select("*", name.alias("source_file"), project_from_filename(name).alias("project_id"))
+    # file sizes only, no contents
+    if not spark.read.format("binaryFile").load(path).select("length").filter(F.col("length") > whole_bytes).head(1):
+        return rows(df)
+    from graustein.sources import json_arrays
+    fields = {f.name for f in schemas.ELEMENT.fields}
+    items = json_arrays.read_items(spark, path, schemas.ELEMENT, larger_than=whole_bytes)
+    framed = items.select(*(F.col(f"e.{f.name}").alias(f.name) if f.name in fields else F.lit(None).cast(f.dataType).alias(f.name)
+                            for f in schemas.ELEMENT_DOCUMENT.fields), "source_file", project_from_filename("source_file").alias("project_id"))
+    files = spark.read.format("binaryFile").load(path).filter(F.col("length") > whole_bytes).select("path", F.col("_metadata.file_path").alias("file"))
+    others = [r["path"] for r in files.join(items.select("file").distinct(), "file", "left_anti").collect()]
+    out = rows(df.filter(~large)).unionByName(framed)
+    return out.unionByName(rows(spark.read.schema(schemas.ELEMENT_DOCUMENT).option("multiLine", True).json(others))) if others else out
 
 
 def read_cost_elements_csv(spark: SparkSession, path: str, project_id: str | None = None) -> DataFrame:

@@ -94,3 +94,38 @@ def test_framed_elements_go_through_the_same_operators(spark, tmp_dir):
         assert rows(el.flatten_elements(framed, as_of="2024-01-01")) == rows(el.flatten_elements(whole, as_of="2024-01-01"))
         assert rows(el.explode_materials(framed)) == rows(el.explode_materials(whole))
         assert rows(el.document_components(framed)) == rows(el.document_components(whole))
+
+
+def test_large_documents_are_framed_and_others_read_whole(spark, tmp_dir):
+    pick = random.Random(5)
+    many = [element(pick, i) for i in range(60)]
+    write(tmp_dir, "a house.json", {"elements": many, "metadata": {"total_elements": 60}})
+    write(tmp_dir, "small.json", {"elements": many[:2]})
+    write(tmp_dir, "bare.json", {**element(pick, 99), "object_type": "x" * 3000})  # large, without a list
+    write(tmp_dir, "neither.json", {"metadata": {"total_elements": 1, "units": {"length": "m" * 3000}}})
+    read = lambda **how: el.explode_documents(readers.read_element_documents(spark, tmp_dir, **how)).select("project_id", "e")
+    assert rows(read(whole_bytes=2000)) == rows(read()) and len(rows(read())) == 63
+    docs = readers.read_element_documents(spark, tmp_dir, whole_bytes=2000)
+    assert docs.filter("size(elements) > 2").count() == 0  # no row holds the large document
+    assert el.rejected_documents(docs).count() == 1
+
+
+def test_framing_moves_no_texts_but_those_across_blocks(spark, tmp_dir, capsys):
+    write(tmp_dir, "a.json", [{"id": str(i)} for i in range(300)])
+    items = json_arrays.item_texts(spark, tmp_dir)
+    items.explain("simple")
+    plan = capsys.readouterr().out
+    assert "Window" not in plan and "Sort [" not in plan.replace("SortMerge", "")
+    assert items.count() == 300
+
+
+def test_fixture_documents_are_bounded_and_whole(spark):
+    from graustein.plans import registry
+    sf = "/root/testdata/sf0.001"
+    want = rows(registry.QUERIES["materials_from_json"](spark, sf))
+    path = registry.json_documents(spark, sf, rows=50)
+    docs = readers.read_element_documents(spark, path)
+    sizes = [r[0] for r in docs.selectExpr("size(elements)").collect()]
+    assert max(sizes) <= 51 and len(sizes) * 50 >= len(want)  # an empty element each besides
+    got = el.explode_materials(el.explode_documents(docs)).select("element_id", "material_name", "volume", "density")
+    assert rows(got) == want and rows(el.explode_materials(json_arrays.read_elements(spark, path)).select(*got.columns)) == want
