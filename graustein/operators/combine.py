@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from graustein.functions.numbers import is_missing, swiss_number
 from graustein.operators.cost import COST_COMPONENT
+from graustein.session import written_copy
 
 SUMMARY_MEASURES = (("total_cost", "total_cost", 2), ("total_co2_emission", "gwp_absolute", 3),
                     ("total_primary_energy", "penr_absolute", 3), ("total_ubp", "ubp_absolute", 0))
@@ -56,35 +57,59 @@ def combined_rows(lca: DataFrame, cost: DataFrame) -> DataFrame:
 
 
 NEST = 1000  # components in a chunk, about
+MET = 20 * NEST  # components of a guid that may meet in one group
 
 
-def nested(rows: DataFrame, shared: DataFrame | None = None, order: str = "material", chunk: int = NEST) -> DataFrame:
+def nested(rows: DataFrame, shared: DataFrame | None = None, order: str = "material", chunk: int = NEST, met: int = MET) -> DataFrame:
     """One record per (project_id, guid) with its components in a list; a guid with more than
     ``chunk`` components becomes several numbered records. (project_id, guid, shared_guid, n_components,
     chunk, n_chunks, components); a chunk's components are sorted by ``order``.
 
-    Two levels: how many components a guid has is a map-side aggregate, which decides the number of
-    its chunks; a component's hash decides on its chunk. So a guid with a third of all rows is nested by
-    many tasks, and each list has about ``chunk`` entries. Equal components are counted first and
-    numbered, so that they don't meet in one chunk. ``shared`` (project_id, guid, shared_guid) gives
-    the flag; without it a guid with more than one component is shared."""
+    The component rows are shuffled once: a guid's components meet in one group, are sorted and cut into
+    even chunks. Only guids with more than ``met`` components, at most one in so many rows, are found
+    beforehand by a map-side aggregate and dealt over several groups by the components' hashes, so a guid
+    with a third of all rows is nested by many tasks and no group is much larger than ``met``. Their equal
+    components are counted first and numbered, so that they don't meet in one group. ``shared``
+    (project_id, guid, shared_guid) gives the flag; without it a guid with more than one component is shared."""
     key = ["project_id", "guid"]
     values = [c for c in rows.columns if c not in (*key, "shared_guid")]
-    each = rows.groupBy(*key, *values).agg(F.count(F.lit(1)).alias("_copies"))
-    each = each.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    sizes = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n_components"))
+    fields = [order, *(c for c in values if c != order)]
+    id_of = F.struct(*key).alias("_id")  # equal also where an id is null
+    large = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > met).select(id_of, "_n")
+    large = F.broadcast(written_copy(large, "large_guids"))
+    groups = F.least(F.ceil(F.col("_n") / met), F.ceil(F.col("_n") / chunk))
+    one, component = F.lit(0).cast("long"), F.struct(*fields).alias("_c")
+    flag = lambda value: F.lit(value).cast("boolean").alias("_flag")
+    few = rows.select(id_of, component).join(large, "_id", "left_anti").select("_id", one.alias("_group"), F.lit(None).cast("long").alias("_n"), "_c", flag(None))
+    many = rows.withColumn("_id", id_of).join(large, "_id").groupBy("_id", "_n", *values).agg(F.count(F.lit(1)).alias("_copies"))
+    many = many.select("_id", "_n", component, "_copies")
+    many = many.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(
+        "_id", F.pmod(F.xxhash64("_c", "_copy"), groups).alias("_group"), "_n", "_c", flag(None))
+    dealt = few.unionByName(many)
+    if shared is not None:  # the flags of a guid meet its components, in each of its groups
+        flags = shared.select(id_of, F.coalesce("shared_guid", F.lit(False)).alias("_flag")).join(large, "_id", "left").withColumn(
+            "_group", F.explode(F.sequence(one, F.coalesce(groups, F.lit(1)) - 1)))
+        dealt = dealt.unionByName(flags.withColumn("_c", F.lit(None).cast(few.schema["_c"].dataType)).select("_id", "_group", "_n", "_c", "_flag"))
+    dealt = dealt.groupBy("_id", "_group").agg(F.max("_n").alias("_n"), F.collect_list("_c").alias("_c"), F.collect_list("_flag").alias("_flags"))
+    size = F.size("_c").cast("long")
+    dealt = dealt.filter(size > 0).withColumn("n_components", F.coalesce("_n", size)).withColumn("n_chunks", F.ceil(F.col("n_components") / chunk))
     if shared is None:
-        sizes = sizes.withColumn("shared_guid", F.col("n_components") > 1)
-    else:
-        flags = shared.select(*(F.col(k).alias(f"_{k}") for k in key), "shared_guid")
-        sizes = sizes.join(flags, F.col("project_id").eqNullSafe(F.col("_project_id")) & F.col("guid").eqNullSafe(F.col("_guid")), "left").select(
-            *key, "n_components", F.coalesce("shared_guid", F.lit(False)).alias("shared_guid"))
-    sizes = sizes.select(*(F.col(k).alias(f"_{k}") for k in key), "n_components", "shared_guid", F.ceil(F.col("n_components") / chunk).alias("n_chunks"))
-    sized = each.join(sizes, F.col("project_id").eqNullSafe(F.col("_project_id")) & F.col("guid").eqNullSafe(F.col("_guid")))
-    slot = F.pmod(F.xxhash64(*values, "_copy"), F.col("n_chunks"))
-    listed = F.array_sort(F.collect_list(F.struct(order, *(c for c in values if c != order))))
-    return (sized.groupBy(*key, "shared_guid", "n_components", "n_chunks", slot.alias("chunk")).agg(listed.alias("components"))
-            .select(*key, "shared_guid", "n_components", "chunk", "n_chunks", "components"))
+        flagged = dealt.withColumn("shared_guid", F.col("n_components") > 1)
+    else:  # a guid that has a flag several times has its components as often
+        times = lambda value: F.size(F.filter("_flags", lambda f: f == F.lit(value)))
+        options = F.when(F.size("_flags") == 0, F.array(F.struct(F.lit(False).alias("flag"), F.lit(1).alias("times")))).otherwise(
+            F.filter(F.array(*(F.struct(F.lit(v).alias("flag"), times(v).alias("times")) for v in (False, True))), lambda o: o["times"] > 0))
+        flagged = dealt.withColumn("_o", F.explode(options)).withColumn("shared_guid", F.col("_o.flag")).withColumn(
+            "_c", F.flatten(F.array_repeat("_c", F.col("_o.times"))))
+    # group g of G has the chunks g, g + G, g + 2 G, ...
+    all_groups = F.coalesce(groups, F.lit(1))
+    own = F.ceil((F.col("n_chunks") - F.col("_group")) / all_groups)
+    begin = lambda i: F.floor(i * F.size("_sorted") / F.col("_own")).cast("int")
+    parts = F.transform(F.sequence(one, F.col("_own") - 1), lambda i: F.struct(
+        (F.col("_group") + i * F.col("_groups")).alias("chunk"), F.slice("_sorted", begin(i) + 1, begin(i + 1) - begin(i)).alias("components")))
+    cut = flagged.withColumn("_sorted", F.array_sort("_c")).withColumn("_own", own).withColumn("_groups", all_groups).select(
+        "_id.*", "shared_guid", "n_components", "n_chunks", F.explode(F.filter(parts, lambda p: F.size(p["components"]) > 0)).alias("_p"))
+    return cut.select(*key, "shared_guid", "n_components", "_p.chunk", "n_chunks", "_p.components")
 
 
 def lca_nested(lca: DataFrame, chunk: int = NEST) -> DataFrame:

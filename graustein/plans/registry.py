@@ -381,7 +381,7 @@ def q_lca_nested(spark, sf_dir):
     from graustein.sinks import writers
     path = scratch_path(spark, "nested", uuid.uuid4().hex)
     records = cb.lca_nested(lca_components(spark, sf_dir))
-    writers.write_json(records, path)
+    writers.write_json(records, path, compression="gzip")
     c = F.col("components")
     return spark.read.schema(records.schema).json(path).select(
         "project_id", "guid", "shared_guid", "n_components", F.size(F.filter(c, lambda x: x["failed"])).cast("long").alias("n_failed"),
@@ -406,7 +406,7 @@ def q_combined_nested(spark, sf_dir):
     from graustein.sinks import writers
     path = scratch_path(spark, "nested", uuid.uuid4().hex)
     records = cb.combined_nested(lca_components(spark, sf_dir), cost_components(spark, sf_dir), chunk=3)
-    writers.write_json(records, path)
+    writers.write_json(records, path, compression="gzip")
     back = spark.read.schema(records.schema).json(path)
     whole = back.groupBy("project_id", "guid", "shared_guid", "n_components", "n_chunks").agg(
         F.array_sort(F.flatten(F.collect_list(F.transform("components", lambda x: F.struct(

@@ -147,15 +147,16 @@ def read_current(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 # ---------------------------------------------------------------- JSON / text outputs
 
-def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K2/K7: JSON lines with null fields kept; an empty result is an error.
+def write_json(df: DataFrame, path: str, mode: str = "overwrite", compression: str | None = None) -> None:
+    """K2/K7: JSON lines with null fields kept; an empty result is an error. ``compression``: the files'
+    codec, such as gzip; Spark's reader knows it by their names.
 
     Rows are counted while they are written, so the plan runs once. An empty result leaves nothing
     behind: it is written beside ``path`` and moved there when it has rows."""
     spark = df.sparkSession
     counted = Observation("json_rows")
     staged = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
-    df.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").option("ignoreNullFields", False).json(staged)
+    df.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").option("ignoreNullFields", False).json(staged, compression=compression)
     fs, source = commits.file_system(spark, staged)
     _, target = commits.file_system(spark, path)
     if not counted.get.get("n"):

@@ -182,3 +182,29 @@ def test_runs_set_the_status_of_their_projects(spark, tmp_dir):
     cost_run = runs.run_cost(spark, inputs.elements, fx.cost_reference(spark), tmp_dir, run_id="r", projects=lca_run.projects)
     want = {r["project_id"]: r["status"] for r in cost_run.stats.collect()}
     assert {r["project_id"]: r["status"] for r in cost_run.projects.collect()} == {**want, "empty": "active"} and "failed" in want.values()
+
+
+def test_large_guids_are_dealt_over_groups_and_numbered_once(spark):
+    df = components(spark, {"hot": 300, "warm": 40, "a": 3}).unionByName(components(spark, {"same": 1}, copies=130)).unionByName(
+        spark.createDataFrame([(None, "g", f"m{i}", 1.0, True) for i in range(70)], "project_id string, guid string, material string, gwp double, failed boolean"))
+    flags = spark.createDataFrame([("P", "hot", True), ("P", "a", False), ("P", "a", False), (None, "g", False), (None, "g", True)], "project_id string, guid string, shared_guid boolean")
+
+    def whole(records):
+        out = {}
+        for r in records:
+            assert len(r["components"]) <= 2 * 14 and 0 <= r["chunk"] < r["n_chunks"] == -(-r["n_components"] // 7)
+            held = out.setdefault((r["project_id"], r["guid"], r["shared_guid"], r["n_components"]), ([], []))
+            held[0].append(r["chunk"])
+            held[1].extend(map(repr, r["components"]))
+        assert all(len(c) == len(set(c)) for c, _ in out.values())
+        return {k: sorted(c) for k, (_, c) in out.items()}
+    for shared in (None, flags):
+        got = whole(cb.nested(df, shared, chunk=7, met=50).collect())
+        assert got == whole(cb.nested(df, shared, chunk=7).collect()) and sum(k[3] for k in got if k[:3] != (None, "g", True) or shared is None) == 543
+    assert len(got["P", "a", False, 3]) == 6 and len(got[None, "g", True, 70]) == len(got[None, "g", False, 70]) == 70
+
+
+def test_component_rows_are_shuffled_once(spark, capsys):
+    cb.nested(components(spark, {"a": 3}).cache()).explain("simple")
+    plan = capsys.readouterr().out
+    assert plan.count("hashpartitioning(_id#") == 2 and plan.count("BroadcastExchange") >= 1 and "SortMergeJoin" not in plan
