@@ -37,17 +37,20 @@ def combine_results(lca: DataFrame, cost: DataFrame) -> DataFrame:
     return lca_rows_for_union(lca).unionByName(cost_rows_for_union(cost), allowMissingColumns=True)
 
 
-def combined_per_guid(lca: DataFrame, cost: DataFrame) -> DataFrame:
-    """Per guid the merged component count and ``shared_guid`` = OR of the
-    inputs' flags (an LCA element is shared when it has > 1 component; cost never is)."""
+def _counts_per_guid(lca: DataFrame, cost: DataFrame) -> DataFrame:
+    """(project_id, guid, n_lca, f_lca, n_cost, f_cost): components and failed ones of both kinds, a row per cost row."""
     lca_g = (lca.groupBy("project_id", F.col("element_id").alias("guid"))
              .agg(F.count(F.lit(1)).alias("n_lca"), F.count_if("failed").alias("f_lca")))
     cost_g = cost.select("project_id", "guid", F.lit(1).alias("n_cost"), F.col("failed").cast("int").alias("f_cost"))
-    return (lca_g.join(cost_g, ["project_id", "guid"], "full")
-            .select("project_id", "guid",
-                    (F.coalesce("n_lca", F.lit(0)) + F.coalesce("n_cost", F.lit(0))).alias("n_components"),
-                    (F.coalesce("f_lca", F.lit(0)) + F.coalesce("f_cost", F.lit(0))).alias("n_failed"),
-                    F.coalesce(F.col("n_lca") > 1, F.lit(False)).alias("shared_guid")))
+    return lca_g.join(cost_g, ["project_id", "guid"], "full").select(
+        "project_id", "guid", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("n_lca", "f_lca", "n_cost", "f_cost")))
+
+
+def combined_per_guid(lca: DataFrame, cost: DataFrame) -> DataFrame:
+    """Per guid the merged component count and ``shared_guid`` = OR of the
+    inputs' flags (an LCA element is shared when it has > 1 component; cost never is)."""
+    return _counts_per_guid(lca, cost).select("project_id", "guid", (F.col("n_lca") + F.col("n_cost")).alias("n_components"),
+                                              (F.col("f_lca") + F.col("f_cost")).alias("n_failed"), (F.col("n_lca") > 1).alias("shared_guid"))
 
 
 def combined_rows(lca: DataFrame, cost: DataFrame) -> DataFrame:
@@ -60,7 +63,8 @@ NEST = 1000  # components in a chunk, about
 MET = 20 * NEST  # components of a guid that may meet in one group
 
 
-def nested(rows: DataFrame, shared: DataFrame | None = None, order: str = "material", chunk: int = NEST, met: int = MET) -> DataFrame:
+def nested(rows: DataFrame, shared: DataFrame | None = None, order: str = "material", chunk: int = NEST, met: int = MET,
+           sizes: DataFrame | None = None) -> DataFrame:
     """One record per (project_id, guid) with its components in a list; a guid with more than
     ``chunk`` components becomes several numbered records. (project_id, guid, shared_guid, n_components,
     chunk, n_chunks, components); a chunk's components are sorted by ``order``.
@@ -70,22 +74,28 @@ def nested(rows: DataFrame, shared: DataFrame | None = None, order: str = "mater
     beforehand by a map-side aggregate and dealt over several groups by the components' hashes, so a guid
     with a third of all rows is nested by many tasks and no group is much larger than ``met``. Their equal
     components are counted first and numbered, so that they don't meet in one group. ``shared``
-    (project_id, guid, shared_guid) gives the flag; without it a guid with more than one component is shared."""
+    (project_id, guid, shared_guid) gives the flag; without it a guid with more than one component is shared.
+    ``sizes`` (project_id, guid, n): the guids' numbers of components, if they are known."""
     key = ["project_id", "guid"]
     values = [c for c in rows.columns if c not in (*key, "shared_guid")]
     fields = [order, *(c for c in values if c != order)]
     id_of = F.struct(*key).alias("_id")  # equal also where an id is null
-    large = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > met).select(id_of, "_n")
-    large = F.broadcast(written_copy(large, "large_guids"))
+    sizes = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")) if sizes is None else sizes
+    large = sizes.filter(F.col("n") > met).select(id_of, F.col("n").alias("_n"))
+    large = written_copy(large, "large_guids")
+    none_large, large = large.isEmpty(), F.broadcast(large)
     groups = F.least(F.ceil(F.col("_n") / met), F.ceil(F.col("_n") / chunk))
     one, component = F.lit(0).cast("long"), F.struct(*fields).alias("_c")
     flag = lambda value: F.lit(value).cast("boolean").alias("_flag")
-    few = rows.select(id_of, component).join(large, "_id", "left_anti").select("_id", one.alias("_group"), F.lit(None).cast("long").alias("_n"), "_c", flag(None))
-    many = rows.withColumn("_id", id_of).join(large, "_id").groupBy("_id", "_n", *values).agg(F.count(F.lit(1)).alias("_copies"))
-    many = many.select("_id", "_n", component, "_copies")
-    many = many.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(
-        "_id", F.pmod(F.xxhash64("_c", "_copy"), groups).alias("_group"), "_n", "_c", flag(None))
-    dealt = few.unionByName(many)
+    few = rows.select(id_of, component)
+    few = (few if none_large else few.join(large, "_id", "left_anti")).select("_id", one.alias("_group"), F.lit(None).cast("long").alias("_n"), "_c", flag(None))
+    dealt = few
+    if not none_large:
+        many = rows.withColumn("_id", id_of).join(large, "_id").groupBy("_id", "_n", *values).agg(F.count(F.lit(1)).alias("_copies"))
+        many = many.select("_id", "_n", component, "_copies")
+        many = many.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(
+            "_id", F.pmod(F.xxhash64("_c", "_copy"), groups).alias("_group"), "_n", "_c", flag(None))
+        dealt = dealt.unionByName(many)
     if shared is not None:  # the flags of a guid meet its components, in each of its groups
         flags = shared.select(id_of, F.coalesce("shared_guid", F.lit(False)).alias("_flag")).join(large, "_id", "left").withColumn(
             "_group", F.explode(F.sequence(one, F.coalesce(groups, F.lit(1)) - 1)))
@@ -123,8 +133,10 @@ def lca_nested(lca: DataFrame, chunk: int = NEST) -> DataFrame:
 
 def combined_nested(lca: DataFrame, cost: DataFrame, chunk: int = NEST) -> DataFrame:
     """LCA and cost components of each guid in one record; ``shared_guid`` is the OR of both."""
-    shared = combined_per_guid(lca, cost).select("project_id", "guid", "shared_guid")
-    return nested(combine_results(lca, cost), shared, chunk=chunk)
+    counts = written_copy(_counts_per_guid(lca, cost).select("project_id", "guid", "n_lca", "n_cost"), "guid_counts")
+    sizes = counts.groupBy("project_id", "guid").agg((F.max("n_lca") + F.sum("n_cost")).alias("n"))
+    shared = counts.select("project_id", "guid", (F.col("n_lca") > 1).alias("shared_guid"))
+    return nested(combine_results(lca, cost), shared, chunk=chunk, sizes=sizes)
 
 
 def summarize(combined: DataFrame, by: list[str] | None = None, count_failed: bool = False) -> DataFrame:

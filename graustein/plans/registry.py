@@ -411,7 +411,7 @@ def q_combined_nested(spark, sf_dir):
     whole = back.groupBy("project_id", "guid", "shared_guid", "n_components", "n_chunks").agg(
         F.array_sort(F.flatten(F.collect_list(F.transform("components", lambda x: F.struct(
             x["material"].alias("m"), F.when(x["failed"], x["error"]).otherwise("ok").alias("o"), x["total_cost"].cast("decimal(38,2)").alias("t")))))).alias("c"),
-        F.count_distinct("chunk").alias("n"), F.count(F.lit(1)).alias("rows"), F.min("chunk").alias("low"), F.max("chunk").alias("high"))
+        F.size(F.collect_set("chunk")).alias("n"), F.count(F.lit(1)).alias("rows"), F.min("chunk").alias("low"), F.max("chunk").alias("high"))
     numbered = (F.col("n") == F.col("rows")) & (F.col("low") >= 0) & (F.col("high") < F.col("n_chunks")) & (F.size("c") == F.col("n_components"))
     return whole.select("project_id", "guid", "shared_guid", "n_components", "n_chunks", numbered.alias("chunks_numbered"),
                         F.array_join(F.transform("c", lambda x: F.concat(x["m"], F.lit("="), x["o"])), ";").alias("materials"),
