@@ -25,15 +25,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graustein.llm.base import map_arrow, slices
+from graustein.llm.base import map_arrow, release, slices
 from graustein.llm.chunks import Encoded
 
 LONG = 256
-WORDS_AT_ONCE = 10_000
-# contracted chunks that a worker remembers from task to task: at most so many (about 200 bytes of
-# Python objects each), and so many bytes of chunks and ids
-KNOWN, KNOWN_BYTES = 240_000, 16 << 20
-SLICE = 2 << 20
+# words that are contracted at once: the recursion keeps about half of a word's length squared in rows, of 24 bytes
+ROWS_AT_ONCE = 1 << 19
+IDS_AT_ONCE = 1 << 17  # ids that are decoded at once (a longer text: all of its own)
+# contracted chunks that a worker remembers from task to task: at most so many (about 40 bytes each),
+# and so many bytes of chunks and ids
+KNOWN, KNOWN_BYTES = 600_000, 32 << 20
+SLICE = 1 << 20
 
 CONTRACT = """
 WITH RECURSIVE state AS (
@@ -51,8 +53,8 @@ WITH RECURSIVE state AS (
            CASE WHEN s.place = h.place THEN h.next_id WHEN s.next_place = h.place THEN h.merged ELSE s.next_id END AS next_id,
            CASE WHEN s.place = h.place THEN h.next_place ELSE s.next_place END AS next_place, s.step + 1 AS step
     FROM state s JOIN hit h ON h.word = s.word WHERE s.place <> h.gone))
-SELECT word, id FROM (SELECT word, place, id, step, max(step) OVER (PARTITION BY word) AS last FROM state)
-WHERE step = last ORDER BY word, place"""
+SELECT s.word, s.id FROM state s JOIN (SELECT word, max(step) AS step FROM state GROUP BY word) USING (word, step)
+ORDER BY s.word, s.place"""
 
 DECODE = """
 SELECT text, string_agg(piece, '') AS bytes
@@ -146,12 +148,27 @@ class Coder:
             else:
                 short.append(w)
                 spelled.append(raw)
-        for i in range(0, len(short), WORDS_AT_ONCE):
-            ids.update(zip(short[i:i + WORDS_AT_ONCE], self.contract(spelled[i:i + WORDS_AT_ONCE])))
+        fresh = []
+        for w, raw, held in zip(short, spelled, self.encoded.remembered(spelled)):
+            if held is None:
+                fresh.append((len(raw), w, raw))
+            else:
+                ids[w] = held
+        fresh.sort()  # words of about one length take about as many steps
+        group = np.cumsum([n * n for n, _, _ in fresh]) // (2 * ROWS_AT_ONCE)
+        for at in np.split(np.arange(len(fresh)), np.flatnonzero(np.diff(group)) + 1):
+            if len(at):
+                ids.update(zip((fresh[i][1] for i in at), self.contract([fresh[i][2] for i in at])))
         get = ids.__getitem__
         return [get(ws[0]) if len(ws) == 1 else b"".join(map(get, ws)) for ws in found]
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
+        """The bytes that each text's ids stand for, by sets of texts of about ``IDS_AT_ONCE`` ids."""
+        ends = np.cumsum([len(x) // 4 for x in ids])
+        cut = np.flatnonzero(np.diff(ends // IDS_AT_ONCE, append=-1)) + 1
+        return [text for a, b in zip([0, *cut], cut) for text in self._decode(ids[a:b])]
+
+    def _decode(self, ids: list[bytes]) -> list[bytes]:
         lens = np.array([len(x) // 4 for x in ids], np.int64)
         n = int(lens.sum())
         if not n:
@@ -188,6 +205,8 @@ def _code(path: str, pattern: str):
                 decoded = own.decode(ids)
                 yield pa.record_batch([batch.column(0).slice(i, j - i), pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())],
                                       ["id", "ids", "decoded"])
+                del text, flat, data, ids, decoded
+                release()  # freed memory piles up over the slices of a task otherwise
     return run
 
 
