@@ -128,13 +128,19 @@ def quarantine(tables: dict[str, DataFrame], keys: dict[str, list[str]], not_nul
                found: DataFrame | None = None) -> DataFrame:
     """(table, check, key, record) of every row that violates something, once per reason, the row as
     JSON; of a duplicated key all rows. ``found``: ``violations``, if they are stored already."""
-    found = violations(tables, keys, not_null, fks, checks) if found is None else found
+    given = found is not None
+    found = found if given else violations(tables, keys, not_null, fks, checks)
     reasons = found.select(F.col("table").alias("_table"), F.col("check").alias("_check"), F.col("key").alias("_key"))
-    parts = []
+    rows, said = [], []
     for name, df in tables.items():
-        tags = _tags(name, df, keys, not_null, [f for f in fks if f[0] == name], checks or {})
-        if tags:
-            own = F.filter(F.array(*tags), lambda x: x.isNotNull() & ~x["parent"])
-            parts.append(df.select(F.to_json(F.struct(*df.columns)).alias("record"), F.explode(own).alias("t")).select("t.table", "t.check", "t.key", "record"))
-    rows = _union(parts)
-    return rows.join(reasons, (F.col("table") == F.col("_table")) & (F.col("check") == F.col("_check")) & (F.col("key") == F.col("_key")), "left_semi")
+        # a NOT NULL or CHECK tag is a violation by itself: its rows, all of one empty key, need not meet the reasons
+        for parts, tags in ((rows, _tags(name, df, keys, {}, [f for f in fks if f[0] == name], {})), (said, _tags(name, df, {}, not_null, [], checks or {}))):
+            if tags:
+                own = F.filter(F.array(*tags), lambda x: x.isNotNull() & ~x["parent"])
+                parts.append(df.select(F.struct(*df.columns).alias("r"), F.explode(own).alias("t"))
+                             .select("t.table", "t.check", "t.key", F.to_json("r").alias("record")))
+    on = (F.col("table") == F.col("_table")) & (F.col("check") == F.col("_check")) & (F.col("key") == F.col("_key"))
+    out = [_union(rows).join(reasons, on, "left_semi")] if rows else []
+    if said:
+        out.append(_union(said).join(reasons, on, "left_semi") if given else _union(said))
+    return _union(out)

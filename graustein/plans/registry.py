@@ -769,9 +769,11 @@ def dirty_tables(spark, sf_dir):
     els = fx.elements(spark, sf_dir).select("id", "project_id", "ebkp", "length")
     twice = els.join(urgent, "id", "left_semi").withColumn("project_id", F.lit(None).cast("string"))
     mats = fx.element_materials(spark, sf_dir).select("element_id", "material_name", "volume")
-    more = mats.filter("volume <= 0").withColumn("element_id", F.when(F.col("volume") < 0, F.concat(F.lit("X"), "element_id")).otherwise(F.col("element_id")))
+    more = F.when(F.col("volume") < 0, F.concat(F.lit("X"), "element_id")).when(F.col("volume") == 0, F.col("element_id"))
+    ids = F.when(F.col("volume") <= 0, F.array("element_id", more)).otherwise(F.array("element_id"))  # one pass over the materials
+    mats = mats.select(F.explode(ids).alias("element_id"), "material_name", "volume")
     projects = fx.projects(spark, sf_dir).select("project_id", F.when(F.col("project_id") == "P7", "weird").otherwise(F.col("status")).alias("status"))
-    tables = {"elements": els.unionByName(twice), "materials": mats.unionByName(more), "projects": projects}
+    tables = {"elements": els.unionByName(twice), "materials": mats, "projects": projects}
     return dict(tables=tables, keys={"elements": ["id"], "materials": ["element_id", "material_name"], "projects": ["project_id"]},
                 not_null={"elements": ["id", "project_id"]}, fks=[("materials", "element_id", "elements", "id")],
                 checks={"projects": [("status", F.col("status").isin(*PROJECT_STATUSES))], "elements": [("length", F.col("length") > 0)]})
@@ -794,9 +796,12 @@ def q_quarantined_rows(spark, sf_dir):
     """Every row that violates a constraint, with its reason, written and read back by table."""
     import uuid
     from graustein.operators import quality as qa
-    from graustein.session import scratch_path
+    from graustein.session import scratch_path, written_copy
     from graustein.sinks import writers
-    rows = qa.quarantine(**dirty_tables(spark, sf_dir))
+    dirty = dirty_tables(spark, sf_dir)
+    # they are read twice: for the violations and for the rows
+    dirty["tables"] = {name: written_copy(df, name) for name, df in dirty["tables"].items()}
+    rows = qa.quarantine(**dirty)
     path = scratch_path(spark, "quarantine", uuid.uuid4().hex)
     writers.write_partitioned(rows, path, ("table",), mode="overwrite")
     back = writers.read_back(spark, path, rows)
