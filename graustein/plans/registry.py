@@ -1114,18 +1114,24 @@ def q_stream_redelivery(spark, sf_dir):
     """All projects delivered, then P1, P2 and P3 again after the elements of P1 and P3 were
     deleted: those show no rows, are failed and answered with an error; all tables change in one commit."""
     import uuid
-    from graustein.session import scratch_path
+    from graustein.session import scratch_path, written_copy
     from graustein.streaming import deliveries as dl
     from graustein.streaming import messages as ms
     root = scratch_path(spark, "streams", uuid.uuid4().hex)
+    materials = written_copy(fx.element_materials(spark, sf_dir), "element_materials")  # both batches read them
+
+    def inputs_now():
+        inputs = lca_inputs(spark, sf_dir)
+        inputs.materials = materials
+        return inputs
     messages = fx.table(spark, sf_dir, "events").select(_event_message().alias("value"))
     # one message per project
     url = F.concat(F.lit("s3://models/"), F.col("project_id"), F.lit("/model.ifc"))
     named = ms.clean_messages(messages).select("project_id").distinct().select(F.to_json(F.struct(url.alias("fileUrl"), F.col("project_id").alias("projectId"))).alias("value"), "project_id")
-    ms.make_batch_handler(ms.BatchContext(lambda: lca_inputs(spark, sf_dir), root))(named.select("value"), 0)
+    ms.make_batch_handler(ms.BatchContext(inputs_now, root))(named.select("value"), 0)
 
     def later():
-        inputs = lca_inputs(spark, sf_dir)
+        inputs = inputs_now()
         inputs.elements = inputs.elements.filter(~F.col("project_id").isin("P1", "P3"))
         return inputs
     ms.make_batch_handler(ms.BatchContext(later, root))(named.filter(F.col("project_id").isin("P1", "P2", "P3")).select("value"), 1)
