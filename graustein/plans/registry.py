@@ -419,23 +419,24 @@ def q_combined_nested(spark, sf_dir):
 
 
 def _as_documents(rows: int | None):
-    """An Arrow stage: JSON texts of elements as the lines of documents, a document per ``rows`` elements or
-    (None) per task."""
+    """An Arrow stage: JSON texts of elements, each behind a comma, as the lines of documents, a document per
+    ``rows`` elements or (None) per task. The texts are passed on as they are."""
     def lines(batches):
         import pyarrow as pa
         n = 0
         first = '{"metadata":{"units":{"length":"{m}"}},"elements":[{}'
-        out = [first]
+        out = lambda texts: pa.RecordBatch.from_arrays([texts], names=["value"])
+        yield out(pa.array([first]))
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            texts, at = batch.column(0), 0
+            while at < len(texts):
                 if n == rows:
-                    out += ["]}", first]
+                    yield out(pa.array(["]}", first]))
                     n = 0
-                out.append("," + text)
-                n += 1
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
-            out = []
-        yield pa.RecordBatch.from_arrays([pa.array([*out, "]}"], pa.string())], names=["value"])
+                held = texts.slice(at, None if rows is None else rows - n)
+                yield out(held)
+                at, n = at + len(held), n + len(held)
+        yield out(pa.array(["]}"]))
     return lines
 
 
@@ -444,7 +445,7 @@ def json_documents(spark: SparkSession, sf_dir: str, rows: int | None = None) ->
     element per line, a text row each). Every task writes its own files, one or (``rows``) one per so many
     elements: nothing is sorted or shuffled for them, and their number grows with the tables."""
     import uuid
-    from graustein.session import arrow_stage, scratch_path
+    from graustein.session import arrow_stage, scratch_path, shuffles_dropped
     path = scratch_path(spark, "documents", uuid.uuid4().hex)
     mats = fx.element_materials(spark, sf_dir).select(
         "element_id", F.struct(F.col("material_name").alias("name"), F.col("volume").cast("double").alias("volume"), F.col("density").cast("double").alias("density")).alias("m"))
@@ -452,9 +453,10 @@ def json_documents(spark: SparkSession, sf_dir: str, rows: int | None = None) ->
     # a document per layer, as in lca_from_documents: no element is gathered
     layer = F.struct(F.col("id"), F.struct(F.col("ebkp")).alias("properties"), F.struct(F.struct(F.col("area_net").cast("double").alias("net")).alias("area")).alias("quantities"),
                      F.array("m.name").alias("materials"), F.create_map(F.col("m.name"), F.struct("m.volume", "m.density")).alias("material_volumes"))
-    texts = els.join(mats, els.id == mats.element_id).select(F.to_json(layer).alias("value"))
-    # the writer begins a new file behind a document's last line
-    arrow_stage(texts, _as_documents(rows), "value string").write.option("maxRecordsPerFile", rows + 2 if rows else 0).text(path)
+    texts = els.join(mats, els.id == mats.element_id).select(F.concat(F.lit(","), F.to_json(layer)).alias("value"))
+    with shuffles_dropped(spark):
+        # the writer begins a new file behind a document's last line
+        arrow_stage(texts, _as_documents(rows), "value string").write.option("maxRecordsPerFile", rows + 2 if rows else 0).text(path)
     return path
 
 

@@ -3,6 +3,7 @@
 import json
 import os
 import random
+import time
 
 from graustein import schemas
 from graustein.operators import elements as el
@@ -129,3 +130,63 @@ def test_fixture_documents_are_bounded_and_whole(spark):
     assert max(sizes) <= 51 and len(sizes) * 50 >= len(want)  # an empty element each besides
     got = el.explode_materials(el.explode_documents(docs)).select("element_id", "material_name", "volume", "density")
     assert rows(got) == want and rows(el.explode_materials(json_arrays.read_elements(spark, path)).select(*got.columns)) == want
+
+
+def test_lines_and_braces_frame_the_same(spark, tmp_dir):
+    pick = random.Random(11)
+    many = [element(pick, i) for i in range(40)]
+    lines = lambda end: ("," + end).join(json.dumps(x, ensure_ascii=False) for x in many)
+    documents = {"lines": f"[{lines(chr(10))}]", "crlf": f"[{lines(chr(13) + chr(10))}]\r\n", "mark": f"\ufeff[\n{lines(chr(10))}\n]\n",
+                 "object": '{"metadata":{"units":{"length":"{m}"}},"elements":[{}\n,' + lines("\n") + "\n]}\n",
+                 "long": "[" + json.dumps({"id": "l", "object_type": "\\" * 700}) + ",\n" + lines("\n") + "]", "no lines": f"[{lines('')}]",
+                 "blank": "\n \n[" + lines("\n \n") + "]"}
+    for name, document in documents.items():
+        with open(os.path.join(tmp_dir, f"{name}.json"), "w", encoding="utf-8", newline="") as f:
+            f.write(document)
+    found = {}
+    for line_bytes in (64, 1000, 1 << 20):
+        got = json_arrays.item_texts(spark, tmp_dir, line_bytes=line_bytes).collect()
+        for r in sorted(got, key=lambda r: (r["file"], r["n"])):
+            found.setdefault((line_bytes, os.path.basename(r["file"]).replace("%20", " ")), []).append(json.loads(r["text"]))
+    for name in documents:
+        want = [{}] * (name == "object") + [{"id": "l", "object_type": "\\" * 700}] * (name == "long") + many
+        assert all(found[b, f"{name}.json"] == want for b in (64, 1000, 1 << 20)), name
+
+
+def test_items_are_cut_line_by_line_and_never_shuffled_or_parsed_twice(spark, tmp_dir, capsys):
+    with open(os.path.join(tmp_dir, "a.json"), "w") as f:
+        f.write('{"elements":[{}\n' + "".join(f',{{"id":"{i}","properties":{{"ebkp":"C"}}}}\n' for i in range(300)) + "]}")
+    seen = []
+    pieces = json_arrays._pieces(spark, tmp_dir, sep="\n", longest=json_arrays.LINE_BYTES)
+    assert pieces.count() == 302  # a row per line, not one per brace
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows_ = el.flatten_elements(json_arrays.read_elements(spark, tmp_dir)).select("id", "ebkp")
+        rows_.explain("formatted")
+        seen = capsys.readouterr().out.split("\n\n")
+        assert sum(part.count("from_json(") for part in seen) == 1
+        assert not any("raw#" in part for part in seen if "Exchange" in part.strip().split("\n")[0])
+        assert sorted(int(r["id"]) for r in rows_.collect()) == list(range(300))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_shuffle_files_go_when_a_written_copy_is_done(spark):
+    from graustein.session import SHUFFLE_CLEANUP, written_copy
+    jvm, before = spark.sparkContext._jvm, spark.conf.get(SHUFFLE_CLEANUP, None)
+    blocks = jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: {f.name() for f in (b for b in _scala(blocks.getAllBlocks())) if f.name().startswith("shuffle_")}
+    earlier = held()
+    copy = written_copy(spark.range(1000).groupBy("id").count(), "t")
+    until = time.time() + 10  # they are removed behind the query's end
+    while held() - earlier and time.time() < until:
+        time.sleep(0.1)
+    assert not held() - earlier
+    assert copy.count() == 1000 and spark.conf.get(SHUFFLE_CLEANUP, None) == before
+
+
+def _scala(seq):
+    it = seq.iterator()
+    while it.hasNext():
+        yield it.next()
