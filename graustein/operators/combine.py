@@ -63,8 +63,15 @@ NEST = 1000  # components in a chunk, about
 MET = 20 * NEST  # components of a guid that may meet in one group
 
 
+def _flags_by_source(n_lca, n_cost) -> list:
+    """A guid's flags and how often it has each, from its components: those that the rows of ``_counts_per_guid`` give,
+    a row per cost row, where a guid or project that is null never meets its counterpart."""
+    alone, many, once = F.col("_id.project_id").isNull() | F.col("_id.guid").isNull(), (n_lca > 1).cast("int"), F.greatest(n_cost, F.lit(1))
+    return [(False, F.when(alone, n_cost + (n_lca == 1).cast("int")).otherwise((1 - many) * once)), (True, F.when(alone, many).otherwise(many * once))]
+
+
 def nested(rows: DataFrame, shared: DataFrame | None = None, order: str = "material", chunk: int = NEST, met: int = MET,
-           sizes: DataFrame | None = None) -> DataFrame:
+           by_source: bool = False) -> DataFrame:
     """One record per (project_id, guid) with its components in a list; a guid with more than
     ``chunk`` components becomes several numbered records. (project_id, guid, shared_guid, n_components,
     chunk, n_chunks, components); a chunk's components are sorted by ``order``.
@@ -74,43 +81,53 @@ def nested(rows: DataFrame, shared: DataFrame | None = None, order: str = "mater
     beforehand by a map-side aggregate and dealt over several groups by the components' hashes, so a guid
     with a third of all rows is nested by many tasks and no group is much larger than ``met``. Their equal
     components are counted first and numbered, so that they don't meet in one group. ``shared``
-    (project_id, guid, shared_guid) gives the flag; without it a guid with more than one component is shared.
-    ``sizes`` (project_id, guid, n): the guids' numbers of components, if they are known."""
+    (project_id, guid, shared_guid) gives the flag; without it a guid with more than one component is shared, or
+    (``by_source``, rows of ``combine_results``) one with more than one LCA component."""
     key = ["project_id", "guid"]
     values = [c for c in rows.columns if c not in (*key, "shared_guid")]
     fields = [order, *(c for c in values if c != order)]
     id_of = F.struct(*key).alias("_id")  # equal also where an id is null
-    sizes = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")) if sizes is None else sizes
-    large = sizes.filter(F.col("n") > met).select(id_of, F.col("n").alias("_n"))
+    of_lca = F.count_if(F.col("source") == "lca") if by_source else F.lit(None).cast("long")
+    sizes = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), of_lca.alias("_n_lca"))
+    large = sizes.filter(F.col("_n") > met).select(id_of, "_n", "_n_lca")
     large = written_copy(large, "large_guids")
     none_large, large = large.isEmpty(), F.broadcast(large)
     groups = F.least(F.ceil(F.col("_n") / met), F.ceil(F.col("_n") / chunk))
     one, component = F.lit(0).cast("long"), F.struct(*fields).alias("_c")
-    flag = lambda value: F.lit(value).cast("boolean").alias("_flag")
     few = rows.select(id_of, component)
-    few = (few if none_large else few.join(large, "_id", "left_anti")).select("_id", one.alias("_group"), F.lit(None).cast("long").alias("_n"), "_c", flag(None))
+    few = (few if none_large else few.join(large, "_id", "left_anti")).select("_id", one.alias("_group"), "_c")
     dealt = few
     if not none_large:
         many = rows.withColumn("_id", id_of).join(large, "_id").groupBy("_id", "_n", *values).agg(F.count(F.lit(1)).alias("_copies"))
         many = many.select("_id", "_n", component, "_copies")
         many = many.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(
-            "_id", F.pmod(F.xxhash64("_c", "_copy"), groups).alias("_group"), "_n", "_c", flag(None))
+            "_id", F.pmod(F.xxhash64("_c", "_copy"), groups).alias("_group"), "_c")
         dealt = dealt.unionByName(many)
+    listed = [F.collect_list("_c").alias("_c")]
     if shared is not None:  # the flags of a guid meet its components, in each of its groups
         flags = shared.select(id_of, F.coalesce("shared_guid", F.lit(False)).alias("_flag")).join(large, "_id", "left").withColumn(
             "_group", F.explode(F.sequence(one, F.coalesce(groups, F.lit(1)) - 1)))
-        dealt = dealt.unionByName(flags.withColumn("_c", F.lit(None).cast(few.schema["_c"].dataType)).select("_id", "_group", "_n", "_c", "_flag"))
-    dealt = dealt.groupBy("_id", "_group").agg(F.max("_n").alias("_n"), F.collect_list("_c").alias("_c"), F.collect_list("_flag").alias("_flags"))
+        dealt = dealt.withColumn("_flag", F.lit(None).cast("boolean")).unionByName(
+            flags.withColumn("_c", F.lit(None).cast(few.schema["_c"].dataType)).select("_id", "_group", "_c", "_flag"))
+        listed.append(F.collect_list("_flag").alias("_flags"))
+    dealt = dealt.groupBy("_id", "_group").agg(*listed)
+    # a row per large guid
+    dealt = dealt.withColumns({"_n": F.lit(None).cast("long"), "_n_lca": F.lit(None).cast("long")}) if none_large else dealt.join(large, "_id", "left")
     size = F.size("_c").cast("long")
     dealt = dealt.filter(size > 0).withColumn("n_components", F.coalesce("_n", size)).withColumn("n_chunks", F.ceil(F.col("n_components") / chunk))
-    if shared is None:
+    if shared is None and not by_source:
         flagged = dealt.withColumn("shared_guid", F.col("n_components") > 1)
     else:  # a guid that has a flag several times has its components as often
-        times = lambda value: F.size(F.filter("_flags", lambda f: f == F.lit(value)))
-        options = F.when(F.size("_flags") == 0, F.array(F.struct(F.lit(False).alias("flag"), F.lit(1).alias("times")))).otherwise(
-            F.filter(F.array(*(F.struct(F.lit(v).alias("flag"), times(v).alias("times")) for v in (False, True))), lambda o: o["times"] > 0))
+        if by_source:
+            dealt = dealt.withColumn("_n_lca", F.coalesce("_n_lca", F.size(F.filter("_c", lambda c: c["source"] == "lca"))).cast("int"))
+            times = _flags_by_source(F.col("_n_lca"), F.col("n_components").cast("int") - F.col("_n_lca"))
+        else:
+            times = [(v, F.size(F.filter("_flags", lambda f: f == F.lit(v)))) for v in (False, True)]  # noqa: B023
+        options = F.filter(F.array(*(F.struct(F.lit(v).alias("flag"), n.alias("times")) for v, n in times)), lambda o: o["times"] > 0)
+        if not by_source:
+            options = F.when(F.size("_flags") == 0, F.array(F.struct(F.lit(False).alias("flag"), F.lit(1).alias("times")))).otherwise(options)
         flagged = dealt.withColumn("_o", F.explode(options)).withColumn("shared_guid", F.col("_o.flag")).withColumn(
-            "_c", F.flatten(F.array_repeat("_c", F.col("_o.times"))))
+            "_c", F.when(F.col("_o.times") == 1, F.col("_c")).otherwise(F.flatten(F.array_repeat("_c", F.col("_o.times")))))
     # group g of G has the chunks g, g + G, g + 2 G, ...
     all_groups = F.coalesce(groups, F.lit(1))
     own = F.ceil((F.col("n_chunks") - F.col("_group")) / all_groups)
@@ -132,11 +149,9 @@ def lca_nested(lca: DataFrame, chunk: int = NEST) -> DataFrame:
 
 
 def combined_nested(lca: DataFrame, cost: DataFrame, chunk: int = NEST) -> DataFrame:
-    """LCA and cost components of each guid in one record; ``shared_guid`` is the OR of both."""
-    counts = written_copy(_counts_per_guid(lca, cost).select("project_id", "guid", "n_lca", "n_cost"), "guid_counts")
-    sizes = counts.groupBy("project_id", "guid").agg((F.max("n_lca") + F.sum("n_cost")).alias("n"))
-    shared = counts.select("project_id", "guid", (F.col("n_lca") > 1).alias("shared_guid"))
-    return nested(combine_results(lca, cost), shared, chunk=chunk, sizes=sizes)
+    """LCA and cost components of each guid in one record; ``shared_guid`` is the OR of both. Both are
+    computed once: their rows are written, then counted and nested."""
+    return nested(written_copy(combine_results(lca, cost), "components", compression="zstd"), chunk=chunk, by_source=True)
 
 
 def summarize(combined: DataFrame, by: list[str] | None = None, count_failed: bool = False) -> DataFrame:

@@ -67,6 +67,12 @@ def catalogue_of_version(catalogue: DataFrame, version: str) -> DataFrame:
         "kbob_id", "kbob_material_name", *[src for _, src, _ in INDICATORS])
 
 
+def named_by(catalogue: DataFrame, mappings: DataFrame) -> DataFrame:
+    """The catalogue rows whose uuid a mapping names: the only ones that ``lca_components`` can find. Written, they
+    show how few they may be; as an aggregate of a large catalogue they would be joined by shuffling the facts."""
+    return catalogue.join(mappings.select(F.col("kbob_id").alias("uuid")).distinct(), "uuid", "left_semi").select(*catalogue.columns)
+
+
 def lca_components(components_in: DataFrame, mappings: DataFrame, catalogue: DataFrame,
                    life: DataFrame, version: str, normalise_life: bool = False) -> DataFrame:
     """C1 core: one result row per input row, good or failed."""

@@ -402,20 +402,27 @@ def q_combined_nested(spark, sf_dir):
     read back and put together again."""
     import uuid
     from graustein.operators import combine as cb
-    from graustein.session import scratch_path
+    from graustein.session import passing_copy, scratch_path
     from graustein.sinks import writers
     path = scratch_path(spark, "nested", uuid.uuid4().hex)
-    records = cb.combined_nested(lca_components(spark, sf_dir), cost_components(spark, sf_dir), chunk=3)
+    inputs = lca_inputs(spark, sf_dir)
+    # the material rows are read twice: for the valid elements, and whole; the reference rows' sizes are known when they are written
+    with (passing_copy(inputs.mappings, "mappings") as inputs.mappings,
+          passing_copy(lca_ops.named_by(inputs.catalogue, inputs.mappings), "catalogue") as inputs.catalogue,
+          passing_copy(inputs.materials, "materials", compression="zstd") as inputs.materials):
+        records = cb.combined_nested(jobs.lca(inputs)[0], cost_components(spark, sf_dir), chunk=3)
     writers.write_json(records, path, compression="gzip")
     back = spark.read.schema(records.schema).json(path)
+    # per record first, so that only what is put together is shuffled; the sums are exact
+    cost = F.aggregate("components", F.lit(0).cast("decimal(38,2)"), lambda s, x: (s + F.coalesce(x["total_cost"].cast("decimal(38,2)"), F.lit(0))).cast("decimal(38,2)"))
     whole = back.groupBy("project_id", "guid", "shared_guid", "n_components", "n_chunks").agg(
         F.array_sort(F.flatten(F.collect_list(F.transform("components", lambda x: F.struct(
-            x["material"].alias("m"), F.when(x["failed"], x["error"]).otherwise("ok").alias("o"), x["total_cost"].cast("decimal(38,2)").alias("t")))))).alias("c"),
+            x["material"].alias("m"), F.when(x["failed"], x["error"]).otherwise("ok").alias("o")))))).alias("c"),
+        F.sum(cost).cast("decimal(38,2)").cast("double").alias("total_cost"),
         F.size(F.collect_set("chunk")).alias("n"), F.count(F.lit(1)).alias("rows"), F.min("chunk").alias("low"), F.max("chunk").alias("high"))
     numbered = (F.col("n") == F.col("rows")) & (F.col("low") >= 0) & (F.col("high") < F.col("n_chunks")) & (F.size("c") == F.col("n_components"))
     return whole.select("project_id", "guid", "shared_guid", "n_components", "n_chunks", numbered.alias("chunks_numbered"),
-                        F.array_join(F.transform("c", lambda x: F.concat(x["m"], F.lit("="), x["o"])), ";").alias("materials"),
-                        F.aggregate("c", F.lit(0).cast("decimal(38,2)"), lambda s, x: (s + F.coalesce(x["t"], F.lit(0))).cast("decimal(38,2)")).cast("double").alias("total_cost"))
+                        F.array_join(F.transform("c", lambda x: F.concat(x["m"], F.lit("="), x["o"])), ";").alias("materials"), "total_cost")
 
 
 def _as_documents(rows: int | None):

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from graustein import schemas
+from graustein.session import shuffles_dropped
 from graustein.sinks import commits
 
 STORE_PARTITIONS = ("data_type", "project_id", "filename", "run_ts")
@@ -156,7 +157,8 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite", compression: s
     spark = df.sparkSession
     counted = Observation("json_rows")
     staged = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
-    df.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").option("ignoreNullFields", False).json(staged, compression=compression)
+    with shuffles_dropped(spark):
+        df.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").option("ignoreNullFields", False).json(staged, compression=compression)
     fs, source = commits.file_system(spark, staged)
     _, target = commits.file_system(spark, path)
     if not counted.get.get("n"):

@@ -208,3 +208,58 @@ def test_component_rows_are_shuffled_once(spark, capsys):
     cb.nested(components(spark, {"a": 3}).cache()).explain("simple")
     plan = capsys.readouterr().out
     assert plan.count("hashpartitioning(_id#") == 1 and "Join" not in plan
+
+
+# ------------------------------------------------------------------ combined records from rows that are computed once
+
+LCA_ROWS = "project_id string, element_id string, material_name string, ebkp_h string, gwp_absolute double, penr_absolute double, ubp_absolute double, failed boolean, error_message string"
+COST_ROWS = "project_id string, guid string, ebkp_h string, total_cost double, failed boolean, error string"
+
+
+def both_kinds(spark):
+    of_lca = lambda p, g, n: [(p, g, f"m{i:03d}", "C", float(i), 1.0, 1.0, i % 3 == 0, "no" if i % 3 == 0 else None) for i in range(n)]
+    of_cost = lambda p, g, n: [(p, g, "C", float(i), False, None) for i in range(n)]
+    sizes = {("P", "a"): (2, 1), ("P", "b"): (1, 1), ("P", "c"): (0, 1), ("P", "d"): (3, 0), ("P", "e"): (2, 2), ("P", "f"): (1, 3), ("P", "g"): (0, 2),
+             ("P", "h"): (1, 0), (None, "a"): (2, 1), (None, "b"): (1, 2), (None, None): (3, 2), ("P", None): (1, 1), ("Q", None): (0, 2), (None, "c"): (2, 0),
+             ("P", "hot"): (120, 1), ("P", "hotter"): (90, 2), (None, "hot"): (70, 3), ("P", "costly"): (1, 80)}
+    return (spark.createDataFrame([r for (p, g), (n, _) in sizes.items() for r in of_lca(p, g, n)], LCA_ROWS).repartition(3),
+            spark.createDataFrame([r for (p, g), (_, n) in sizes.items() for r in of_cost(p, g, n)], COST_ROWS).repartition(3))
+
+
+def test_flags_follow_from_the_components_of_both_kinds(spark):
+    lca, cost = both_kinds(spark)
+    shared = cb._counts_per_guid(lca, cost).select("project_id", "guid", (F.col("n_lca") > 1).alias("shared_guid"))
+
+    def whole(records):
+        out = {}
+        for r in records.collect():
+            out.setdefault((r["project_id"], r["guid"], r["shared_guid"], r["n_components"], r["n_chunks"]), []).extend(map(repr, r["components"]))
+        return {k: sorted(v) for k, v in out.items()}
+    want = whole(cb.nested(cb.combine_results(lca, cost), shared, chunk=7))
+    assert whole(cb.combined_nested(lca, cost, chunk=7)) == want and len(want) > 18  # a null id can have both flags
+    assert whole(cb.nested(cb.combine_results(lca, cost), by_source=True, chunk=7, met=50)) == want
+
+
+def test_combined_components_are_computed_once(spark, tmp_dir):
+    import shutil
+    lca, cost = both_kinds(spark)
+    lca.write.parquet(f"{tmp_dir}/lca")
+    cost.write.parquet(f"{tmp_dir}/cost")
+    records = cb.combined_nested(spark.read.parquet(f"{tmp_dir}/lca"), spark.read.parquet(f"{tmp_dir}/cost"))
+    shutil.rmtree(f"{tmp_dir}/lca")
+    shutil.rmtree(f"{tmp_dir}/cost")
+    assert records.agg(F.sum(F.size("components"))).first()[0] >= lca.count() + cost.count()
+
+
+def test_only_named_catalogue_rows_are_needed_and_copies_go(spark):
+    from graustein.session import checkpoint_dir
+    inputs = registry.lca_inputs(spark, SF)
+    named = lca_ops.named_by(inputs.catalogue, inputs.mappings)
+    assert named.count() < inputs.catalogue.count() and named.columns == inputs.catalogue.columns
+    want = rows(jobs.lca(inputs)[0])
+    inputs.catalogue = named
+    assert rows(jobs.lca(inputs)[0]) == want
+    assert registry.QUERIES["combined_nested"](spark, SF).count() > 0
+    held = os.listdir(os.path.join(checkpoint_dir(spark).removeprefix("file://"), "tables"))
+    assert not [name for name in held if name.split("-")[0] in ("materials", "mappings", "catalogue")]
+    assert any(name.startswith("components-") for name in held)
