@@ -474,7 +474,9 @@ def q_elements_from_json(spark, sf_dir):
     """S7 + P1-P3: JSON documents framed over byte ranges and flattened to element rows."""
     from graustein.operators import elements as el
     from graustein.sources import json_arrays
-    rows = el.flatten_elements(json_arrays.read_elements(spark, json_documents(spark, sf_dir)))
+    # element rows have no materials
+    documents = json_arrays.read_elements(spark, json_documents(spark, sf_dir), without=("materials", "material_volumes"))
+    rows = el.flatten_elements(documents)
     return rows.select("id", "ifc_class", "ebkp", "area_net").distinct()
 
 

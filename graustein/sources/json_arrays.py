@@ -304,9 +304,10 @@ def read_items(spark: SparkSession, path: str, schema: T.StructType, container:
                                                                   F.explode(F.array(F.from_json("text", schema))).alias("e"))
 
 
-def read_elements(spark: SparkSession, path: str) -> DataFrame:
+def read_elements(spark: SparkSession, path: str, without: tuple[str, ...] = ()) -> DataFrame:
     """Element documents of any size, exploded: (source_file, project_id, e) per element, as
-    ``operators.elements.explode_documents`` gives them."""
+    ``operators.elements.explode_documents`` gives them; ``without`` names fields of ``e`` that aren't asked for."""
     from graustein import schemas
     from graustein.functions.ids import project_from_filename
-    return read_items(spark, path, schemas.ELEMENT).select("source_file", project_from_filename("source_file").alias("project_id"), "e")
+    wanted = T.StructType([f for f in schemas.ELEMENT.fields if f.name not in without])
+    return read_items(spark, path, wanted).select("source_file", project_from_filename("source_file").alias("project_id"), "e")

@@ -172,6 +172,15 @@ def test_items_are_cut_line_by_line_and_never_shuffled_or_parsed_twice(spark, tm
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_fields_that_nobody_asks_for_are_not_parsed(spark, tmp_dir):
+    pick = random.Random(3)
+    write(tmp_dir, "house.json", [element(pick, i) for i in range(20)])
+    read = lambda **how: json_arrays.read_elements(spark, tmp_dir, **how)
+    part = read(without=("materials", "material_volumes"))
+    assert {"materials", "material_volumes"}.isdisjoint(part.schema["e"].dataType.names)
+    assert rows(el.flatten_elements(part, as_of="2024-01-01")) == rows(el.flatten_elements(read(), as_of="2024-01-01"))
+
+
 def test_shuffle_files_go_when_a_written_copy_is_done(spark):
     from graustein.session import SHUFFLE_CLEANUP, written_copy
     jvm, before = spark.sparkContext._jvm, spark.conf.get(SHUFFLE_CLEANUP, None)
